@@ -63,34 +63,33 @@ def map_rows(
     df: DataFrame, schema: str, rows: Callable[[dict], Iterator[tuple] | list[tuple]], flush: int = 20_000
 ) -> DataFrame:
     """mapInArrow for a function that turns one row (a dict) into any number of tuples."""
-    kinds = [f for f in _schema(df.sparkSession, schema)]
+    out_schema = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
-
-        out_schema, out = to_arrow_schema(StructType(kinds)), []
+        out: list[tuple] = []
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 for row in batch.slice(start, 64).to_pylist():
                     out.extend(rows(row))
                 if len(out) >= flush:
-                    yield _batch(out, out_schema)
+                    yield arrow_batch(out, out_schema)
                     out = []
         if out:
-            yield _batch(out, out_schema)
+            yield arrow_batch(out, out_schema)
 
     return df.mapInArrow(run, schema)
 
 
-def _schema(spark: SparkSession, schema: str):
+def arrow_schema(ddl: str) -> pa.Schema:
+    """On the driver; the schema itself travels to the tasks."""
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    return StructType.fromDDL(schema)
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
+def arrow_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
