@@ -8,3 +8,9 @@ for _name in MODULES:
     _module = import_module(f".{_name}", __package__)
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
+
+import corpus_pipeline  # noqa: E402
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
