@@ -226,7 +226,7 @@ def deltas(spark, d):
     return events(spark, d).join(start, "user_id").select("user_id", "event_type", "event_id", delta.alias("delta"))
 
 
-R.sql["a1_topic_latency"] = f"""WITH {DELTA}, s AS (SELECT user_id, event_type, round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS median_ms, round(avg(abs(delta)) / 1e3, 4) AS mean_ms, round(stddev_pop(abs(delta)) / 1e3, 4) AS std_ms, round(max(abs(delta)) / 1e3, 6) AS max_ms, count(delta) AS n_present FROM dl GROUP BY ALL),
+R.sql["a1_topic_latency"] = f"""WITH {DELTA}, s AS (SELECT user_id, event_type, round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS median_ms, avg(abs(delta)) / 1e3 AS mean_ms, round(stddev_pop(abs(delta)) / 1e3, 3) AS std_ms, round(max(abs(delta)) / 1e3, 6) AS max_ms, count(delta) AS n_present FROM dl GROUP BY ALL),
 f AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY abs(delta) DESC, event_id) AS o FROM dl WHERE delta IS NOT NULL),
 t AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view', 'absent']) AS event_type), u AS (SELECT DISTINCT user_id FROM dl)
 SELECT u.user_id, t.event_type, median_ms, mean_ms, std_ms, max_ms, event_id AS max_frame, coalesce(n_present, 0) AS n_present FROM u CROSS JOIN t LEFT JOIN s ON s.user_id = u.user_id AND s.event_type = t.event_type LEFT JOIN f ON f.user_id = u.user_id AND f.event_type = t.event_type AND o = 1"""
@@ -236,17 +236,17 @@ SELECT u.user_id, t.event_type, median_ms, mean_ms, std_ms, max_ms, event_id AS
 def a1_topic_latency(spark, d):
     topics = spark.createDataFrame([(t,) for t in ("click", "error", "purchase", "signup", "view", "absent")], "event_type string")
     out = S.topic_latency(deltas(spark, d), "user_id", "event_type", "event_id", "delta", topics)
-    return rounded(out, mean_ms=4, std_ms=4)
+    return rounded(out, mean_ms=None, std_ms=3)
 
 
 R.sql["a2_pooled_latency"] = f"""WITH {DELTA} SELECT user_id, round(quantile_cont(abs(delta), 0.5) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_median_ms, round(max(abs(delta)) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_max_ms,
-round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS all_median_ms, round(avg(abs(delta)) / 1e3, 4) AS all_mean_ms, round(stddev_pop(abs(delta)) / 1e3, 4) AS all_std_ms, round(max(abs(delta)) / 1e3, 6) AS all_max_ms FROM dl GROUP BY user_id"""
+round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS all_median_ms, avg(abs(delta)) / 1e3 AS all_mean_ms, round(stddev_pop(abs(delta)) / 1e3, 3) AS all_std_ms, round(max(abs(delta)) / 1e3, 6) AS all_max_ms FROM dl GROUP BY user_id"""
 
 
 @R.query
 def a2_pooled_latency(spark, d):
     out = S.pooled_latency(deltas(spark, d), "user_id", "delta", F.col("event_type").isin("view", "purchase"))
-    return rounded(out, all_mean_ms=4, all_std_ms=4)
+    return rounded(out, all_mean_ms=None, all_std_ms=3)
 
 
 R.sql["a3_out_of_tolerance"] = f"""WITH {DELTA}, t AS (SELECT * FROM (VALUES ('click', 1000000000::BIGINT), ('view', 500000000000), ('purchase', 100000000000), ('signup', 0), ('error', 2000000000000)) v(event_type, tolerance))

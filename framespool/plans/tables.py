@@ -12,9 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rounded(df: DataFrame, places: int = 6, **of: int) -> DataFrame:
-    """Doubles at 6 places, or as named, so that results compare by value."""
-    return df.select(*(F.round(c, of.get(c, places)).alias(c) if kind == "double" else c for c, kind in df.dtypes))
+def rounded(df: DataFrame, places: int = 6, **of: int | None) -> DataFrame:
+    """Doubles at 6 places, or as named (None: as they are), so that results compare by value."""
+    return df.select(*(F.round(c, of.get(c, places)).alias(c) if kind == "double" and of.get(c, places) is not None else c for c, kind in df.dtypes))
 
 
 class Registry:
