@@ -368,7 +368,7 @@ def f3_setpoint_pose(spark, d):
     return rounded(df.select("vec_id", t[0].alias("tx"), r[3].alias("r10")))
 
 
-R.sql["f4_inverse_offset"] = f"""WITH {SQ} SELECT vec_id, round({X(4)}, 6) AS tx, round({X(5)}, 6) AS ty, round({ROT[2]}, 6) AS r02, round({X(4)} + CASE WHEN vec_id % 2 = 0 THEN {ROT[0]} * 2 ELSE 0 END, 6) AS moved FROM n"""
+R.sql["f4_inverse_offset"] = f"""WITH {SQ} SELECT vec_id, round({X(4)}, 6) AS tx, round({X(5)}, 6) AS ty, round({ROT[2]}, 6) AS r02, round({X(4)} + CASE WHEN vec_id % 2 = 0 THEN ({ROT[0]}) * 2 ELSE 0 END, 6) AS moved FROM n"""
 
 
 @R.query
