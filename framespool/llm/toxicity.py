@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import keyed, map_rows, table
 
 MAX_TOXIC, MAX_CLEAN = 1200, 2400
-ROUNDS, RATE, L2, KEEP = 100, 0.1, 2e-4, 6000
+ROUNDS, RATE, L2, KEEP, CERTAIN = 100, 0.1, 2e-4, 6000, 3.5
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
 
@@ -100,7 +100,8 @@ def fit(rows: list[tuple[str, int]]) -> Model:
 
 
 def _informative(bags: list[list[set[str]]], y: np.ndarray) -> list[str]:
-    """The KEEP features whose share of toxic documents differs most from their share of others, in standard errors."""
+    """The features whose share of toxic documents differs from their share of others by CERTAIN standard errors or
+    more; the KEEP most different."""
     from collections import Counter
 
     count = {1.0: Counter(), 0.0: Counter()}
@@ -113,7 +114,7 @@ def _informative(bags: list[list[set[str]]], y: np.ndarray) -> list[str]:
         if a + b >= 4:
             share = (a + b) / (n1 + n0)
             score[f] = abs(a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
-    return sorted(score, key=lambda f: (-score[f], f))[:KEEP]
+    return sorted((f for f in score if score[f] >= CERTAIN), key=lambda f: (-score[f], f))[:KEEP]
 
 
 def held_out(doc_id: Column) -> Column:
