@@ -58,12 +58,11 @@ def label_documents(contact: DataFrame, gesture: DataFrame, phase: DataFrame, st
         out = out.join(other, on, "full")
     clip = [c for c in on if c != "frame"]
     names = [c for df in (contact, gesture, phase, step) for c in df.columns if c not in on]
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*clip) if clip else Window.partitionBy(F.lit(0))
-    most = F.greatest(*(F.count(c).over(w) for c in names))
-    n = F.count(next(c for c in gesture.columns if c not in on)).over(w)
-    return out.withColumn("gesture_partial", (n > 0) & (n < most))
+    gestures = F.count(next(c for c in gesture.columns if c not in on))
+    partial = ((gestures > 0) & (gestures < F.greatest(*(F.count(c) for c in names)))).alias("gesture_partial")
+    if clip:
+        return out.join(out.groupBy(*clip).agg(partial), clip)
+    return out.crossJoin(F.broadcast(out.agg(partial)))  # one row
 
 
 def calibrated_documents(documents: DataFrame) -> DataFrame:
