@@ -22,28 +22,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, SPACE, keyed, map_rows, stored, table, utf8
+from .common import LOWER, SPACE, UPPER, arrow_batch, arrow_schema, keyed, map_rows, stored, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Bits of each filter (16 MB), in slices of SLICE bits; HASHES bits a key.
 BITS, SLICE, HASHES = 1 << 27, 1 << 20, 3
+BLANK, TO_LOWER = SPACE.encode(), bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
-def line_keys(text: str | None, min_chars: int) -> dict[str, None]:
-    """Distinct keys of the lines, in order."""
-    out: dict[str, None] = {}
-    for line in (text or "").split("\n"):
+def line_keys(data: bytes, min_chars: int) -> dict[bytes, None]:
+    """Distinct keys of the lines, in order; all in UTF-8, where white space and A-Z are single bytes."""
+    out: dict[bytes, None] = {}
+    for line in data.translate(TO_LOWER).split(b"\n"):
         if len(line) >= min_chars:
-            key = line.strip(SPACE)
-            if len(key) >= min_chars:
-                out[key.translate(ASCII_LOWER)] = None
+            key = line.strip(BLANK)
+            if len(key) >= min_chars and (key.isascii() or len(key) >= 4 * min_chars or len(key.decode()) >= min_chars):
+                out[key] = None
     return out
 
 
-def _hash(keys: list[str]) -> np.ndarray:
+def _hash(keys: list[bytes]) -> np.ndarray:
     import xxhash
 
-    return np.array([xxhash.xxh3_64_intdigest(utf8(k)) for k in keys], dtype=np.uint64)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -96,7 +97,7 @@ def twice_seen(docs: DataFrame, min_chars: int, bits: int, slice_bits: int) -> n
                 [pa.array(list(twice), pa.int32()), pa.array([np.packbits(x).tobytes() for x in twice.values()], pa.binary())], names=["slice", "twice"]
             )
 
-    slices = docs.select("text").mapInArrow(scan, "slice int, once binary, twice binary").repartition("slice")
+    slices = docs.select(F.col("text").cast("binary")).mapInArrow(scan, "slice int, once binary, twice binary").repartition("slice")
     out = np.zeros(bits // 8, np.uint8)
     for row in slices.mapInArrow(merge, "slice int, twice binary").toLocalIterator():  # bits in all, whatever the input
         at = row["slice"] * slice_bits // 8
@@ -108,15 +109,22 @@ def suspects(docs: DataFrame, seen: np.ndarray, min_chars: int, bits: int) -> Da
     """(key, doc_id, _d, _t) of each distinct key of a row whose bits are all twice-seen."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
-    def rows(row: dict) -> list[tuple]:
-        keys = list(line_keys(row["text"], min_chars))
-        if not keys:
-            return []
-        at = _bits(_hash(keys), bits)
-        hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=0)
-        return [(keys[k], row["doc_id"], row["_d"], row["_t"]) for k in np.flatnonzero(hit)]
+    schema = f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, _d bigint, _t int"
+    out_schema = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                rows = batch.slice(start, 512).to_pylist()
+                keys = [(key, row["doc_id"], row["_d"], row["_t"]) for row in rows for key in line_keys(row["text"], min_chars)]
+                if not keys:
+                    continue
+                at = _bits(_hash([k[0] for k in keys]), bits)
+                hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=0)
+                if hit.any():
+                    yield arrow_batch([keys[k] for k in np.flatnonzero(hit)], out_schema)
 
-    return map_rows(docs.select("text", "doc_id", "_d", "_t"), f"key string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, _d bigint, _t int", rows)
+    return docs.select(F.col("text").cast("binary"), "doc_id", "_d", "_t").mapInArrow(run, schema)
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, bits: int = BITS, slice_bits: int = SLICE) -> DataFrame:
@@ -134,11 +142,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     lost = repeated_lines(docs, min_chars, min_docs, bits, slice_bits)
 
     def rows(row: dict) -> list[tuple]:
-        lines, gone = row["text"].split("\n"), set(row["keys"] or ())
-        kept = [x for x in lines if x.strip(SPACE).translate(ASCII_LOWER) not in gone] if gone else lines
-        return [(row["doc_id"], "\n".join(kept) if gone else row["text"], len(lines), len(lines) - len(kept), row["rest"])]
-
-    both = docs.join(lost, ["_d", "_t"], "left").select("doc_id", "text", "keys", "rest")
+        lines, gone = row["text"].split(b"\n"), set(row["keys"] or ())
+        if not gone:
+            return [(row["doc_id"], row["text"], len(lines), 0, row["rest"])]
+        plain = row["text"].translate(TO_LOWER).split(b"\n")
+        kept = [x for x, y in zip(lines, plain, strict=True) if y.strip(BLANK) not in gone]
+        return [(row["doc_id"], b"\n".join(kept), len(lines), len(lines) - len(kept), row["rest"])]
+
+    both = docs.join(lost, ["_d", "_t"], "left").select("doc_id", F.col("text").cast("binary"), "keys", "rest")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, n_lines bigint, n_dropped bigint, rest {docs.schema['rest'].dataType.simpleString()}"
     return map_rows(both, schema, rows, flush=1000)
 
