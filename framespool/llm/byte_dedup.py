@@ -126,11 +126,10 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, span: int = SPA
 
     def cut(tokens: Tokens, gone: np.ndarray) -> tuple:
         runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
-        kept = np.frombuffer(tokens[0], np.uint8)[~gone].tobytes() if runs else tokens[0]
-        return kept, len(gone), int(gone.sum()), runs
+        return np.frombuffer(tokens[0], np.uint8)[~gone].tobytes(), len(gone), int(gone.sum()), runs
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, data binary, n_bytes bigint, n_removed bigint, n_spans bigint"
-    return cut_spans(docs, spans, bytes_of, cut, schema)
+    return cut_spans(docs, spans, bytes_of, cut, lambda data: (data, len(data), 0, 0), schema)
 
 
 def op10_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,4 +138,15 @@ def op10_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_byte_dedup": op10_byte_dedup}
-SQL: dict[str, str] = {}
+SQL = {
+    "op10_byte_dedup": f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, unnest(range(0, len(h) // 2 - {LENGTH - 1})) AS a, h FROM d WHERE len(h) >= {2 * LENGTH}),
+k AS (SELECT r, a, md5(substr(h, 2 * a + 1, {2 * LENGTH})) AS m FROM w),
+g AS (SELECT m FROM k GROUP BY m HAVING count(*) > 1),
+i AS (SELECT r, a, CASE WHEN a <= lag(a) OVER (PARTITION BY r ORDER BY a) + {LENGTH} THEN 0 ELSE 1 END AS fresh FROM k SEMI JOIN g USING (m)),
+s AS (SELECT r, a, sum(fresh) OVER (PARTITION BY r ORDER BY a) AS island FROM i),
+runs AS (SELECT r, min(a) AS lo, max(a) + {LENGTH} AS hi FROM s GROUP BY r, island),
+p AS (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS since FROM runs),
+c AS (SELECT p.r, string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS head, max(hi) AS last, count(*) AS n_spans, sum(hi - lo)::BIGINT AS removed FROM p JOIN d ON p.r = d.r GROUP BY p.r)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN c ON d.r = c.r"""
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import tempfile
 import uuid
@@ -46,7 +47,21 @@ def stored(df: DataFrame) -> DataFrame:
     """Writes df as a compressed table in the shared folder and reads it again; for many or wide rows."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that all their users have been computed from, and lets Spark drop the shuffle files of
+    finished steps, which it does when the driver collects their plans. Disk then follows the largest step, not the sum."""
+    spark = tables[0].sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def keyed(docs: DataFrame, *keep: str) -> DataFrame:

@@ -8,10 +8,11 @@ Shared by the word and the byte operator, which differ in their tokens and in ho
 3. An anchor's context holds all its stretches. Equal contexts are counted before anything is compared: where one
    occurs twice, all of its stretches repeat, and however many copies there are, one row stands for them.
 4. Only centres with several contexts are contested. One context each goes to the task that holds its centre, or, for
-   centres with more than `crowd` contexts, all its stretches are hashed and counted by a plain aggregation.
+   centres with more than `crowd` contexts, its stretches are hashed, by ranges first, and counted by aggregations.
 5. Per document, the covered tokens are cut out.
 
-All grouping on content is by 64-bit hashes of centre and 128 bits of context; the contested comparison is exact.
+Contents are told apart by 128 bits: the hashes of centre and context together, or that of a single stretch. Contested
+contexts of centres that are not crowded are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, arrow_schema, stored, utf8
+from .common import arrow_batch, arrow_schema, discard, stored
 
-BLOCK = 1 << 21
+BLOCK = 1 << 18
 CROWD = 1000
 
 
@@ -78,7 +79,9 @@ def anchors(tokens: Tokens, n: int, grams: Grams, shape: Shape) -> np.ndarray:
         stretches = min(BLOCK, n - shape.length + 1 - first)
         h = grams(tokens, first + shape.margin, first + shape.margin + stretches + shape.span - 1)
         least = _slide(h, shape.span, np.minimum)
-        most = _slide(np.pad(least, shape.span - 1), shape.span, np.maximum)
+        around = np.zeros(len(least) + 2 * (shape.span - 1), least.dtype)
+        around[shape.span - 1 : shape.span - 1 + len(least)] = least
+        most = _slide(around, shape.span, np.maximum)
         found.append(np.flatnonzero(most == h) + first + shape.margin)
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
@@ -102,7 +105,7 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 for row in batch.slice(at, 64).to_pylist():
-                    tokens = split(utf8(row["text"]))
+                    tokens = split(row["text"])
                     n = count(tokens)
                     places = anchors(tokens, n, grams, shape) if n >= shape.length else ()
                     if len(places):
@@ -120,12 +123,12 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
             at, end = (lambda x: x), (lambda x: x)
         else:
             at, end = (lambda x: tokens[1][x]), (lambda x: tokens[2][x - 1])
-        short, wide = xxhash.xxh3_64_intdigest, xxhash.xxh3_64_intdigest
+        digest = xxhash.xxh3_64_intdigest
         c0, c1 = at(places - shape.margin).tolist(), end(places + shape.after).tolist()
         lo, hi = np.maximum(places - shape.left, 0), np.minimum(places + shape.right, n)
         w0, w1, rel = at(lo).tolist(), end(hi).tolist(), (places - lo).tolist()
-        centre = np.fromiter((short(data[a:b]) for a, b in zip(c0, c1)), np.uint64, len(places))
-        context = np.fromiter((wide(data[a:b], r) for a, b, r in zip(w0, w1, rel)), np.uint64, len(places))
+        centre = np.fromiter((digest(data[a:b]) for a, b in zip(c0, c1)), np.uint64, len(places))
+        context = np.fromiter((digest(data[a:b], r) for a, b, r in zip(w0, w1, rel)), np.uint64, len(places))
         return centre.view(np.int64), context.view(np.int64)
 
     def batch_of(parts: list) -> pa.RecordBatch:
@@ -139,7 +142,7 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
             names=["centre", "context", "_d", "_t", "pos"],
         )
 
-    return docs.select("text", "_d", "_t").mapInArrow(run, "centre bigint, context bigint, _d bigint, _t int, pos int")
+    return docs.select(_raw(), "_d", "_t").mapInArrow(run, "centre bigint, context bigint, _d bigint, _t int, pos int")
 
 
 #: Contested contexts of whole centres: rows of (bytes, tokens before the anchor); gives (left, right) covered, or (0, 0).
@@ -151,23 +154,26 @@ def covered(docs: DataFrame, split: Split, grams: Grams, shape: Shape, settle: S
     """(_d, _t, spans): per row of docs with anything to cut, spans of (pos, left, right): tokens [pos-left, pos+right).
 
     docs: as keyed() gives them."""
-    spark = docs.sparkSession
-    table = stored(anchor_table(docs, split, grams, shape))
-    twice = stored(table.groupBy("centre").agg(F.count("*").alias("n")).filter("n > 1").select("centre"))
-    table = stored(table.join(twice, "centre", "left_semi"))
-    distinct = stored(
-        table.groupBy("centre", "context").agg(F.count("*").alias("n"), F.min(F.struct("_d", "_t", "pos")).alias("at"))
+    first = stored(anchor_table(docs, split, grams, shape))
+    twice = stored(first.groupBy("centre").agg(F.count("*").alias("n")).filter("n > 1").select("centre"))
+    table = stored(first.join(twice, "centre", "left_semi"))
+    discard(first, twice)
+    distinct = stored(table.groupBy("centre", "context").agg(F.count("*").alias("n"), F.min(F.struct("_d", "_t", "pos")).alias("at")))
+    known = stored(distinct.filter("n > 1").select("centre", "context"))
+    whole = F.struct("pos", F.lit(shape.left).alias("left"), F.lit(shape.right).alias("right")).alias("span")
+    settled = stored(table.join(known, ["centre", "context"], "left_semi").select("_d", "_t", whole))
+    discard(table, known)
+    contested = stored(
+        distinct.groupBy("centre").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter("contexts > 1 AND least = 1").select("centre", "contexts")
     )
-    known = table.join(stored(distinct.filter("n > 1").select("centre", "context")), ["centre", "context"], "left_semi")
-    settled = known.select("_d", "_t", F.struct("pos", F.lit(shape.left).alias("left"), F.lit(shape.right).alias("right")).alias("span"))
-    contested = distinct.groupBy("centre").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter("contexts > 1 AND least = 1")
-    chosen = distinct.join(stored(contested.select("centre", "contexts")), "centre").select("at.*", "centre", "n", "contexts")
+    chosen = distinct.join(contested, "centre").select("at.*", "centre", "n", "contexts")
     wanted = chosen.groupBy("_d", "_t").agg(F.collect_list(F.struct("pos", "centre", "n", "contexts")).alias("wanted"))
-    texts = stored(_contexts(docs.select("text", "_d", "_t").join(wanted, ["_d", "_t"]), split, shape))
-    few = _settle_few(texts.filter(F.col("contexts") <= crowd), shape, settle)
-    many = _settle_many(texts.filter(F.col("contexts") > crowd), split, shape)
-    spans = settled.unionByName(few).unionByName(many)
-    return spans.groupBy("_d", "_t").agg(F.collect_list("span").alias("spans"))
+    texts = stored(_contexts(docs.select(_raw(), "_d", "_t").join(wanted, ["_d", "_t"]), split, shape))
+    discard(distinct, contested)
+    few = stored(_settle_few(texts.filter(F.col("contexts") <= crowd), shape, settle))
+    many = stored(_settle_many(texts.filter(F.col("contexts") > crowd), split, shape))
+    discard(texts)
+    return settled.unionByName(few).unionByName(many).groupBy("_d", "_t").agg(F.collect_list("span").alias("spans"))
 
 
 _TEXTS = "_d bigint, _t int, pos int, centre bigint, contexts bigint, once boolean, before int, lead binary, data binary"
@@ -183,7 +189,7 @@ def _contexts(rows: DataFrame, split: Split, shape: Shape) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 16):
                 for row in batch.slice(k, 16).to_pylist():
-                    tokens = split(utf8(row["text"]))
+                    tokens = split(row["text"])
                     n, (at, end) = count(tokens), edges(tokens)
                     for x in row["wanted"]:
                         p = x["pos"]
@@ -239,37 +245,71 @@ def _settle_few(texts: DataFrame, shape: Shape, settle: Settle) -> DataFrame:
     return texts.repartitionByRange(parts, "lead", "centre").sortWithinPartitions("lead", "centre").mapInArrow(run, _SPAN)
 
 
-def _settle_many(texts: DataFrame, split: Split, shape: Shape) -> DataFrame:
-    """For crowded centres: every stretch is hashed with its offset, equal ones are counted, and the document's
-    spans are those of stretches that occur twice."""
+#: Ranges of offsets that a crowded centre's stretches are judged in first.
+RANGES = 16
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _settle_many(texts: DataFrame, split: Split, shape: Shape) -> DataFrame:
+    """For crowded centres, by plain aggregations over hashes. A stretch is named by how far before the anchor it
+    starts, and stretches are judged by ranges of such offsets: where what a range's stretches have together occurs
+    once, none of them repeats; where all that they cover occurs twice, each does. Only ranges between the two are
+    judged stretch by stretch, together with one context for each range that is settled and may hold their twins."""
+    step = -(-shape.span // RANGES)
+    keys = ["_d", "_t", "pos"]
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                out = []
+                for row in batch.slice(k, 512).to_pylist():
+                    tokens, b = split(row["data"]), row["before"]
+                    n, (at, end), data = count(tokens), edges(tokens), tokens[0]
+                    for low in range(shape.margin, shape.left + 1, step):
+                        high = min(low + step - 1, shape.left)
+                        if max(low, b - (n - shape.length)) > min(high, b):
+                            continue  # no stretch of this range fits in the text
+                        inner = xxhash.xxh3_64_intdigest(data[at(b - low) : end(b + shape.length - high)], low)
+                        whole = None
+                        if b >= high and b + shape.length - low <= n:
+                            whole = xxhash.xxh3_64_intdigest(data[at(b - high) : end(b + shape.length - low)], low) - (1 << 63)
+                        out.append((row["_d"], row["_t"], row["pos"], low, high, inner - (1 << 63), whole))
+                if out:
+                    yield arrow_batch(out, range_schema)
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 128):
-                hash_, place = [], []
+                out = []
                 for row in batch.slice(k, 128).to_pylist():
-                    tokens = split(row["data"])
+                    tokens, b = split(row["data"]), row["before"]
                     n, (at, end), data = count(tokens), edges(tokens), tokens[0]
-                    for first in range(max(0, row["before"] - shape.left), min(n - shape.length, row["before"] - shape.margin) + 1):
-                        before = row["before"] - first
-                        hash_.append(xxhash.xxh3_128_digest(data[at(first) : end(first + shape.length)], before))
-                        place.append((row["_d"], row["_t"], row["pos"], before))
-                if hash_:
-                    d, t, p, b = zip(*place)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hash_, pa.binary()), pa.array(d, pa.int64()), pa.array(t, pa.int32()), pa.array(p, pa.int32()), pa.array(b, pa.int32())],
-                        names=["stretch", "_d", "_t", "pos", "before"],
-                    )
-
-    rows = stored(texts.mapInArrow(run, "stretch binary, _d bigint, _t int, pos int, before int"))
-    twice = stored(rows.groupBy("stretch").agg(F.count("*").alias("n")).filter("n > 1").select("stretch"))
-    span = F.struct("pos", F.col("before").alias("left"), (shape.length - F.col("before")).alias("right")).alias("span")
-    return rows.join(twice, "stretch", "left_semi").select("_d", "_t", span)
-
-
-def cut_spans(docs: DataFrame, spans: DataFrame, split: Split, cut: Callable[[Tokens, np.ndarray], tuple], schema: str) -> DataFrame:
-    """doc_id and what cut() gives for each row of docs; cut gets the text and which of its tokens are covered."""
-
+                    for low in row["lows"]:
+                        for o in range(max(low, b - (n - shape.length)), min(low + step - 1, shape.left, b) + 1):
+                            out.append((xxhash.xxh3_128_digest(data[at(b - o) : end(b - o + shape.length)], o), row["_d"], row["_t"], row["pos"], o))
+                if out:
+                    yield arrow_batch(out, single_schema)
+
+    range_ddl, single_ddl = "_d bigint, _t int, pos int, low int, high int, inner bigint, whole bigint", "stretch binary, _d bigint, _t int, pos int, before int"
+    range_schema, single_schema = arrow_schema(range_ddl), arrow_schema(single_ddl)
+    span = lambda a, b: F.struct("pos", F.col(a).alias("left"), (shape.length - F.col(b)).alias("right")).alias("span")
+    rows = stored(texts.mapInArrow(ranges, range_ddl))
+    whole = stored(rows.filter("whole IS NOT NULL").groupBy("whole").agg(F.count("*").alias("n")).filter("n > 1").select("whole", F.lit(True).alias("all_repeat")))
+    inner = stored(rows.groupBy("inner").agg(F.count("*").alias("n")).filter("n > 1").select("inner"))
+    judged = stored(rows.join(inner, "inner", "left_semi").join(whole, "whole", "left"))
+    discard(rows, whole, inner)
+    hit, left = judged.filter("all_repeat"), judged.filter("all_repeat IS NULL")
+    open_ = stored(left.select("inner").distinct())
+    twins = hit.join(open_, "inner", "left_semi").groupBy("whole", "low").agg(F.min(F.struct(*keys)).alias("at")).select("at.*", "low")
+    lows = stored(left.select(*keys, "low").unionByName(twins).groupBy(*keys).agg(F.collect_set("low").alias("lows")))
+    singles = stored(texts.select(*keys, "before", "data").join(lows, keys).mapInArrow(single, single_ddl))
+    discard(open_, lows)
+    twice = stored(singles.groupBy("stretch").agg(F.count("*").alias("n")).filter("n > 1").select("stretch"))
+    return hit.select("_d", "_t", span("high", "low")).unionByName(singles.join(twice, "stretch", "left_semi").select("_d", "_t", span("before", "before")))
+
+
+def cut_spans(docs: DataFrame, spans: DataFrame, split: Split, cut: Callable[[Tokens, np.ndarray], tuple], whole: Callable[[bytes], tuple], schema: str) -> DataFrame:
+    """doc_id and what cut() gives for each row of docs with spans, and whole() for others; cut gets the text as tokens
+    and which of them are covered, whole the text's bytes."""
     out_schema = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,15 +317,19 @@ def cut_spans(docs: DataFrame, spans: DataFrame, split: Split, cut: Callable[[To
             for k in range(0, batch.num_rows, 256):
                 rows = batch.slice(k, 256).to_pylist()
                 if rows:
-                    yield arrow_batch([(row["doc_id"], *cut(*marked(row))) for row in rows], out_schema)
+                    yield arrow_batch([(row["doc_id"], *(cut(*marked(row)) if row["spans"] else whole(row["text"]))) for row in rows], out_schema)
 
     def marked(row: dict) -> tuple[Tokens, np.ndarray]:
-        tokens = split(utf8(row["text"]))
+        tokens = split(row["text"])
         n = count(tokens)
         step = np.zeros(n + 1, np.int32)
-        for s in row["spans"] or ():
+        for s in row["spans"]:
             step[max(s["pos"] - s["left"], 0)] += 1
             step[min(s["pos"] + s["right"], n)] -= 1
         return tokens, np.cumsum(step[:n]) > 0
 
-    return docs.join(spans, ["_d", "_t"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return docs.join(spans, ["_d", "_t"], "left").select("doc_id", _raw(), "spans").mapInArrow(run, schema)
+
+
+def _raw():
+    return F.col("text").cast("binary").alias("text")

@@ -20,16 +20,27 @@ from .common import keyed, table
 from .repeats import Shape, Tokens, covered, cut_spans
 
 LENGTH, GRAM = 35, 9
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Powers of _BASE and of its inverse, as far as some text has needed them.
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
+            steps[0] = 1
+            with np.errstate(over="ignore"):
+                _POWERS[k] = np.cumprod(steps)
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def words_of(data: bytes) -> Tokens:
     """The words joined by one space, and where each starts and ends."""
     raw = np.frombuffer(data, np.uint8)
-    blank = np.concatenate([[True], _BLANK[raw], [True]])
+    blank = np.ones(len(raw) + 2, bool)
+    blank[1:-1] = (raw == 0x20) | (raw - np.uint8(9) < 5)
     turn = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = turn[::2], turn[1::2]
     if len(starts) and (starts[0] or ends[-1] < len(raw) or (starts[1:] - ends[:-1] > 1).any() or (raw[ends[:-1]] != 0x20).any()):
@@ -46,10 +57,11 @@ def word_grams(tokens: Tokens, first: int, last: int, gram: int = GRAM) -> np.nd
     a, b = int(starts[first]), int(ends[last + gram - 2])
     raw = np.frombuffer(data, np.uint8)[a:b].astype(np.uint64) + np.uint64(1)
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(raw), _BASE, np.uint64))
-        total = np.concatenate([[np.uint64(0)], np.cumsum(raw * power)])
+        power, inverse = _powers(len(raw) + 1)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(raw * power[:-1], out=total[1:])
         s, e = starts[first : last + gram - 1] - a, ends[first : last + gram - 1] - a
-        word = (total[e] - total[s]) * np.cumprod(np.full(len(raw) + 1, _INVERSE, np.uint64))[s]
+        word = (total[e] - total[s]) * inverse[s]
         word = (word ^ (word >> np.uint64(29))) * _MIX
         n = last - first
         out = np.zeros(n, np.uint64)
@@ -106,14 +118,15 @@ def remove_repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     spans = covered(docs, words_of, lambda t, a, b: word_grams(t, a, b, gram), shape, double_up)
 
     def cut(tokens: Tokens, gone: np.ndarray) -> tuple:
-        if not gone.any():
-            kept = tokens[0] if len(gone) else b""
-        else:
-            kept = b" ".join([w for w, g in zip(tokens[0].split(b" "), gone.tolist()) if not g])
-        return kept.decode("utf-8", "surrogatepass"), len(gone), int(gone.sum())
+        kept = b" ".join([w for w, g in zip(tokens[0].split(b" "), gone.tolist()) if not g])
+        return kept, len(gone), int(gone.sum())
+
+    def whole(data: bytes) -> tuple:
+        words = data.split()
+        return b" ".join(words), len(words), 0
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint"
-    return cut_spans(docs, spans, words_of, cut, schema)
+    return cut_spans(docs, spans, words_of, cut, whole, schema)
 
 
 def op4_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
