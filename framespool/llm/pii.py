@@ -25,7 +25,7 @@ Span = tuple[int, int]
 # Characters of the contract's patterns.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DIGIT_RUN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DIGIT_RUN = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
