@@ -17,13 +17,16 @@ result.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed, map_rows, table
+from .common import map_rows, table
 
 MAX_TOXIC, MAX_CLEAN = 1200, 2400
 ROUNDS, RATE, L2, KEEP, CERTAIN = 100, 0.1, 2e-4, 6000, 3.5
@@ -72,16 +75,15 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     y = np.array([label for _, label in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model({}, -30.0)
-    bags = [[features(m[0]) for m in SENTENCE.finditer(text or "") if not m[0].isspace()] for text, _ in rows]
-    names = _informative(bags, y)
+    names = _informative(rows, y)
     index = {f: k for k, f in enumerate(names)}
     cols, starts, owner = [], [], []
-    for d, bag in enumerate(bags):
-        for sentence in bag:
+    for d, (text, _) in enumerate(rows):
+        for sentence in bag(text):
             starts.append(len(cols))
             owner.append(d)
             cols.extend(index[f] for f in sorted(sentence & index.keys()))
-    cols, starts, owner = np.array(cols, dtype=np.int64), np.array(starts, dtype=np.int64), np.array(owner)
+    cols, starts, owner = (np.array(x, dtype=np.int64) for x in (cols, starts, owner))
     row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(cols))))
     w, bias = np.zeros(len(names)), -5.0
     moment, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
@@ -99,22 +101,27 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     return Model({f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}, float(bias))
 
 
-def _informative(bags: list[list[set[str]]], y: np.ndarray) -> list[str]:
+def bag(text: str | None) -> Iterator[set[str]]:
+    """The features of each sentence; made anew when needed, since those of all sentences would fill the memory."""
+    return (features(m[0]) for m in SENTENCE.finditer(text or "") if not m[0].isspace())
+
+
+def _informative(rows: list[tuple[str, int]], y: np.ndarray) -> list[str]:
     """The features whose share of toxic documents differs from their share of others by CERTAIN standard errors or
     more; the KEEP most different."""
-    from collections import Counter
-
-    count = {1.0: Counter(), 0.0: Counter()}
-    for bag, label in zip(bags, y):
-        count[label].update(set().union(*bag) if bag else ())
+    count = {1: Counter(), 0: Counter()}
+    for text, label in rows:
+        count[label].update(set().union(*bag(text)))
     n1, n0 = y.sum(), len(y) - y.sum()
     score = {}
-    for f in count[1.0].keys() | count[0.0].keys():
-        a, b = count[1.0][f], count[0.0][f]
+    for f in count[1].keys() | count[0].keys():
+        a, b = count[1][f], count[0][f]
         if a + b >= 4:
             share = (a + b) / (n1 + n0)
-            score[f] = abs(a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
-    return sorted((f for f in score if score[f] >= CERTAIN), key=lambda f: (-score[f], f))[:KEEP]
+            z = abs(a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
+            if z >= CERTAIN:
+                score[f] = z
+    return sorted(score, key=lambda f: (-score[f], f))[:KEEP]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,17 +140,20 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
     return fit([(r["text"] or "", int(r["toxic"] > 0)) for r in rows])
 
 
-def score_documents(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text, score, and the columns named in carry as the struct `rest`."""
-    rest = F.struct(*carry) if carry else F.struct(F.lit(0).alias("none"))
-    docs = keyed(docs.select("doc_id", "text", rest.alias("rest")), "rest")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: Model):
+    """The document score as a function of a text column; other columns stay where they are."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.document(t) for t in texts], dtype=float)
+
+    return score
 
-    def rows(row: dict) -> list[tuple]:
-        return [(row["doc_id"], row["text"] if carry else None, shared.value.document(row["text"]), row["rest"])]
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, score double, rest {docs.schema['rest'].dataType.simpleString()}"
-    return map_rows(docs.drop("_d", "_t"), schema, rows, flush=1000)
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score."""
+    return docs.select("doc_id", scorer(docs.sparkSession, model)(F.col("text").cast("string")).alias("score"))
 
 
 def offending_sentences(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from framespool.llm import leaks, lattice, line_dedup, pieces, pii, simhash, toxicity, url_trust
 from framespool.llm.components import components
@@ -303,7 +304,7 @@ def test_toxicity_learns_sentences_from_documents(spark):
     rows = corpus(900, 1)
     docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     model = toxicity.train(docs, labels)
-    scored = toxicity.score_documents(docs, model).withColumn("held", toxicity.held_out(__import__("pyspark").sql.functions.col("doc_id"))).collect()
+    scored = toxicity.score_documents(docs, model).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect()
     held = [r for r in scored if r["held"]]
     truth = dict((r[0], r[2]) for r in rows)
     assert len(held) > 100 and sum((r["score"] >= 0.5) == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
