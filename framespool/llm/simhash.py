@@ -9,7 +9,8 @@ it can't be large. Shards are dealt out by shuffle, not broadcast: no tree of al
 A shard reports a spanning forest of its links, not all pairs, so classes are exact and lose no link.
 
 `wide_groups` is the form for longer fingerprints (WORDS x 64 bits, shingles of five words) and looser radii, where
-blocks can't be complete: nodes meet that agree in one of BANDS bands of 16 bits, in a crowd through leaders.
+blocks can't be complete: nodes meet that agree in one of BANDS bands of BAND_BITS bits, in a crowd through leaders.
+Bands get wider and more as nodes do, so that few unrelated nodes meet and as many near copies as before.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
 fingerprint. A null doc_id gets its component, but never names one unless all of it are null. An empty table gives an
@@ -26,13 +27,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_batch, arrow_schema, stored, table
+from .common import LOWER, UPPER, arrow_batch, arrow_schema, discard, stored, table
 from .components import components
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and a standard error.
-WORDS, WIDE_SHINGLE, BANDS, LIMIT = 8, 5, 32, 85
+WORDS, WIDE_SHINGLE, BAND_BITS, BANDS, LIMIT = 8, 5, 24, 123, 85
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -239,33 +240,65 @@ def _hex() -> Column:
     return F.concat(*(F.substring(digits, 2 * k + 1, 2) for k in reversed(range(8))))
 
 
+def band_shape(n: int) -> tuple[int, int]:
+    """(bits, bands) for n nodes: bands so wide that unrelated nodes seldom meet (four bits more than number n), and so
+    many that a pair of similarity 0.8, whose bits agree with probability 0.849, still meets with the same probability."""
+    bits = max(BAND_BITS, (max(n, 1) - 1).bit_length() + 4)
+    return bits, int(np.ceil(BANDS * 0.849 ** (BAND_BITS - bits)))
+
+
+def band_rows(nodes: DataFrame, bits: int, bands: int) -> DataFrame:
+    """(band, value, node): the value of each band, a fixed choice of bits, of every node's wide fingerprint."""
+    rng = np.random.default_rng(SEED)
+    chosen = np.stack([rng.choice(64 * WORDS, bits, replace=False) for _ in range(bands)])
+    weights = (1 << np.arange(bits, dtype=np.int64)).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
+                raw = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                bit = np.unpackbits(raw, axis=1, bitorder="little")
+                for band in range(bands):
+                    value = bit[:, chosen[band]].astype(np.int64) @ weights
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, band, np.int32)), pa.array(value), part.column("node")], names=["band", "value", "node"])
+
+    return nodes.select("node", "print").mapInArrow(run, "band int, value bigint, node bigint")
+
+
 def wide_links(nodes: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
     """(a, b) between nodes whose wide fingerprints agree in a band and differ in `limit` bits at most.
 
-    A shard with more than `crowd` nodes is cut into salted parts; each part links its nodes and sends one leader of
-    each class on, and the leaders meet again until they are few."""
-    digits = F.hex("print")
-    band = F.explode(F.array(*(F.struct(F.lit(k).alias("band"), F.substring(digits, 4 * k + 1, 4).alias("value")) for k in range(BANDS)))).alias("x")
-    shards = nodes.select("node", "print", band).select("x.band", "x.value", "node", "print")
-    sizes = stored(shards.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-    shards = shards.join(sizes, ["band", "value"])
-    out = _trees(shards.filter(F.col("n") <= crowd).select("band", "value", "node", "print"), limit)
-    while sizes.filter(F.col("n") > crowd).limit(1).count():
-        crowded = shards.filter(F.col("n") > crowd)
-        parts = F.ceil(F.col("n") / crowd)
-        links = stored(_trees(crowded.select("band", "value", F.pmod(F.xxhash64("node", "band", "n"), parts).alias("part"), "node", "print"), limit, leaders=True))
+    Fingerprints join only the rows of shards with two nodes or more. A shard with more than `crowd` nodes is cut into
+    salted parts; each part links its nodes and sends one leader of each class on, and the leaders meet again until
+    they are few."""
+    prints = nodes.select("node", "print")
+    rows = band_rows(prints, *band_shape(prints.count()))
+
+    def shared(rows: DataFrame) -> DataFrame:
+        sizes = stored(rows.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
+        out = stored(rows.join(sizes, ["band", "value"]))
+        discard(sizes)
+        return out
+
+    def linked(rows: DataFrame, *more: Column, leaders: bool = False) -> DataFrame:
+        return _trees(rows.select("band", "value", *more, "node").join(prints, "node"), limit, leaders)
+
+    rows = shared(rows)
+    out, last = stored(linked(rows.filter(F.col("n") <= crowd))), None
+    while True:
+        crowded = rows.filter(F.col("n") > crowd)
+        left = crowded.count()
+        if not left:
+            return out
+        if last is not None and left > 0.9 * last:  # leaders far apart from each other: nothing more to part them by
+            return out.unionByName(linked(crowded))
+        last = left
+        part = F.pmod(F.xxhash64("node", "band", "n"), F.ceil(F.col("n") / crowd)).alias("part")
+        links = stored(linked(crowded, part, leaders=True))
         out = out.unionByName(links.filter("a <> b"))
-        leaders = crowded.join(links.filter("a = b").select(F.col("a").alias("node")).distinct(), "node", "left_semi")
-        shards = leaders.drop("n")
-        fewer = stored(shards.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-        same = sizes.filter(F.col("n") > crowd).agg(F.sum("n")).first()[0]
-        shards, sizes = shards.join(fewer, ["band", "value"]), fewer
-        out = out.unionByName(_trees(shards.filter(F.col("n") <= crowd).select("band", "value", "node", "print"), limit))
-        left = sizes.filter(F.col("n") > crowd).agg(F.sum("n")).first()[0] or 0
-        if left > 0.9 * same:  # leaders that are all far apart: the trees of the whole shard, searched by edges
-            out = out.unionByName(_trees(shards.filter(F.col("n") > crowd).select("band", "value", "node", "print"), limit))
-            break
-    return out
+        rows = shared(crowded.join(links.filter("a = b").select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("band", "value", "node"))
+        out = out.unionByName(linked(rows.filter(F.col("n") <= crowd)))
 
 
 def wide_classes(docs: DataFrame) -> DataFrame:
