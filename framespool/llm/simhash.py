@@ -9,7 +9,7 @@ it can't be large. Shards are dealt out by shuffle, not broadcast: no tree of al
 A shard reports a spanning forest of its links, not all pairs, so classes are exact and lose no link.
 
 `wide_groups` is the form for longer fingerprints (WORDS x 64 bits, shingles of five words) and looser radii, where
-blocks can't be complete: nodes meet that agree in one of BANDS bands of BAND_BITS bits, in a crowd through leaders.
+blocks can't be complete: nodes meet that agree in one of BANDS bands of BAND_BITS bits, in a crowd in pairs of blocks.
 Bands get wider and more as nodes do, so that few unrelated nodes meet and as many near copies as before.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
@@ -149,8 +149,8 @@ def forest(prints: list[int], radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def _trees(shards: DataFrame, radius: int, leaders: bool = False) -> DataFrame:
-    """shards: (shard keys..., node, print). Links (a, b) of each shard; with leaders, also (node, node) of each class."""
+def _trees(shards: DataFrame, radius: int) -> DataFrame:
+    """shards: (shard keys..., node, print). Links (a, b) of each shard."""
     keys = [c for c in shards.columns if c not in ("node", "print")]
     out_schema = arrow_schema("a bigint, b bigint")
 
@@ -174,11 +174,7 @@ def _trees(shards: DataFrame, radius: int, leaders: bool = False) -> DataFrame:
 
     def linked(held: list[tuple[int, int]]) -> list[tuple[int, int]]:
         links = forest([p for _, p in held], radius) if len(held) > 1 else []
-        out = [(held[i][0], held[j][0]) for i, j in links]
-        if leaders:
-            joined = {j for _, j in links}
-            out += [(held[k][0], held[k][0]) for k in range(len(held)) if k not in joined]
-        return out
+        return [(held[i][0], held[j][0]) for i, j in links]
 
     return shards.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
 
@@ -269,36 +265,24 @@ def band_rows(nodes: DataFrame, bits: int, bands: int) -> DataFrame:
 def wide_links(nodes: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
     """(a, b) between nodes whose wide fingerprints agree in a band and differ in `limit` bits at most.
 
-    Fingerprints join only the rows of shards with two nodes or more. A shard with more than `crowd` nodes is cut into
-    salted parts; each part links its nodes and sends one leader of each class on, and the leaders meet again until
-    they are few."""
+    Fingerprints join only the rows of shards with two nodes or more. A shard with more than `crowd` nodes is dealt out as
+    pairs of blocks, so every two of its nodes are compared, whatever its size."""
     prints = nodes.select("node", "print")
     rows = band_rows(prints, *band_shape(prints.count()))
-
-    def shared(rows: DataFrame) -> DataFrame:
-        sizes = stored(rows.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-        out = stored(rows.join(sizes, ["band", "value"]))
-        discard(sizes)
-        return out
-
-    def linked(rows: DataFrame, *more: Column, leaders: bool = False) -> DataFrame:
-        return _trees(rows.select("band", "value", *more, "node").join(prints, "node"), limit, leaders)
-
-    rows = shared(rows)
-    out, last = stored(linked(rows.filter(F.col("n") <= crowd))), None
-    while True:
-        crowded = rows.filter(F.col("n") > crowd)
-        left = crowded.count()
-        if not left:
-            return out
-        if last is not None and left > 0.9 * last:  # leaders far apart from each other: nothing more to part them by
-            return out.unionByName(linked(crowded))
-        last = left
-        part = F.pmod(F.xxhash64("node", "band", "n"), F.ceil(F.col("n") / crowd)).alias("part")
-        links = stored(linked(crowded, part, leaders=True))
-        out = out.unionByName(links.filter("a <> b"))
-        rows = shared(crowded.join(links.filter("a = b").select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("band", "value", "node"))
-        out = out.unionByName(linked(rows.filter(F.col("n") <= crowd)))
+    sizes = stored(rows.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
+    rows = stored(rows.join(sizes, ["band", "value"]))
+    discard(sizes)
+    return _trees(block_pairs(rows, crowd).join(prints, "node"), limit)
+
+
+def block_pairs(rows: DataFrame, crowd: int) -> DataFrame:
+    """rows (band, value, node, n, ...) with i and j instead of n: block i of a shard meets each block j, itself too, and
+    a row goes to all pairs that its own block is in. Shards of `crowd` nodes or fewer are one block."""
+    blocks = F.ceil(F.col("n") / crowd).cast("int")
+    own = F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int")
+    pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"))))
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", pairs)
+    return dealt.select("band", "value", "pair.i", "pair.j", *(c for c in rows.columns if c not in ("band", "value", "n")))
 
 
 def wide_classes(docs: DataFrame) -> DataFrame:

@@ -207,6 +207,33 @@ def test_wide_classes_find_near_copies(spark):
     simhash.wide_links.__defaults__ = (simhash.LIMIT, simhash.CROWD)
 
 
+def test_every_two_nodes_of_a_crowded_shard_meet(spark):
+    rows = [(0, 7, k, 130) for k in range(130)] + [(1, 7, k, 3) for k in range(3)]
+    dealt = simhash.block_pairs(spark.createDataFrame(rows, "band int, value long, node long, n long"), 20)
+    met, most = {0: set(), 1: set()}, 0
+    for shard in dealt.groupBy("band", "i", "j").agg(F.collect_list("node").alias("nodes")).collect():
+        met[shard["band"]] |= {(a, b) for a in shard["nodes"] for b in shard["nodes"] if a < b}
+        most = max(most, len(shard["nodes"]))
+    assert len(met[0]) == 130 * 129 // 2 and len(met[1]) == 3 and most < 80
+
+
+def test_crowded_shards_lose_no_chain(spark):
+    """Each text is near the one before it only, so most links are between nodes that lead no part of a shard."""
+    r = random.Random(8)
+    rows = []
+    for g in range(5):
+        words = [f"w{r.randrange(10**6)}" for _ in range(300)]
+        for k in range(20):
+            words[12 * k : 12 * k + 12] = [f"e{r.random()}" for _ in range(12)]
+            rows.append((20 * g + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    try:
+        simhash.wide_links.__defaults__ = (simhash.LIMIT, 2)
+        assert {x["doc_id"]: x["component_id"] for x in simhash.wide_classes(docs).collect()} == {k: k // 20 * 20 for k in range(100)}
+    finally:
+        simhash.wide_links.__defaults__ = (simhash.LIMIT, simhash.CROWD)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
