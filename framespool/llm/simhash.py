@@ -8,9 +8,11 @@ nodes agree in one of radius + 1 blocks of the bits that are left, until a shard
 it can't be large. Shards are dealt out by shuffle, not broadcast: no tree of all documents would have a size bound.
 A shard reports a spanning forest of its links, not all pairs, so classes are exact and lose no link.
 
-`wide_groups` is the form for longer fingerprints (WORDS x 64 bits, shingles of five words) and looser radii, where
-blocks can't be complete: nodes meet that agree in one of BANDS bands of BAND_BITS bits, in a crowd in pairs of blocks.
-Bands get wider and more as nodes do, so that few unrelated nodes meet and as many near copies as before.
+`wide_classes` is the form for near copies by similarity: nodes are sets of five-word shingles, and those that agree in a
+band of bits of longer fingerprints (WORDS x 64 bits) and differ in LIMIT bits at most are candidates. A candidate pair
+becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more, counted exactly. Bands are so many that a pair
+of that similarity misses all of them with probability e^-MISS; with more nodes they get wider, so that few unrelated ones
+meet, and more. Bands are taken in rounds, and a round skips pairs that earlier links have joined.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
 fingerprint. A null doc_id gets its component, but never names one unless all of it are null. An empty table gives an
@@ -27,13 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_batch, arrow_schema, discard, stored, table
+from .common import LOWER, UPPER, arrow_batch, arrow_schema, checkpointed, discard, stored, table
 from .components import components
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
-#: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and a standard error.
-WORDS, WIDE_SHINGLE, BAND_BITS, BANDS, LIMIT = 8, 5, 24, 123, 85
+#: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
+#: deviation (8). FIRST: bands of the first round, ROUND: of the others.
+WORDS, WIDE_SHINGLE, BAND_BITS, LIMIT, LEAST, MISS, FIRST, ROUND = 8, 5, 24, 120, (4, 5), 6, 16, 62
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -74,20 +77,35 @@ def wide_print(hashes: np.ndarray, words: int = WORDS) -> bytes:
     return np.array(out, np.uint64).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and print: the fingerprint's bytes, lowest first."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print binary"
-    out_schema = arrow_schema(schema)
+    return _printed(docs, schema, lambda doc_id, text: (doc_id, majority(shingle_hashes(text, shingle)).to_bytes(8, "little")))
+
+
+def wide_prints(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> DataFrame:
+    """doc_id, print, node (a number for the set of shingles) and text."""
+
+    def one(doc_id, text: bytes) -> tuple:
+        hashes = np.unique(shingle_hashes(text, shingle))
+        return doc_id, wide_print(hashes), _number(hashes), text
 
-    def one(text: bytes | None) -> bytes:
-        hashes = shingle_hashes(text or b"", shingle)
-        return wide_print(hashes) if wide else majority(hashes).to_bytes(8, "little")
+    return _printed(docs, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print binary, node bigint, text binary", one)
+
+
+def _number(values: np.ndarray) -> int:
+    """A signed 64-bit hash of an array."""
+    return _signed(xxhash.xxh64_intdigest(values.tobytes(), SEED))
+
+
+def _printed(docs: DataFrame, schema: str, one) -> DataFrame:
+    out_schema = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 rows = batch.slice(k, 256).to_pylist()
-                yield arrow_batch([(row["doc_id"], one(row["text"])) for row in rows], out_schema)
+                yield arrow_batch([one(row["doc_id"], row["text"] or b"") for row in rows], out_schema)
 
     return docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, schema)
 
@@ -216,11 +234,14 @@ def classes(prints: DataFrame, node: Column, radius: int, links) -> DataFrame:
     """doc_id, print, component_id (least doc_id) of every row of prints; links(nodes) gives the links of (node, print)."""
     prints = stored(prints.withColumn("node", node))
     nodes = stored(prints.groupBy("node", "print").agg(F.min("doc_id").alias("first")))
-    parts = components(links(nodes.select("node", "print")))
+    return prints.join(named(nodes, components(links(nodes.select("node", "print")))), "node").select("doc_id", "print", "component_id")
+
+
+def named(nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(node, component_id) of nodes (node, first, ...): the least first of its component in parts."""
     whole = nodes.join(parts, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(whole.join(least, "component").select("node", "component_id"))
-    return prints.join(named, "node").select("doc_id", "print", "component_id")
+    return stored(whole.join(least, "component").select("node", "component_id"))
 
 
 def near_classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -238,15 +259,15 @@ def _hex() -> Column:
 
 def band_shape(n: int) -> tuple[int, int]:
     """(bits, bands) for n nodes: bands so wide that unrelated nodes seldom meet (four bits more than number n), and so
-    many that a pair of similarity 0.8, whose bits agree with probability 0.849, still meets with the same probability."""
+    many that a pair of similarity 0.8, whose bits agree with probability 0.849, misses all with probability e^-MISS."""
     bits = max(BAND_BITS, (max(n, 1) - 1).bit_length() + 4)
-    return bits, int(np.ceil(BANDS * 0.849 ** (BAND_BITS - bits)))
+    return bits, int(np.ceil(MISS * 0.849**-bits))
 
 
-def band_rows(nodes: DataFrame, bits: int, bands: int) -> DataFrame:
-    """(band, value, node): the value of each band, a fixed choice of bits, of every node's wide fingerprint."""
-    rng = np.random.default_rng(SEED)
-    chosen = np.stack([rng.choice(64 * WORDS, bits, replace=False) for _ in range(bands)])
+def band_rows(nodes: DataFrame, bits: int, bands: range) -> DataFrame:
+    """(band, value, node, component): the value of each band of every node's wide fingerprint. A band is the first bits of
+    a fixed order of all of them."""
+    chosen = {band: np.random.default_rng((SEED, band)).permutation(64 * WORDS)[:bits] for band in bands}
     weights = (1 << np.arange(bits, dtype=np.int64)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,25 +275,150 @@ def band_rows(nodes: DataFrame, bits: int, bands: int) -> DataFrame:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
                 raw = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                bit = np.unpackbits(raw, axis=1, bitorder="little")
-                for band in range(bands):
-                    value = bit[:, chosen[band]].astype(np.int64) @ weights
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, band, np.int32)), pa.array(value), part.column("node")], names=["band", "value", "node"])
+                bit = np.unpackbits(raw, axis=1, bitorder="little").astype(np.int64)
+                for band, places in chosen.items():
+                    value = bit[:, places] @ weights
+                    columns = [pa.array(np.full(part.num_rows, band, np.int32)), pa.array(value), part.column("node"), part.column("component")]
+                    yield pa.RecordBatch.from_arrays(columns, names=["band", "value", "node", "component"])
+
+    return nodes.select("node", "component", "print").mapInArrow(run, "band int, value bigint, node bigint, component bigint")
+
+
+def wide_links(nodes: DataFrame, texts: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
+    """(node, component) of the nodes that have links. nodes: (node, print); texts: (node, text), one row a node.
+
+    The first round compares only the nodes of a block where a shard has more than `crowd`, which joins most of a large
+    group at little cost. The rounds after it take all bands and compare every two nodes of a shard that are still in
+    different components, in pairs of blocks."""
+    bits, bands = band_shape(nodes.count())
+    rounds = -(-bands // ROUND)
+    cuts = [bands * k // rounds for k in range(rounds + 1)]
+    done = None
+    for number, part in enumerate([range(min(FIRST, bands)), *map(range, cuts, cuts[1:])]):
+        at = nodes.withColumn("component", F.col("node"))
+        if done is not None:
+            at = stored(nodes.join(done, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        rows = band_rows(at, bits, part)
+        sizes = rows.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        sizes = stored(sizes.filter("lo <> hi").select("band", "value", "n"))
+        rows = stored(rows.join(sizes, ["band", "value"]))
+        shards = block_pairs(rows, crowd)
+        groups = candidates((shards if number else shards.filter("i = j")).join(nodes.select("node", "print"), "node"), limit)
+        groups = stored(groups.dropDuplicates(["group", "node"]))
+        links = stored(verified(groups.join(texts, "node"), limit).distinct())
+        if done is None or links.limit(1).count():
+            edges = links if done is None else links.unionByName(done.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            done = checkpointed(components(edges))
+        discard(sizes, rows, groups, links)
+    return done
+
+
+def _joined(size: int):
+    """root(k) and join(j, k) of a forest over range(size)."""
+    top = list(range(size))
+
+    def root(k: int) -> int:
+        while top[k] != k:
+            top[k] = top[top[k]]
+            k = top[k]
+        return k
+
+    def join(j: int, k: int) -> None:
+        top[root(k)] = root(j)
+
+    return root, join
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
+    """The rows of each key, of sorted batches."""
+    held, at = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = [row[c] for c in keys]
+            if key != at and held:
+                yield held
+                held = []
+            at = key
+            held.append(row)
+    if held:
+        yield held
+
+
+def _words(held: list[dict]) -> np.ndarray:
+    return np.frombuffer(b"".join(row["print"] for row in held), np.uint64).reshape(len(held), -1)
+
+
+def _collected(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for row in rows:
+        out.append(row)
+        if len(out) >= 10_000:
+            yield arrow_batch(out, schema)
+            out = []
+    if out:
+        yield arrow_batch(out, schema)
+
+
+def candidates(shards: DataFrame, limit: int) -> DataFrame:
+    """(group, node, component, print): the nodes of a shard that pairs of different components at `limit` bits or less
+    hold together. Equal groups of different shards have equal numbers."""
+    keys = ["band", "value", "i", "j"]
+    schema = "group bigint, node bigint, component bigint, print binary"
+    out_schema = arrow_schema(schema)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for held in _runs(batches, keys):
+            if len(held) == 1:
+                continue
+            held.sort(key=lambda row: row["node"])
+            words, component = _words(held), np.array([row["component"] for row in held])
+            root, join = _joined(len(held))
+            for k in range(len(held) - 1):
+                near = (np.bitwise_count(words[k] ^ words[k + 1 :]).sum(axis=1) <= limit) & (component[k + 1 :] != component[k])
+                for j in np.flatnonzero(near).tolist():
+                    join(k, k + 1 + j)
+            groups: dict[int, list[dict]] = {}
+            for k, row in enumerate(held):
+                groups.setdefault(root(k), []).append(row)
+            for rows in groups.values():
+                if len(rows) > 1:
+                    number = _number(np.array([row["node"] for row in rows], np.int64))
+                    for row in rows:
+                        yield number, row["node"], row["component"], row["print"]
+
+    return shards.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: _collected(found(batches), out_schema), schema)
+
+
+def verified(groups: DataFrame, limit: int) -> DataFrame:
+    """(a, b): links that join what all pairs of a group at `limit` bits or less and similarity LEAST or more join, besides
+    those inside a component. groups: candidates with text."""
+    schema = "a bigint, b bigint"
+    out_schema = arrow_schema(schema)
 
-    return nodes.select("node", "print").mapInArrow(run, "band int, value bigint, node bigint")
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for held in _runs(batches, ["group"]):
+            words, sets = _words(held), [np.unique(shingle_hashes(row.pop("text"), WIDE_SHINGLE)) for row in held]
+            root, join = _joined(len(held))
+            first: dict[int, int] = {}
+            for k, row in enumerate(held):
+                join(first.setdefault(row["component"], k), k)
+            for k in range(len(held) - 1):
+                near = np.bitwise_count(words[k] ^ words[k + 1 :]).sum(axis=1) <= limit
+                for j in (np.flatnonzero(near) + k + 1).tolist():
+                    if root(j) != root(k) and similar(sets[k], sets[j]):
+                        join(k, j)
+                        yield held[k]["node"], held[j]["node"]
 
+    return groups.repartition("group").sortWithinPartitions("group").mapInArrow(lambda batches: _collected(found(batches), out_schema), schema)
 
-def wide_links(nodes: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
-    """(a, b) between nodes whose wide fingerprints agree in a band and differ in `limit` bits at most.
 
-    Fingerprints join only the rows of shards with two nodes or more. A shard with more than `crowd` nodes is dealt out as
-    pairs of blocks, so every two of its nodes are compared, whatever its size."""
-    prints = nodes.select("node", "print")
-    rows = band_rows(prints, *band_shape(prints.count()))
-    sizes = stored(rows.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-    rows = stored(rows.join(sizes, ["band", "value"]))
-    discard(sizes)
-    return _trees(block_pairs(rows, crowd).join(prints, "node"), limit)
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have Jaccard similarity LEAST or more."""
+    over, under = LEAST
+    if min(len(a), len(b)) * under < max(len(a), len(b)) * over:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * under >= (len(a) + len(b) - both) * over
 
 
 def block_pairs(rows: DataFrame, crowd: int) -> DataFrame:
@@ -286,9 +432,15 @@ def block_pairs(rows: DataFrame, crowd: int) -> DataFrame:
 
 
 def wide_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id by wide fingerprints: near copies of similarity 0.8 or more, as SimHash estimates it."""
-    out = classes(fingerprints(docs, WIDE_SHINGLE, wide=True), F.xxhash64("print"), LIMIT, wide_links)
-    return out.select("doc_id", "component_id")
+    """doc_id, component_id: single linkage of near copies, five-word shingles of Jaccard similarity 0.8 or more."""
+    prints = stored(wide_prints(docs).withColumn("row", F.monotonically_increasing_id()))
+    nodes = stored(prints.groupBy("node", "print").agg(F.min("doc_id").alias("first"), F.min("row").alias("row")))
+    texts = stored(prints.join(nodes.select("row"), "row", "left_semi").select("node", "text"))
+    rows = stored(prints.select("doc_id", "node"))
+    discard(prints)
+    parts = wide_links(nodes.select("node", "print"), texts)
+    discard(texts)
+    return rows.join(named(nodes, parts), "node").select("doc_id", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

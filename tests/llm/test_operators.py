@@ -234,6 +234,22 @@ def test_crowded_shards_lose_no_chain(spark):
         simhash.wide_links.__defaults__ = (simhash.LIMIT, simhash.CROWD)
 
 
+def test_wide_classes_are_those_of_exact_similarity(spark):
+    r = random.Random(9)
+    rows, links = [], []
+    for g in range(150):
+        words = [f"w{r.randrange(10**6)}" for _ in range(r.choice([60, 300]))]
+        copy, n = list(words), len(words) * r.randint(1, 12) // 100
+        copy[:n] = [f"e{r.random()}" for _ in range(n)]
+        copy[len(words) // 2] = "x"
+        a, b = ({" ".join(t[k : k + 5]) for k in range(len(t) - 4)} for t in (words, copy))
+        links.append(len(a & b) / len(a | b) >= 0.8)
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+    assert 40 < sum(links) < 110
+    got = {x["doc_id"]: x["component_id"] for x in simhash.wide_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[2 * g + 1] == 2 * g for g in range(150)] == links and all(got[2 * g] == 2 * g for g in range(150))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
