@@ -1,18 +1,19 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Both sides are normalised: lower case, runs of anything but letters and digits as one space, offsets kept. Each item is
-cut into overlapping pieces of WINDOW characters. A piece of m characters that occurs in a document with at most e
-edits shares at least m - q + 1 - q * e of its q-grams with it, on diagonals no further than e apart. So shared q-grams
-are counted per piece and band of diagonals (bands of 2e overlap by half, so any e neighbouring diagonals lie in one
-band), bands that reach the bound are kept, and a banded alignment decides: a leak is a region at `edits` edits or
-fewer from a piece. Regions of one item that touch are reported as one.
+Both sides are normalised: lower case, runs of anything but letters and digits as one space, offsets kept. A piece is any
+WINDOW characters in a row of an item, wherever they start. A piece of m characters that occurs in a document with at
+most e edits shares at least m - q + 1 - q * e of its q-grams with it, on diagonals no further than e apart. So the
+shared q-grams of an item, each indexed once, are sorted by band of diagonals (bands of 2e overlap by half, so any e
+neighbouring diagonals lie in one band) and place in the item; where as many as the bound lie within a piece's length,
+all pieces that hold them are aligned in the band: a leak is a region at `edits` edits or fewer from a piece. Regions of
+one item that touch are reported as one.
 
 The items are a stated set of queries against all documents. They go to the tasks in blocks of at most BLOCK_CHARS
 characters, one pass over the documents a block, so what is broadcast is bounded however large the benchmark is.
 
 Cases: null and empty texts have no leaks, null and empty items match nothing; items shorter than WINDOW are one piece
-with edits in proportion, items of fewer than `shortest` normalised characters are left out as too short to tell a
-leak by. Repeated rows on either side are reported one by one. Null ids stay null. Empty tables give an empty result.
+with edits in proportion, items of fewer than `shortest` normalised characters must occur whole, between gaps and without
+edits. Repeated rows on either side are reported one by one. Null ids stay null. Empty tables give an empty result.
 Other columns are ignored.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batch, arrow_schema, table
 
-Q, WINDOW, STRIDE, EDITS, SHORTEST = 10, 72, 36, 4, 30
+Q, WINDOW, EDITS, SHORTEST = 10, 72, 4, 30
 BLOCK_CHARS = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 24
@@ -78,9 +79,9 @@ def grams(chars: np.ndarray, q: int = Q) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Pieces of a block of items and the places of their q-grams, sorted by hash."""
+    """A block of items and the places of their q-grams, sorted by hash."""
 
-    pieces: list[tuple[int, int, np.ndarray]]  # item's number, start in the item, characters
+    pieces: list[tuple[int, int, np.ndarray]]  # item's number, 0, characters
     ids: list
     hashes: np.ndarray
     piece: np.ndarray
@@ -88,23 +89,27 @@ class Index:
     seen: np.ndarray
     need: np.ndarray
     edits: np.ndarray
+    length: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by length: hashes of whole items, sorted, and the items' numbers
 
 
-def index(items: list[tuple], q: int = Q, window: int = WINDOW, stride: int = STRIDE, edits: int = EDITS, shortest: int = SHORTEST) -> Index:
-    pieces, need, allowed = [], [], []
+def index(items: list[tuple], q: int = Q, window: int = WINDOW, edits: int = EDITS, shortest: int = SHORTEST) -> Index:
+    pieces, need, allowed, whole = [], [], [], {}
     for number, (_, text) in enumerate(items):
         chars, _ = normalised(text)
         if len(chars) and chars[-1] == 32:
             chars = chars[:-1]
+        if len(chars) and chars[0] == 32:
+            chars = chars[1:]
         if len(chars) < shortest:
+            if len(chars):
+                whole.setdefault(len(chars), []).append((grams(chars, len(chars))[0], number))
             continue
-        last = max(0, len(chars) - window)
-        for start in sorted({*range(0, last, stride), last}):
-            part = chars[start : start + window]
-            e = edits * len(part) // window
-            pieces.append((number, start, part))
-            allowed.append(e)
-            need.append(max(1, len(part) - q + 1 - q * e))
+        size = min(len(chars), window)
+        e = edits * size // window
+        pieces.append((number, 0, chars))
+        allowed.append(e)
+        need.append(max(1, size - q + 1 - q * e))
     hashes = [grams(p[2], q) for p in pieces]
     sizes = [len(h) for h in hashes]
     flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
@@ -113,84 +118,123 @@ def index(items: list[tuple], q: int = Q, window: int = WINDOW, stride: int = ST
     bit = (flat >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     np.bitwise_or.at(seen, bit >> 3, np.left_shift(1, bit & 7).astype(np.uint8))
     at = np.concatenate([np.arange(s) for s in sizes]) if sizes else np.empty(0, np.int64)
-    return Index(pieces, [i for i, _ in items], flat[order], np.repeat(np.arange(len(sizes)), sizes)[order], at[order], seen, np.array(need, np.int64), np.array(allowed, np.int64))
+    short = {size: (np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found])) for size, found in ((k, sorted(v)) for k, v in whole.items())}
+    return Index(
+        pieces, [i for i, _ in items], flat[order], np.repeat(np.arange(len(sizes)), sizes)[order], at[order], seen,
+        np.array(need, np.int64), np.array(allowed, np.int64), np.array([len(p[2]) for p in pieces], np.int64), short,
+    )
 
 
-def candidates(known: Index, hashes: np.ndarray) -> list[tuple[int, int]]:
-    """(piece, first diagonal of the band) of the bands that share enough q-grams with the text."""
+def hits(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index in hashes, index in the sorted known) of all equal pairs."""
+    lo = np.searchsorted(known, hashes, "left")
+    n = np.searchsorted(known, hashes, "right") - lo
+    return np.repeat(np.arange(len(hashes)), n), np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+_FAR = 1 << 36  # makes diagonals positive
+
+
+def candidates(known: Index, hashes: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(item's index, first diagonal of the band, least and greatest start of a piece) where pieces share enough q-grams
+    with the text."""
     bit = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     places = np.flatnonzero(known.seen[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
     if not len(places) or not len(known.hashes):
         return []
-    lo = np.searchsorted(known.hashes, hashes[places], "left")
-    n = np.searchsorted(known.hashes, hashes[places], "right") - lo
-    places, lo, n = places[n > 0], lo[n > 0], n[n > 0]
-    if not len(places):
+    k, hit = hits(known.hashes, hashes[places])
+    if not len(hit):
         return []
-    hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-    piece, diagonal = known.piece[hit], np.repeat(places, n) - known.at[hit] + WINDOW
-    width = np.maximum(known.edits[piece], 1)
-    band = diagonal // width
+    piece, at = known.piece[hit], known.at[hit]
+    band = (places[k] - at + _FAR) // np.maximum(known.edits[piece], 1)
     # a hit lies in its own band of 2e diagonals and in the one that starts e earlier
-    key = np.concatenate([piece * (1 << 40) + band, piece * (1 << 40) + band - 1])
-    # several hits of one q-gram of a piece in a band would count too often only upwards: a candidate more, none less
-    key, counts = np.unique(key, return_counts=True)
+    key, at = np.concatenate([piece * (1 << 40) + band, piece * (1 << 40) + band - 1]), np.tile(at, 2)
+    order = np.lexsort((at, key))
+    key, at = key[order], at[order]
+    fresh = np.append(True, (key[1:] != key[:-1]) | (at[1:] != at[:-1]))  # one q-gram of an item counts once in a band
+    key, at = key[fresh], at[fresh]
     piece = key >> 40
-    keep = counts >= known.need[piece]
-    return [(int(p), int(k - (p << 40)) * int(max(known.edits[p], 1)) - WINDOW) for k, p in zip(key[keep], piece[keep])]
-
-
-def align(piece: np.ndarray, text: np.ndarray, first: int, width: int, most: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best match of the whole piece in the text along diagonals first .. first + width,
-    None over `most` edits. One column a diagonal; the text may start and end anywhere in the band."""
-    columns, size = width + 1, len(piece)
-    lo, hi = max(first, 0), min(first + width, len(text) - size)
-    if lo <= hi:  # on a single diagonal: no edit or one is the best that there is
-        differ = (np.lib.stride_tricks.sliding_window_view(text[lo : hi + size], size) != piece).sum(axis=1)
-        best = int(differ.argmin())
-        if differ[best] <= min(1, most):
-            return int(differ[best]), lo + best, lo + best + size
-    far = most + 1
-    cost = np.zeros(columns, np.int64)
-    start = first + np.arange(columns)
-    outside = (start < 0) | (start > len(text))
-    cost[outside] = np.where(start[outside] < 0, -start[outside], far)
-    cost = np.minimum(cost, far)
-    begin = np.maximum(start, 0)
-    for k, c in enumerate(piece):
-        place = first + k + np.arange(columns)
-        inside = (place >= 0) & (place < len(text))
-        differ = np.ones(columns, np.int64)
-        differ[inside] = text[place[inside]] != c
+    span = np.minimum(known.length[piece], WINDOW) - Q
+    last = np.arange(len(key)) + known.need[piece] - 1
+    inside = np.minimum(last, len(key) - 1)
+    keep = (last < len(key)) & (key[inside] == key) & (at[inside] - at <= span)
+    if not keep.any():
+        return []
+    key, piece, span, least, most = key[keep], piece[keep], span[keep], at[inside][keep], at[keep]
+    least, most = np.maximum(least - span, 0), np.minimum(most, known.length[piece] - span - Q)
+    first = np.append(True, (key[1:] != key[:-1]) | (least[1:] > most[:-1] + 1))
+    ends = np.append(np.flatnonzero(first)[1:], len(key)) - 1
+    width = np.maximum(known.edits[piece], 1)
+    diagonal = (key - (piece << 40)) * width - _FAR
+    return [(int(p), int(d), int(a), int(b)) for p, d, a, b in zip(piece[first], diagonal[first], least[first], most[ends])]
+
+
+def align(item: np.ndarray, text: np.ndarray, starts: np.ndarray, size: int, first: int, width: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edits, start and end in the text of the best match of the pieces of `size` characters from each start of the item
+    along diagonals first .. first + width; edits over `most` are no match. The text may start and end anywhere in the band."""
+    columns, n = width + 1, len(text)
+    lo, hi = int(starts[0]), int(starts[-1]) + size
+    best, at = np.full(len(starts), size + 1), np.zeros(len(starts), np.int64)
+    for d in range(first, first + columns):  # on a single diagonal: no edit or one is the best that there is
+        place = np.arange(lo, hi) + d
+        differ = (place < 0) | (place >= n)
+        differ[~differ] = text[place[~differ]] != item[lo:hi][~differ]
+        total = np.append(0, np.cumsum(differ))
+        count = total[starts - lo + size] - total[starts - lo]
+        whole = (starts + d >= 0) & (starts + d + size <= n)
+        better = whole & (count < best)
+        best[better], at[better] = count[better], starts[better] + d
+    edits, begins, ends = best, at, at + size
+    slow = np.flatnonzero(best > 1)
+    for k in range(0, len(slow) if most else 0, 2048):
+        some = slow[k : k + 2048]
+        edits[some], begins[some], ends[some] = _banded(item, text, starts[some], size, first, columns, most)
+    return edits, begins, ends
+
+
+def _banded(item: np.ndarray, text: np.ndarray, starts: np.ndarray, size: int, first: int, columns: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row a piece, one column a diagonal."""
+    n, far = len(text), most + 1
+    base = (starts + first)[:, None] + np.arange(columns)
+    cost = np.minimum(np.where(base < 0, -base, np.where(base > n, far, 0)), far)
+    begin = np.maximum(base, 0)
+    edge = np.full((len(starts), 1), far)
+    for k in range(size):
+        place = base + k
+        inside = (place >= 0) & (place < n)
+        differ = text[np.clip(place, 0, n - 1)] != item[starts + k][:, None]
         match = np.where(inside, cost + differ, far)
-        drop = np.append(cost[1:] + 1, far)  # the piece's character is missing in the text
+        drop = np.hstack([cost[:, 1:] + 1, edge])  # the piece's character is missing in the text
         take = drop < match
         new = np.where(take, drop, match)
-        origin = np.where(take, np.append(begin[1:], 0), begin)
+        origin = np.where(take, np.hstack([begin[:, 1:], 0 * edge]), begin)
         for j in range(1, columns):  # a character of the text too many
-            if new[j - 1] + 1 < new[j] and inside[j]:
-                new[j], origin[j] = new[j - 1] + 1, origin[j - 1]
+            more = (new[:, j - 1] + 1 < new[:, j]) & inside[:, j]
+            new[:, j] = np.where(more, new[:, j - 1] + 1, new[:, j])
+            origin[:, j] = np.where(more, origin[:, j - 1], origin[:, j])
         cost, begin = np.minimum(new, far), origin
         if cost.min() > most:
-            return None
-    j = int(cost.argmin())
-    end = min(first + len(piece) + j, len(text))
-    return int(cost[j]), int(begin[j]), end
+            break
+    j, rows = cost.argmin(axis=1), np.arange(len(starts))
+    return cost[rows, j], begin[rows, j], np.minimum(starts + first + size + j, n)
 
 
 def find_leaks(known: Index, text: str | None) -> list[tuple[int, int, int, int]]:
     """(item's number, start, end, edits): regions of the text, in code points, that match pieces of items."""
     chars, places = normalised(text)
-    if len(chars) < Q:
-        return []
     spans: dict[int, list[tuple[int, int, int]]] = {}
-    done: dict[int, list[int]] = {}
-    for piece, first in candidates(known, grams(chars)):
-        number, _, part = known.pieces[piece]
+    for size, (hashes, numbers) in known.short.items():
+        at = grams(chars, size)
+        for k, n in zip(*hits(hashes, at)):
+            if (k == 0 or chars[k - 1] == 32) and (k + size == len(chars) or chars[k + size] == 32):
+                spans.setdefault(int(numbers[n]), []).append((int(places[k]), int(places[k + size - 1]) + 1, 0))
+    for piece, first, least, most in candidates(known, grams(chars)) if len(chars) >= Q else ():
+        number, _, item = known.pieces[piece]
         e = int(known.edits[piece])
-        found = align(part, chars, first, 2 * max(e, 1), e)
-        if found and found[2] > found[1]:
-            spans.setdefault(number, []).append((int(places[found[1]]), int(places[found[2] - 1]) + 1, found[0]))
+        edits, begins, ends = align(item, chars, np.arange(least, most + 1), min(len(item), WINDOW), first, 2 * max(e, 1), e)
+        good = (edits <= e) & (ends > begins)
+        if good.any():
+            spans.setdefault(number, []).extend(zip(places[begins[good]].tolist(), (places[ends[good] - 1] + 1).tolist(), edits[good].tolist()))
     out = []
     for number, regions in spans.items():
         regions.sort()

@@ -325,6 +325,24 @@ def test_q_gram_filter_loses_no_window():
         assert leaks.find_leaks(known, word(r.randint(0, 40)) + "".join(piece) + word(20)) != []
 
 
+def test_quotes_are_found_wherever_they_start():
+    r = random.Random(12)
+    word = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    item = word(300)
+    known = leaks.index([(0, item), (1, "Short one!"), (2, "abc"), (3, " ")])
+    for size in (leaks.WINDOW, 90):
+        for start in range(0, 300 - size):
+            quote = list(item[start : start + size])
+            for _ in range(start % (leaks.EDITS + 1)):
+                k = r.randrange(len(quote))
+                quote[k : k + 1] = r.choice([["z"], [], [quote[k], "z"]])
+            before = word(20)
+            found = leaks.find_leaks(known, before + "".join(quote) + word(20))
+            assert len(found) == 1 and found[0][0] == 0 and abs(found[0][1] - 20) <= 9, (size, start)
+    assert leaks.find_leaks(known, "a short, one. xabc") == [(1, 2, 12, 0)] and leaks.find_leaks(known, "ABC") == [(2, 0, 3, 0)]
+    assert leaks.find_leaks(known, None) == leaks.find_leaks(known, item[: leaks.WINDOW - 20] + word(60)) == []
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------
 
 
