@@ -3,7 +3,8 @@
 judge_pages() gives each page the verdict of the longest rule that fits its url. Where no rule fits, the page's
 host decides: personalised PageRank from the hosts whose pages the rules allow (trust) against PageRank over the
 reversed edges from the hosts whose pages they block (distrust; who links to bad hosts is suspect).
-A host is blocked if its distrust exceeds `ratio` times its trust, else allowed.
+A host is blocked if its distrust exceeds `ratio` times its trust, else allowed; scores are rounded only where shown. The
+SQL walks ROUNDS rounds and judges rounded scores, so it has the same rows for tables without links between hosts.
 
 Cases: null or scheme-less urls have an empty host and path, get no rule and no links, and are allowed. Null html has
 no links. Repeated rows are judged one by one; a link counts once per pair of hosts. An empty table gives an empty
@@ -19,7 +20,7 @@ from .common import LOWER, UPPER, checkpointed, table
 
 #: (rule, verdict); a rule is host/path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-ROUNDS, DAMPING, RATIO = 8, 0.85, 1.0
+ROUNDS, DAMPING, RATIO, TOLERANCE = 8, 0.85, 1.0, 1e-9
 LINK = r"(?i)\b(?:href|src)\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s<>]+)"
 
 
@@ -42,24 +43,31 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def rank(edges: DataFrame, seeds: DataFrame, rounds: int, damping: float) -> DataFrame:
+def rank(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """Personalised PageRank. edges: (src, dst) distinct; seeds: (host, weight) that sum to 1. Returns (host, score).
 
-    Mass that reaches a host without out-links is not handed out again. Scores sum partial results by destination
-    before the shuffle, and each round is checkpointed, so a lost executor costs one round at most."""
+    Mass that reaches a host without out-links is not handed out again. A round moves what the last one added, and rounds
+    end when that is under the tolerance in sum and reaches no new host. Scores sum partial results by destination before
+    the shuffle, and each round is checkpointed, so a lost executor costs one round at most."""
     degree = edges.groupBy("src").agg(F.count("*").alias("links"))
     edges = checkpointed(edges.join(degree, "src"))
-    score = seeds.select("host", F.col("weight").alias("score"))
-    for _ in range(rounds):
-        moved = edges.join(score, edges["src"] == score["host"]).select(
+    score = added = checkpointed(seeds.select("host", ((1 - damping) * F.col("weight")).alias("score")))
+    hosts = score.count()
+    while True:
+        moved = edges.join(added, edges["src"] == added["host"]).select(
             F.col("dst").alias("host"), (damping * F.col("score") / F.col("links")).alias("score")
         )
-        back = seeds.select("host", ((1 - damping) * F.col("weight")).alias("score"))
-        score = checkpointed(moved.unionByName(back).groupBy("host").agg(F.sum("score").alias("score")))
-    return score
+        added = checkpointed(moved.groupBy("host").agg(F.sum("score").alias("score")))
+        mass = added.agg(F.sum("score")).first()[0]
+        if not mass:
+            return score
+        score = checkpointed(score.unionByName(added).groupBy("host").agg(F.sum("score").alias("score")))
+        before, hosts = hosts, score.count()
+        if mass < tolerance and hosts == before:
+            return score
 
 
-def host_scores(pages: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, rules=RULES) -> DataFrame:
+def host_scores(pages: DataFrame, damping: float = DAMPING, rules=RULES, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) of every host that the seeds reach. pages: host, path, html."""
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     seen = pages.filter("host <> ''").select("host", verdict.alias("says")).groupBy("host").agg(
@@ -76,21 +84,21 @@ def host_scores(pages: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING
     for name, way, kind in (("trust", edges, "good"), ("distrust", edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), "bad")):
         total = seen.agg(F.sum(kind)).first()[0] or 1
         seeds = seen.filter(F.col(kind) > 0).select("host", (F.col(kind) / F.lit(float(total))).alias("weight"))
-        score = rank(way, seeds, rounds, damping).withColumnRenamed("score", name)
+        score = rank(way, seeds, damping, tolerance).withColumnRenamed("score", name)
         out = score if out is None else out.join(score, "host", "full")
     return out.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
 
-def judge_pages(pages: DataFrame, rules=RULES, rounds: int = ROUNDS, damping: float = DAMPING, ratio: float = RATIO) -> DataFrame:
+def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, ratio: float = RATIO, tolerance: float = TOLERANCE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every row of pages."""
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", "html", host.alias("host"), path.alias("path"))
-    scores = host_scores(pages, rounds, damping, rules)
+    scores = host_scores(pages, damping, rules, tolerance)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
+    trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     own = F.when(distrust > ratio * trust, "block").otherwise("allow")
     return pages.drop("html").join(scores, "host", "left").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), F.round(trust, 9).alias("trust"), F.round(distrust, 9).alias("distrust")
     )
 
 

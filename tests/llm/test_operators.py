@@ -57,6 +57,16 @@ def test_url_rules_and_ranks(spark):
     assert url_trust.judge_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_url_scores_of_many_seeds_and_long_chains(spark):
+    """A million blocked pages make every other host's distrust tiny; a chain is longer than eight links."""
+    rows = [(1, "http://one.net/", None)] + [(2 + k, f"http://h{k}.info/", '<a href="http://one.net/">') for k in range(400)]
+    rows += [(500 + k, f"http://c{k}.info/", f'<a href="http://c{k + 1}.info/">') for k in range(12)] + [(512, "http://c12.info/", '<a href="http://h0.info/"><a href="http://c3.info/">'), (600, "http://free.info/", "")]
+    schema = "page_id long, url string, html string"
+    many = spark.range(1000, 1_001_000).select(F.col("id").alias("page_id"), F.lit("http://big.net/").alias("url"), F.lit(None).cast("string").alias("html"))
+    got = url_trust.judge_pages(spark.createDataFrame(rows, schema).unionByName(many)).filter("page_id < 1000").collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {k: "allow" if k == 600 else "block" for k, _, _ in rows}
+
+
 # --- personal data -----------------------------------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
