@@ -75,7 +75,8 @@ def unknown_values(df: DataFrame, family: str, value: str, vocabulary: DataFrame
 
 def duplicates(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """Keys with several rows, and the sorted distinct values that they come from."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set(F.col(what).cast("string"))), ",").alias("sources")).filter("n > 1")
+    counts = df.groupBy(*keys, F.col(what).cast("string").alias("_what")).agg(F.count("*").alias("_n"))
+    return counts.groupBy(*keys).agg(F.sum("_n").alias("n"), F.array_join(F.sort_array(F.collect_list("_what")), ",").alias("sources")).filter("n > 1")
 
 
 def refuse_duplicates(df: DataFrame, keys: list[str], what: str) -> DataFrame:

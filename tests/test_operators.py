@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from framespool.plans import bindings
 from framespool.functions import normalize, pose
 from framespool.functions.catalog import TOPICS
 from framespool.operators import align, curate, integrity, segment, sync_stats
@@ -195,3 +196,10 @@ def test_stream_resumes(spark, tmp_path):
         live.run_once(live.monitored(live.ingest(spark, source, first.schema), "clip", "t", "frame", 10), sink, marks)
     got = {r["frame"]: (r["contiguous"], r["drops"]) for r in spark.read.parquet(sink).collect()}
     assert got == {0: (False, 0), 1: (True, 0), 2: (True, 0), 3: (True, 0), 4: (False, 2)}
+
+
+def test_duplicates_of_all_events_are_reported(spark, tmp_path):
+    rows = [(k, 1, "click", p) for k, p in ((1, "b"), (2, "a"), (3, "b"), (4, None))] + [(5, 2, "view", "a"), (20, 3, "view", "a"), (7, None, "view", "c"), (8, None, "view", "c")]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(x) for x in bindings.QUERIES["u4_all_duplicates"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "click", 4, "a,b"), (None, "view", 2, "c")}
