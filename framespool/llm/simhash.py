@@ -12,7 +12,7 @@ A shard reports a spanning forest of its links, not all pairs, so classes are ex
 band of bits of longer fingerprints (WORDS x 64 bits) and differ in LIMIT bits at most are candidates. A candidate pair
 becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more, counted exactly. Bands are so many that a pair
 of that similarity misses all of them with probability e^-MISS; with more nodes they get wider, so that few unrelated ones
-meet, and more. Bands are taken in rounds, and a round skips pairs that earlier links have joined.
+meet, and more. Bands are taken in rounds, and those after the first skip pairs that its links have joined.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
 fingerprint. A null doc_id gets its component, but never names one unless all of it are null. An empty table gives an
@@ -22,6 +22,7 @@ empty result. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
 #: deviation (8). FIRST: bands of the first round, ROUND: of the others.
-WORDS, WIDE_SHINGLE, BAND_BITS, LIMIT, LEAST, MISS, FIRST, ROUND = 8, 5, 24, 120, (4, 5), 6, 16, 62
+WORDS, WIDE_SHINGLE, BAND_BITS, LIMIT, LEAST, MISS, FIRST, ROUND = 8, 5, 24, 120, (4, 5), 6, 16, 103
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -293,11 +294,8 @@ def wide_links(nodes: DataFrame, texts: DataFrame, limit: int = LIMIT, crowd: in
     bits, bands = band_shape(nodes.count())
     rounds = -(-bands // ROUND)
     cuts = [bands * k // rounds for k in range(rounds + 1)]
-    done = None
+    at, out = nodes.withColumn("component", F.col("node")), []
     for number, part in enumerate([range(min(FIRST, bands)), *map(range, cuts, cuts[1:])]):
-        at = nodes.withColumn("component", F.col("node"))
-        if done is not None:
-            at = stored(nodes.join(done, "node", "left").withColumn("component", F.coalesce("component", "node")))
         rows = band_rows(at, bits, part)
         sizes = rows.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         sizes = stored(sizes.filter("lo <> hi").select("band", "value", "n"))
@@ -305,12 +303,13 @@ def wide_links(nodes: DataFrame, texts: DataFrame, limit: int = LIMIT, crowd: in
         shards = block_pairs(rows, crowd)
         groups = candidates((shards if number else shards.filter("i = j")).join(nodes.select("node", "print"), "node"), limit)
         groups = stored(groups.dropDuplicates(["group", "node"]))
-        links = stored(verified(groups.join(texts, "node"), limit).distinct())
-        if done is None or links.limit(1).count():
-            edges = links if done is None else links.unionByName(done.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            done = checkpointed(components(edges))
-        discard(sizes, rows, groups, links)
-    return done
+        out.append(stored(verified(groups.join(texts, "node"), limit).distinct()))
+        discard(sizes, rows, groups)
+        if not number:
+            first = checkpointed(components(out[0]))
+            at = stored(nodes.join(first, "node", "left").withColumn("component", F.coalesce("component", "node")))
+            out = [first.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+    return components(reduce(DataFrame.unionByName, out))
 
 
 def _joined(size: int):
