@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,54 +26,102 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that all executors see: spark.checkpoint.dir. Where it is unset a local session (tests) gets a temporary
+    one; a cluster raises, since no machine's own folder would do."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext._jsc.sc()
     if not folder:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="framespool-")
+        if context.getCheckpointDir().isDefined():
+            folder = context.getCheckpointDir().get()
+        elif spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+            folder = tempfile.mkdtemp(prefix="framespool-")
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not context.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+#: Spark removes the shuffle files of a query as soon as the query is done.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession):
+    """Queries run here leave no shuffle files behind; only for those whose result is written before they end."""
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint; for narrow rows."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    with tidy(df.sparkSession):
+        return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Writes df as a compressed table in the shared folder and reads it again; for many or wide rows."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with tidy(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables that all their users have been computed from, and lets Spark drop the shuffle files of
-    finished steps, which it does when the driver collects their plans. Disk then follows the largest step, not the sum."""
+    """Deletes stored tables that all their users have been computed from; disk then follows the largest step, not the
+    sum."""
     spark = tables[0].sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
         path.getFileSystem(conf).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
 
 
 def keyed(docs: DataFrame, *keep: str) -> DataFrame:
-    """doc_id, text (null: empty) and a key (_d, _t) that tells rows apart; rows equal in doc_id and text share a key.
+    """doc_id, text (null: empty) and a 128-bit key (_d, _t) of the two; rows equal in doc_id and text share it, so
+    whatever is found for one holds for the other. A null doc_id is a value of its own.
 
     Other columns of docs stay out unless named in keep, so their names can't clash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    both = (F.col("text"), F.col("doc_id"), F.col("doc_id").isNull())
     return docs.select("doc_id", text.alias("text"), *keep).select(
-        "doc_id", "text", *keep, F.coalesce("doc_id", F.lit(-(1 << 62))).alias("_d"), F.hash("text").alias("_t")
+        "doc_id", "text", *keep, F.xxhash64(*both).alias("_d"), F.xxhash64(F.lit(1), *both).alias("_t")
     )
 
 
+def split_join(rows: DataFrame, groups: DataFrame, keys: list[str], n: str, how: str = "inner", most: int = 100_000) -> DataFrame:
+    """rows joined with groups (one row a key, n: how many of rows have it), inner, left or left_semi, groups' columns with
+    them. A key with over `most` rows and over a thousandth of them all is dealt out to several tasks: of those there are
+    fewer than a thousand, which is what is broadcast. groups is read more than once, so stored."""
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    limit = max(most, total // 1000)
+    mark = F.xxhash64(*keys)
+    hot = groups.filter(F.col(n) > limit).select(mark.alias("_mark"), F.ceil(F.col(n) / limit).cast("int").alias("_parts"))
+    if not hot.limit(1).count():
+        return rows.join(groups, keys, how)
+    hot = hot.groupBy("_mark").agg(F.max("_parts").alias("_parts"))
+    dealt = lambda df: df.withColumn("_mark", mark).join(F.broadcast(hot), "_mark", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    left = dealt(rows).withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int")).drop("_mark", "_parts")
+    right = dealt(groups).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_mark", "_parts")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
+
+
+def free(df: DataFrame, name: str) -> str:
+    """The name, or with so many underscores behind it that df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(
     df: DataFrame, schema: str, rows: Callable[[dict], Iterator[tuple] | list[tuple]], flush: int = 20_000
 ) -> DataFrame:

@@ -11,7 +11,7 @@ Shared by the word and the byte operator, which differ in their tokens and in ho
    centres with more than `crowd` contexts, its stretches are hashed, by ranges first, and counted by aggregations.
 5. Per document, the covered tokens are cut out.
 
-Contents are told apart by 128 bits: the hashes of centre and context together, or that of a single stretch. Contested
+Contents are told apart by 128 bits: the hashes of centre and context together, or that of a range or a stretch. Contested
 contexts of centres that are not crowded are compared byte by byte.
 """
 
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, arrow_schema, discard, stored
+from .common import arrow_batch, arrow_schema, discard, split_join, stored
 
 BLOCK = 1 << 18
 CROWD = 1000
@@ -136,13 +136,13 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([p[0] for p in parts])), pa.array(np.concatenate([p[1] for p in parts])),
-                pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), sizes)), pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), sizes)),
+                pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), sizes)), pa.array(np.repeat(np.array([p[3] for p in parts], np.int64), sizes)),
                 pa.array(np.concatenate([p[4] for p in parts]).astype(np.int32)),
             ],
             names=["centre", "context", "_d", "_t", "pos"],
         )
 
-    return docs.select(_raw(), "_d", "_t").mapInArrow(run, "centre bigint, context bigint, _d bigint, _t int, pos int")
+    return docs.select(_raw(), "_d", "_t").mapInArrow(run, "centre bigint, context bigint, _d bigint, _t bigint, pos int")
 
 
 #: Contested contexts of whole centres: rows of (bytes, tokens before the anchor); gives (left, right) covered, or (0, 0).
@@ -155,28 +155,28 @@ def covered(docs: DataFrame, split: Split, grams: Grams, shape: Shape, settle: S
 
     docs: as keyed() gives them."""
     first = stored(anchor_table(docs, split, grams, shape))
-    twice = stored(first.groupBy("centre").agg(F.count("*").alias("n")).filter("n > 1").select("centre"))
-    table = stored(first.join(twice, "centre", "left_semi"))
+    twice = stored(first.groupBy("centre").agg(F.count("*").alias("n")).filter("n > 1"))
+    table = stored(split_join(first, twice, ["centre"], "n", "left_semi"))
     discard(first, twice)
     distinct = stored(table.groupBy("centre", "context").agg(F.count("*").alias("n"), F.min(F.struct("_d", "_t", "pos")).alias("at")))
-    known = stored(distinct.filter("n > 1").select("centre", "context"))
+    known = stored(distinct.filter("n > 1").select("centre", "context", "n"))
     whole = F.struct("pos", F.lit(shape.left).alias("left"), F.lit(shape.right).alias("right")).alias("span")
-    settled = stored(table.join(known, ["centre", "context"], "left_semi").select("_d", "_t", whole))
+    settled = stored(split_join(table, known, ["centre", "context"], "n", "left_semi").select("_d", "_t", whole))
     discard(table, known)
     contested = stored(
         distinct.groupBy("centre").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter("contexts > 1 AND least = 1").select("centre", "contexts")
     )
-    chosen = distinct.join(contested, "centre").select("at.*", "centre", "n", "contexts")
+    chosen = split_join(distinct, contested, ["centre"], "contexts").select("at.*", "centre", "n", "contexts")
     wanted = chosen.groupBy("_d", "_t").agg(F.collect_list(F.struct("pos", "centre", "n", "contexts")).alias("wanted"))
     texts = stored(_contexts(docs.select(_raw(), "_d", "_t").join(wanted, ["_d", "_t"]), split, shape))
     discard(distinct, contested)
     few = stored(_settle_few(texts.filter(F.col("contexts") <= crowd), shape, settle))
     many = stored(_settle_many(texts.filter(F.col("contexts") > crowd), split, shape))
     discard(texts)
-    return settled.unionByName(few).unionByName(many).groupBy("_d", "_t").agg(F.collect_list("span").alias("spans"))
+    return settled.unionByName(few).unionByName(many).groupBy("_d", "_t").agg(F.collect_set("span").alias("spans"))
 
 
-_TEXTS = "_d bigint, _t int, pos int, centre bigint, contexts bigint, once boolean, before int, lead binary, data binary"
+_TEXTS = "_d bigint, _t bigint, pos int, centre bigint, contexts bigint, once boolean, before int, lead binary, data binary"
 
 
 def _contexts(rows: DataFrame, split: Split, shape: Shape) -> DataFrame:
@@ -204,13 +204,13 @@ def _contexts(rows: DataFrame, split: Split, shape: Shape) -> DataFrame:
     return rows.mapInArrow(run, _TEXTS)
 
 
-_SPAN = "_d bigint, _t int, span struct<pos:int,left:int,right:int>"
+_SPAN = "_d bigint, _t bigint, span struct<pos:int,left:int,right:int>"
 
 
 def _spans(rows: list[tuple]) -> pa.RecordBatch:
     kind = pa.struct([("pos", pa.int32()), ("left", pa.int32()), ("right", pa.int32())])
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([dict(zip(("pos", "left", "right"), r[2:])) for r in rows], kind)],
+        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([dict(zip(("pos", "left", "right"), r[2:])) for r in rows], kind)],
         names=["_d", "_t", "span"],
     )
 
@@ -268,11 +268,11 @@ def _settle_many(texts: DataFrame, split: Split, shape: Shape) -> DataFrame:
                         high = min(low + step - 1, shape.left)
                         if max(low, b - (n - shape.length)) > min(high, b):
                             continue  # no stretch of this range fits in the text
-                        inner = xxhash.xxh3_64_intdigest(data[at(b - low) : end(b + shape.length - high)], low)
+                        inner = xxhash.xxh3_128_digest(data[at(b - low) : end(b + shape.length - high)], low)
                         whole = None
                         if b >= high and b + shape.length - low <= n:
-                            whole = xxhash.xxh3_64_intdigest(data[at(b - high) : end(b + shape.length - low)], low) - (1 << 63)
-                        out.append((row["_d"], row["_t"], row["pos"], low, high, inner - (1 << 63), whole))
+                            whole = xxhash.xxh3_128_digest(data[at(b - high) : end(b + shape.length - low)], low)
+                        out.append((row["_d"], row["_t"], row["pos"], low, high, inner, whole))
                 if out:
                     yield arrow_batch(out, range_schema)
 
@@ -289,7 +289,7 @@ def _settle_many(texts: DataFrame, split: Split, shape: Shape) -> DataFrame:
                 if out:
                     yield arrow_batch(out, single_schema)
 
-    range_ddl, single_ddl = "_d bigint, _t int, pos int, low int, high int, inner bigint, whole bigint", "stretch binary, _d bigint, _t int, pos int, before int"
+    range_ddl, single_ddl = "_d bigint, _t bigint, pos int, low int, high int, inner binary, whole binary", "stretch binary, _d bigint, _t bigint, pos int, before int"
     range_schema, single_schema = arrow_schema(range_ddl), arrow_schema(single_ddl)
     span = lambda a, b: F.struct("pos", F.col(a).alias("left"), (shape.length - F.col(b)).alias("right")).alias("span")
     rows = stored(texts.mapInArrow(ranges, range_ddl))
