@@ -2,8 +2,9 @@
 
 1. Every task hashes the keys of its lines (once per document) and lists the filter bits that it sees once and those of
    keys that it sees twice. The lists meet by slice of the filter: a bit that two lists name is a twice-seen bit.
-2. The twice-seen filter (BITS bits, a fixed bound whatever the input) goes to all tasks. A line whose bits are all
-   twice-seen is suspected: its key may lie in two documents. A full filter only suspects more; results stay exact.
+2. The twice-seen filter goes to all tasks. It has EACH bits for every line, counted beforehand, and MOST_BITS at most,
+   which bounds the broadcast. A line whose bits are all twice-seen is suspected: its key may lie in two documents. A
+   fuller filter only suspects more; results stay exact.
 3. Suspected keys are counted exactly, as text, and the document that keeps each is chosen; keys in at least
    `min_docs` documents lose their lines elsewhere.
 
@@ -22,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, UPPER, arrow_batch, arrow_schema, keyed, map_rows, stored, table
+from .common import LOWER, SPACE, UPPER, arrow_batch, arrow_schema, keyed, map_rows, split_join, stored, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Bits of each filter (16 MB), in slices of SLICE bits; HASHES bits a key.
-BITS, SLICE, HASHES = 1 << 27, 1 << 20, 3
+#: Bits of each filter, least and most (128 MB), in slices of SLICE bits; bits and hashes a line.
+LEAST_BITS, MOST_BITS, SLICE, EACH, HASHES = 1 << 22, 1 << 30, 1 << 20, 8, 3
 BLANK, TO_LOWER = SPACE.encode(), bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -109,7 +110,7 @@ def suspects(docs: DataFrame, seen: np.ndarray, min_chars: int, bits: int) -> Da
     """(key, doc_id, _d, _t) of each distinct key of a row whose bits are all twice-seen."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
-    schema = f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, _d bigint, _t int"
+    schema = f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, _d bigint, _t bigint"
     out_schema = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,15 +128,22 @@ def suspects(docs: DataFrame, seen: np.ndarray, min_chars: int, bits: int) -> Da
     return docs.select(F.col("text").cast("binary"), "doc_id", "_d", "_t").mapInArrow(run, schema)
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, bits: int = BITS, slice_bits: int = SLICE) -> DataFrame:
+def filter_bits(docs: DataFrame) -> int:
+    """EACH bits a line that is long enough to count at all, as a power of two within the bounds."""
+    lines = docs.agg(F.sum(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
+    return min(max(1 << (EACH * lines).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, bits: int | None = None, slice_bits: int = SLICE) -> DataFrame:
     """(_d, _t, keys): the keys whose lines a row loses. docs: as keyed() gives them."""
+    bits = bits or filter_bits(docs)
     found = stored(suspects(docs, twice_seen(docs, min_chars, bits, slice_bits), min_chars, bits))
-    known = found.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).filter(F.col("n") >= min_docs).select("key", "last")
-    lost = found.join(stored(known), "key").filter(~F.col("doc_id").eqNullSafe(F.col("last")))
+    known = stored(found.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).filter(F.col("n") >= min_docs))
+    lost = split_join(found, known, ["key"], "n").filter(~F.col("doc_id").eqNullSafe(F.col("last")))
     return lost.groupBy("_d", "_t").agg(F.collect_set("key").alias("keys"))
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: tuple[str, ...] = (), bits: int = BITS, slice_bits: int = SLICE) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: tuple[str, ...] = (), bits: int | None = None, slice_bits: int = SLICE) -> DataFrame:
     """doc_id, text (the lines that stay), n_lines, n_dropped, and the columns named in carry as the struct `rest`."""
     rest = F.struct(*carry) if carry else F.struct(F.lit(0).alias("none"))
     docs = keyed(docs.select("doc_id", "text", rest.alias("rest")), "rest")
