@@ -4,7 +4,7 @@ judge_pages() gives each page the verdict of the longest rule that fits its url.
 host decides: personalised PageRank from the hosts whose pages the rules allow (trust) against PageRank over the
 reversed edges from the hosts whose pages they block (distrust; who links to bad hosts is suspect).
 A host is blocked if its distrust exceeds `ratio` times its trust, else allowed; scores are rounded only where shown. The
-SQL walks ROUNDS rounds and judges rounded scores, so it has the same rows for tables without links between hosts.
+SQL walks ROUNDS rounds, after which less than TOLERANCE is left to move. Hosts with more than HUB links are dealt out.
 
 Cases: null or scheme-less urls have an empty host and path, get no rule and no links, and are allowed. Null html has
 no links. Repeated rows are judged one by one; a link counts once per pair of hosts. An empty table gives an empty
@@ -16,11 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, checkpointed, table
+from .common import LOWER, UPPER, checkpointed, split_join, table
 
 #: (rule, verdict); a rule is host/path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-ROUNDS, DAMPING, RATIO, TOLERANCE = 8, 0.85, 1.0, 1e-9
+ROUNDS, DAMPING, RATIO, TOLERANCE = 160, 0.85, 1.0, 1e-9
+#: Links of a host that one task follows.
+HUB = 100_000
 LINK = r"(?i)\b(?:href|src)\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s<>]+)"
 
 
@@ -49,12 +51,14 @@ def rank(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -
     Mass that reaches a host without out-links is not handed out again. A round moves what the last one added, and rounds
     end when that is under the tolerance in sum and reaches no new host. Scores sum partial results by destination before
     the shuffle, and each round is checkpointed, so a lost executor costs one round at most."""
-    degree = edges.groupBy("src").agg(F.count("*").alias("links"))
-    edges = checkpointed(edges.join(degree, "src"))
+    degree = checkpointed(edges.groupBy("src").agg(F.count("*").alias("links")).withColumn("parts", F.ceil(F.col("links") / HUB).cast("int")))
+    edges = checkpointed(split_join(edges, degree, ["src"], "links").withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")))
+    degree = degree.select(F.col("src").alias("host"), "parts")
     score = added = checkpointed(seeds.select("host", ((1 - damping) * F.col("weight")).alias("score")))
     hosts = score.count()
     while True:
-        moved = edges.join(added, edges["src"] == added["host"]).select(
+        dealt = added.join(degree, "host").select(F.col("host").alias("src"), "score", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        moved = edges.join(dealt, ["src", "part"]).select(
             F.col("dst").alias("host"), (damping * F.col("score") / F.col("links")).alias("score")
         )
         added = checkpointed(moved.groupBy("host").agg(F.sum("score").alias("score")))
@@ -98,7 +102,7 @@ def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, ratio:
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     own = F.when(distrust > ratio * trust, "block").otherwise("allow")
     return pages.drop("html").join(scores, "host", "left").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), F.round(trust, 9).alias("trust"), F.round(distrust, 9).alias("distrust")
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), F.round(trust, 6).alias("trust"), F.round(distrust, 6).alias("distrust")
     )
 
 
@@ -122,17 +126,16 @@ e AS MATERIALIZED (SELECT DISTINCT src, dst FROM (SELECT host AS src, translate(
     for name, kind, src, dst in (("t", "good", "src", "dst"), ("d", "bad", "dst", "src")):
         parts.append(f"{name}e AS MATERIALIZED (SELECT {src} AS src, {dst} AS dst, count(*) OVER (PARTITION BY {src}) AS links FROM e)")
         parts.append(f"{name}s AS MATERIALIZED (SELECT host, {kind} / (SELECT sum({kind}) FROM seen) AS weight FROM seen WHERE {kind} > 0)")
-        parts.append(f"{name}0 AS MATERIALIZED (SELECT host, weight AS score FROM {name}s)")
-        for k in range(ROUNDS):
-            parts.append(
-                f"{name}{k + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT dst AS host, {DAMPING} * score / links AS score FROM {name}e JOIN {name}{k} ON src = host"
-                f" UNION ALL SELECT host, (1 - {DAMPING}) * weight FROM {name}s) GROUP BY host)"
-            )
-    trust, distrust = f"round(coalesce(t{ROUNDS}.score, 0), 9)", f"round(coalesce(d{ROUNDS}.score, 0), 9)"
+        parts.append(
+            f"{name}w AS (SELECT host, (1 - {DAMPING})::DOUBLE * weight AS score, 0 AS k FROM {name}s UNION ALL"
+            f" SELECT dst, sum({DAMPING} * score / links), k + 1 FROM {name}w JOIN {name}e ON src = host WHERE k < {ROUNDS} GROUP BY dst, k)"
+        )
+        parts.append(f"{name}r AS MATERIALIZED (SELECT host, sum(score) AS score FROM {name}w GROUP BY host)")
+    trust, distrust = "coalesce(tr.score, 0)", "coalesce(dr.score, 0)"
     return (
-        "WITH " + ",\n".join(parts)
-        + f"\nSELECT page_id, r.host, path, rule, coalesce(says, CASE WHEN {distrust} > {RATIO} * {trust} THEN 'block' ELSE 'allow' END) AS verdict, {trust} AS trust, {distrust} AS distrust"
-        + f" FROM r LEFT JOIN t{ROUNDS} ON r.host = t{ROUNDS}.host LEFT JOIN d{ROUNDS} ON r.host = d{ROUNDS}.host"
+        "WITH RECURSIVE " + ",\n".join(parts)
+        + f"\nSELECT page_id, r.host, path, rule, coalesce(says, CASE WHEN {distrust} > {RATIO} * {trust} THEN 'block' ELSE 'allow' END) AS verdict, round({trust}, 6) AS trust, round({distrust}, 6) AS distrust"
+        + " FROM r LEFT JOIN tr ON r.host = tr.host LEFT JOIN dr ON r.host = dr.host"
     )
 
 
