@@ -6,7 +6,9 @@ neighbouring lattice points of the other's projection, meet and are compared by
 tables with projections of their own catch what one cell boundary parts.
 
 Vectors that are equal count as one node with a multiplicity, so a crowd of copies stays one row. A cell with more
-than BLOCK vectors is dealt out as pairs of blocks, so no task holds a cell of unknown size.
+than BLOCK vectors is dealt out as pairs of blocks, so no task holds a cell of unknown size. Every vector travels with its
+cells in the tables so far, so a pair is counted in the first place where it meets and nowhere else; a cell then reports
+the number of new links of each of its vectors and a forest of them, never the pairs.
 
 Cases: null labels, and vectors that are null, empty, zero or hold null or non-finite components, link with nothing
 but get their row. Vectors of different length never link. Repeated rows (equal vec_id too) are vectors of their own
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, checkpointed, stored, table
+from .common import arrow_schema, discard, split_join, stored, table
 from .components import components
 
 COSINE = 0.93
@@ -96,49 +98,59 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
-    """(label, number, cell, home, node) for the home cell and the probed ones of every node."""
-    kind = nodes.schema["label"].dataType.simpleString()
-    schema = f"label {kind}, number int, cell bigint, home boolean, node bigint"
+def unit_vectors(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; by their largest component first, so that no square is lost or infinite."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
+    """(label, node, first, copies, vector, cells) of nodes (label, vector, first, copies): the vector at length one, and of
+    each table the home cell and the probed ones."""
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
+    schema = f"label {kinds['label']}, node bigint, first {kinds['first']}, copies bigint, vector array<double>, cells array<bigint>"
     out_schema = arrow_schema(schema)
+    each = 1 + probes
+
+    def lists(x: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
-                sizes = np.array([len(v) for v in part.column("vector").to_pylist()])
+                sizes = np.array([len(v) for v in part.column("vector")])
                 for size in np.unique(sizes):
                     chosen = part.take(pa.array(np.flatnonzero(sizes == size)))
-                    x = chosen.column("vector").flatten().to_numpy().reshape(-1, size)
-                    big = np.abs(x).max(axis=1, keepdims=True)
-                    unit = x / big / np.linalg.norm(x / big, axis=1, keepdims=True)
+                    unit = unit_vectors(chosen.column("vector").flatten().to_numpy().reshape(-1, size))
+                    cell = np.empty((len(unit), tables * each), np.int64)
                     for number in range(tables):
-                        key = _keys(cells(unit, number, probes, scale, seed))
-                        rows = np.repeat(np.arange(len(x)), key.shape[1])
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                chosen.column("label").take(pa.array(rows)), pa.array(np.full(len(rows), number, np.int32)), pa.array(key.ravel()),
-                                pa.array(np.tile(np.arange(key.shape[1]) == 0, len(x))), chosen.column("node").take(pa.array(rows)),
-                            ],
-                            schema=out_schema,
-                        )
+                        cell[:, number * each : (number + 1) * each] = _keys(cells(unit, number, probes, scale, seed))
+                    columns = [chosen.column(c) for c in ("label", "node", "first", "copies")] + [lists(unit), lists(cell)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=out_schema)
 
-    return nodes.select("label", "node", "vector").mapInArrow(run, schema)
+    return nodes.select("label", F.xxhash64("label", "vector").alias("node"), "first", "copies", "vector").mapInArrow(run, schema)
 
 
-def verified_links(nodes: DataFrame, cosine: float, tables: int, probes: int, scale: float, seed: int, block: int) -> DataFrame:
-    """(a, b), a < b: nodes of equal label that meet in a table and have that cosine."""
+def counted_links(nodes: DataFrame, cosine: float, each: int, block: int) -> DataFrame:
+    """(node, others, root): for the vectors of each cell their new links, as a sum of copies, and the least of the nodes that
+    these links join there. nodes: as hashed() gives them, `each` cells a table."""
     keys = ["label", "number", "cell"]
-    rows = stored(_hashed(nodes, tables, probes, scale, seed))
+    at = nodes.select("label", "node", F.posexplode("cells").alias("at", "cell"))
+    rows = stored(at.select("label", F.expr(f"at div {each}").cast("int").alias("number"), "cell", (F.col("at") % each == 0).alias("home"), "node"))
     sizes = stored(rows.groupBy(keys).agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).filter("n > 1 AND homes > 0"))
-    unit = F.transform("vector", lambda x: x / F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, y: t + y * y)))
-    rows = stored(rows.join(sizes, keys)).join(nodes.select("node", unit.alias("vector")), "node").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    met = stored(rows.join(sizes, keys))
+    discard(rows, sizes)
+    before = F.slice("cells", F.lit(1), (F.col("number") + 1) * each).alias("cells")
+    met = met.join(nodes.select("node", "vector", "copies", "cells"), "node").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("node", "number"), F.col("blocks")).cast("int")
     # block i meets every block j: a row goes to the pairs that its own block is in
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"))))
-    dealt = rows.withColumn("own", own).select(*keys, "home", "node", "vector", "own", pairs.alias("pair")).select(*keys, "pair.i", "pair.j", "own", "home", "node", "vector")
+    dealt = met.withColumn("own", own).select(*keys, "home", "node", "vector", "copies", before, "own", pairs.alias("pair"))
+    dealt = dealt.select(*keys, "pair.i", "pair.j", "own", "home", "node", "vector", "copies", "cells")
     by = [*keys, "i", "j"]
-    out_schema = arrow_schema("a bigint, b bigint")
+    schema = "node bigint, others bigint, root bigint"
+    out_schema = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -154,44 +166,71 @@ def verified_links(nodes: DataFrame, cosine: float, tables: int, probes: int, sc
 
     def compared(held: list[dict]) -> Iterator[pa.RecordBatch]:
         for size in {len(r["vector"]) for r in held} if len(held) > 1 else ():
-            rows = [r for r in held if len(r["vector"]) == size]
-            ids, home, own = (np.array([r[c] for r in rows]) for c in ("node", "home", "own"))
-            x = np.array([r["vector"] for r in rows])
-            across = rows[0]["i"] != rows[0]["j"]
+            rows = list({r["node"]: r for r in sorted((r for r in held if len(r["vector"]) == size), key=lambda r: r["home"])}.values())
+            node, home, own, copies = (np.array([r[c] for r in rows]) for c in ("node", "home", "own", "copies"))
+            x, cell = np.array([r["vector"] for r in rows]), np.array([r["cells"] for r in rows])
+            across, here, number = rows[0]["i"] != rows[0]["j"], rows[0]["cell"], rows[0]["number"]
+            found = []
             for k in range(0, len(rows), 256):
                 part = np.arange(k, min(k + 256, len(rows)))
                 part = part[home[part]]
-                hit = (x[part] @ x.T >= cosine) & (ids[part][:, None] != ids[None, :])
+                hit = (x[part] @ x.T >= cosine) & (part[:, None] != np.arange(len(rows)))
                 if across:  # rows of one block meet in the pair (i, i)
                     hit &= own[part][:, None] != own[None, :]
                 a, b = np.nonzero(hit)
-                if len(a):
-                    both = np.unique(np.sort(np.stack([ids[part][a], ids[b]]), axis=0), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], schema=out_schema)
-
-    found = dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint")
-    return found.distinct()
+                found.append(np.sort(np.stack([part[a], b]), axis=0))
+            a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else (np.empty(0, int),) * 2
+            for table in range(number + 1):  # a pair that has met in an earlier table is counted there
+                c = cell[:, table * each : (table + 1) * each]
+                to_a, to_b = (c[b] == c[a, :1]).any(axis=1), (c[a] == c[b, :1]).any(axis=1)
+                if table < number:
+                    new = ~(to_a | to_b)
+                else:  # and one that meets in the homes of both, in the lower of the two
+                    new = ~(to_a & to_b) | (np.minimum(c[a, 0], c[b, 0]) == here)
+                a, b = a[new], b[new]
+            if len(a):
+                others = np.zeros(len(rows), np.int64)
+                np.add.at(others, a, copies[b])
+                np.add.at(others, b, copies[a])
+                linked = np.flatnonzero(others)
+                columns = [node[linked], others[linked], node[_roots(len(rows), a, b)[linked]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=out_schema)
+
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n places the least that links (a, b) join it with."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        np.minimum.at(low, b, root[a])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
 
 
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE, seed: int = SEED, block: int = BLOCK
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors."""
-    nodes = stored(usable(vectors).withColumn("node", F.xxhash64("label", "vector")))
-    links = stored(verified_links(nodes, cosine, tables, probes, scale, seed, block))
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    many = ends.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others")).withColumnRenamed("a", "node")
+    nodes = stored(hashed(usable(vectors), tables, probes, scale, seed))
+    links = stored(counted_links(nodes, cosine, 1 + probes, block))
+    many = links.groupBy("node").agg(F.sum("others").alias("others"))
+    joined = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     whole = (
-        nodes.select("node", "first", "copies").join(many, "node", "left").join(components(links), "node", "left")
-        .select("node", "first", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+        nodes.select("node", "first", "copies").join(many, "node", "left").join(joined, "node", "left")
+        .select("node", "first", "copies", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     )
     whole = stored(whole)
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = checkpointed(whole.join(least, "component").select("node", "n_links", "component_id"))
+    named = stored(whole.join(least, "component").select("node", "n_links", "component_id", "copies"))
     doubles = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))
     rows = vectors.select("vec_id", F.when(F.col("label").isNotNull(), F.xxhash64("label", doubles)).alias("node"))
     component = F.coalesce("component_id", "vec_id")
-    return rows.join(named, "node", "left").select(
+    return split_join(rows, named, ["node"], "copies", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.cast("long").alias("component_id"),
         F.col("vec_id").eqNullSafe(component).alias("kept"),
     )
