@@ -67,6 +67,10 @@ MAIL = re.compile(
 )
 MAIL_PART = re.compile(rf"({_AT_BOX}|[ \t]+at[ \t]+|[ \t]*@[ \t]*)|({_DOT_BOX}|{_DOT_WORD})", re.I)
 IP_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT_BOX}|{_DOT_WORD})(?=[0-9])", re.I)
+#: Four groups of one to three digits, each spelled or not, with spelled, boxed or plain dots between them.
+_GROUP = rf"(?:{_WORD}|[0-9]{{1,3}})(?:[ \t-]{{1,3}}(?:{_WORD}|[0-9])){{0,2}}"
+SPELLED_IP = re.compile(rf"(?<![\w.])(?:{_GROUP})(?:(?:{_DOT_BOX}|{_DOT_WORD}|\.)(?:{_GROUP})){{3}}(?![\w]|\.[\w])", re.I)
+IP_PART = re.compile(rf"{_WORD}|[0-9]+|dot|punto|punkt|point|\.", re.I)
 HINT = re.compile(r"[\[({<][ \t]*(?:at|@|dot|punto|punkt|point|\.)[ \t]*[\])}>]|[ \t_-](?:dot|punto|punkt|point)[ \t_-]", re.I)
 
 
@@ -172,10 +176,20 @@ def _digits(m: re.Match) -> str:
     return "".join(names.get(x.lower(), x) for x in SPELLED_PART.findall(m[0]))
 
 
+def _address(m: re.Match) -> str:
+    """Digits and dots of a SPELLED_IP."""
+    names = {w: str(k) for k, w in enumerate(SPELLED)} | {"oh": "0"}
+    return "".join(names.get(x.lower(), x if x.isdigit() else ".") for x in IP_PART.findall(m[0]))
+
+
 def deobfuscate(text: str) -> Rewritten | None:
     """The text with disguises undone, or None where there is nothing to undo."""
     out = Rewritten(text.translate(GLYPHS) if GLYPH.search(text) else text)
     changed = out.text != text
+    if HINT.search(out.text):
+        changes = [(*m.span(), _address(m)) for m in SPELLED_IP.finditer(out.text)]
+        out.apply(changes)
+        changed |= bool(changes)
     changes = [(*m.span(), _digits(m)) for m in SPELLED_RUN.finditer(out.text)]
     out.apply(changes)
     changed |= bool(changes)

@@ -4,8 +4,8 @@ A sentence's probability is a logistic function of its word features; the docume
 1 - product(1 - p). Training fits the sentence model through the noisy-or to document labels, so no sentence needs a
 label, and the fitted model then names the sentences that make a document toxic.
 
-Training reads a bounded sample of labelled rows (MAX_TOXIC toxic, MAX_CLEAN others, the first in hash order); rows
-whose crc32(doc_id) mod 5 is 0 are held out. Scoring covers every sentence of every text. Features come from the text
+Training reads a bounded sample of labelled rows (MAX_TOXIC toxic, MAX_CLEAN others, the first in hash order; whole texts,
+those over MAX_CHARS characters stay out); rows whose crc32(doc_id) mod 5 is 0 are held out. Scoring covers every sentence of every text. Features come from the text
 alone: distinct words of a sentence, their first four and five and last four letters.
 
 Cases: null and empty texts have no sentence and score 0. Rows are scored one by one, repeated or not; null labels and
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, table
 
-MAX_TOXIC, MAX_CLEAN = 1200, 2400
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1200, 2400, 50_000
 ROUNDS, RATE, L2, KEEP, CERTAIN = 100, 0.1, 2e-4, 6000, 3.5
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
@@ -128,7 +128,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_chars: int = MAX_CHARS) -> Model:
     """A model of a bounded sample of the labelled rows that aren't held out."""
     known = (
         labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
@@ -136,7 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
     )
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = known.filter("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(known.filter("toxic = 0").orderBy(*order).limit(max_clean))
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").limit(2 * (max_toxic + max_clean)).collect()  # all three bounded
+    short = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
+    rows = short.join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").limit(2 * (max_toxic + max_clean)).collect()  # rows and characters are bounded
     return fit([(r["text"] or "", int(r["toxic"] > 0)) for r in rows])
 
 
