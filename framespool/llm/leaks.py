@@ -23,14 +23,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, arrow_schema, table
+from .common import arrow_batch, arrow_schema, stored, table
 
 Q, WINDOW, EDITS, SHORTEST = 10, 72, 4, 30
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS, ROUND_HITS = 4_000_000, 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 24
 
@@ -135,14 +137,31 @@ def hits(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 _FAR = 1 << 36  # makes diagonals positive
 
 
-def candidates(known: Index, hashes: np.ndarray) -> list[tuple[int, int, int, int]]:
+def candidates(known: Index, hashes: np.ndarray, most: int = ROUND_HITS) -> list[tuple[int, int, int, int]]:
     """(item's index, first diagonal of the band, least and greatest start of a piece) where pieces share enough q-grams
-    with the text."""
+    with the text. A text with more than `most` pairs of equal q-grams is taken in stretches of text that overlap by more
+    than a piece, so that what a piece can match lies in one of them."""
     bit = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     places = np.flatnonzero(known.seen[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
     if not len(places) or not len(known.hashes):
         return []
-    k, hit = hits(known.hashes, hashes[places])
+    found = hashes[places]
+    pairs = np.cumsum(np.searchsorted(known.hashes, found, "right") - np.searchsorted(known.hashes, found, "left"))
+    if pairs[-1] <= most:
+        return _stretch(known, places, found) if pairs[-1] else []
+    out, first, reach = set(), 0, WINDOW + 2 * int(known.edits.max(initial=0)) + 1
+    while first < len(places):
+        last = max(np.searchsorted(pairs, (pairs[first - 1] if first else 0) + most, "right"), np.searchsorted(places, places[first] + 2 * reach))
+        out.update(_stretch(known, places[first:last], found[first:last]))
+        if last >= len(places):
+            break
+        first = int(np.searchsorted(places, places[last - 1] - reach))
+    return sorted(out)
+
+
+def _stretch(known: Index, places: np.ndarray, found: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """candidates() of the q-grams `found` at some places of a text."""
+    k, hit = hits(known.hashes, found)
     if not len(hit):
         return []
     piece, at = known.piece[hit], known.at[hit]
@@ -264,10 +283,13 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, start, end, edits) of every region of a document that matches a piece of an item."""
+    """(doc_id, item_id, start, end, edits) of every region of a document that matches a piece of an item.
+
+    Blocks are done one after the other and stored, so the driver and the tasks hold one index at a time."""
     spark = docs.sparkSession
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, start int, end int, edits int"
-    out_schema, out = arrow_schema(schema), None
+    out_schema, out = arrow_schema(schema), spark.createDataFrame([], schema)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     for block in item_blocks(benchmark, block_chars):
         shared = spark.sparkContext.broadcast(index(block))
 
@@ -279,9 +301,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
                     if found:
                         yield arrow_batch(found, out_schema)
 
-        part = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        out = out.unionByName(stored(docs.mapInArrow(run, schema)))
+        shared.unpersist()
+    return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs in whose text no piece of any item is found, whole; rows are judged by their text alone. All blocks
+    but the last write what they keep, so the driver and the tasks hold one index at a time."""
+    spark, before = docs.sparkSession, None
+    for block in item_blocks(benchmark, block_chars):
+        if before is not None:
+            docs = stored(docs)
+            before.unpersist()
+        before = shared = spark.sparkContext.broadcast(index(block))
+        docs = docs.filter(_clean(shared)(F.col("text").cast("string")))
+    return docs
+
+
+def _clean(shared: Broadcast):
+    """Whether a text has no leak, as a function of a text column."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not find_leaks(shared.value, text) for text in texts], dtype=bool)
+
+    return clean
 
 
 def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
