@@ -8,11 +8,14 @@ nodes agree in one of radius + 1 blocks of the bits that are left, until a shard
 it can't be large. Shards are dealt out by shuffle, not broadcast: no tree of all documents would have a size bound.
 A shard reports a spanning forest of its links, not all pairs, so classes are exact and lose no link.
 
-`wide_classes` is the form for near copies by similarity: nodes are sets of five-word shingles, and those that agree in a
-band of bits of longer fingerprints (WORDS x 64 bits) and differ in LIMIT bits at most are candidates. A candidate pair
-becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more, counted exactly. Bands are so many that a pair
-of that similarity misses all of them with probability e^-MISS; with more nodes they get wider, so that few unrelated ones
-meet, and more. Bands are taken in rounds, and those after the first skip pairs that its links have joined.
+`near_groups` is the form for near copies by similarity: nodes are sets of five-word shingles, with WORDS x 64 counts each
+instead of 64. Shards come from the strongest of these counts: a table names the place and sign of the largest in each of
+a few groups of GROUP rotated counts, and nodes with the same names share a shard. The strongest counts are the last ones
+that an edit turns, so a pair of similarity 0.8 shares a group's name with probability AGREE, and unrelated ones with 1 in
+2 * GROUP. With more nodes names take more groups, so that few unrelated nodes meet, and tables are so many that a pair of
+similarity 0.8 misses all of them with probability e^-MISS. In a shard, a BK-tree over the fingerprints of all counts finds
+pairs at LIMIT bits or less, and a pair becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more,
+counted exactly. The first FIRST tables join most of a large group; the others compare only nodes of different components.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
 fingerprint. A null doc_id gets its component, but never names one unless all of it are null. An empty table gives an
@@ -30,14 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_batch, arrow_schema, checkpointed, discard, stored, table
+from .common import LOWER, UPPER, arrow_batch, arrow_schema, checkpointed, discard, split_join, stored, table
 from .components import components
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
-#: deviation (8). FIRST: bands of the first round, ROUND: of the others.
-WORDS, WIDE_SHINGLE, BAND_BITS, LIMIT, LEAST, MISS, FIRST, ROUND = 8, 5, 24, 120, (4, 5), 6, 16, 103
+#: deviation (8). AGREE: measured on sets of similarity 0.8. FIRST: tables of the first round. TURNS: rotations of the counts.
+WORDS, WIDE_SHINGLE, GROUP, AGREE, LIMIT, LEAST, MISS, FIRST, TURNS = 8, 5, 128, 0.41, 120, (4, 5), 5, 8, 16
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -67,15 +70,48 @@ def majority(hashes: np.ndarray) -> int:
     return int(((counts * 2 > len(hashes)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum()) if len(hashes) else 0
 
 
-def wide_print(hashes: np.ndarray, words: int = WORDS) -> bytes:
-    """`words` fingerprints of the distinct hashes mixed in as many ways."""
-    hashes = np.unique(hashes)
-    out = []
-    with np.errstate(over="ignore"):
-        for _ in range(words):
-            hashes = (hashes ^ (hashes >> np.uint64(31))) * _MIX + np.uint64(1)
-            out.append(majority(hashes ^ (hashes >> np.uint64(29))))
-    return np.array(out, np.uint64).tobytes()
+def wide_counts(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """How many of the distinct hashes, mixed in `words` ways, have each bit set, less how many don't."""
+    total = np.zeros(64 * words, np.int64)
+    for k in range(0, len(hashes), 255 << 6):
+        part = hashes[k : k + (255 << 6)]
+        run = -(-len(part) // -(-len(part) // 255))  # at most 255 bits are added up in a byte
+        mixed = np.zeros((-(-len(part) // run) * run, words), np.uint64)
+        with np.errstate(over="ignore"):
+            for w in range(words):
+                part = (part ^ (part >> np.uint64(31))) * _MIX + np.uint64(1)
+                mixed[: len(part), w] = part ^ (part >> np.uint64(29))
+        bits = np.unpackbits(mixed.view(np.uint8).reshape(-1), bitorder="little").reshape(-1, run, 64 * words)
+        total += np.add.reduce(bits, axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return 2 * total - len(hashes)
+
+
+def shard_shape(n: int) -> tuple[int, int]:
+    """(groups, tables) for n nodes: names of so many groups that unrelated nodes seldom share one (16 times as many names as
+    nodes), and so many tables that a pair of similarity 0.8 misses all with probability e^-MISS."""
+    each = (2 * GROUP).bit_length() - 1
+    groups = max(2, -(-((max(n, 1) - 1).bit_length() + 4) // each))
+    return groups, int(np.ceil(MISS * AGREE**-groups))
+
+
+def shard_keys(counts: np.ndarray, groups: int, tables: int) -> np.ndarray:
+    """(n, tables) shards of the rows of counts: table and names in one number."""
+    rng, width = np.random.default_rng(SEED), counts.shape[1]
+    low, high = (reduce(np.kron, [np.array([[1, 1], [1, -1]], np.float32)] * k) for k in (5, (width // 32).bit_length() - 1))
+    at, names = counts.astype(np.float32) / np.sqrt(np.maximum((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True), 1)).astype(np.float32), []
+    for _ in range(TURNS):  # signs turned at random and a Hadamard matrix as a product of two small ones
+        at = at * rng.choice(np.array([-1, 1], np.float32), width)
+        at = np.matmul(high, (at.reshape(-1, 32) @ low).reshape(len(at), -1, 32)).reshape(len(at), width) / np.float32(np.sqrt(width))
+        parts = at.reshape(len(at), -1, GROUP)
+        best = np.abs(parts).argmax(axis=2)
+        names.append(2 * best + (np.take_along_axis(parts, best[:, :, None], 2)[:, :, 0] > 0))
+    names = np.concatenate(names, axis=1).astype(np.int64)
+    out = np.empty((len(at), tables), np.int64)
+    for table in range(tables):
+        out[:, table] = table
+        for group in rng.choice(names.shape[1], groups, replace=False):
+            out[:, table] = out[:, table] * (2 * GROUP) + names[:, group]
+    return out
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -84,14 +120,26 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return _printed(docs, schema, lambda doc_id, text: (doc_id, majority(shingle_hashes(text, shingle)).to_bytes(8, "little")))
 
 
-def wide_prints(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> DataFrame:
-    """doc_id, print, node (a number for the set of shingles) and text."""
+def wide_prints(docs: DataFrame, groups: int, tables: int, shingle: int = WIDE_SHINGLE) -> DataFrame:
+    """(row, content, print, shards) of docs (row, text): a 128-bit hash of the set of shingles, the fingerprint and the
+    shard in each table."""
+    schema = "row bigint, content binary, print binary, shards array<bigint>"
 
-    def one(doc_id, text: bytes) -> tuple:
-        hashes = np.unique(shingle_hashes(text, shingle))
-        return doc_id, wide_print(hashes), _number(hashes), text
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                sets = [np.unique(shingle_hashes(text or b"", shingle)) for text in part.column("text").to_pylist()]
+                counts = np.stack([wide_counts(x) for x in sets])
+                shards = shard_keys(counts, groups, tables)
+                prints = np.packbits(counts > 0, axis=1, bitorder="little")
+                columns = [
+                    part.column("row"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x.tobytes() for x in prints], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * tables), pa.array(shards.ravel())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "content", "print", "shards"])
 
-    return _printed(docs, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print binary, node bigint, text binary", one)
+    return docs.select("row", F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
 def _number(values: np.ndarray) -> int:
@@ -218,7 +266,7 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, least
     while True:
         shards = shards.withColumn("value", F.col("node").bitwiseAND(F.col("mask")))
         sizes = stored(shards.groupBy("mask", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-        shards = shards.join(sizes, ["mask", "value"])
+        shards = split_join(shards, sizes, ["mask", "value"], "n")
         last = min(64 - m.bit_count() for m in masks) <= least_bits
         small = shards if last else shards.filter(F.col("n") <= crowd)
         links = _trees(small.select("mask", "value", "node", "print"), radius)
@@ -234,15 +282,16 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, least
 def classes(prints: DataFrame, node: Column, radius: int, links) -> DataFrame:
     """doc_id, print, component_id (least doc_id) of every row of prints; links(nodes) gives the links of (node, print)."""
     prints = stored(prints.withColumn("node", node))
-    nodes = stored(prints.groupBy("node", "print").agg(F.min("doc_id").alias("first")))
-    return prints.join(named(nodes, components(links(nodes.select("node", "print")))), "node").select("doc_id", "print", "component_id")
+    nodes = stored(prints.groupBy("node", "print").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
+    known = named(nodes, components(links(nodes.select("node", "print"))))
+    return split_join(prints, known, ["node"], "n").select("doc_id", "print", "component_id")
 
 
 def named(nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """(node, component_id) of nodes (node, first, ...): the least first of its component in parts."""
-    whole = nodes.join(parts, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    """(node, component_id, n) of nodes (node, first, n): the least first of its component in parts."""
+    whole = nodes.join(parts, "node", "left").select("node", "first", "n", F.coalesce("component", "node").alias("component"))
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    return stored(whole.join(least, "component").select("node", "component_id"))
+    return stored(whole.join(least, "component").select("node", "component_id", "n"))
 
 
 def near_classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -258,58 +307,83 @@ def _hex() -> Column:
     return F.concat(*(F.substring(digits, 2 * k + 1, 2) for k in reversed(range(8))))
 
 
-def band_shape(n: int) -> tuple[int, int]:
-    """(bits, bands) for n nodes: bands so wide that unrelated nodes seldom meet (four bits more than number n), and so
-    many that a pair of similarity 0.8, whose bits agree with probability 0.849, misses all with probability e^-MISS."""
-    bits = max(BAND_BITS, (max(n, 1) - 1).bit_length() + 4)
-    return bits, int(np.ceil(MISS * 0.849**-bits))
+def near_groups(docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
+    """(row, group): single linkage of near copies, five-word shingles of Jaccard similarity 0.8 or more, named by the least
+    row in it. docs: (row, text), row a bigint of its own for each; read more than once, so stored."""
+    groups, tables = shard_shape(docs.count())
+    prints = stored(wide_prints(docs, groups, tables))
+    least = stored(prints.groupBy("content").agg(F.min("row").alias("node"), F.count("*").alias("n")))
+    nodes = stored(prints.join(least.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "print", "shards"))
+    rows = stored(prints.select("row", "content"))
+    discard(prints)
+    parts = wide_links(nodes, docs, groups, limit, crowd)
+    named_ = stored(least.join(parts, "node", "left").select("content", "n", F.coalesce("component", "node").alias("group")))
+    out = stored(split_join(rows, named_, ["content"], "n").select("row", "group"))
+    discard(rows, nodes, least, named_)
+    return out
+
+
+def wide_links(nodes: DataFrame, docs: DataFrame, groups: int, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
+    """(node, component) of the nodes that have links. nodes: (node, print, shards), of names of so many groups; docs: (row,
+    text) with the nodes among its rows."""
+    at = nodes.select("node", F.col("node").alias("component"), F.slice("shards", 1, FIRST).alias("shards"))
+    first = checkpointed(components(_round(at, nodes, docs, limit, crowd, within=True)))
+    at = nodes.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "shards")
+    # the shards of the first tables have been compared whole, but for the crowded ones
+    table = F.expr(f"shard div {(2 * GROUP) ** groups}")
+    links = _round(at, nodes, docs, limit, crowd, within=False, only=(table >= FIRST) | (F.col("n") > crowd))
+    return checkpointed(components(links.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+
+
+def _round(at: DataFrame, nodes: DataFrame, docs: DataFrame, limit: int, crowd: int, within: bool, only: Column | None = None) -> DataFrame:
+    """(a, b): links between different components of at (node, component, shards), by all shards (shard, n) that hold two
+    and that `only` takes."""
+    rows = stored(at.select("node", "component", F.explode("shards").alias("shard")))
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    sizes = stored((sizes if only is None else sizes.filter(only)).filter("lo <> hi").select("shard", "n"))
+    mixed = stored(split_join(rows, sizes, ["shard"], "n"))
+    discard(rows, sizes)
+    groups = stored(candidates(_dealt(mixed, crowd, within).join(nodes.select("node", "print"), "node"), limit).dropDuplicates(["group", "node"]))
+    discard(mixed)
+    wanted = groups.select(F.col("node").alias("row")).distinct()
+    sets = stored(_sets(docs.join(wanted, "row", "left_semi")))
+    links = stored(verified(groups.join(sets, "node"), limit).distinct())
+    discard(groups, sets)
+    return links
 
 
-def band_rows(nodes: DataFrame, bits: int, bands: range) -> DataFrame:
-    """(band, value, node, component): the value of each band of every node's wide fingerprint. A band is the first bits of
-    a fixed order of all of them."""
-    chosen = {band: np.random.default_rng((SEED, band)).permutation(64 * WORDS)[:bits] for band in bands}
-    weights = (1 << np.arange(bits, dtype=np.int64)).astype(np.int64)
+def _dealt(rows: DataFrame, crowd: int, within: bool) -> DataFrame:
+    """rows (shard, node, component, n) with i, j, resident and probe: in a cell (i, j) every probe is compared with every
+    resident. A shard of `crowd` nodes or fewer is one cell, and all are both. Of a larger shard each node resides in one
+    block i, and those outside the shard's largest component probe all of them, in blocks j of `crowd` too, so a cell has
+    about 2 * crowd nodes at most; with `within`, nodes of one block i are compared with each other only."""
+    one = F.lit(0).alias("j"), F.lit(True).alias("resident"), F.lit(True).alias("probe")
+    few = rows.filter(F.col("n") <= crowd).select("shard", "node", "component", F.lit(0).alias("i"), *one)
+    many = rows.filter(F.col("n") > crowd).withColumn("blocks", F.ceil(F.col("n") / crowd).cast("int"))
+    many = many.withColumn("i", F.pmod(F.xxhash64("node", "shard"), F.col("blocks")).cast("int"))
+    if within:
+        return few.unionByName(many.select("shard", "node", "component", "i", *one))
+    sizes = many.groupBy("shard", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("shard").agg(F.max(F.struct("size", "component")).alias("largest"), F.sum("size").alias("n"))
+    largest = largest.select("shard", F.col("largest.component").alias("largest"), F.ceil((F.col("n") - F.col("largest.size")) / crowd).cast("int").alias("probing"))
+    many = many.join(largest, "shard")
+    residents = many.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("probing") - 1))).withColumn("resident", F.lit(True)).withColumn("probe", F.lit(False))
+    probes = many.filter("component <> largest").withColumn("j", F.pmod(F.xxhash64("shard", "node"), F.col("probing")).cast("int"))
+    probes = probes.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("resident", F.lit(False)).withColumn("probe", F.lit(True))
+    return reduce(DataFrame.unionByName, [few, residents.select(*few.columns), probes.select(*few.columns)])
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(node, hashes): the distinct shingles of each of docs (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                raw = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                bit = np.unpackbits(raw, axis=1, bitorder="little").astype(np.int64)
-                for band, places in chosen.items():
-                    value = bit[:, places] @ weights
-                    columns = [pa.array(np.full(part.num_rows, band, np.int32)), pa.array(value), part.column("node"), part.column("component")]
-                    yield pa.RecordBatch.from_arrays(columns, names=["band", "value", "node", "component"])
-
-    return nodes.select("node", "component", "print").mapInArrow(run, "band int, value bigint, node bigint, component bigint")
-
-
-def wide_links(nodes: DataFrame, texts: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
-    """(node, component) of the nodes that have links. nodes: (node, print); texts: (node, text), one row a node.
-
-    The first round compares only the nodes of a block where a shard has more than `crowd`, which joins most of a large
-    group at little cost. The rounds after it take all bands and compare every two nodes of a shard that are still in
-    different components, in pairs of blocks."""
-    bits, bands = band_shape(nodes.count())
-    rounds = -(-bands // ROUND)
-    cuts = [bands * k // rounds for k in range(rounds + 1)]
-    at, out = nodes.withColumn("component", F.col("node")), []
-    for number, part in enumerate([range(min(FIRST, bands)), *map(range, cuts, cuts[1:])]):
-        rows = band_rows(at, bits, part)
-        sizes = rows.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        sizes = stored(sizes.filter("lo <> hi").select("band", "value", "n"))
-        rows = stored(rows.join(sizes, ["band", "value"]))
-        shards = block_pairs(rows, crowd)
-        groups = candidates((shards if number else shards.filter("i = j")).join(nodes.select("node", "print"), "node"), limit)
-        groups = stored(groups.dropDuplicates(["group", "node"]))
-        out.append(stored(verified(groups.join(texts, "node"), limit).distinct()))
-        discard(sizes, rows, groups)
-        if not number:
-            first = checkpointed(components(out[0]))
-            at = stored(nodes.join(first, "node", "left").withColumn("component", F.coalesce("component", "node")))
-            out = [first.select(F.col("node").alias("a"), F.col("component").alias("b"))]
-    return components(reduce(DataFrame.unionByName, out))
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                sets = [np.unique(shingle_hashes(text or b"", WIDE_SHINGLE)).tobytes() for text in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sets, pa.binary())], names=["node", "hashes"])
+
+    return docs.select("row", F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, "node bigint, hashes binary")
 
 
 def _joined(size: int):
@@ -358,45 +432,54 @@ def _collected(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBa
         yield arrow_batch(out, schema)
 
 
-def candidates(shards: DataFrame, limit: int) -> DataFrame:
-    """(group, node, component, print): the nodes of a shard that pairs of different components at `limit` bits or less
-    hold together. Equal groups of different shards have equal numbers."""
-    keys = ["band", "value", "i", "j"]
+def candidates(dealt: DataFrame, limit: int) -> DataFrame:
+    """(group, node, component, print): the nodes of a cell that pairs of different components at `limit` bits or less hold
+    together. Equal groups of different shards have equal numbers."""
+    keys = ["shard", "i", "j"]
     schema = "group bigint, node bigint, component bigint, print binary"
     out_schema = arrow_schema(schema)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for held in _runs(batches, keys):
-            if len(held) == 1:
+        for rows in _runs(batches, keys):
+            if len(rows) == 1:
                 continue
-            held.sort(key=lambda row: row["node"])
-            words, component = _words(held), np.array([row["component"] for row in held])
+            nodes: dict[int, dict] = {}
+            for row in rows:  # a node may reside and probe in a cell by two rows
+                if row["node"] in nodes:
+                    row["resident"], row["probe"] = True, True
+                nodes[row["node"]] = row
+            # residents that don't probe, then those that do, then the others: each pair meets once
+            held = sorted(nodes.values(), key=lambda row: (row["probe"], not row["resident"], row["node"]))
             root, join = _joined(len(held))
-            for k in range(len(held) - 1):
-                near = (np.bitwise_count(words[k] ^ words[k + 1 :]).sum(axis=1) <= limit) & (component[k + 1 :] != component[k])
-                for j in np.flatnonzero(near).tolist():
-                    join(k, k + 1 + j)
+            tree = BKTree()
+            for k, row in enumerate(held):
+                p = int.from_bytes(row["print"], "little")
+                for j in tree.near(p, limit) if row["probe"] else ():
+                    if held[j]["component"] != row["component"]:
+                        join(j, k)
+                if row["resident"]:
+                    tree.add(p)
             groups: dict[int, list[dict]] = {}
             for k, row in enumerate(held):
                 groups.setdefault(root(k), []).append(row)
-            for rows in groups.values():
-                if len(rows) > 1:
-                    number = _number(np.array([row["node"] for row in rows], np.int64))
-                    for row in rows:
+            for group in groups.values():
+                if len(group) > 1:
+                    number = _number(np.array(sorted(row["node"] for row in group), np.int64))
+                    for row in group:
                         yield number, row["node"], row["component"], row["print"]
 
-    return shards.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: _collected(found(batches), out_schema), schema)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: _collected(found(batches), out_schema), schema)
 
 
 def verified(groups: DataFrame, limit: int) -> DataFrame:
     """(a, b): links that join what all pairs of a group at `limit` bits or less and similarity LEAST or more join, besides
-    those inside a component. groups: candidates with text."""
+    those inside a component. groups: candidates with hashes."""
     schema = "a bigint, b bigint"
     out_schema = arrow_schema(schema)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for held in _runs(batches, ["group"]):
-            words, sets = _words(held), [np.unique(shingle_hashes(row.pop("text"), WIDE_SHINGLE)) for row in held]
+            words, sets = _words(held), [np.frombuffer(row["hashes"], np.uint64) for row in held]
             root, join = _joined(len(held))
             first: dict[int, int] = {}
             for k, row in enumerate(held):
@@ -420,28 +503,6 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * under >= (len(a) + len(b) - both) * over
 
 
-def block_pairs(rows: DataFrame, crowd: int) -> DataFrame:
-    """rows (band, value, node, n, ...) with i and j instead of n: block i of a shard meets each block j, itself too, and
-    a row goes to all pairs that its own block is in. Shards of `crowd` nodes or fewer are one block."""
-    blocks = F.ceil(F.col("n") / crowd).cast("int")
-    own = F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int")
-    pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"))))
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", pairs)
-    return dealt.select("band", "value", "pair.i", "pair.j", *(c for c in rows.columns if c not in ("band", "value", "n")))
-
-
-def wide_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id: single linkage of near copies, five-word shingles of Jaccard similarity 0.8 or more."""
-    prints = stored(wide_prints(docs).withColumn("row", F.monotonically_increasing_id()))
-    nodes = stored(prints.groupBy("node", "print").agg(F.min("doc_id").alias("first"), F.min("row").alias("row")))
-    texts = stored(prints.join(nodes.select("row"), "row", "left_semi").select("node", "text"))
-    rows = stored(prints.select("doc_id", "node"))
-    discard(prints)
-    parts = wide_links(nodes.select("node", "print"), texts)
-    discard(texts)
-    return rows.join(named(nodes, parts), "node").select("doc_id", "component_id")
-
-
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
