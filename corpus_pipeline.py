@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writ
 reads again as the next one's docs. All but the last return the columns of docs.
 
 Cases, besides those of the operators: a stage keeps the order of no row and the columns of docs, whatever they are
-called; n_chars follows the text where both are there. Rows with a null doc_id pass every stage that judges by the text
-alone; near-dedup keeps all rows of a group that have its least doc_id, null ones only in groups without any other.
+called; n_chars follows the text where both are there. Stages judge rows, not ids: null, repeated and clashing doc_ids
+never take other rows along. Near-dedup keeps one row of each group, that of least doc_id, null ones only where the group
+has no other, and one of rows that are alike in everything.
 """
 
 from __future__ import annotations
@@ -16,16 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespool.llm import leaks, line_dedup, pieces, simhash, toxicity
-from framespool.llm.common import shared_dir, stored, table
+from framespool.llm.common import free, shared_dir, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under 0.5, unchanged."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    name = "_score"
-    while name in docs.columns:
-        name += "_"
-    return docs.withColumn(name, toxicity.scorer(spark, model)(F.col("text"))).filter(F.col(name) < 0.5).drop(name)
+    name = free(docs, "_score")
+    return docs.withColumn(name, toxicity.scorer(spark, model)(F.col("text").cast("string"))).filter(F.col(name) < 0.5).drop(name)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +37,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (shingles of five words, similarity 0.8 or more) the document of least doc_id."""
-    groups = stored(simhash.wide_classes(docs))
-    lost = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(lost, docs["doc_id"].eqNullSafe(F.col("_lost")), "left_anti").select(*(docs[c] for c in docs.columns))
+    name = free(docs, "_row")
+    docs = stored(docs.withColumn(name, F.monotonically_increasing_id()))
+    row, doc_id = F.col(name).alias("row"), F.col("doc_id").alias("id")
+    groups = simhash.near_groups(docs.select(row, "text"))
+    first = F.struct(F.col("id").isNull(), "id", "row")
+    kept = groups.join(docs.select(row, doc_id), "row").groupBy("group").agg(F.min_by("row", first).alias(name))
+    return docs.join(kept.select(name), name, "left_semi").drop(name)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of the benchmark was found."""
-    found = stored(leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti").select(*(docs[c] for c in docs.columns))
+    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
