@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.basic import col, cols
+from ..sources.sinks import kept
 
 
 def segments(df: DataFrame, by, frame, step, consecutive: bool = True, out: str = "segment") -> DataFrame:
@@ -43,15 +44,19 @@ def number_episodes(segments_: DataFrame, case: str, order, existing: DataFrame
 
 
 def ranked(df: DataFrame, order, out: str = "rank", parts: int | None = None) -> DataFrame:
-    """Rows numbered from 0 in a total order: a range repartition, a count of each partition and its offset, instead of
-    one window over all rows."""
+    """Rows numbered from 0 in a total order: a range repartition, each row's place in its partition, and the offset of the
+    partition, instead of one window over all rows.
+
+    Places are written once to the shared folder and read from there for both the rows and the offsets: planned twice, the
+    ranges could come out differently."""
     keys = cols(order)
-    spread = df.repartitionByRange(*([parts] if parts else []), *keys).withColumn("_part", F.spark_partition_id())
-    local = spread.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    sizes = local.groupBy("_part").agg(F.count("*").alias("_size"))
-    offset = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row a partition
-    offsets = sizes.select("_part", F.coalesce(offset, F.lit(0)).alias("_offset"))
-    return local.join(F.broadcast(offsets), "_part").withColumn(out, (F.col("_offset") + F.col("_at") - 1).cast("long")).drop("_part", "_at", "_offset")
+    spread = df.repartitionByRange(*([parts] if parts else []), *keys).sortWithinPartitions(*keys)
+    placed = kept(spread.withColumn("_at", F.monotonically_increasing_id()), "ranked")  # partition << 33 | place in it
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row a partition
+    offsets = sizes.select("_part", (F.coalesce(before, F.lit(0)) - F.col("_part") * (1 << 33)).alias("_offset"))
+    return placed.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_offset") + F.col("_at")).drop("_part", "_at", "_offset")
 
 
 def duration_statistics(df: DataFrame, by: str, value, kind: str) -> DataFrame:

@@ -10,14 +10,33 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors see; a temporary one where spark.checkpoint.dir is unset (tests)."""
+    """A new path in the folder that all executors see, as spark.checkpoint.dir names it. Where that is unset a session on
+    one machine (tests) gets a temporary folder; a cluster raises."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="framespool-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared folder and read from there: every use of it sees the same rows."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Deletes copies in the shared folder that are no longer needed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def write_partitioned(df: DataFrame, path: str, by: list[str], keep_as: dict[str, str] | None = None, mode: str = "error") -> None:
     """Parquet (zstd) partitioned by columns, one file a partition value; keep_as keeps a copy of one under another
     name as a data column. Overwriting replaces only the partitions that df has."""
