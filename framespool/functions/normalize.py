@@ -72,7 +72,7 @@ def clean_label(label: Column) -> Column:
 
 def projected(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of the schema in its order and types; missing ones are typed nulls."""
-    return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields))
+    return df.select(*((F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def flattened(array: Column, names: list[str], least: int | None = None, default: float | None = None) -> list[Column]:
@@ -103,13 +103,15 @@ def iso_to_ns(text: Column) -> Column:
     return F.coalesce(F.unix_micros(F.try_to_timestamp(text)) * 1000, F.lit(0).cast("long"))
 
 
-#: Fixed value: a line of the unpack log.
-LOG_LINE = r"\|\s*([\w./_-]+):\s+(\d+)\s+(?:PNGs|JSONs)\s+in\s+([\d.]+)s(?:\s+\(([\d.]+)\s*fps\))?"
-
-
 def log_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """(stream, count, elapsed_s, rate) of the log lines that report a stream; other lines are dropped."""
-    part = lambda k: F.regexp_extract(line, LOG_LINE, k)
-    return lines.filter(F.col(line).rlike(LOG_LINE)).select(
-        part(1).alias("stream"), part(2).cast("int").alias("count"), part(3).cast("double").alias("elapsed_s"), F.nullif(part(4), F.lit("")).cast("double").alias("rate")
-    )
+    """(stream, count, elapsed_s, rate) of the log lines that report a stream, `... | stream: N PNGs in S s (R fps)`, the
+    rate only on some and JSONs for PNGs on others; other lines are dropped."""
+    report = F.substring_index(line, "|", -1)
+    words = F.split(F.trim(F.substring_index(report, ":", -1)), r"\s+")
+    word = lambda k: F.get(words, F.lit(k))
+    rate = F.when(F.endswith(word(5), F.lit("fps)")), F.ltrim(word(4), F.lit("("))).when(F.startswith(word(4), F.lit("(")), F.regexp_replace(word(4), r"[()]|fps", ""))
+    parsed = lines.filter(F.contains(line, F.lit("|"))).select(
+        F.trim(F.substring_index(report, ":", 1)).alias("stream"), word(0).try_cast("int").alias("count"), F.rtrim(word(3), F.lit("s")).try_cast("double").alias("elapsed_s"),
+        rate.try_cast("double").alias("rate"), word(1).isin("PNGs", "JSONs").alias("_kind"), (word(2) == "in").alias("_in"),
+    )
+    return parsed.filter("_kind AND _in AND count IS NOT NULL AND elapsed_s IS NOT NULL").drop("_kind", "_in")

@@ -57,9 +57,22 @@ def plus(a: Column, b: Column) -> Column:
     return F.array(*(a[k] + b[k] for k in range(3)))
 
 
-def measured_pose(r_local: Column, t_local: Column, r_wb: Column, p_wb: Column, r_cw: Column, p_cw: Column) -> tuple[Column, Column]:
-    """Tool tip in the camera: base to world, world to camera."""
-    return product(r_cw, product(r_wb, r_local)), plus(turned(r_cw, plus(turned(r_wb, t_local), p_wb)), p_cw)
+def chained(r_wb, p_wb, r_cw, p_cw) -> tuple[Column, Column]:
+    """Base to camera from constants, base to world and world to camera; composed here once, not on every row."""
+    r = [sum(r_cw[3 * i + k] * r_wb[3 * k + j] for k in range(3)) for i in range(3) for j in range(3)]
+    p = [sum(r_cw[3 * i + k] * p_wb[k] for k in range(3)) + p_cw[i] for i in range(3)]
+    return vector(*r), vector(*p)
+
+
+def measured_pose(r_local: Column, t_local: Column, r_cb: Column, p_cb: Column) -> tuple[Column, Column]:
+    """Tool tip in the camera, from its pose in the base and the base's in the camera: one product a rotation. Where the
+    base's pose differs by row, base_in_camera() gives it; select it first, so that it is a column by itself."""
+    return product(r_cb, r_local), plus(turned(r_cb, t_local), p_cb)
+
+
+def base_in_camera(r_wb: Column, p_wb: Column, r_cw: Column, p_cw: Column) -> tuple[Column, Column]:
+    """chained() for columns."""
+    return product(r_cw, r_wb), plus(turned(r_cw, p_wb), p_cw)
 
 
 def setpoint_pose(r_set: Column, t_set: Column, r_cw: Column, p_cw: Column) -> tuple[Column, Column]:

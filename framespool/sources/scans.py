@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.catalog import MASTER, TOPICS, Topic, stamp_columns
+from ..functions.catalog import MASTER, TOPICS, stamp_columns
 
 CP = "struct<position:array<double>,orientation:array<double>,velocity:array<double>>"
 JS = "struct<position:array<double>,velocity:array<double>,effort:array<double>>"
@@ -29,24 +29,31 @@ def keys_of(path: Column, depth: int = 1) -> list[Column]:
     return [at(depth + 3).alias("dataset"), at(depth + 2).alias("clip"), F.regexp_extract(at(1), r"^(\d+)", 1).try_cast("int").alias("frame")]
 
 
-def stamp_documents(documents: DataFrame, topics: list[Topic] = TOPICS, master: Topic = MASTER) -> DataFrame:
+def stamp_documents(documents: DataFrame, topics: dict[str, str] = TOPICS, master: tuple[str, str] = MASTER) -> DataFrame:
     """One row per time-stamp document: the master's and every topic's stamp in ns, null where its path is missing."""
-    return documents.select(*keys_of(F.col("path")), *stamp_columns(F.col("value"), [master, *topics]))
+    return documents.select(*keys_of(F.col("path")), *stamp_columns(F.col("value"), dict([master]) | topics))
 
 
-def kinematic_documents(documents: DataFrame) -> DataFrame:
+def kinematic_documents(documents: DataFrame, strict: bool = False) -> DataFrame:
     """One row per arm and frame: joint and Cartesian fields, jaw and frequency from either place; corrupt says what is
-    wrong with a document (unreadable, or an orientation without four values)."""
+    wrong with a document (unreadable, or an orientation without four values). strict: such a document raises instead."""
     doc = F.from_json("value", f"array<{ARM}>")[0]
     rows = documents.select(*keys_of(F.col("path"), 2), F.element_at(F.split("path", "/"), -2).alias("arm_name"), doc.alias("d"))
     m, s, a = F.col("d.arm.measured_data"), F.col("d.arm.setpoint_data"), F.col("d")
-    turn = m["measured_cp"]["orientation"]
+    turns = (m["measured_cp"]["orientation"], m["local_measured_cp"]["orientation"], s["setpoint_cp"]["orientation"])
+    bent = F.lit(False)
+    for turn in turns:
+        bent = bent | (turn.isNotNull() & (F.size(turn) != 4))
+    fault = F.when(a.isNull(), "unreadable").when(bent, "orientation")
+    if strict:
+        fault = F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.lit(": "), "dataset", F.lit("/"), "clip", F.lit("/"), F.col("frame").cast("string"))).cast("string"))
     return rows.select(
         "dataset", "clip", "frame", "arm_name", m["measured_js"].alias("measured_js"), m["measured_cp"].alias("measured_cp"), m["local_measured_cp"].alias("local_measured_cp"),
         m["measured_cv"].alias("measured_cv"), s["setpoint_js"].alias("setpoint_js"), s["setpoint_cp"].alias("setpoint_cp"),
         F.coalesce(a["jaw"]["measured_data"]["position"], a["arm"]["jaw"]["measured_data"]["position"])[0].alias("jaw_position"),
+        F.coalesce(a["jaw"]["setpoint_data"]["position"], a["arm"]["jaw"]["setpoint_data"]["position"])[0].alias("jaw_setpoint"),
         F.coalesce(a["measured_frequency"], a["arm"]["measured_frequency"]).alias("frequency"),
-        F.when(a.isNull(), "unreadable").when(turn.isNotNull() & (F.size(turn) != 4), "orientation").alias("corrupt"),
+        fault.alias("corrupt"),
     )
 
 
@@ -92,10 +99,12 @@ def calibrations(documents: DataFrame, stereo: DataFrame | None = None) -> DataF
     return out.withColumn("baseline", F.coalesce("_stereo", "_derived")).drop("_derived", "_stereo")
 
 
-def camera_timetables(documents: DataFrame, key: str, value: str = "value") -> DataFrame:
-    """(key, frame, timestamp_ns) of arrays of {frame, timestamp_ns}; of a frame that occurs twice, the later entry."""
-    rows = documents.select(key, F.posexplode(F.from_json(value, "array<struct<frame:int,timestamp_ns:bigint>>")).alias("_at", "_e"))
-    return rows.groupBy(key, F.col("_e.frame").alias("frame")).agg(F.max_by("_e.timestamp_ns", "_at").alias("timestamp_ns"))
+def camera_timetables(documents: DataFrame, key: str, value: str = "value", order: str | None = None) -> DataFrame:
+    """(key, frame, timestamp_ns) of arrays of {frame, timestamp_ns}; of a frame that occurs twice, the later entry. A
+    long timetable may come in several documents: order says in which order they count."""
+    part = F.col(order) if order else F.lit(0)
+    rows = documents.select(key, part.alias("_part"), F.posexplode(F.from_json(value, "array<struct<frame:int,timestamp_ns:bigint>>")).alias("_at", "_e"))
+    return rows.groupBy(key, F.col("_e.frame").alias("frame")).agg(F.max_by("_e.timestamp_ns", F.struct("_part", "_at")).alias("timestamp_ns"))
 
 
 def clip_inventory(paths: DataFrame, dataset: Column, clip: Column, marks: dict[str, str], kinds: tuple[str, ...] = ("offline", "online"), path: str = "path") -> DataFrame:
