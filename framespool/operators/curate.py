@@ -60,9 +60,13 @@ def bounded_sample(df: DataFrame, by, order, k: int) -> DataFrame:
 
 
 def repeatable_sample(df: DataFrame, key, share: float = 0.01, salt: str = "") -> DataFrame:
-    """About `share` of the rows, and the same ones every time: those whose hash of the key is low. One row at least."""
-    bucket = F.conv(F.substring(F.md5(F.concat(F.lit(salt), col(key).cast("string"))), 1, 8), 16, 10).cast("long")
-    return df.filter(bucket < int(share * (1 << 32)))
+    """About `share` of the rows, and the same ones every time: those whose hash of the key is low. Of rows with a key, that
+    of least hash at least (all that have that key)."""
+    key = col(key).cast("string")
+    bucket = F.conv(F.substring(F.md5(F.concat(F.lit(salt), key)), 1, 8), 16, 10).cast("long")
+    least = df.agg(F.min(F.struct(bucket.alias("bucket"), key.alias("key"))).alias("_least"))  # one row
+    chosen = (bucket < int(share * (1 << 32))) | (F.struct(bucket.alias("bucket"), key.alias("key")) == F.col("_least"))
+    return df.crossJoin(F.broadcast(least)).filter(chosen).drop("_least")
 
 
 def reference_camera(counts: DataFrame, by, camera: str, n, preference: dict[str, int] | None = None) -> DataFrame:
@@ -73,13 +77,23 @@ def reference_camera(counts: DataFrame, by, camera: str, n, preference: dict[str
     return counts.groupBy(*cols(by)).agg(F.min_by(camera, F.struct(col(n), rank, F.col(camera))).alias("reference"))
 
 
-def remapped(paths: DataFrame, path: str, mapping: DataFrame, old: str, new: str, tail: Column, mapping_tail: Column) -> DataFrame:
-    """Each path's new path: by the whole path, else by its tail, else null (matched_by says which)."""
-    exact = mapping.select(F.col(old).alias(path), F.col(new).alias("_exact")).dropDuplicates([path])
+def remapped(paths: DataFrame, path: str, mapping: DataFrame, old: str, new: str, tail: Column, mapping_tail: Column, index: DataFrame | None = None) -> DataFrame:
+    """Each path's new path: by the whole path, else by its tail, else by the index (path, new_path) if there is one, else
+    null (matched_by says which). Of several targets the least counts."""
+    exact = mapping.groupBy(F.col(old).alias(path)).agg(F.min(new).alias("_exact"))
     by_tail = mapping.groupBy(mapping_tail.alias("_tail")).agg(F.min(new).alias("_by_tail"))
     out = paths.withColumn("_tail", tail).join(exact, path, "left").join(by_tail, "_tail", "left")
     how = F.when(F.col("_exact").isNotNull(), "path").when(F.col("_by_tail").isNotNull(), "tail")
-    return out.withColumn("new_path", F.coalesce("_exact", "_by_tail")).withColumn("matched_by", how).drop("_tail", "_exact", "_by_tail")
+    found = F.coalesce("_exact", "_by_tail")
+    if index is not None:
+        out = out.join(index.groupBy(path).agg(F.min("new_path").alias("_indexed")), path, "left")
+        how, found = how.when(F.col("_indexed").isNotNull(), "index"), F.coalesce("_exact", "_by_tail", "_indexed")
+    return out.withColumn("new_path", found).withColumn("matched_by", how).drop("_tail", "_exact", "_by_tail", "_indexed")
+
+
+def unmatched(mapped: DataFrame, path: str) -> DataFrame:
+    """The paths that remapped() found no target for, once each."""
+    return mapped.filter("new_path IS NULL").select(path).distinct()
 
 
 def nearest_ancestor(paths: DataFrame, path: str, folders: DataFrame, folder: str, levels: int = 5) -> DataFrame:

@@ -43,13 +43,28 @@ def roll_up(issues: DataFrame) -> DataFrame:
     return issues.groupBy("severity", "code").agg(F.count("*").alias("n")).withColumn("fails", F.col("severity") == "ERROR")
 
 
+def shipped(path: Column, internal: tuple[str, ...] = (".staging", ".logs", ".tmp"), markers: tuple[str, ...] = (".running.json", ".failed.json", ".complete.json")) -> Column:
+    """Whether a release ships a path (relative to its root): not what lies in internal folders, nor the markers of an
+    episode's state (by the ends of their names), nor the manifest itself."""
+    top, name = F.substring_index(path, "/", 1), F.substring_index(path, "/", -1)
+    marker = F.lit(False)
+    for end in markers:
+        marker = marker | (F.startswith(name, F.lit(".")) & F.endswith(name, F.lit(end)))
+    return ~top.isin(*internal) & ~marker & (path != "meta/manifest.json")
+
+
 def manifest(files: DataFrame, path: str, content, keep: Column | None = None) -> DataFrame:
-    """(path, sha256, size) of each shipped file."""
+    """(path, sha256, size) of each file that is shipped (keep: another condition besides)."""
     data = col(content).cast("binary")
-    files = files.filter(keep) if keep is not None else files
+    files = files.filter(shipped(F.col(path)) if keep is None else shipped(F.col(path)) & keep)
     return files.select(F.col(path).alias("path"), F.sha2(data, 256).alias("sha256"), F.octet_length(data).cast("long").alias("size"))
 
 
+def manifest_totals(manifest_: DataFrame) -> DataFrame:
+    """total_files and total_bytes."""
+    return manifest_.agg(F.count("*").alias("total_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"))
+
+
 def verified(manifest_: DataFrame, files: DataFrame) -> DataFrame:
     """status of each manifest entry against what is there: MISSING, then SIZE, then HASH, else OK."""
     there = files.select("path", F.col("sha256").alias("_sha"), F.col("size").alias("_size"))
@@ -59,6 +74,11 @@ def verified(manifest_: DataFrame, files: DataFrame) -> DataFrame:
     return manifest_.join(there, "path", "left").select("path", status.alias("status"))
 
 
+def verdict(status: DataFrame) -> DataFrame:
+    """verified() by status: how many, and whether the release fails with it."""
+    return status.groupBy("status").agg(F.count("*").alias("n")).withColumn("fails", F.col("status") != "OK")
+
+
 def delta(local: DataFrame, remote: DataFrame) -> DataFrame:
     """new, changed or unchanged for each local file; what is only remote doesn't count (one way)."""
     there = remote.select("path", F.col("sha256").alias("_sha"), F.lit(True).alias("_is"))
@@ -96,14 +116,22 @@ def round_trip(first: DataFrame, second: DataFrame, doc: str, scalars: dict[str,
     """(doc, path, kind) of leaves that the second document lacks or has otherwise. Numbers may differ by
     tolerance * max(1, |a|); null equals null; what only the second has doesn't count.
 
-    Both sides become (doc, path, value) rows with stack(), so any set of leaves is one join."""
-    def leaves(df: DataFrame) -> DataFrame:
-        stack = ", ".join(f"'{path}', cast(`{c}` as string)" for c, path in scalars.items())
-        return df.select(doc, F.expr(f"stack({len(scalars)}, {stack}) as (path, value)")).filter(F.col("value").isNotNull())
-
-    a, b = leaves(first), leaves(second).select(doc, "path", F.col("value").alias("_other"))
-    both = a.filter(~F.col("path").isin(list(known_lossy))).join(b, [doc, "path"], "left")
-    x, y = F.col("value").try_cast("double"), F.col("_other").try_cast("double")
-    close = F.coalesce(F.abs(x - y) <= tolerance * F.greatest(F.lit(1.0), F.abs(x)), F.col("value") == F.col("_other"))
-    kind = F.when(F.col("_other").isNull(), "missing").when(~close, "differs")
-    return both.select(doc, "path", kind.alias("kind")).filter("kind IS NOT NULL")
+    Documents meet once, side by side, and leaves are compared in their own types (as text where the types differ); only
+    those that differ become rows."""
+    kinds, others = dict(first.dtypes), dict(second.dtypes)
+    numeric = lambda kind: kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+    leaves = [(c, path) for c, path in scalars.items() if path not in known_lossy]
+    a = first.select(doc, *(F.col(c).alias(f"_a{k}") for k, (c, _) in enumerate(leaves)))
+    b = second.select(doc, *(F.col(c).alias(f"_b{k}") for k, (c, _) in enumerate(leaves)))
+    found = []
+    for k, (c, path) in enumerate(leaves):
+        x, y = F.col(f"_a{k}"), F.col(f"_b{k}")
+        if numeric(kinds[c]) and numeric(others[c]):
+            x, y = x.cast("double"), y.cast("double")
+            same = F.coalesce(F.abs(x - y) <= tolerance * F.greatest(F.lit(1.0), F.abs(x)), F.lit(False)) | (x == y)
+        else:
+            same = x == y if kinds[c] == others[c] else x.cast("string") == y.cast("string")
+        kind = F.when(x.isNotNull() & y.isNull(), "missing").when(x.isNotNull() & ~same, "differs")
+        found.append(F.when(kind.isNotNull(), F.struct(F.lit(path).alias("path"), kind.alias("kind"))))
+    both = a.join(b, doc, "left").select(doc, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("_x"))
+    return both.select(doc, "_x.path", "_x.kind")
