@@ -18,26 +18,39 @@ def ingest(spark: SparkSession, path: str, schema: T.StructType, done: DataFrame
     return stream if done is None else stream.join(done, on, "left_semi")
 
 
-def monitored(stream: DataFrame, key: str, time: str, ident: str, period: int, multiplier: float = 1.5, most: int = 127) -> DataFrame:
-    """(key, ident, contiguous, drops) of each frame against the one before it, with a period known beforehand. The
-    state of a clip is its last stamp; frames of one micro-batch are put in order of time first."""
+def monitored(
+    stream: DataFrame, key: str, time: str, ident: str, period: int, multiplier: float = 1.5, most: int = 127, late: str = "10 minutes", forget: int = 400 * 86_400_000_000
+) -> DataFrame:
+    """(key, ident, contiguous, drops) of each frame against the one before it, with a period known beforehand; time in
+    microseconds. The state of a clip is its last stamp; frames of one micro-batch are put in order of time first. Frames
+    older than the state, or than the watermark, come too late and are left out. A clip is forgotten `forget`
+    microseconds after its last frame."""
     out = T.StructType([stream.schema[key], stream.schema[ident], T.StructField("contiguous", T.BooleanType()), T.StructField("drops", T.IntegerType())])
 
     def follow(who: tuple, frames: Iterator, state) -> Iterator:
         import numpy as np
         import pandas as pd
 
+        if state.hasTimedOut:
+            state.remove()
+            return
         rows = pd.concat(list(frames)).sort_values([time, ident])
         before = state.get[0] if state.exists else None
+        if before is not None:
+            rows = rows[rows[time] >= before]
+        if not len(rows):
+            return
         stamps = rows[time].to_numpy(dtype=np.int64)
         gaps = np.diff(np.concatenate([[stamps[0] if before is None else before], stamps]))
         first = np.arange(len(stamps)) == 0 if before is None else np.zeros(len(stamps), bool)
         ok = ~first & (gaps < multiplier * period) if period > 0 else ~first
         drops = np.where(first | (period <= 0), 0, np.clip(np.rint(gaps / max(period, 1)) - 1, 0, most)).astype(np.int32)
         state.update((int(stamps[-1]),))
+        state.setTimeoutTimestamp(max((int(stamps[-1]) + forget) // 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({key: who[0], ident: rows[ident].to_numpy(), "contiguous": ok, "drops": drops})
 
-    return stream.select(key, time, ident).groupBy(key).applyInPandasWithState(follow, out, "last bigint", "append", "NoTimeout")
+    clock = stream.select(key, time, ident, F.timestamp_micros(time).alias("_clock")).withWatermark("_clock", late)
+    return clock.groupBy(key).applyInPandasWithState(follow, out, "last bigint", "append", "EventTimeTimeout")
 
 
 def sync_health(stream: DataFrame, time: str, topic: str, delta: str, tolerance: float, every: str = "1 minute", late: str = "10 minutes") -> DataFrame:
