@@ -120,6 +120,21 @@ def j10_remap(spark, d):
     return C.remapped(paths, "path", mapping, "old", "new", tail("path"), tail("old")).select("page_id", "new_path", "matched_by")
 
 
+R.sql["j10_unmatched"] = """WITH p AS (SELECT page_id, regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), m AS (SELECT path AS old, 'new/' || path AS new FROM p WHERE page_id % 10 = 0),
+t AS (SELECT DISTINCT regexp_extract(old, '([^/]*/[^/]*)$', 1) AS tail FROM m), i AS (SELECT DISTINCT path FROM p WHERE page_id % 4 = 1)
+SELECT DISTINCT path FROM p WHERE path NOT IN (SELECT old FROM m) AND regexp_extract(path, '([^/]*/[^/]*)$', 1) NOT IN (SELECT tail FROM t) AND path NOT IN (SELECT path FROM i)"""
+
+
+@R.query
+def j10_unmatched(spark, d):
+    """Paths with no target in the note, by their tail, or in the index."""
+    paths = table(spark, d, "pages").select("page_id", F.regexp_extract("url", "://([^?#]*)", 1).alias("path"))
+    mapping = paths.filter("page_id % 10 = 0").select(F.col("path").alias("old"), F.concat(F.lit("new/"), "path").alias("new"))
+    index = paths.filter("page_id % 4 = 1").select("path", F.concat(F.lit("index/"), "path").alias("new_path"))
+    tail = lambda c: F.regexp_extract(c, "([^/]*/[^/]*)$", 1)
+    return C.unmatched(C.remapped(paths, "path", mapping, "old", "new", tail("path"), tail("old"), index), "path")
+
+
 R.sql["j15_nearest_ancestor"] = """WITH p AS (SELECT DISTINCT regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), f AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*/[^/?#]*)/', 1) AS folder FROM pages WHERE page_id % 2 = 0 UNION SELECT regexp_extract(url, '://([^/?#]*)', 1) FROM pages WHERE page_id % 5 = 0),
 u AS (SELECT path, unnest(range(1, 6)) AS k, string_split(path, '/') AS parts FROM p), a AS (SELECT path, len(parts) - k AS depth, array_to_string(parts[1:len(parts) - k], '/') AS up FROM u WHERE len(parts) - k > 0)
 SELECT p.path, max_by(up, depth) AS ancestor FROM p LEFT JOIN (SELECT * FROM a WHERE up IN (SELECT folder FROM f)) x ON p.path = x.path GROUP BY p.path"""

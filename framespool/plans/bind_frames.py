@@ -33,7 +33,7 @@ CASE WHEN event_id % 3 > 0 THEN (epoch_us(ts) + event_id % 100) * 1000 END AS ec
 
 @R.query
 def s1_stamp_documents(spark, d):
-    out = S.stamp_documents(documents_of_events(spark, d), [t for t in TOPICS if t.name in ("image_right", "image_side", "ECM.measured_js")])
+    out = S.stamp_documents(documents_of_events(spark, d), {t: TOPICS[t] for t in ("image_right", "image_side", "ECM.measured_js")})
     return out.select("clip", "frame", "image_left", "image_right", "image_side", F.col("ECM__measured_js").alias("ecm__measured_js"))
 
 
@@ -109,8 +109,10 @@ R.sql["s7_camera_timetables"] = "SELECT user_id, event_id::INTEGER // 2 AS frame
 @R.query
 def s7_camera_timetables(spark, d):
     entry = F.struct("event_id", F.struct(F.expr("event_id div 2").alias("frame"), (micros("ts") * 1000).alias("timestamp_ns")).alias("e"))
-    docs = table(spark, d, "events").groupBy("user_id").agg(F.to_json(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["e"])).alias("value"))
-    return S.camera_timetables(docs, "user_id")
+    # a clip's timetable comes in documents of a thousand frames, so none grows with the clip
+    part = F.expr("event_id div 1000").alias("part")
+    docs = table(spark, d, "events").groupBy("user_id", part).agg(F.to_json(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["e"])).alias("value"))
+    return S.camera_timetables(docs, "user_id", order="part")
 
 
 R.sql["s8_clip_inventory"] = """WITH p AS (SELECT 'online_' || regexp_extract(url, '://([^/?#]*)', 1) AS dataset, regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1) AS clip, url FROM pages)
@@ -351,10 +353,11 @@ R.sql["f2_measured_pose"] = f"""WITH {SQ} SELECT vec_id, round(-({X(5)} + 2) + 5
 
 @R.query
 def f2_measured_pose(spark, d):
-    eye = Q.matrix((1, 0, 0, 0, 1, 0, 0, 0, 1))
-    r, t = Q.measured_pose(F.col("r"), F.col("t"), eye, Q.vector(1, 2, 3), Q.matrix(TURN), Q.vector(5, 6, 7))
+    eye = (1, 0, 0, 0, 1, 0, 0, 0, 1)
     df = vectors(spark, d).select("vec_id", Q.rotation(unit()).alias("r"), Q.vector(E(4), E(5), E(6)).alias("t"))
-    return rounded(df.select("vec_id", *(t[k].alias(f"t{c}") for k, c in enumerate("xyz")), r[0].alias("r00")))
+    r, t = Q.measured_pose(F.col("r"), F.col("t"), *Q.chained(eye, (1, 2, 3), TURN, (5, 6, 7)))
+    df = df.select("vec_id", r.alias("r"), t.alias("t"))
+    return rounded(df.select("vec_id", *(F.col("t")[k].alias(f"t{c}") for k, c in enumerate("xyz")), F.col("r")[0].alias("r00")))
 
 
 R.sql["f3_setpoint_pose"] = f"""WITH {SQ} SELECT vec_id, CASE WHEN vec_id % 3 > 0 THEN round(-{X(5)} + 5, 6) END AS tx, CASE WHEN vec_id % 3 > 0 THEN round({ROT[0]}, 6) END AS r10 FROM n"""
@@ -435,12 +438,29 @@ def f10_polar(spark, d):
     return rounded(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", length.alias("length"), angle.alias("angle")))
 
 
-def replayed(spark, d, stream_of, output="append", parts=4):
-    """The events written as files in order of time, streamed through stream_of, and the result read again."""
-    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type", "value", "props")
+def stream_events(spark, d):
+    return table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def write_slices(events, path, rows_each=2_000_000, least=4):
+    """One file after the other in order of time, as a recorder leaves them: of about rows_each rows, `least` at least."""
+    n = max(least, -(-events.count() // rows_each))
+    us = F.unix_micros("ts")
+    ends = events.select(us.alias("us")).approxQuantile("us", [k / n for k in range(1, n)], 0.001)
+    for low, high in zip([None, *ends], [*ends, None]):
+        part = events if low is None else events.filter(us > low)
+        part = part if high is None else part.filter(us <= high)
+        part.repartition(1).sortWithinPartitions("ts", "event_id").write.mode("append").parquet(path)
+
+
+def replayed(spark, d, stream_of, output="append", files_per_batch=2):
+    """The events written as files in order of time, streamed through stream_of in several micro-batches, and the result
+    read again."""
+    events = stream_events(spark, d)
     source, sink, marks = (K.shared_path(spark, n) for n in ("replay", "live", "marks"))
-    events.repartitionByRange(parts, "ts").sortWithinPartitions("ts", "event_id").write.parquet(source)
-    L.run_once(stream_of(L.ingest(spark, source, events.schema)), sink, marks, output)
+    write_slices(events, source)
+    L.run_once(stream_of(L.ingest(spark, source, events.schema, files_per_batch=files_per_batch)), sink, marks, output)
+    K.removed(spark, source, marks)
     return spark.read.parquet(sink)
 
 
@@ -460,7 +480,7 @@ SELECT user_id, event_id, coalesce(gap < 1.5 * {PERIOD}, false) AS contiguous, C
 
 @R.query
 def r2_live_contiguity(spark, d):
-    return replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), parts=1)
+    return replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), files_per_batch=1)
 
 
 R.sql["r3_sync_health"] = """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts::TIMESTAMP) AS start, event_type, count(value) AS n, count(*) FILTER (abs(value) > 20) AS n_out, round(max(abs(value)), 6) AS max_delta FROM events GROUP BY ALL)
@@ -485,10 +505,11 @@ def r4_live_nearest(spark, d):
         kind = lambda k: s.filter((F.col("event_type") == k) | F.col("user_id").isNull())
         return L.nearest_live(kind("click"), kind("purchase"), "user_id", "ts", "event_id", "30 minutes")
 
-    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    events = stream_events(spark, d)
     end = events.agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).select("event_id", "ts", *(F.lit(None).cast(k).alias(c) for c, k in (("user_id", "long"), ("event_type", "string"), ("value", "double"), ("props", "string"))))
     source, sink, marks = (K.shared_path(spark, n) for n in ("replay", "live", "marks"))
-    events.repartitionByRange(2, "ts").sortWithinPartitions("ts", "event_id").write.parquet(source)
+    write_slices(events, source)
     end.write.mode("append").parquet(source)
-    L.run_once(both(L.ingest(spark, source, events.schema, files_per_batch=1)), sink, marks)
+    L.run_once(both(L.ingest(spark, source, events.schema, files_per_batch=2)), sink, marks)
+    K.removed(spark, source, marks)
     return spark.read.parquet(sink)

@@ -115,7 +115,8 @@ NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
 _PRO = """SELECT '{n}' AS column_name, count(v) AS n, count(*) FILTER (v IS NULL) AS null_count, 0::BIGINT AS nan_count, min(v) AS min_value, max(v) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_samp(v), 6) AS std_value, round(quantile_cont(v, 0.01), 6) AS q01, round(quantile_cont(v, 0.99), 6) AS q99, NULL::BIGINT AS vocab_size FROM (SELECT {c}::DOUBLE AS v FROM {t})"""
 R.sql["a5_column_profile"] = (
     " UNION ALL ".join(_PRO.format(n=c, c=c, t="lineitem") for c in NUMERIC)
-    + " UNION ALL " + " UNION ALL ".join(_PRO.format(n=f"embedding[{k}]", c=f"embedding[{k + 1}]", t="embeddings") for k in range(8))
+    + " UNION ALL SELECT 'embedding[' || k || ']', count(v), count(*) FILTER (v IS NULL), 0, min(v), max(v), round(avg(v), 6), round(stddev_samp(v), 6), round(quantile_cont(v, 0.01), 6), round(quantile_cont(v, 0.99), 6), NULL"
+    + " FROM (SELECT unnest(range(0, len(embedding))) AS k, unnest(embedding)::DOUBLE AS v FROM embeddings) GROUP BY k"
     + " UNION ALL " + " UNION ALL ".join(f"SELECT '{c}', count({c}), count(*) FILTER ({c} IS NULL), 0, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}) FROM documents" for c in ("lang", "source"))
 )
 
@@ -123,7 +124,7 @@ R.sql["a5_column_profile"] = (
 @R.query
 def a5_column_profile(spark, d):
     lines = P.column_profile(table(spark, d, "lineitem"), list(NUMERIC))
-    vectors = P.column_profile(table(spark, d, "embeddings").select(F.slice("embedding", 1, 8).alias("embedding")), ["embedding"])
+    vectors = P.column_profile(table(spark, d, "embeddings"), ["embedding"])
     return lines.unionByName(vectors).unionByName(P.column_profile(table(spark, d, "documents"), ["lang", "source"]))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from framespool.plans import bindings
 from framespool.functions import normalize, pose
 from framespool.functions.catalog import TOPICS
-from framespool.operators import align, curate, integrity, segment, sync_stats
+from framespool.operators import align, curate, integrity, profile, segment, sync_stats
 from framespool.sources import scans, sinks
 from framespool.streaming import live
 
@@ -94,6 +94,85 @@ def test_ranked_is_total(spark):
     assert {x["v"]: x["rank"] for x in segment.ranked(df, ["v"]).collect()} == {v: k for k, v in enumerate(sorted(values))}
 
 
+def test_ranked_keeps_every_row_when_partitions_are_coalesced(spark, tmp_path):
+    """Wide rows, keys that are few of their columns, ties, and partitions that the planner joins as it likes."""
+    forced = {
+        "spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k",
+    }
+    before = {k: spark.conf.get(k, None) for k in forced}
+    df = spark.range(20_000).select("id", F.expr("id * 7919 % 5000").alias("v"), *(F.sha2(F.concat("id", F.lit(str(k))), 256).alias(f"w{k}") for k in range(6)))
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        segment.ranked(df, ["v"]).write.parquet(str(tmp_path / "out"))
+        got = spark.read.parquet(str(tmp_path / "out"))
+        assert got.count() == 20_000 and got.columns == [*df.columns, "rank"]
+        assert got.agg(F.min("rank"), F.max("rank"), F.count_distinct("rank")).first() == (0, 19_999, 20_000)
+        assert got.filter(F.col("v") != F.floor(F.col("rank") / 4)).count() == 0 and got.join(df, df.columns, "left_anti").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_exact_quantiles(spark):
+    r = random.Random(2)
+    columns = {
+        "a": [r.gauss(0, 1) for _ in range(30_000)], "b": [float(r.randrange(3)) for _ in range(30_000)], "c": [None] * 29_999 + [4.0], "d": [float("nan")] * 30_000,
+        "e": [r.random() if k % 400 == 0 else None for k in range(30_000)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    got = {x["column_name"]: x for x in profile.column_profile(df, list(columns), 9).collect()}
+    for c, values in columns.items():
+        real = sorted(v for v in values if v is not None and v == v)
+        for name, q in (("q01", 0.01), ("q99", 0.99)):
+            if not real:
+                assert got[c][name] is None
+                continue
+            at = q * (len(real) - 1)
+            low = math.floor(at)
+            want = real[low] + (real[math.ceil(at)] - real[low]) * (at - low)
+            assert got[c][name] == pytest.approx(want, abs=1e-8), (c, name)
+    assert got["d"]["nan_count"] == 30_000 and got["c"]["null_count"] == 29_999
+
+
+def test_sample_has_a_row_at_least(spark):
+    df = spark.createDataFrame([(f"p{k}",) for k in range(5)], "path string")
+    one = curate.repeatable_sample(df, "path", 0.0).collect()
+    assert len(one) == 1 and one == curate.repeatable_sample(df.repartition(3), "path", 0.0).collect() and curate.repeatable_sample(df.limit(0), "path").count() == 0
+
+
+def test_mapping_takes_the_least_target_and_falls_back(spark):
+    paths = spark.createDataFrame([("x/data/1",), ("y/data/2",), ("z/3",), ("w/4",)], "path string")
+    note = spark.createDataFrame([("x/data/1", "b"), ("x/data/1", "a"), ("q/data/2", "c")], "old string, new string")
+    index = spark.createDataFrame([("z/3", "i2"), ("z/3", "i1")], "path string, new_path string")
+    tail = lambda c: F.regexp_extract(c, "(data/.*)$", 1)
+    out = curate.remapped(paths, "path", note, "old", "new", tail("path"), F.nullif(tail("old"), F.lit("")), index)
+    assert {x["path"]: (x["new_path"], x["matched_by"]) for x in out.collect()} == {"x/data/1": ("a", "path"), "y/data/2": ("c", "tail"), "z/3": ("i1", "index"), "w/4": (None, None)}
+    assert [x["path"] for x in curate.unmatched(out, "path").collect()] == ["w/4"]
+
+
+def test_log_lines(spark):
+    lines = ["10:00 | a/b.c_d-1:  12 PNGs in 3.5s (0.25 fps)", "x | y | left:3 JSONs in 2s", "no bar: 3 PNGs in 1s", "| q: many PNGs in 1s", "| q: 3 files in 1s", "| r: 4 PNGs in 2s (7fps)", None, ""]
+    got = normalize.log_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [tuple(x) for x in got] == [("a/b.c_d-1", 12, 3.5, 0.25), ("left", 3, 2.0, None), ("r", 4, 2.0, 7.0)]
+
+
+def test_round_trip_compares_in_types(spark):
+    first = spark.createDataFrame([(1, 1.0, "a", 5, None), (2, 2.0, "b", 6, 1.0), (3, float("nan"), None, 7, 1.0)], "doc int, x double, s string, k int, y double")
+    second = spark.createDataFrame([(1, 1.0 + 5e-6, "a", 5, 3.0), (2, 2.1, None, 6, None)], "doc int, x double, s string, k long, y double")
+    got = {tuple(x) for x in integrity.round_trip(first, second, "doc", {"x": "x", "s": "s", "k": "k", "y": "y"}, known_lossy=["y"]).collect()}
+    assert got == {(2, "x", "differs"), (2, "s", "missing"), (3, "x", "missing"), (3, "k", "missing")}
+
+
+def test_bad_documents_raise_when_strict(spark):
+    doc = json.dumps([{"arm": {"setpoint_data": {"setpoint_cp": {"orientation": [1, 2]}}}}])
+    rows = spark.createDataFrame([("/d/s/1/kinematic/PSM1/3.json", doc)], "path string, value string")
+    assert scans.kinematic_documents(rows).first()["corrupt"] == "orientation"
+    with pytest.raises(Exception, match="orientation: s/1/3"):
+        scans.kinematic_documents(rows, strict=True).collect()
+
+
 def test_trim_policies(spark):
     df = spark.createDataFrame([(1, k, 100) for k in range(200)], "clip int, index int, target int")
     kept = lambda mode: sorted(set(range(200)) - {r["index"] for r in curate.trimmed(df, "clip", "index", "target", mode).collect()})
@@ -119,7 +198,10 @@ def test_poses_by_hand(spark):
     eye, c, s = (1, 0, 0, 0, 1, 0, 0, 0, 1), math.cos(math.pi / 6), math.sin(math.pi / 6)
     turn = (c, -s, 0, s, c, 0, 0, 0, 1)
     m, v = pose.matrix, pose.vector
-    r, t = pose.measured_pose(m(turn), v(0.1, 0, 0), m(eye), v(1, 0, 0), m(eye), v(2, 0, 0))
+    r, t = pose.measured_pose(m(turn), v(0.1, 0, 0), *pose.chained(eye, (1, 0, 0), eye, (2, 0, 0)))
+    both = [pose.base_in_camera(m(turn), v(1, 2, 3), m(turn), v(4, 5, 6)), pose.chained(turn, (1, 2, 3), turn, (4, 5, 6))]
+    by_row, once = (spark.range(1).select(*(x.alias(f"x{j}") for j, x in enumerate(pair))).first() for pair in both)
+    assert by_row[0] == pytest.approx(once[0]) and by_row[1] == pytest.approx(once[1])
     row = spark.range(1).select(r.alias("r"), t.alias("t"), pose.quaternion(m(turn)).alias("q"), pose.setpoint_pose(m(turn), v(0.1, 0, 0), m(eye), v(2, 0, 0))[1].alias("s")).first()
     assert row["t"] == pytest.approx([3.1, 0, 0]) and row["r"] == pytest.approx(turn) and row["q"] == pytest.approx([0, 0, math.sin(math.pi / 12), math.cos(math.pi / 12)])
     assert row["s"] == pytest.approx([2.1, 0, 0])
@@ -190,12 +272,17 @@ def test_partition_overwrite(spark, tmp_path):
 
 def test_stream_resumes(spark, tmp_path):
     source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
-    first, second = frames(spark, [0, 10, 20]), frames(spark, [30, 60]).withColumn("frame", F.col("frame") + 3)
+    at = 10**12  # microseconds
+    first, second = frames(spark, [at, at + 10, at + 20]), frames(spark, [at + 30, at + 60]).withColumn("frame", F.col("frame") + 3)
     for part in (first, second):
         part.write.mode("append").parquet(source)
         live.run_once(live.monitored(live.ingest(spark, source, first.schema), "clip", "t", "frame", 10), sink, marks)
     got = {r["frame"]: (r["contiguous"], r["drops"]) for r in spark.read.parquet(sink).collect()}
     assert got == {0: (False, 0), 1: (True, 0), 2: (True, 0), 3: (True, 0), 4: (False, 2)}
+    frames(spark, [at + 25, at + 70]).withColumn("frame", F.col("frame") + 5).write.mode("append").parquet(source)  # 25 comes too late
+    live.run_once(live.monitored(live.ingest(spark, source, first.schema), "clip", "t", "frame", 10), sink, marks)
+    got = {r["frame"]: (r["contiguous"], r["drops"]) for r in spark.read.parquet(sink).collect()}
+    assert got.keys() == {0, 1, 2, 3, 4, 6} and got[6] == (True, 0)
 
 
 def test_duplicates_of_all_events_are_reported(spark, tmp_path):
