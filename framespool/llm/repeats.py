@@ -5,6 +5,8 @@ Shared by the word and the byte operator, which differ in their tokens and in ho
 1. Anchors. Of any `span` neighbouring grams inside a stretch, the one with the least hash is an anchor, so equal
    stretches have equal anchors at equal offsets, and about two in `span` tokens are anchors. Only anchors shuffle.
 2. An anchor's centre (the tokens that all stretches with that anchor share) must occur twice, or nothing repeats there.
+   With `doubling`, centres that do are extended to twice their length, once to the left and once to the right, and go on
+   only if one of the two occurs twice again: every stretch holds one of them.
 3. An anchor's context holds all its stretches. Equal contexts are counted before anything is compared: where one
    occurs twice, all of its stretches repeat, and however many copies there are, one row stands for them.
 4. Only centres with several contexts are contested. One context each goes to the task that holds its centre, or, for
@@ -30,6 +32,8 @@ from .common import arrow_batch, arrow_schema, discard, split_join, stored
 
 BLOCK = 1 << 18
 CROWD = 1000
+#: In place of a hash where there is none.
+NONE = np.int64(0)
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,12 @@ class Shape:
     gram: int
     span: int
     margin: int
+    doubling: bool = False
+
+    @property
+    def centre(self) -> int:
+        """Tokens of the centre."""
+        return self.margin + self.after
 
     @property
     def left(self) -> int:
@@ -98,7 +108,9 @@ def count(tokens: Tokens) -> int:
 
 
 def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> DataFrame:
-    """(centre, context, _d, _t, pos) of every anchor."""
+    """(centre, context, _d, _t, pos) of every anchor; with doubling also (before, behind), hashes of the centre with as many
+    tokens again to the left or right, null where the text has fewer."""
+    names = ["centre", "context", *(("before", "behind") if shape.doubling else ()), "_d", "_t", "pos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -117,7 +129,7 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
         if parts:
             yield batch_of(parts)
 
-    def hashes(tokens: Tokens, n: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(tokens: Tokens, n: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
         data = tokens[0]
         if tokens[1] is None:
             at, end = (lambda x: x), (lambda x: x)
@@ -129,20 +141,41 @@ def anchor_table(docs: DataFrame, split: Split, grams: Grams, shape: Shape) -> D
         w0, w1, rel = at(lo).tolist(), end(hi).tolist(), (places - lo).tolist()
         centre = np.fromiter((digest(data[a:b]) for a, b in zip(c0, c1)), np.uint64, len(places))
         context = np.fromiter((digest(data[a:b], r) for a, b, r in zip(w0, w1, rel)), np.uint64, len(places))
-        return centre.view(np.int64), context.view(np.int64)
+        if not shape.doubling:
+            return centre.view(np.int64), context.view(np.int64)
+        wide = []
+        for lo, hi in ((places - shape.margin - shape.centre, places + shape.after), (places - shape.margin, places + shape.after + shape.centre)):
+            fits = (lo >= 0) & (hi <= n)
+            name = np.zeros(len(places), np.uint64)
+            a, b = at(lo[fits]).tolist(), end(hi[fits]).tolist()
+            name[fits] = np.fromiter((digest(data[x:y]) for x, y in zip(a, b)), np.uint64, len(a))
+            wide.append(np.where(fits, name.view(np.int64), NONE))
+        return centre.view(np.int64), context.view(np.int64), *wide
 
     def batch_of(parts: list) -> pa.RecordBatch:
         sizes = [len(p[0]) for p in parts]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([p[0] for p in parts])), pa.array(np.concatenate([p[1] for p in parts])),
-                pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), sizes)), pa.array(np.repeat(np.array([p[3] for p in parts], np.int64), sizes)),
-                pa.array(np.concatenate([p[4] for p in parts]).astype(np.int32)),
-            ],
-            names=["centre", "context", "_d", "_t", "pos"],
-        )
-
-    return docs.select(_raw(), "_d", "_t").mapInArrow(run, "centre bigint, context bigint, _d bigint, _t bigint, pos int")
+        columns = [np.concatenate([p[k] for p in parts]) for k in range(len(names) - 3)]
+        columns += [np.repeat(np.array([p[k] for p in parts], np.int64), sizes) for k in (-3, -2)]
+        columns.append(np.concatenate([p[-1] for p in parts]).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    schema = ", ".join(f"{c} {'int' if c == 'pos' else 'bigint'}" for c in names)
+    return docs.select(_raw(), "_d", "_t").mapInArrow(run, schema)
+
+
+def doubled(table: DataFrame) -> DataFrame:
+    """The anchors whose centre occurs twice at twice its length, to the left or to the right. Names are counted with the
+    centre, so they have 128 bits."""
+    sides = F.explode(F.array(F.struct(F.lit(False).alias("right"), F.col("before").alias("name")), F.struct(F.lit(True).alias("right"), F.col("behind").alias("name")))).alias("x")
+    names = table.select("centre", sides).select("centre", "x.*").filter(F.col("name") != int(NONE))
+    again = stored(names.groupBy("centre", "right", "name").agg(F.count("*").alias("n")).filter("n > 1"))
+    out = table
+    for right, name in ((False, "before"), (True, "behind")):
+        known = again.filter(F.col("right") == right).select("centre", F.col("name").alias(name), "n", F.lit(True).alias(f"in_{name}"))
+        out = split_join(out, known, ["centre", name], "n", "left").drop("n")
+    out = stored(out.filter("in_before OR in_behind").select("centre", "context", "_d", "_t", "pos"))
+    discard(again)
+    return out
 
 
 #: Contested contexts of whole centres: rows of (bytes, tokens before the anchor); gives (left, right) covered, or (0, 0).
@@ -158,6 +191,9 @@ def covered(docs: DataFrame, split: Split, grams: Grams, shape: Shape, settle: S
     twice = stored(first.groupBy("centre").agg(F.count("*").alias("n")).filter("n > 1"))
     table = stored(split_join(first, twice, ["centre"], "n", "left_semi"))
     discard(first, twice)
+    if shape.doubling:
+        short, table = table, doubled(table)
+        discard(short)
     distinct = stored(table.groupBy("centre", "context").agg(F.count("*").alias("n"), F.min(F.struct("_d", "_t", "pos")).alias("at")))
     known = stored(distinct.filter("n > 1").select("centre", "context", "n"))
     whole = F.struct("pos", F.lit(shape.left).alias("left"), F.lit(shape.right).alias("right")).alias("span")

@@ -1,9 +1,10 @@
 """Substring dedup on words: remove every word inside a repeated run of `length` words, by level-wise doubling.
 
-Candidates are windows around content-defined anchors (repeats.py); the first level, 9 words at the anchors, runs over
-all documents, and only repeated ones stay. Where contexts differ, windows are named level by level: two neighbouring
-names of one length give the name at twice that length, and a window whose name occurs once goes no further, until
-`length` is reached or no candidate survives. Names are exact: they number distinct pairs, they don't hash.
+Candidates are windows around content-defined anchors (repeats.py). The first level, 9 words at the anchors, runs over all
+documents, and only repeated ones are extended to the second, 18 words to the left and right; of those that repeat again
+the whole context is judged, at once where it occurs twice. Where contexts differ, windows are named level by level: two
+neighbouring names of one length give the name at twice that length, and a window whose name occurs once goes no
+further, until `length` is reached or no candidate survives. Those names are exact: they number distinct pairs.
 
 Cases: null and empty texts have no words. Each row is a document, repeated rows too (so their words repeat); fewer
 words than `length` lose none. A null doc_id stays null. An empty table gives an empty result. Other columns are
@@ -114,7 +115,7 @@ def _repeated(names: np.ndarray) -> np.ndarray:
 
 def remove_repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, text (words that stay, joined by one space), n_words, n_removed."""
-    docs, shape = keyed(docs), Shape(length, gram, length - gram + 1, 0)
+    docs, shape = keyed(docs), Shape(length, gram, length - gram + 1, 0, doubling=length >= 3 * gram - 1)
     spans = covered(docs, words_of, lambda t, a, b: word_grams(t, a, b, gram), shape, double_up)
 
     def cut(tokens: Tokens, gone: np.ndarray) -> tuple:

@@ -44,7 +44,7 @@ def test_words(spark, seed, crowd):
     rows = texts(seed)
     length, gram = 12, 4
     docs = keyed(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
-    spans = covered(docs, word_dedup.words_of, lambda t, a, b: word_dedup.word_grams(t, a, b, gram), Shape(length, gram, length - gram + 1, 0), word_dedup.double_up, crowd)
+    spans = covered(docs, word_dedup.words_of, lambda t, a, b: word_dedup.word_grams(t, a, b, gram), Shape(length, gram, length - gram + 1, 0, doubling=seed < 3), word_dedup.double_up, crowd)
     got = {}
     cut = lambda tokens, gone: (" ".join(w.decode() for w, g in zip(tokens[0].split(b" "), gone) if not g), len(gone), int(gone.sum()))
     for r in cut_spans(docs, spans, word_dedup.words_of, cut, lambda d: (b" ".join(d.split()), len(d.split()), 0), "doc_id long, text string, n long, removed long").collect():
