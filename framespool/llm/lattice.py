@@ -105,15 +105,15 @@ def unit_vectors(x: np.ndarray) -> np.ndarray:
 
 
 def hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
-    """(label, node, first, copies, vector, cells) of nodes (label, vector, first, copies): the vector at length one, and of
-    each table the home cell and the probed ones."""
+    """(label, node, first, copies, vector, cells, packed) of nodes (label, vector, first, copies): the vector at length one
+    as the bytes of its doubles, and of each table the home cell and the probed ones, as an array and as bytes."""
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
-    schema = f"label {kinds['label']}, node bigint, first {kinds['first']}, copies bigint, vector array<double>, cells array<bigint>"
+    schema = f"label {kinds['label']}, node bigint, first {kinds['first']}, copies bigint, vector binary, cells array<bigint>, packed binary"
     out_schema = arrow_schema(schema)
     each = 1 + probes
 
-    def lists(x: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+    def packed(x: np.ndarray) -> pa.Array:
+        return pa.array([row.tobytes() for row in x], pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +126,9 @@ def hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int)
                     cell = np.empty((len(unit), tables * each), np.int64)
                     for number in range(tables):
                         cell[:, number * each : (number + 1) * each] = _keys(cells(unit, number, probes, scale, seed))
-                    columns = [chosen.column(c) for c in ("label", "node", "first", "copies")] + [lists(unit), lists(cell)]
+                    ends = pa.array(np.arange(len(cell) + 1, dtype=np.int32) * cell.shape[1])
+                    columns = [chosen.column(c) for c in ("label", "node", "first", "copies")]
+                    columns += [packed(unit), pa.ListArray.from_arrays(ends, pa.array(cell.ravel())), packed(cell)]
                     yield pa.RecordBatch.from_arrays(columns, schema=out_schema)
 
     return nodes.select("label", F.xxhash64("label", "vector").alias("node"), "first", "copies", "vector").mapInArrow(run, schema)
@@ -141,8 +143,8 @@ def counted_links(nodes: DataFrame, cosine: float, each: int, block: int) -> Dat
     sizes = stored(rows.groupBy(keys).agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).filter("n > 1 AND homes > 0"))
     met = stored(rows.join(sizes, keys))
     discard(rows, sizes)
-    before = F.slice("cells", F.lit(1), (F.col("number") + 1) * each).alias("cells")
-    met = met.join(nodes.select("node", "vector", "copies", "cells"), "node").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    before = F.substring("packed", F.lit(1), (F.col("number") + 1) * (8 * each)).alias("cells")
+    met = met.join(nodes.select("node", "vector", "copies", "packed"), "node").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("node", "number"), F.col("blocks")).cast("int")
     # block i meets every block j: a row goes to the pairs that its own block is in
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"))))
@@ -168,7 +170,8 @@ def counted_links(nodes: DataFrame, cosine: float, each: int, block: int) -> Dat
         for size in {len(r["vector"]) for r in held} if len(held) > 1 else ():
             rows = list({r["node"]: r for r in sorted((r for r in held if len(r["vector"]) == size), key=lambda r: r["home"])}.values())
             node, home, own, copies = (np.array([r[c] for r in rows]) for c in ("node", "home", "own", "copies"))
-            x, cell = np.array([r["vector"] for r in rows]), np.array([r["cells"] for r in rows])
+            x = np.frombuffer(b"".join([r["vector"] for r in rows])).reshape(len(rows), -1)
+            cell = np.frombuffer(b"".join([r["cells"] for r in rows]), np.int64).reshape(len(rows), -1)
             across, here, number = rows[0]["i"] != rows[0]["j"], rows[0]["cell"], rows[0]["number"]
             found = []
             for k in range(0, len(rows), 256):
