@@ -72,9 +72,26 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch():
+    """Tables stored in it are deleted at its end, when their result has been written."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        made = _SCRATCH.pop()
+        if made:
+            discard(*made)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that all their users have been computed from; disk then follows the largest step, not the
     sum."""

@@ -1,5 +1,6 @@
 """The pipeline on a small corpus with one case for every stage."""
 
+import os
 import random
 
 import corpus_pipeline as P
@@ -100,3 +101,14 @@ def test_near_dedup_and_lines_against_brute_force(spark, tmp_path):
         groups.setdefault(g, []).append(want[i])
     least = sorted((min(g, key=lambda x: (x[0] is None, x[0] or 0))[0] for g in groups.values()), key=str)
     assert sorted((x["doc_id"] for x in kept.collect()), key=str) == least and 40 <= len(groups) < 120
+
+
+def test_stored_tables_go_with_their_scratch(spark):
+    from framespool.llm.common import scratch, stored
+
+    with scratch():
+        kept = stored(spark.range(5))
+        assert kept.count() == 5 and os.path.isdir(kept.stored_at)
+    assert not os.path.exists(kept.stored_at)
+    kept = stored(spark.range(5))
+    assert os.path.isdir(kept.stored_at)
