@@ -61,8 +61,17 @@ class Model:
 
     def document(self, text: str | None) -> float:
         """Noisy-or of the sentences; 0 without any."""
-        logits = np.array([self._logit(m[0]) for m in SENTENCE.finditer(text or "") if not m[0].isspace()])
-        return float(-np.expm1(-np.logaddexp(0, logits).sum())) if len(logits) else 0.0
+        return self.judged(text)[0]
+
+    def judged(self, text: str | None) -> tuple[float, str]:
+        """The document's score and its offending sentences (even odds or more) as start:end, comma-joined."""
+        logits, spans = [], []
+        for m in SENTENCE.finditer(text or ""):
+            if not m[0].isspace():
+                logits.append(self._logit(m[0]))
+                if logits[-1] >= 0:
+                    spans.append(f"{m.start()}:{m.end()}")
+        return float(-np.expm1(-np.logaddexp(0, np.array(logits)).sum())) if logits else 0.0, ",".join(spans)
 
     def sentences(self, text: str | None, least: float = 0.5) -> list[tuple[int, int, float]]:
         """(start, end, score) of the offending sentences."""
@@ -153,8 +162,14 @@ def scorer(spark: SparkSession, model: Model):
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score."""
-    return docs.select("doc_id", scorer(docs.sparkSession, model)(F.col("text").cast("string")).alias("score"))
+    """doc_id, score and the offending sentences (offending: start:end in code points, comma-joined)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("score double, offending string")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.judged(t) for t in texts], columns=["score", "offending"])
+
+    return docs.select("doc_id", judge(F.col("text").cast("string")).alias("_x")).select("doc_id", "_x.score", "_x.offending")
 
 
 def offending_sentences(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -169,7 +184,7 @@ def offending_sentences(docs: DataFrame, model: Model, least: float = 0.5) -> Da
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
 
 
 QUERIES = {"op7_toxicity": op7_toxicity}

@@ -202,3 +202,7 @@ def test_toxicity(spark, tmp_path):
     assert len(held) > 100 and sum(x["predicted"] == (x["doc_id"] % 3 == 0) for x in held) >= 0.98 * len(held)
     assert len({x["score"] for x in got if x["doc_id"] == 3}) == 1 and [x["predicted"] for x in got if x["doc_id"] is None] == [1]
     assert [x["score"] for x in got if x["doc_id"] in (1000, 1001)] == [0, 0]
+    texts = {k: t for k, t, *_ in rows}
+    for x in held:  # the sentence that makes a document toxic is located
+        found = [texts[x["doc_id"]][int(a) : int(b)] for a, b in (s.split(":") for s in x["offending"].split(",") if s)]
+        assert any("vile" in s for s in found) == (x["doc_id"] % 3 == 0)
