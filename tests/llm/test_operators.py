@@ -296,6 +296,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
 
 
+def test_components_of_random_graphs(spark):
+    r = random.Random(3)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(k, 1000 - k) for k in range(300, 320)] + [(5, 5), (7, 5), (5, 7)]
+    top = {k: k for e in edges for k in e}
+    for a, b in edges:
+        low, high = sorted((top[a], top[b]))
+        top = {k: low if v == high else v for k, v in top.items()}
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got.get(k, k) == v for k, v in top.items()) and set(got) <= set(top)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 # --- vectors -----------------------------------------------------------------------------------------------------
 
 
