@@ -65,7 +65,8 @@ def p13_null_master(spark, d):
     return A.number_frames(A.drop_null_master(df, "master"), "user_id", "event_id").select("user_id", "event_id", "frame_index")
 
 
-R.sql["p14_rebase"] = f"WITH {EV}, f AS (SELECT *, first_value(us) OVER (PARTITION BY user_id ORDER BY us, event_id) AS t0 FROM ev) SELECT event_id, us - t0 AS rel_us, t0 + (us - t0) AS back_us FROM f"
+R.sql["p14_rebase"] = f"""WITH {EV}, f AS (SELECT *, first_value(us) OVER (PARTITION BY user_id ORDER BY us, event_id) AS t0 FROM ev) SELECT event_id, us - t0 AS rel_us,
+t0 + (us - t0) AS back_us FROM f"""
 
 
 @R.query
@@ -92,8 +93,10 @@ def w3_gap_to_next(spark, d):
     return rounded(A.gap_to_next(events(spark, d), "user_id", ["us", "event_id"], "us").select("event_id", "gap_ms"))
 
 
-R.sql["w5_display_time"] = f"""WITH {EV}, g AS (SELECT event_id, us - lag(us) OVER w AS back, lead(us) OVER w - us AS ahead, row_number() OVER w AS rn FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
-SELECT event_id, round(CASE WHEN rn > 1 THEN greatest(back / 1e6, 1e-6) WHEN ahead IS NULL THEN 1.0 / 30 ELSE greatest(ahead / 1e6, 1e-6) END, 6) AS shown_s FROM g"""
+R.sql["w5_display_time"] = f"""WITH {EV}, g AS (SELECT event_id, us - lag(us) OVER w AS back, lead(us) OVER w - us AS ahead, row_number() OVER w AS rn
+FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
+SELECT event_id, round(CASE WHEN rn > 1 THEN greatest(back / 1e6, 1e-6) WHEN ahead IS NULL THEN 1.0 / 30 ELSE greatest(ahead / 1e6, 1e-6) END,
+6) AS shown_s FROM g"""
 
 
 @R.query
@@ -101,7 +104,8 @@ def w5_display_time(spark, d):
     return rounded(A.display_time(events(spark, d), "user_id", ["us", "event_id"], "us").select("event_id", "shown_s"))
 
 
-R.sql["w10_frame_pairs"] = f"WITH {NUM} SELECT * FROM (SELECT user_id, frame::INTEGER AS frame, (lead(frame) OVER (PARTITION BY user_id ORDER BY frame))::INTEGER AS next_frame FROM num) WHERE next_frame IS NOT NULL"
+R.sql["w10_frame_pairs"] = f"""WITH {NUM} SELECT * FROM (SELECT user_id, frame::INTEGER AS frame, (lead(frame) OVER (PARTITION BY user_id ORDER BY frame))::INTEGER AS next_frame
+FROM num) WHERE next_frame IS NOT NULL"""
 
 
 @R.query
@@ -111,11 +115,14 @@ def w10_frame_pairs(spark, d):
 
 TOL = 3_600_000_000
 NEAR = f"""{EV}, m AS (SELECT user_id, event_id, us FROM ev WHERE event_type = 'click'),
-cb AS (SELECT user_id, us AS t, max(event_id) AS id FROM ev WHERE event_type = 'purchase' GROUP BY ALL), ca AS (SELECT user_id, us AS t, min(event_id) AS id FROM ev WHERE event_type = 'purchase' GROUP BY ALL),
+cb AS (SELECT user_id, us AS t, max(event_id) AS id FROM ev WHERE event_type = 'purchase' GROUP BY ALL), ca AS (SELECT user_id, us AS t,
+min(event_id) AS id FROM ev WHERE event_type = 'purchase' GROUP BY ALL),
 b AS (SELECT m.*, cb.t AS bt, cb.id AS bid FROM m ASOF LEFT JOIN cb ON m.user_id = cb.user_id AND m.us > cb.t),
 a AS (SELECT b.*, ca.t AS at_, ca.id AS aid FROM b ASOF LEFT JOIN ca ON b.user_id = ca.user_id AND b.us <= ca.t),
-n AS (SELECT user_id, event_id, us, CASE WHEN bt IS NULL OR at_ - us <= us - bt THEN aid ELSE bid END AS pick, CASE WHEN bt IS NULL OR at_ - us <= us - bt THEN at_ - us ELSE bt - us END AS delta FROM a),
-j AS (SELECT user_id, event_id, us, CASE WHEN abs(delta) <= {TOL} THEN pick END AS match, CASE WHEN abs(delta) <= {TOL} THEN delta END AS delta FROM n)"""
+n AS (SELECT user_id, event_id, us, CASE WHEN bt IS NULL OR at_ - us <= us - bt THEN aid ELSE bid END AS pick, CASE
+WHEN bt IS NULL OR at_ - us <= us - bt THEN at_ - us ELSE bt - us END AS delta FROM a),
+j AS (SELECT user_id, event_id, us, CASE WHEN abs(delta) <= {TOL} THEN pick END AS match, CASE WHEN abs(delta) <= {TOL} THEN delta END AS delta
+FROM n)"""
 R.sql["j2_nearest"] = f"WITH {NEAR} SELECT event_id, match, delta AS delta_us FROM j"
 
 
@@ -131,9 +138,11 @@ def j2_nearest(spark, d):
 N_WIN = 5
 R.sql["j3_window_match"] = f"""WITH {EV}, r AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - 1 AS k, us AS t FROM ev WHERE event_type = 'click'),
 s AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - 1 AS f, us AS u FROM ev WHERE event_type = 'view'),
-w AS (SELECT r.user_id, k, f, abs(t - u) AS dt, row_number() OVER (PARTITION BY r.user_id, k ORDER BY abs(t - u), abs(f - k), f) AS o FROM r JOIN s ON r.user_id = s.user_id AND f BETWEEN k - {N_WIN} AND k + {N_WIN}),
+w AS (SELECT r.user_id, k, f, abs(t - u) AS dt, row_number() OVER (PARTITION BY r.user_id, k ORDER BY abs(t - u), abs(f - k), f) AS o FROM r
+JOIN s ON r.user_id = s.user_id AND f BETWEEN k - {N_WIN} AND k + {N_WIN}),
 b AS (SELECT user_id, k, f, dt FROM w WHERE o = 1), top AS (SELECT user_id, max(f) AS top FROM s GROUP BY user_id),
-x AS (SELECT r.user_id, r.k, s.f, abs(t - u) AS dt FROM r JOIN top USING (user_id) JOIN s ON s.user_id = r.user_id AND s.f = least(r.k, top) WHERE (r.user_id, r.k) NOT IN (SELECT (user_id, k) FROM b))
+x AS (SELECT r.user_id, r.k, s.f, abs(t - u) AS dt FROM r JOIN top USING (user_id) JOIN s ON s.user_id = r.user_id AND s.f = least(r.k, top)
+WHERE (r.user_id, r.k) NOT IN (SELECT (user_id, k) FROM b))
 SELECT user_id, k::INTEGER AS frame, f::INTEGER AS match, round(dt / 1e3, 6) AS difference_ms FROM (SELECT * FROM b UNION ALL SELECT * FROM x)"""
 
 
@@ -145,7 +154,8 @@ def j3_window_match(spark, d):
 
 
 R.sql["j1_frame_alignment"] = """SELECT o_orderkey, l_quantity AS first_l_quantity, l_linestatus AS first_l_linestatus, c_mktsegment AS customer_c_mktsegment
-FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1 GROUP BY 1 HAVING count(*) = 1)) ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey"""
+FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1
+GROUP BY 1 HAVING count(*) = 1)) ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey"""
 
 
 @R.query
@@ -159,9 +169,12 @@ def j1_frame_alignment(spark, d):
     return out.select("o_orderkey", "first_l_quantity", "first_l_linestatus", "customer_c_mktsegment")
 
 
-R.sql["j4_checked_join"] = """WITH d AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 2 = 0 OR lang <> 'fr'), l AS (SELECT d.doc_id, quality FROM documents d LEFT JOIN labels USING (doc_id) WHERE lang <> 'de' OR d.doc_id % 3 > 0),
-b AS (SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL AS ok, n_chars, quality FROM d FULL JOIN l ON d.doc_id = l.doc_id),
-g AS (SELECT lang FROM b JOIN documents USING (doc_id) GROUP BY lang HAVING bool_and(ok)) SELECT b.doc_id, lang, b.n_chars, quality FROM b JOIN documents x USING (doc_id) WHERE lang IN (SELECT lang FROM g)"""
+R.sql["j4_checked_join"] = """WITH d AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 2 = 0 OR lang <> 'fr'), l AS (SELECT d.doc_id, quality FROM documents d LEFT
+JOIN labels USING (doc_id) WHERE lang <> 'de' OR d.doc_id % 3 > 0),
+b AS (SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL AS ok, n_chars, quality FROM d FULL
+JOIN l ON d.doc_id = l.doc_id),
+g AS (SELECT lang FROM b JOIN documents USING (doc_id) GROUP BY lang HAVING bool_and(ok)) SELECT b.doc_id, lang, b.n_chars, quality FROM b
+JOIN documents x USING (doc_id) WHERE lang IN (SELECT lang FROM g)"""
 
 
 @R.query
@@ -173,7 +186,7 @@ def j4_checked_join(spark, d):
     return A.checked_join(tagged(left), tagged(right), ["doc_id", "lang"], "lang").select("doc_id", "lang", "n_chars", "quality")
 
 
-R.sql["j11_on_master"] = "SELECT doc_id, quality, toxic, bool_or(quality IS NOT NULL OR toxic IS NOT NULL) OVER () AS any_set FROM documents LEFT JOIN labels USING (doc_id)"
+R.sql["j11_on_master"] = """SELECT doc_id, quality, toxic, bool_or(quality IS NOT NULL OR toxic IS NOT NULL) OVER () AS any_set FROM documents LEFT JOIN labels USING (doc_id)"""
 
 
 @R.query
@@ -181,7 +194,8 @@ def j11_on_master(spark, d):
     return A.on_master(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id", ["quality", "toxic"])
 
 
-R.sql["j12_enrichment"] = "SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, o_custkey, s_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"
+R.sql["j12_enrichment"] = """SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, o_custkey, s_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN supplier ON l_suppkey = s_suppkey"""
 
 
 @R.query
@@ -206,7 +220,8 @@ def j13_ranges_to_frames(spark, d):
 
 R.sql["j17_frame_spine"] = """WITH m AS (SELECT conv_id, max(turn) + 3 AS n FROM conversations GROUP BY conv_id), s AS (SELECT conv_id, unnest(range(0, n)) AS turn FROM m),
 c AS (SELECT conv_id, turn, min(role) AS role FROM conversations GROUP BY ALL)
-SELECT s.conv_id, s.turn, coalesce(c.role, 'filler') AS role, c.conv_id IS NOT NULL AS is_real FROM s LEFT JOIN c ON s.conv_id = c.conv_id AND s.turn = c.turn"""
+SELECT s.conv_id, s.turn, coalesce(c.role, 'filler') AS role, c.conv_id IS NOT NULL AS is_real FROM s LEFT JOIN c ON s.conv_id = c.conv_id
+AND s.turn = c.turn"""
 
 
 @R.query
@@ -226,10 +241,13 @@ def deltas(spark, d):
     return events(spark, d).join(start, "user_id").select("user_id", "event_type", "event_id", delta.alias("delta"))
 
 
-R.sql["a1_topic_latency"] = f"""WITH {DELTA}, s AS (SELECT user_id, event_type, round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS median_ms, avg(abs(delta)) / 1e3 AS mean_ms, round(stddev_pop(abs(delta)) / 1e3, 3) AS std_ms, round(max(abs(delta)) / 1e3, 6) AS max_ms, count(delta) AS n_present FROM dl GROUP BY ALL),
-f AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY abs(delta) DESC, event_id) AS o FROM dl WHERE delta IS NOT NULL),
+R.sql["a1_topic_latency"] = f"""WITH {DELTA}, s AS (SELECT user_id, event_type, round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS median_ms, avg(abs(delta)) / 1e3 AS mean_ms,
+round(stddev_pop(abs(delta)) / 1e3, 3) AS std_ms, round(max(abs(delta)) / 1e3, 6) AS max_ms, count(delta) AS n_present FROM dl GROUP BY ALL),
+f AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY abs(delta) DESC, event_id) AS o FROM dl
+WHERE delta IS NOT NULL),
 t AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view', 'absent']) AS event_type), u AS (SELECT DISTINCT user_id FROM dl)
-SELECT u.user_id, t.event_type, median_ms, mean_ms, std_ms, max_ms, event_id AS max_frame, coalesce(n_present, 0) AS n_present FROM u CROSS JOIN t LEFT JOIN s ON s.user_id = u.user_id AND s.event_type = t.event_type LEFT JOIN f ON f.user_id = u.user_id AND f.event_type = t.event_type AND o = 1"""
+SELECT u.user_id, t.event_type, median_ms, mean_ms, std_ms, max_ms, event_id AS max_frame, coalesce(n_present, 0) AS n_present FROM u CROSS JOIN t
+LEFT JOIN s ON s.user_id = u.user_id AND s.event_type = t.event_type LEFT JOIN f ON f.user_id = u.user_id AND f.event_type = t.event_type AND o = 1"""
 
 
 @R.query
@@ -239,8 +257,10 @@ def a1_topic_latency(spark, d):
     return rounded(out, mean_ms=None, std_ms=3)
 
 
-R.sql["a2_pooled_latency"] = f"""WITH {DELTA} SELECT user_id, round(quantile_cont(abs(delta), 0.5) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_median_ms, round(max(abs(delta)) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_max_ms,
-round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS all_median_ms, avg(abs(delta)) / 1e3 AS all_mean_ms, round(stddev_pop(abs(delta)) / 1e3, 3) AS all_std_ms, round(max(abs(delta)) / 1e3, 6) AS all_max_ms FROM dl GROUP BY user_id"""
+R.sql["a2_pooled_latency"] = f"""WITH {DELTA} SELECT user_id, round(quantile_cont(abs(delta), 0.5) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_median_ms,
+round(max(abs(delta)) FILTER (event_type IN ('view', 'purchase')) / 1e3, 6) AS some_max_ms,
+round(quantile_cont(abs(delta), 0.5) / 1e3, 6) AS all_median_ms, avg(abs(delta)) / 1e3 AS all_mean_ms, round(stddev_pop(abs(delta)) / 1e3,
+3) AS all_std_ms, round(max(abs(delta)) / 1e3, 6) AS all_max_ms FROM dl GROUP BY user_id"""
 
 
 @R.query
@@ -249,7 +269,8 @@ def a2_pooled_latency(spark, d):
     return rounded(out, all_mean_ms=None, all_std_ms=3)
 
 
-R.sql["a3_out_of_tolerance"] = f"""WITH {DELTA}, t AS (SELECT * FROM (VALUES ('click', 1000000000::BIGINT), ('view', 500000000000), ('purchase', 100000000000), ('signup', 0), ('error', 2000000000000)) v(event_type, tolerance))
+R.sql["a3_out_of_tolerance"] = f"""WITH {DELTA}, t AS (SELECT * FROM (VALUES ('click', 1000000000::BIGINT), ('view', 500000000000), ('purchase', 100000000000), ('signup', 0), ('error',
+2000000000000)) v(event_type, tolerance))
 SELECT event_type, count(delta) AS n_present, count(*) FILTER (abs(delta) > tolerance) AS n_out FROM dl JOIN t USING (event_type) GROUP BY event_type"""
 
 
@@ -259,7 +280,8 @@ def a3_out_of_tolerance(spark, d):
     return S.out_of_tolerance(deltas(spark, d), "event_type", "delta", tolerances)
 
 
-R.sql["a15_worst_gap"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(greatest(abs(l_tax - l_discount), abs(l_quantity / 100 - l_discount)), 6) AS worst FROM lineitem"
+R.sql["a15_worst_gap"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(greatest(abs(l_tax - l_discount), abs(l_quantity / 100 - l_discount)), 6) AS worst
+FROM lineitem"""
 
 
 @R.query
@@ -268,7 +290,8 @@ def a15_worst_gap(spark, d):
     return rounded(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", worst.alias("worst")))
 
 
-R.sql["a16_tolerance_summary"] = "SELECT round(min(value), 6) AS min_value, round(max(value), 6) AS max_value, round(avg(value), 6) AS mean_value, round(stddev_pop(value), 6) AS std_value, count(value) AS n FROM events"
+R.sql["a16_tolerance_summary"] = """SELECT round(min(value), 6) AS min_value, round(max(value), 6) AS max_value, round(avg(value), 6) AS mean_value, round(stddev_pop(value),
+6) AS std_value, count(value) AS n FROM events"""
 
 
 @R.query
@@ -277,7 +300,9 @@ def a16_tolerance_summary(spark, d):
 
 
 R.sql["a19_inspect_times"] = f"""WITH {EV}, g AS (SELECT user_id, us / 1e6 AS t, (us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id)) / 1e6 AS gap FROM ev)
-SELECT user_id, round(min(t), 6) AS first_s, round(max(t), 6) AS last_s, round(max(t) - min(t), 4) AS span_s, round(avg(gap), 6) AS mean_gap_s, round(min(gap), 6) AS min_gap_s, round(max(gap), 6) AS max_gap_s, round(stddev_pop(gap), 5) AS std_gap_s, round(CASE WHEN avg(gap) <> 0 THEN 1.0 / avg(gap) END, 6) AS rate_hz, min(t) < 1 AS near_zero FROM g GROUP BY user_id"""
+SELECT user_id, round(min(t), 6) AS first_s, round(max(t), 6) AS last_s, round(max(t) - min(t), 4) AS span_s, round(avg(gap), 6) AS mean_gap_s,
+round(min(gap), 6) AS min_gap_s, round(max(gap), 6) AS max_gap_s, round(stddev_pop(gap), 5) AS std_gap_s, round(CASE
+WHEN avg(gap) <> 0 THEN 1.0 / avg(gap) END, 6) AS rate_hz, min(t) < 1 AS near_zero FROM g GROUP BY user_id"""
 
 
 @R.query

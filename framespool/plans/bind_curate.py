@@ -16,7 +16,8 @@ def counts(spark, d):
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
-R.sql["a6_count_parity"] = f"WITH {COUNTS} SELECT user_id, event_type, n, max(n) OVER (PARTITION BY user_id) AS most, n < max(n) OVER (PARTITION BY user_id) AND event_type <> 'signup' AS uneven FROM c"
+R.sql["a6_count_parity"] = f"""WITH {COUNTS} SELECT user_id, event_type, n, max(n) OVER (PARTITION BY user_id) AS most, n < max(n) OVER (PARTITION BY user_id)
+AND event_type <> 'signup' AS uneven FROM c"""
 
 
 @R.query
@@ -24,7 +25,8 @@ def a6_count_parity(spark, d):
     return C.count_parity(counts(spark, d), "user_id", "n", exempt=F.col("event_type") == "signup")
 
 
-R.sql["a7_trim_target"] = f"WITH {COUNTS} SELECT user_id, min(n) FILTER (n > 0) AS target, min(n) FILTER (n > 0 AND event_type IN ('click', 'view')) AS stereo_target FROM c GROUP BY user_id"
+R.sql["a7_trim_target"] = f"""WITH {COUNTS} SELECT user_id, min(n) FILTER (n > 0) AS target, min(n) FILTER (n > 0 AND event_type IN ('click', 'view')) AS stereo_target FROM c
+GROUP BY user_id"""
 
 
 @R.query
@@ -33,7 +35,8 @@ def a7_trim_target(spark, d):
     return C.trim_target(counts(spark, d), "user_id", "n").join(stereo, "user_id")
 
 
-R.sql["a8_dominant"] = """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY ALL), o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS o FROM c)
+R.sql["a8_dominant"] = """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY ALL), o AS (SELECT *,
+row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS o FROM c)
 SELECT u.user_id, event_type AS task FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN o ON o.user_id = u.user_id AND o = 1"""
 
 
@@ -42,8 +45,10 @@ def a8_dominant(spark, d):
     return C.dominant(table(spark, d, "events"), "user_id", F.when(F.col("event_type") != "error", F.col("event_type")))
 
 
-TRIM = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at_, count(*) OVER (PARTITION BY user_id) AS n FROM events), t AS (SELECT *, n // 2 AS target FROM n)
-SELECT event_id, 'first' AS policy FROM t WHERE at_ >= target UNION ALL SELECT event_id, 'last' FROM t WHERE at_ < n - target UNION ALL SELECT event_id, 'skip' FROM t WHERE at_ < 3 OR at_ >= target + 3"""
+TRIM = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at_, count(*) OVER (PARTITION BY user_id) AS n
+FROM events), t AS (SELECT *, n // 2 AS target FROM n)
+SELECT event_id, 'first' AS policy FROM t WHERE at_ >= target UNION ALL SELECT event_id, 'last' FROM t WHERE at_ < n - target UNION ALL
+SELECT event_id, 'skip' FROM t WHERE at_ < 3 OR at_ >= target + 3"""
 R.sql["w9_trim"] = TRIM
 
 
@@ -59,7 +64,8 @@ def w9_trim(spark, d):
     return out
 
 
-R.sql["w11_label_backfill"] = """SELECT d.doc_id, coalesce(max(toxic), 0)::INTEGER AS toxic, max(quality) AS quality, CASE WHEN count(quality) > 0 THEN max(quality)::VARCHAR END AS listed
+R.sql["w11_label_backfill"] = """SELECT d.doc_id, coalesce(max(toxic), 0)::INTEGER AS toxic, max(quality) AS quality, CASE
+WHEN count(quality) > 0 THEN max(quality)::VARCHAR END AS listed
 FROM documents d LEFT JOIN labels USING (doc_id) GROUP BY d.doc_id"""
 
 
@@ -82,8 +88,10 @@ def t1_natural_order(spark, d):
     return ranked(table(spark, d, "part").select(name.alias("name")).distinct(), C.natural_order(F.col("name")), "place")
 
 
-R.sql["t3_bounded_sample"] = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at_, count(*) OVER (PARTITION BY user_id) AS n FROM events),
-k AS (SELECT DISTINCT user_id, i * n // 30 AS at_ FROM (SELECT DISTINCT user_id, n FROM n), range(30) r(i)) SELECT event_id FROM n WHERE n <= 30 OR (user_id, at_) IN (SELECT (user_id, at_) FROM k)"""
+R.sql["t3_bounded_sample"] = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at_, count(*) OVER (PARTITION BY user_id) AS n
+FROM events),
+k AS (SELECT DISTINCT user_id, i * n // 30 AS at_ FROM (SELECT DISTINCT user_id, n FROM n), range(30) r(i)) SELECT event_id FROM n
+WHERE n <= 30 OR (user_id, at_) IN (SELECT (user_id, at_) FROM k)"""
 
 
 @R.query
@@ -99,7 +107,8 @@ def t4_repeatable_sample(spark, d):
     return C.repeatable_sample(table(spark, d, "pages"), "url", 0.1).select("page_id", "url")
 
 
-R.sql["t5_reference_camera"] = f"WITH {COUNTS} SELECT user_id, arg_min(event_type, (n, CASE WHEN event_type = 'view' THEN -1 ELSE 0 END, event_type)) AS reference FROM c GROUP BY user_id"
+R.sql["t5_reference_camera"] = f"""WITH {COUNTS} SELECT user_id, arg_min(event_type, (n, CASE WHEN event_type = 'view' THEN -1 ELSE 0 END, event_type)) AS reference FROM c
+GROUP BY user_id"""
 
 
 @R.query
@@ -107,9 +116,12 @@ def t5_reference_camera(spark, d):
     return C.reference_camera(counts(spark, d), "user_id", "event_type", "n", {"view": -1})
 
 
-R.sql["j10_remap"] = """WITH p AS (SELECT page_id, regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), m AS (SELECT path AS old, 'new/' || path AS new FROM p WHERE page_id % 3 = 0),
-e AS (SELECT old, min(new) AS new FROM m GROUP BY old), t AS (SELECT regexp_extract(old, '([^/]*/[^/]*)$', 1) AS tail, min(new) AS new FROM m GROUP BY 1)
-SELECT page_id, coalesce(e.new, t.new) AS new_path, CASE WHEN e.new IS NOT NULL THEN 'path' WHEN t.new IS NOT NULL THEN 'tail' END AS matched_by FROM p LEFT JOIN e ON p.path = e.old LEFT JOIN t ON regexp_extract(p.path, '([^/]*/[^/]*)$', 1) = t.tail"""
+R.sql["j10_remap"] = """WITH p AS (SELECT page_id, regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), m AS (SELECT path AS old, 'new/' || path AS new FROM p
+WHERE page_id % 3 = 0),
+e AS (SELECT old, min(new) AS new FROM m GROUP BY old), t AS (SELECT regexp_extract(old, '([^/]*/[^/]*)$', 1) AS tail, min(new) AS new FROM m
+GROUP BY 1)
+SELECT page_id, coalesce(e.new, t.new) AS new_path, CASE WHEN e.new IS NOT NULL THEN 'path' WHEN t.new IS NOT NULL THEN 'tail' END AS matched_by
+FROM p LEFT JOIN e ON p.path = e.old LEFT JOIN t ON regexp_extract(p.path, '([^/]*/[^/]*)$', 1) = t.tail"""
 
 
 @R.query
@@ -120,9 +132,11 @@ def j10_remap(spark, d):
     return C.remapped(paths, "path", mapping, "old", "new", tail("path"), tail("old")).select("page_id", "new_path", "matched_by")
 
 
-R.sql["j10_unmatched"] = """WITH p AS (SELECT page_id, regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), m AS (SELECT path AS old, 'new/' || path AS new FROM p WHERE page_id % 10 = 0),
+R.sql["j10_unmatched"] = """WITH p AS (SELECT page_id, regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), m AS (SELECT path AS old, 'new/' || path AS new FROM p
+WHERE page_id % 10 = 0),
 t AS (SELECT DISTINCT regexp_extract(old, '([^/]*/[^/]*)$', 1) AS tail FROM m), i AS (SELECT DISTINCT path FROM p WHERE page_id % 4 = 1)
-SELECT DISTINCT path FROM p WHERE path NOT IN (SELECT old FROM m) AND regexp_extract(path, '([^/]*/[^/]*)$', 1) NOT IN (SELECT tail FROM t) AND path NOT IN (SELECT path FROM i)"""
+SELECT DISTINCT path FROM p WHERE path NOT IN (SELECT old FROM m) AND regexp_extract(path, '([^/]*/[^/]*)$', 1) NOT IN (SELECT tail FROM t)
+AND path NOT IN (SELECT path FROM i)"""
 
 
 @R.query
@@ -135,9 +149,13 @@ def j10_unmatched(spark, d):
     return C.unmatched(C.remapped(paths, "path", mapping, "old", "new", tail("path"), tail("old"), index), "path")
 
 
-R.sql["j15_nearest_ancestor"] = """WITH p AS (SELECT DISTINCT regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), f AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*/[^/?#]*)/', 1) AS folder FROM pages WHERE page_id % 2 = 0 UNION SELECT regexp_extract(url, '://([^/?#]*)', 1) FROM pages WHERE page_id % 5 = 0),
-u AS (SELECT path, unnest(range(1, 6)) AS k, string_split(path, '/') AS parts FROM p), a AS (SELECT path, len(parts) - k AS depth, array_to_string(parts[1:len(parts) - k], '/') AS up FROM u WHERE len(parts) - k > 0)
-SELECT p.path, max_by(up, depth) AS ancestor FROM p LEFT JOIN (SELECT * FROM a WHERE up IN (SELECT folder FROM f)) x ON p.path = x.path GROUP BY p.path"""
+R.sql["j15_nearest_ancestor"] = """WITH p AS (SELECT DISTINCT regexp_extract(url, '://([^?#]*)', 1) AS path FROM pages), f AS (SELECT DISTINCT regexp_extract(url,
+'://([^/?#]*/[^/?#]*)/', 1) AS folder FROM pages WHERE page_id % 2 = 0 UNION SELECT regexp_extract(url, '://([^/?#]*)', 1) FROM pages
+WHERE page_id % 5 = 0),
+u AS (SELECT path, unnest(range(1, 6)) AS k, string_split(path, '/') AS parts FROM p), a AS (SELECT path, len(parts) - k AS depth,
+array_to_string(parts[1:len(parts) - k], '/') AS up FROM u WHERE len(parts) - k > 0)
+SELECT p.path, max_by(up, depth) AS ancestor FROM p LEFT JOIN (SELECT * FROM a WHERE up IN (SELECT folder FROM f)) x ON p.path = x.path
+GROUP BY p.path"""
 
 
 @R.query
@@ -149,7 +167,8 @@ def j15_nearest_ancestor(spark, d):
     return C.nearest_ancestor(paths, "path", folders.union(hosts), "folder")
 
 
-R.sql["j16_task"] = """SELECT c_custkey, coalesce(CASE WHEN c_custkey % 7 = 0 THEN 'override_' || c_custkey END, CASE WHEN c_acctbal > 0 THEN c_mktsegment END, 'default') AS task FROM customer"""
+R.sql["j16_task"] = """SELECT c_custkey, coalesce(CASE WHEN c_custkey % 7 = 0 THEN 'override_' || c_custkey END, CASE WHEN c_acctbal > 0 THEN c_mktsegment END,
+'default') AS task FROM customer"""
 
 
 @R.query
@@ -168,7 +187,8 @@ def u1_united(spark, d):
     return C.united(orders.filter("o_orderstatus = 'F'").select("o_custkey"), orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey"))
 
 
-R.sql["u3_replaced"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey + 1000000, o_orderstatus, round(o_totalprice * 2, 2) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0"
+R.sql["u3_replaced"] = """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey + 1000000, o_orderstatus,
+round(o_totalprice * 2, 2) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0"""
 
 
 @R.query
@@ -191,9 +211,11 @@ def j5_routing(spark, d):
     return there.unionByName(back)
 
 
-VOC = "v AS (SELECT p_brand, p_type, 'text ' || min(p_partkey) AS text, min(p_partkey) AS ord FROM part WHERE p_size % 3 > 0 AND p_type <> 'SMALL' AND p_brand <> 'Brand#7' AND p_partkey % 40 < 3 GROUP BY ALL)"
+VOC = """v AS (SELECT p_brand, p_type, 'text ' || min(p_partkey) AS text, min(p_partkey) AS ord FROM part WHERE p_size % 3 > 0 AND p_type <> 'SMALL'
+AND p_brand <> 'Brand#7' AND p_partkey % 40 < 3 GROUP BY ALL)"""
 R.sql["j6_label_text"] = f"""WITH {VOC}, f AS (SELECT p_type, arg_min(text, ord) AS text FROM v GROUP BY p_type)
-SELECT p_partkey, coalesce(v.text, f.text, p.p_type) AS text FROM part p LEFT JOIN v ON p.p_brand = v.p_brand AND p.p_type = v.p_type LEFT JOIN f ON p.p_type = f.p_type"""
+SELECT p_partkey, coalesce(v.text, f.text, p.p_type) AS text FROM part p LEFT JOIN v ON p.p_brand = v.p_brand AND p.p_type = v.p_type LEFT
+JOIN f ON p.p_type = f.p_type"""
 
 
 @R.query
@@ -204,7 +226,8 @@ def j6_label_text(spark, d):
     return V.verbalised(parts, "p_brand", "p_type", known, "ord").select("p_partkey", "text")
 
 
-R.sql["j7_task_vocabulary"] = """SELECT r_name, array_to_string(list_sort(list(n_nationkey::VARCHAR || '=' || n_name)), ';') AS entries FROM region JOIN nation ON n_regionkey = r_regionkey AND r_regionkey <> 2 GROUP BY r_name"""
+R.sql["j7_task_vocabulary"] = """SELECT r_name, array_to_string(list_sort(list(n_nationkey::VARCHAR || '=' || n_name)), ';') AS entries FROM region
+JOIN nation ON n_regionkey = r_regionkey AND r_regionkey <> 2 GROUP BY r_name"""
 
 
 @R.query

@@ -27,7 +27,8 @@ def documents_of_events(spark, d):
     return K.documents_of(table(spark, d, "events"), path, doc).select(F.col("rel_path").alias("path"), F.col("payload").alias("value"))
 
 
-R.sql["s1_stamp_documents"] = """SELECT user_id::VARCHAR AS clip, event_id::INTEGER AS frame, epoch_us(ts) * 1000 AS image_left, CASE WHEN event_id % 2 = 0 THEN (epoch_us(ts) + 7) * 1000 END AS image_right, NULL::BIGINT AS image_side,
+R.sql["s1_stamp_documents"] = """SELECT user_id::VARCHAR AS clip, event_id::INTEGER AS frame, epoch_us(ts) * 1000 AS image_left, CASE
+WHEN event_id % 2 = 0 THEN (epoch_us(ts) + 7) * 1000 END AS image_right, NULL::BIGINT AS image_side,
 CASE WHEN event_id % 3 > 0 THEN (epoch_us(ts) + event_id % 100) * 1000 END AS ecm__measured_js FROM events"""
 
 
@@ -51,9 +52,12 @@ def s2_kinematic_documents(spark, d):
     return rounded(out.select("clip", F.col("frame").cast("long").alias("frame"), "arm_name", F.element_at("measured_js.position", 6).alias("joint_6"), "jaw_position", "corrupt"))
 
 
-R.sql["s2_kinematic_documents"] = """SELECT label::VARCHAR AS clip, vec_id AS frame, 'PSM1' AS arm_name, round(embedding[6]::DOUBLE, 6) AS joint_6, round(embedding[20]::DOUBLE, 6) AS jaw_position, CASE WHEN vec_id % 9 = 0 THEN 'orientation' END AS corrupt FROM embeddings"""
-R.sql["s3_label_documents"] = """WITH x AS (SELECT doc_id AS frame, toxic FROM labels), y AS (SELECT doc_id AS frame, quality FROM labels WHERE doc_id % 2 = 0), z AS (SELECT doc_id AS frame, lang FROM documents), w AS (SELECT vec_id AS frame, label FROM embeddings)
-SELECT frame, toxic, quality, lang, label, (SELECT count(quality) > 0 AND count(quality) < greatest(count(toxic), count(quality), (SELECT count(lang) FROM z), (SELECT count(label) FROM w)) FROM x FULL JOIN y USING (frame)) AS gesture_partial
+R.sql["s2_kinematic_documents"] = """SELECT label::VARCHAR AS clip, vec_id AS frame, 'PSM1' AS arm_name, round(embedding[6]::DOUBLE, 6) AS joint_6, round(embedding[20]::DOUBLE,
+6) AS jaw_position, CASE WHEN vec_id % 9 = 0 THEN 'orientation' END AS corrupt FROM embeddings"""
+R.sql["s3_label_documents"] = """WITH x AS (SELECT doc_id AS frame, toxic FROM labels), y AS (SELECT doc_id AS frame, quality FROM labels WHERE doc_id % 2 = 0),
+z AS (SELECT doc_id AS frame, lang FROM documents), w AS (SELECT vec_id AS frame, label FROM embeddings)
+SELECT frame, toxic, quality, lang, label, (SELECT count(quality) > 0 AND count(quality) < greatest(count(toxic), count(quality), (SELECT count(lang)
+FROM z), (SELECT count(label) FROM w)) FROM x FULL JOIN y USING (frame)) AS gesture_partial
 FROM x FULL JOIN y USING (frame) FULL JOIN z USING (frame) FULL JOIN w USING (frame)"""
 
 
@@ -65,7 +69,8 @@ def s3_label_documents(spark, d):
     return S.label_documents(labels.select("frame", "toxic"), labels.filter("frame % 2 = 0").select("frame", "quality"), phase, step, ["frame"])
 
 
-R.sql["s4_calibrated_documents"] = "SELECT vec_id AS frame, 'PSM2' AS arm_name, CASE WHEN vec_id % 4 > 0 THEN round(embedding[2]::DOUBLE, 6) END AS y, vec_id % 2 > 0 AS has_setpoint FROM embeddings"
+R.sql["s4_calibrated_documents"] = """SELECT vec_id AS frame, 'PSM2' AS arm_name, CASE WHEN vec_id % 4 > 0 THEN round(embedding[2]::DOUBLE, 6) END AS y, vec_id % 2 > 0 AS has_setpoint
+FROM embeddings"""
 
 
 @R.query
@@ -79,7 +84,8 @@ def s4_calibrated_documents(spark, d):
     return rounded(out.select(F.col("frame").cast("long").alias("frame"), "arm_name", F.col("measured.position")[1].alias("y"), F.col("setpoint").isNotNull().alias("has_setpoint")))
 
 
-R.sql["s5_clip_metadata"] = """SELECT event_id, json_extract_string(props, '$.k') AS k, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END::INTEGER AS n_extra, CASE WHEN event_id % 2 = 0 THEN event_type END AS extra_kind FROM events"""
+R.sql["s5_clip_metadata"] = """SELECT event_id, json_extract_string(props, '$.k') AS k, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END::INTEGER AS n_extra, CASE
+WHEN event_id % 2 = 0 THEN event_type END AS extra_kind FROM events"""
 
 
 @R.query
@@ -89,7 +95,8 @@ def s5_clip_metadata(spark, d):
     return out.select("event_id", "k", F.size("extra").alias("n_extra"), F.col("extra")["kind"].alias("extra_kind"))
 
 
-R.sql["s6_calibrations"] = """SELECT p_partkey::VARCHAR AS clip, p_size AS width, (p_size * 2)::INTEGER AS height, p_retailprice AS fx, round(CASE WHEN p_partkey % 3 = 0 THEN 0.5 ELSE 4.25 / p_retailprice END, 9) AS baseline FROM part"""
+R.sql["s6_calibrations"] = """SELECT p_partkey::VARCHAR AS clip, p_size AS width, (p_size * 2)::INTEGER AS height, p_retailprice AS fx, round(CASE
+WHEN p_partkey % 3 = 0 THEN 0.5 ELSE 4.25 / p_retailprice END, 9) AS baseline FROM part"""
 
 
 @R.query
@@ -115,8 +122,10 @@ def s7_camera_timetables(spark, d):
     return S.camera_timetables(docs, "user_id", order="part")
 
 
-R.sql["s8_clip_inventory"] = """WITH p AS (SELECT 'online_' || regexp_extract(url, '://([^/?#]*)', 1) AS dataset, regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1) AS clip, url FROM pages)
-SELECT dataset, clip, count(*) AS n_files, bool_or(regexp_matches(url, '\\?')) AS has_query, bool_or(regexp_matches(url, '#')) AS has_mark, 'online' AS variant FROM p GROUP BY dataset, clip"""
+R.sql["s8_clip_inventory"] = """WITH p AS (SELECT 'online_' || regexp_extract(url, '://([^/?#]*)', 1) AS dataset, regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1) AS clip, url
+FROM pages)
+SELECT dataset, clip, count(*) AS n_files, bool_or(regexp_matches(url, '\\?')) AS has_query, bool_or(regexp_matches(url, '#')) AS has_mark,
+'online' AS variant FROM p GROUP BY dataset, clip"""
 
 
 @R.query
@@ -125,7 +134,7 @@ def s8_clip_inventory(spark, d):
     return S.clip_inventory(table(spark, d, "pages"), dataset, F.regexp_extract("url", "://[^/?#]*/([^/?#]*)", 1), {"has_query": r"\?", "has_mark": "#"}, path="url")
 
 
-R.sql["s9_completed_frames"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"
+R.sql["s9_completed_frames"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 
 
 @R.query
@@ -145,7 +154,8 @@ def s10_modality_sink(spark, d):
     return rounded(back[0].join(back[1], ["event_type", "event_id"]).select("event_type", "event_id", "user_id", "value"))
 
 
-R.sql["s11_index_sink"] = "SELECT o_orderkey, o_orderstatus, o_orderstatus AS task, o_custkey FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_orderstatus, o_orderstatus, o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0"
+R.sql["s11_index_sink"] = """SELECT o_orderkey, o_orderstatus, o_orderstatus AS task, o_custkey FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_orderstatus,
+o_orderstatus, o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0"""
 
 
 @R.query
@@ -166,7 +176,7 @@ def s12_json_lines(spark, d):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-R.sql["s13_reemitted"] = "SELECT user_id::VARCHAR AS clip, event_id::INTEGER AS frame, event_type, CASE WHEN event_id % 4 > 0 THEN round(value, 6) END AS value FROM events"
+R.sql["s13_reemitted"] = """SELECT user_id::VARCHAR AS clip, event_id::INTEGER AS frame, event_type, CASE WHEN event_id % 4 > 0 THEN round(value, 6) END AS value FROM events"""
 
 
 @R.query
@@ -194,7 +204,8 @@ def p2_stamps(spark, d):
     return table(spark, d, "events").select("event_id", sec.alias("sec"), nsec.alias("nsec")).withColumn("ns", N.to_ns(F.col("sec"), F.col("nsec")))
 
 
-R.sql["p3_parsed_stamps"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey ELSE 0 END AS sec, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey ELSE 0 END AS nsec FROM orders"""
+R.sql["p3_parsed_stamps"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey ELSE 0 END AS sec, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey ELSE 0 END AS nsec
+FROM orders"""
 
 
 @R.query
@@ -204,7 +215,8 @@ def p3_parsed_stamps(spark, d):
     return table(spark, d, "orders").select("o_orderkey", sec.alias("sec"), nsec.alias("nsec"))
 
 
-R.sql["p4_legacy_fields"] = "SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(embedding[2]::DOUBLE, 6) END AS linear_y, CASE WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(embedding[6]::DOUBLE, 6) END AS angular_z, label AS cp FROM embeddings"
+R.sql["p4_legacy_fields"] = """SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(embedding[2]::DOUBLE, 6) END AS linear_y, CASE
+WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(embedding[6]::DOUBLE, 6) END AS angular_z, label AS cp FROM embeddings"""
 
 
 @R.query
@@ -226,7 +238,8 @@ def p5_format(spark, d):
     return table(spark, d, "events").select("event_id", N.legacy_format(header, ["header_img_left", "header_lcp"], ["sec", "nsec"]).alias("kind"))
 
 
-R.sql["p6_backfill"] = """WITH k AS (SELECT user_id, min(epoch_us(ts)) FILTER (event_type = 'click') AS base, min(epoch_us(ts)) FILTER (event_type = 'view' AND value > 50) AS view_us, min(epoch_us(ts)) FILTER (event_type = 'error' AND value > 60) AS error_us FROM events GROUP BY user_id)
+R.sql["p6_backfill"] = """WITH k AS (SELECT user_id, min(epoch_us(ts)) FILTER (event_type = 'click') AS base, min(epoch_us(ts)) FILTER (event_type = 'view'
+AND value > 50) AS view_us, min(epoch_us(ts)) FILTER (event_type = 'error' AND value > 60) AS error_us FROM events GROUP BY user_id)
 SELECT user_id, coalesce(view_us, base) AS view_us, coalesce(error_us, base) AS error_us FROM k"""
 
 
@@ -264,7 +277,8 @@ def p9_projected(spark, d):
     return N.projected(table(spark, d, "part"), T.StructType([T.StructField(*k) for k in kinds]))
 
 
-R.sql["p10_flattened"] = "SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS x, round(embedding[2]::DOUBLE, 6) AS y, CASE WHEN vec_id % 2 = 0 THEN round(embedding[6]::DOUBLE, 6) END AS twist_z, CASE WHEN vec_id % 3 = 0 THEN 0.0 ELSE round(embedding[7]::DOUBLE, 6) END AS gripper FROM embeddings"
+R.sql["p10_flattened"] = """SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS x, round(embedding[2]::DOUBLE, 6) AS y, CASE WHEN vec_id % 2 = 0 THEN round(embedding[6]::DOUBLE,
+6) END AS twist_z, CASE WHEN vec_id % 3 = 0 THEN 0.0 ELSE round(embedding[7]::DOUBLE, 6) END AS gripper FROM embeddings"""
 
 
 @R.query
@@ -286,7 +300,8 @@ def p11_renamed_key(spark, d):
     return df.filter(F.map_contains_key("m", F.lit("k"))).select("event_id", N.renamed_key(F.col("m"), "k", "key")["key"].alias("key_value"))
 
 
-R.sql["p12_episode_filter"] = "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AND o_totalprice > 100000"
+R.sql["p12_episode_filter"] = """SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+AND o_totalprice > 100000"""
 
 
 @R.query
@@ -303,7 +318,8 @@ def p16_path_filter(spark, d):
     return table(spark, d, "pages").filter(N.path_filter(F.col("url"), ["https://*", "*/en/*"], ["*.net/*", "*#top"])).select("page_id")
 
 
-R.sql["p17_iso_times"] = "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE epoch_us(o_orderdate) * 1000 + CASE WHEN o_orderkey % 4 = 1 THEN 250000000 ELSE 0 END END AS ns FROM orders"
+R.sql["p17_iso_times"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE epoch_us(o_orderdate) * 1000 + CASE
+WHEN o_orderkey % 4 = 1 THEN 250000000 ELSE 0 END END AS ns FROM orders"""
 
 
 @R.query
@@ -314,7 +330,8 @@ def p17_iso_times(spark, d):
     return table(spark, d, "orders").select("o_orderkey", N.iso_to_ns(text).alias("ns"))
 
 
-R.sql["p18_log_lines"] = "SELECT l_returnflag AS stream, l_linenumber AS count, l_quantity AS elapsed_s, CASE WHEN l_partkey % 2 = 0 THEN l_discount END AS rate FROM lineitem WHERE l_partkey % 3 > 0"
+R.sql["p18_log_lines"] = """SELECT l_returnflag AS stream, l_linenumber AS count, l_quantity AS elapsed_s, CASE WHEN l_partkey % 2 = 0 THEN l_discount END AS rate FROM lineitem
+WHERE l_partkey % 3 > 0"""
 
 
 @R.query
@@ -348,7 +365,8 @@ def f1_quaternions(spark, d):
     return rounded(df.select("vec_id", F.col("r")[1].alias("r01"), F.col("r")[8].alias("r22"), *(F.col("q")[k].alias(f"q{c}") for k, c in enumerate("xyzw"))))
 
 
-R.sql["f2_measured_pose"] = f"""WITH {SQ} SELECT vec_id, round(-({X(5)} + 2) + 5, 6) AS tx, round({X(4)} + 1 + 6, 6) AS ty, round({X(6)} + 3 + 7, 6) AS tz, round(-({ROT[3]}), 6) AS r00 FROM n"""
+R.sql["f2_measured_pose"] = f"""WITH {SQ} SELECT vec_id, round(-({X(5)} + 2) + 5, 6) AS tx, round({X(4)} + 1 + 6, 6) AS ty, round({X(6)} + 3 + 7, 6) AS tz, round(-({ROT[3]}),
+6) AS r00 FROM n"""
 
 
 @R.query
@@ -360,7 +378,8 @@ def f2_measured_pose(spark, d):
     return rounded(df.select("vec_id", *(F.col("t")[k].alias(f"t{c}") for k, c in enumerate("xyz")), F.col("r")[0].alias("r00")))
 
 
-R.sql["f3_setpoint_pose"] = f"""WITH {SQ} SELECT vec_id, CASE WHEN vec_id % 3 > 0 THEN round(-{X(5)} + 5, 6) END AS tx, CASE WHEN vec_id % 3 > 0 THEN round({ROT[0]}, 6) END AS r10 FROM n"""
+R.sql["f3_setpoint_pose"] = f"""WITH {SQ} SELECT vec_id, CASE WHEN vec_id % 3 > 0 THEN round(-{X(5)} + 5, 6) END AS tx, CASE WHEN vec_id % 3 > 0 THEN round({ROT[0]}, 6) END AS r10
+FROM n"""
 
 
 @R.query
@@ -371,7 +390,8 @@ def f3_setpoint_pose(spark, d):
     return rounded(df.select("vec_id", t[0].alias("tx"), r[3].alias("r10")))
 
 
-R.sql["f4_inverse_offset"] = f"""WITH {SQ} SELECT vec_id, round({X(4)}, 6) AS tx, round({X(5)}, 6) AS ty, round({ROT[2]}, 6) AS r02, round({X(4)} + CASE WHEN vec_id % 2 = 0 THEN ({ROT[0]}) * 2 ELSE 0 END, 6) AS moved FROM n"""
+R.sql["f4_inverse_offset"] = f"""WITH {SQ} SELECT vec_id, round({X(4)}, 6) AS tx, round({X(5)}, 6) AS ty, round({ROT[2]}, 6) AS r02, round({X(4)} + CASE
+WHEN vec_id % 2 = 0 THEN ({ROT[0]}) * 2 ELSE 0 END, 6) AS moved FROM n"""
 
 
 @R.query
@@ -393,7 +413,8 @@ def f5_predicted(spark, d):
     return rounded(vectors(spark, d).select("vec_id", p[0].alias("px")))
 
 
-R.sql["f6_projected"] = f"SELECT vec_id, CASE WHEN {X(2)} > 0 THEN round(800 * ({X(0)} - 0.004) / greatest({X(2)}, 1e-9) + 320, 4) END AS u, CASE WHEN {X(2)} > 0 THEN round(810 * {X(1)} / greatest({X(2)}, 1e-9) + 240, 4) END AS v FROM embeddings"
+R.sql["f6_projected"] = f"""SELECT vec_id, CASE WHEN {X(2)} > 0 THEN round(800 * ({X(0)} - 0.004) / greatest({X(2)}, 1e-9) + 320, 4) END AS u, CASE
+WHEN {X(2)} > 0 THEN round(810 * {X(1)} / greatest({X(2)}, 1e-9) + 240, 4) END AS v FROM embeddings"""
 
 
 @R.query
@@ -402,7 +423,8 @@ def f6_projected(spark, d):
     return rounded(vectors(spark, d).select("vec_id", u.alias("u"), v.alias("v")), 4)
 
 
-R.sql["f7_outside"] = "SELECT l_returnflag, count(*) FILTER (NOT (l_quantity >= 0 AND l_quantity < 30 AND l_extendedprice >= 0 AND l_extendedprice < 50000)) AS n_outside FROM lineitem GROUP BY l_returnflag"
+R.sql["f7_outside"] = """SELECT l_returnflag, count(*) FILTER (NOT (l_quantity >= 0 AND l_quantity < 30 AND l_extendedprice >= 0 AND l_extendedprice < 50000)) AS n_outside
+FROM lineitem GROUP BY l_returnflag"""
 
 
 @R.query
@@ -410,7 +432,8 @@ def f7_outside(spark, d):
     return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count_if(Q.outside(F.col("l_quantity"), F.col("l_extendedprice"), 30, 50000)).alias("n_outside"))
 
 
-R.sql["f8_depth"] = f"SELECT vec_id, CASE WHEN {X(0)} <= 0.01 THEN NULL ELSE round((0.004183 * 1175.93 / {X(0)})::FLOAT::DOUBLE, 3) END AS depth_0, len(list_filter(embedding, lambda x: x::DOUBLE <= 0.01))::INTEGER AS n_nan FROM embeddings"
+R.sql["f8_depth"] = f"""SELECT vec_id, CASE WHEN {X(0)} <= 0.01 THEN NULL ELSE round((0.004183 * 1175.93 / {X(0)})::FLOAT::DOUBLE, 3) END AS depth_0,
+len(list_filter(embedding, lambda x: x::DOUBLE <= 0.01))::INTEGER AS n_nan FROM embeddings"""
 
 
 @R.query
@@ -420,7 +443,8 @@ def f8_depth(spark, d):
 
 
 LEN = f"sqrt({X(0)} * {X(0)} + {X(1)} * {X(1)} + {X(2)} * {X(2)}) - 0.02"
-R.sql["f9_depth_weight"] = f"SELECT vec_id, round(exp((-({LEN}) + exp(-({LEN}))) / 2), 6) AS near_weight, round(1 / (1000 * greatest({LEN}, 4e-4)), 6) AS far_weight FROM embeddings"
+R.sql["f9_depth_weight"] = f"""SELECT vec_id, round(exp((-({LEN}) + exp(-({LEN}))) / 2), 6) AS near_weight, round(1 / (1000 * greatest({LEN}, 4e-4)), 6) AS far_weight
+FROM embeddings"""
 
 
 @R.query
@@ -429,7 +453,9 @@ def f9_depth_weight(spark, d):
     return rounded(vectors(spark, d).select("vec_id", Q.depth_weight(p, True).alias("near_weight"), Q.depth_weight(p, False).alias("far_weight")))
 
 
-R.sql["f10_polar"] = "WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity - 25.5 AS x, (l_discount - 0.055) * 100 AS y FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(sqrt(x * x + y * y), 6) AS length, round(CASE WHEN atan2(y, x) < 0 THEN atan2(y, x) + 2 * pi() ELSE atan2(y, x) END, 6) AS angle FROM v"
+R.sql["f10_polar"] = """WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity - 25.5 AS x, (l_discount - 0.055) * 100 AS y FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(sqrt(x * x + y * y), 6) AS length, round(CASE WHEN atan2(y, x) < 0 THEN atan2(y,
+x) + 2 * pi() ELSE atan2(y, x) END, 6) AS angle FROM v"""
 
 
 @R.query
@@ -475,7 +501,8 @@ def r1_ingest(spark, d):
 
 PERIOD = 3_600_000_000
 R.sql["r2_live_contiguity"] = f"""WITH g AS (SELECT event_id, user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events)
-SELECT user_id, event_id, coalesce(gap < 1.5 * {PERIOD}, false) AS contiguous, CASE WHEN gap IS NULL THEN 0 ELSE greatest(0, least(127, round_even(gap / {PERIOD}, 0)::BIGINT - 1)) END::INTEGER AS drops FROM g"""
+SELECT user_id, event_id, coalesce(gap < 1.5 * {PERIOD}, false) AS contiguous, CASE WHEN gap IS NULL THEN 0 ELSE greatest(0, least(127,
+round_even(gap / {PERIOD}, 0)::BIGINT - 1)) END::INTEGER AS drops FROM g"""
 
 
 @R.query
@@ -483,8 +510,10 @@ def r2_live_contiguity(spark, d):
     return replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), files_per_batch=1)
 
 
-R.sql["r3_sync_health"] = """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts::TIMESTAMP) AS start, event_type, count(value) AS n, count(*) FILTER (abs(value) > 20) AS n_out, round(max(abs(value)), 6) AS max_delta FROM events GROUP BY ALL)
-SELECT epoch_us(start) AS start_us, event_type, n, n_out, max_delta FROM w WHERE start + INTERVAL '1 hour' <= (SELECT max(ts)::TIMESTAMP FROM events) - INTERVAL '10 minutes'"""
+R.sql["r3_sync_health"] = """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts::TIMESTAMP) AS start, event_type, count(value) AS n, count(*) FILTER (abs(value) > 20) AS n_out,
+round(max(abs(value)), 6) AS max_delta FROM events GROUP BY ALL)
+SELECT epoch_us(start) AS start_us, event_type, n, n_out, max_delta FROM w WHERE start + INTERVAL '1 hour' <= (SELECT max(ts)::TIMESTAMP
+FROM events) - INTERVAL '10 minutes'"""
 
 
 @R.query
@@ -493,9 +522,12 @@ def r3_sync_health(spark, d):
     return rounded(out.select(F.unix_micros("start").alias("start_us"), "event_type", "n", "n_out", "max_delta"))
 
 
-R.sql["r4_live_nearest"] = """WITH m AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'click'), p AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase'),
-x AS (SELECT m.user_id, m.event_id, p.event_id AS match, epoch_us(p.ts) - epoch_us(m.ts) AS delta, m.ts FROM m JOIN p ON m.user_id = p.user_id AND abs(epoch_us(p.ts) - epoch_us(m.ts)) <= 1800000000),
-o AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id ORDER BY abs(delta), -delta, match) AS o FROM x) SELECT user_id, event_id, match, delta FROM o WHERE o = 1"""
+R.sql["r4_live_nearest"] = """WITH m AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'click'), p AS (SELECT user_id, event_id, ts FROM events
+WHERE event_type = 'purchase'),
+x AS (SELECT m.user_id, m.event_id, p.event_id AS match, epoch_us(p.ts) - epoch_us(m.ts) AS delta, m.ts FROM m JOIN p ON m.user_id = p.user_id
+AND abs(epoch_us(p.ts) - epoch_us(m.ts)) <= 1800000000),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id ORDER BY abs(delta), -delta, match) AS o FROM x) SELECT user_id, event_id, match,
+delta FROM o WHERE o = 1"""
 
 
 @R.query

@@ -8,7 +8,8 @@ from ..operators import integrity as I
 from .tables import Registry, table
 
 R = Registry()
-R.sql["v1_required"] = """SELECT 'ERROR' AS severity, 'MISSING' AS code, u.user_id::VARCHAR AS key, 'missing ' || t AS message FROM (SELECT DISTINCT user_id FROM events) u, (SELECT unnest(['click', 'view', 'signup', 'gesture']) AS t)
+R.sql["v1_required"] = """SELECT 'ERROR' AS severity, 'MISSING' AS code, u.user_id::VARCHAR AS key, 'missing ' || t AS message FROM (SELECT DISTINCT user_id FROM events) u,
+(SELECT unnest(['click', 'view', 'signup', 'gesture']) AS t)
 WHERE (u.user_id, t) NOT IN (SELECT (user_id, event_type) FROM events)"""
 
 
@@ -18,9 +19,11 @@ def v1_required(spark, d):
     return I.missing_required(table(spark, d, "events"), "user_id", "event_type", required)
 
 
-V2 = """n AS (SELECT o_orderkey, o_orderstatus, o_totalprice, count(l_orderkey) AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+V2 = """n AS (SELECT o_orderkey, o_orderstatus, o_totalprice, count(l_orderkey) AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+GROUP BY ALL),
 i AS (SELECT 'ERROR' AS severity, 'E-STATE' AS code, o_orderkey::VARCHAR AS key, 'state P' AS message FROM n WHERE o_orderstatus = 'P' UNION ALL
-SELECT 'WARNING', 'E-PRICE', o_orderkey::VARCHAR, 'price over 400000' FROM n WHERE o_totalprice > 400000 UNION ALL SELECT 'ERROR', 'E-ROWS', o_orderkey::VARCHAR, 'lines ' || lines FROM n WHERE lines = 0 OR lines > 9)"""
+SELECT 'WARNING', 'E-PRICE', o_orderkey::VARCHAR, 'price over 400000' FROM n WHERE o_totalprice > 400000 UNION ALL SELECT 'ERROR', 'E-ROWS',
+o_orderkey::VARCHAR, 'lines ' || lines FROM n WHERE lines = 0 OR lines > 9)"""
 R.sql["v2_episode_rules"] = f"WITH {V2} SELECT * FROM i"
 
 
@@ -48,7 +51,8 @@ def a21_roll_up(spark, d):
 
 
 R.sql["j8_reconciled"] = """WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 10 > 0), o AS (SELECT DISTINCT o_custkey AS k FROM orders)
-SELECT 'ERROR' AS severity, 'I-1' AS code, k::VARCHAR AS key, 'only on the left' AS message FROM c WHERE k NOT IN (SELECT k FROM o) UNION ALL SELECT 'ERROR', 'I-2', k::VARCHAR, 'only on the right' FROM o WHERE k NOT IN (SELECT k FROM c)"""
+SELECT 'ERROR' AS severity, 'I-1' AS code, k::VARCHAR AS key, 'only on the left' AS message FROM c WHERE k NOT IN (SELECT k FROM o) UNION ALL
+SELECT 'ERROR', 'I-2', k::VARCHAR, 'only on the right' FROM o WHERE k NOT IN (SELECT k FROM c)"""
 
 
 @R.query
@@ -57,9 +61,11 @@ def j8_reconciled(spark, d):
     return I.reconciled(left, table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k", "I-1", "I-2")
 
 
-R.sql["v3_dataset_rules"] = """WITH x AS (SELECT 'I-1' AS code, o_orderkey::VARCHAR AS key, 'only on the left' AS message FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+R.sql["v3_dataset_rules"] = """WITH x AS (SELECT 'I-1' AS code, o_orderkey::VARCHAR AS key, 'only on the left' AS message FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey
+FROM lineitem)
 UNION ALL SELECT DISTINCT 'I-2', l_orderkey::VARCHAR, 'only on the right' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-UNION ALL SELECT 'I-6', p_brand, 'unknown ' || p_type FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_brand IN ('Brand#1', 'Brand#2') AND p_type NOT IN ('SMALL', 'ECONOMY'))) SELECT 'ERROR' AS severity, * FROM x"""
+UNION ALL SELECT 'I-6', p_brand, 'unknown ' || p_type FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_brand IN ('Brand#1', 'Brand#2')
+AND p_type NOT IN ('SMALL', 'ECONOMY'))) SELECT 'ERROR' AS severity, * FROM x"""
 
 
 @R.query
@@ -72,7 +78,8 @@ def v3_dataset_rules(spark, d):
 
 
 R.sql["v4_export_rules"] = """SELECT 'ERROR' AS severity, 'SIZE' AS code, p_partkey::VARCHAR AS key, 'size ' || p_size || ' is under 20' AS message FROM part WHERE p_size < 20
-UNION ALL SELECT 'WARNING', 'PRICE', p_partkey::VARCHAR, 'price under 950' FROM part WHERE p_retailprice < 950 UNION ALL SELECT 'INFO', 'NAME', p_partkey::VARCHAR, 'no colour' FROM part WHERE NOT regexp_matches(p_name, '^(red|blue|green|small|large) ')"""
+UNION ALL SELECT 'WARNING', 'PRICE', p_partkey::VARCHAR, 'price under 950' FROM part WHERE p_retailprice < 950 UNION ALL SELECT 'INFO', 'NAME',
+p_partkey::VARCHAR, 'no colour' FROM part WHERE NOT regexp_matches(p_name, '^(red|blue|green|small|large) ')"""
 
 
 @R.query
@@ -105,7 +112,8 @@ def altered():
 
 
 R.sql["v6_verified"] = f"""WITH a AS (SELECT 'doc/' || doc_id AS path, text, doc_id % 17 > 0 AS there, {ALTER} AS other FROM documents WHERE source <> 'src3')
-SELECT path, CASE WHEN NOT there THEN 'MISSING' WHEN strlen(text) <> strlen(other) THEN 'SIZE' WHEN text <> other THEN 'HASH' ELSE 'OK' END AS status FROM a"""
+SELECT path, CASE WHEN NOT there THEN 'MISSING' WHEN strlen(text) <> strlen(other) THEN 'SIZE' WHEN text <> other THEN 'HASH' ELSE 'OK' END AS status
+FROM a"""
 
 
 @R.query
@@ -124,7 +132,8 @@ def j9_delta(spark, d):
     return I.delta(files(spark, d), files(spark, d, altered()).filter(~gone))
 
 
-R.sql["j14_round_trip"] = """WITH g AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS doc, max(l_quantity) AS q, max(l_extendedprice) AS e, max(l_linestatus) AS s, max(l_orderkey) AS k FROM lineitem GROUP BY 1)
+R.sql["j14_round_trip"] = """WITH g AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS doc, max(l_quantity) AS q, max(l_extendedprice) AS e,
+max(l_linestatus) AS s, max(l_orderkey) AS k FROM lineitem GROUP BY 1)
 SELECT doc, 'quantity' AS path, 'differs' AS kind FROM g WHERE k % 5 = 0 UNION ALL SELECT doc, 'status', 'missing' FROM g WHERE k % 7 = 0"""
 
 
@@ -148,7 +157,8 @@ def u2_unknown_values(spark, d):
     return I.unknown_values(table(spark, d, "part"), "p_brand", "p_type", words)
 
 
-R.sql["u4_duplicates"] = "SELECT user_id, event_type, count(*) AS n, array_to_string(list_sort(list_distinct(list(props))), ',') AS sources FROM events GROUP BY ALL HAVING count(*) > 1"
+R.sql["u4_duplicates"] = """SELECT user_id, event_type, count(*) AS n, array_to_string(list_sort(list_distinct(list(props))), ',') AS sources FROM events
+GROUP BY ALL HAVING count(*) > 1"""
 
 
 @R.query
@@ -156,7 +166,8 @@ def u4_duplicates(spark, d):
     return I.duplicates(table(spark, d, "events"), ["user_id", "event_type"], "props")
 
 
-R.sql["u4_all_duplicates"] = "SELECT user_id, event_type, count(*) AS n, array_to_string(list_sort(list_distinct(list(props))), ',') AS sources FROM events GROUP BY ALL HAVING count(*) > 1"
+R.sql["u4_all_duplicates"] = """SELECT user_id, event_type, count(*) AS n, array_to_string(list_sort(list_distinct(list(props))), ',') AS sources FROM events
+GROUP BY ALL HAVING count(*) > 1"""
 
 
 @R.query

@@ -30,12 +30,16 @@ def chosen(names, at):
 # --- V1: customers are the clips that are expected, events their files --------------------------------------------
 COUNTED = [f for f in U.REQUIRED_FOLDERS if f not in U.WITHOUT_FRAMES]
 R.sql["v1_raw_clip_rules"] = f"""WITH f AS (SELECT user_id AS clip, ({listed(FOLDERS)})[1 + event_id % {len(FOLDERS)}] AS folder, count(*) AS frames FROM events GROUP BY ALL),
-c AS (SELECT c_custkey AS clip, c_custkey % 7 > 0 AS has_meta, c_custkey IN (SELECT clip FROM f) AS there FROM customer), m AS (SELECT clip, max(frames) AS most FROM f WHERE list_contains({listed(COUNTED)}, folder) GROUP BY clip),
-w AS (SELECT clip, unnest({listed(FOLDERS)}) AS folder FROM c WHERE there), g AS (SELECT clip, folder, list_contains({listed(U.OPTIONAL_FOLDERS)}, folder) AS free FROM w ANTI JOIN f USING (clip, folder))
+c AS (SELECT c_custkey AS clip, c_custkey % 7 > 0 AS has_meta, c_custkey IN (SELECT clip FROM f) AS there FROM customer), m AS (SELECT clip,
+max(frames) AS most FROM f WHERE list_contains({listed(COUNTED)}, folder) GROUP BY clip),
+w AS (SELECT clip, unnest({listed(FOLDERS)}) AS folder FROM c WHERE there), g AS (SELECT clip, folder, list_contains({listed(U.OPTIONAL_FOLDERS)},
+folder) AS free FROM w ANTI JOIN f USING (clip, folder))
 SELECT 'ERROR' AS severity, 'raw_clip_missing' AS code, clip::VARCHAR AS key, 'the clip has no folders' AS message FROM c WHERE NOT there
 UNION ALL SELECT 'ERROR', 'raw_missing_meta', clip::VARCHAR, 'no metadata' FROM c WHERE there AND NOT has_meta
-UNION ALL SELECT CASE WHEN free THEN 'INFO' ELSE 'ERROR' END, CASE WHEN free THEN 'raw_missing_optional' ELSE 'raw_missing_subdir' END, clip::VARCHAR, 'no folder ' || folder FROM g
-UNION ALL SELECT 'ERROR', 'raw_frame_count_mismatch', clip::VARCHAR, folder || ' has ' || frames || ' frames of ' || most FROM f JOIN m USING (clip) JOIN c USING (clip) WHERE list_contains({listed(COUNTED)}, folder) AND frames <> most"""
+UNION ALL SELECT CASE WHEN free THEN 'INFO' ELSE 'ERROR' END, CASE WHEN free THEN 'raw_missing_optional' ELSE 'raw_missing_subdir' END, clip::VARCHAR,
+'no folder ' || folder FROM g
+UNION ALL SELECT 'ERROR', 'raw_frame_count_mismatch', clip::VARCHAR, folder || ' has ' || frames || ' frames of ' || most FROM f JOIN m USING (clip)
+JOIN c USING (clip) WHERE list_contains({listed(COUNTED)}, folder) AND frames <> most"""
 
 
 @R.query
@@ -48,15 +52,23 @@ def v1_raw_clip_rules(spark, d):
 # --- V2: orders are episodes, their lines the rows of the frame tables --------------------------------------------
 ROWS = f"SELECT l_orderkey AS episode, ({listed(U.MODALITIES)})[1 + (l_linenumber + l_partkey) % 5] AS modality, count(*) AS n FROM lineitem GROUP BY ALL"
 R.sql["v2_packed_episode_rules"] = f"""WITH n AS ({ROWS}),
-o AS (SELECT o_orderkey AS episode, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 10 = 8 THEN 'running' WHEN o_orderkey % 10 = 9 THEN 'failed' ELSE 'complete' END AS state, o_orderkey % 11 > 0 AS has_meta, o_orderkey % 13 > 0 AS readable,
-CASE WHEN o_orderkey % 17 > 0 THEN '1' WHEN o_orderkey % 2 = 0 THEN '0' END AS version, o_orderkey % 100 / 100.0 AS contiguity, o_orderkey % 19 > 0 AS has_raw FROM orders),
-c AS (SELECT * FROM o WHERE state = 'complete'), k AS (SELECT * FROM c WHERE has_meta AND readable), w AS (SELECT episode, unnest({listed(U.MODALITIES)}) AS modality FROM k)
-SELECT 'ERROR' AS severity, 'ep_incomplete' AS code, episode::VARCHAR AS key, 'not complete: ' || CASE state WHEN 'running' THEN 'in flight' WHEN 'failed' THEN 'failed before' ELSE 'never finished' END AS message FROM o WHERE state IS DISTINCT FROM 'complete'
-UNION ALL SELECT 'ERROR', 'ep_missing_meta', episode::VARCHAR, 'no metadata' FROM c WHERE NOT has_meta UNION ALL SELECT 'ERROR', 'ep_schema_drift', episode::VARCHAR, 'the metadata don''t fit their schema' FROM c WHERE has_meta AND NOT readable
-UNION ALL SELECT 'ERROR', 'ep_schema_version_mismatch', episode::VARCHAR, 'schema version ' || coalesce(version, 'none') FROM k WHERE version IS DISTINCT FROM '1'
+o AS (SELECT o_orderkey AS episode, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 10 = 8 THEN 'running'
+WHEN o_orderkey % 10 = 9 THEN 'failed' ELSE 'complete' END AS state, o_orderkey % 11 > 0 AS has_meta, o_orderkey % 13 > 0 AS readable,
+CASE WHEN o_orderkey % 17 > 0 THEN '1' WHEN o_orderkey % 2 = 0 THEN '0' END AS version, o_orderkey % 100 / 100.0 AS contiguity,
+o_orderkey % 19 > 0 AS has_raw FROM orders),
+c AS (SELECT * FROM o WHERE state = 'complete'), k AS (SELECT * FROM c WHERE has_meta AND readable), w AS (SELECT episode,
+unnest({listed(U.MODALITIES)}) AS modality FROM k)
+SELECT 'ERROR' AS severity, 'ep_incomplete' AS code, episode::VARCHAR AS key, 'not complete: ' || CASE state WHEN 'running' THEN 'in flight'
+WHEN 'failed' THEN 'failed before' ELSE 'never finished' END AS message FROM o WHERE state IS DISTINCT FROM 'complete'
+UNION ALL SELECT 'ERROR', 'ep_missing_meta', episode::VARCHAR, 'no metadata' FROM c WHERE NOT has_meta UNION ALL SELECT 'ERROR', 'ep_schema_drift',
+episode::VARCHAR, 'the metadata don''t fit their schema' FROM c WHERE has_meta AND NOT readable
+UNION ALL SELECT 'ERROR', 'ep_schema_version_mismatch', episode::VARCHAR, 'schema version ' || coalesce(version, 'none') FROM k
+WHERE version IS DISTINCT FROM '1'
 UNION ALL SELECT 'ERROR', 'ep_missing_parquet', episode::VARCHAR, 'no table ' || modality FROM w ANTI JOIN n USING (episode, modality)
-UNION ALL SELECT 'ERROR', 'ep_length_mismatch', episode::VARCHAR, modality || ' has ' || n || ' rows of 1' FROM w JOIN n USING (episode, modality) WHERE n <> 1
-UNION ALL SELECT 'ERROR', 'ep_low_contiguity', episode::VARCHAR, 'contiguity under 0.2' FROM k WHERE contiguity < 0.2 UNION ALL SELECT 'WARNING', 'ep_no_video_raw', episode::VARCHAR, 'raw images can''t be rebuilt' FROM k WHERE NOT has_raw"""
+UNION ALL SELECT 'ERROR', 'ep_length_mismatch', episode::VARCHAR, modality || ' has ' || n || ' rows of 1' FROM w JOIN n USING (episode, modality)
+WHERE n <> 1
+UNION ALL SELECT 'ERROR', 'ep_low_contiguity', episode::VARCHAR, 'contiguity under 0.2' FROM k WHERE contiguity < 0.2 UNION ALL SELECT 'WARNING',
+'ep_no_video_raw', episode::VARCHAR, 'raw images can''t be rebuilt' FROM k WHERE NOT has_raw"""
 
 
 def table_rows(spark, d):
@@ -77,16 +89,23 @@ def v2_packed_episode_rules(spark, d):
 
 # --- V3: orders are what is stored, their lines the index; documents are the files --------------------------------
 SHARE = 0.2
-R.sql["v3_release_rules"] = f"""WITH disk AS (SELECT o_orderkey AS e FROM orders), idx AS (SELECT DISTINCT l_orderkey AS e FROM lineitem), lines AS (SELECT e FROM idx WHERE e % 50 > 0 UNION SELECT c_custkey + 100000000 FROM customer WHERE c_custkey % 100 = 0),
+R.sql["v3_release_rules"] = f"""WITH disk AS (SELECT o_orderkey AS e FROM orders), idx AS (SELECT DISTINCT l_orderkey AS e FROM lineitem), lines AS (SELECT e FROM idx
+WHERE e % 50 > 0 UNION SELECT c_custkey + 100000000 FROM customer WHERE c_custkey % 100 = 0),
 n AS ({ROWS}), s AS (SELECT e AS episode FROM disk WHERE e % 3 = 0), w AS (SELECT episode, unnest({listed(U.MODALITIES)}) AS modality FROM s),
-a AS (SELECT 'doc/' || doc_id AS path, text, doc_id % 17 > 0 AS there, doc_id % 23 > 0 AS listed, CASE WHEN doc_id % 5 = 0 THEN text || 'x' ELSE text END AS other FROM documents WHERE text IS NOT NULL),
+a AS (SELECT 'doc/' || doc_id AS path, text, doc_id % 17 > 0 AS there, doc_id % 23 > 0 AS listed, CASE
+WHEN doc_id % 5 = 0 THEN text || 'x' ELSE text END AS other FROM documents WHERE text IS NOT NULL),
 b AS (SELECT *, ('0x' || substr(md5(path), 1, 8))::BIGINT AS bucket FROM a WHERE there AND listed)
-SELECT 'ERROR' AS severity, 'I-1' AS code, e::VARCHAR AS key, 'only on the left' AS message FROM disk ANTI JOIN idx USING (e) UNION ALL SELECT 'ERROR', 'I-2', e::VARCHAR, 'only on the right' FROM idx ANTI JOIN disk USING (e)
-UNION ALL SELECT 'ERROR', 'I-3', e::VARCHAR, 'only on the left' FROM lines ANTI JOIN idx USING (e) UNION ALL SELECT 'ERROR', 'I-3', e::VARCHAR, 'only on the right' FROM idx ANTI JOIN lines USING (e)
-UNION ALL SELECT 'ERROR', 'I-4', episode::VARCHAR, 'no table ' || modality FROM w ANTI JOIN n USING (episode, modality) UNION ALL SELECT 'ERROR', 'I-4', episode::VARCHAR, modality || ' has ' || n || ' rows of 1' FROM w JOIN n USING (episode, modality) WHERE n <> 1
+SELECT 'ERROR' AS severity, 'I-1' AS code, e::VARCHAR AS key, 'only on the left' AS message FROM disk ANTI JOIN idx USING (e) UNION ALL
+SELECT 'ERROR', 'I-2', e::VARCHAR, 'only on the right' FROM idx ANTI JOIN disk USING (e)
+UNION ALL SELECT 'ERROR', 'I-3', e::VARCHAR, 'only on the left' FROM lines ANTI JOIN idx USING (e) UNION ALL SELECT 'ERROR', 'I-3', e::VARCHAR,
+'only on the right' FROM idx ANTI JOIN lines USING (e)
+UNION ALL SELECT 'ERROR', 'I-4', episode::VARCHAR, 'no table ' || modality FROM w ANTI JOIN n USING (episode, modality) UNION ALL SELECT 'ERROR',
+'I-4', episode::VARCHAR, modality || ' has ' || n || ' rows of 1' FROM w JOIN n USING (episode, modality) WHERE n <> 1
 UNION ALL SELECT 'ERROR', 'I-5', path, CASE WHEN there THEN 'only on the left' ELSE 'only on the right' END FROM a WHERE there <> listed
-UNION ALL SELECT 'ERROR', 'I-5', path, 'hash differs' FROM b WHERE text <> other AND (bucket < ({SHARE} * 4294967296)::BIGINT OR (bucket, path) = (SELECT (min((bucket, path))) FROM b))
-UNION ALL SELECT 'ERROR', 'I-6', p_brand, 'unknown: ' || p_type FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_brand IN ('Brand#1', 'Brand#2') AND p_type NOT IN ('SMALL', 'ECONOMY'))
+UNION ALL SELECT 'ERROR', 'I-5', path, 'hash differs' FROM b WHERE text <> other AND (bucket < ({SHARE} * 4294967296)::BIGINT OR (bucket,
+path) = (SELECT (min((bucket, path))) FROM b))
+UNION ALL SELECT 'ERROR', 'I-6', p_brand, 'unknown: ' || p_type FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_brand IN ('Brand#1',
+'Brand#2') AND p_type NOT IN ('SMALL', 'ECONOMY'))
 UNION ALL SELECT DISTINCT 'ERROR', 'I-7', event_type, 'not declared' FROM events WHERE event_type NOT IN ('click', 'view')"""
 
 
@@ -116,12 +135,18 @@ PATHS = ("videos/case-000/a/episode_000000.mp4", "videos/notes.txt", "data/case-
 FEATURES = (*U.EXPORT_FEATURES, "observation.images.left", "observation.images.side", "observation.meta.tool", "other")
 _NO = "UNION ALL SELECT '{s}', '{c}', e::VARCHAR, {m} FROM x WHERE {w} "
 R.sql["v4_learning_export_rules"] = (
-    f"""WITH p AS (SELECT DISTINCT l_suppkey AS e, ({listed(PATHS)})[1 + (l_partkey + l_linenumber) % {len(PATHS)}] AS path FROM lineitem WHERE l_suppkey % 9 > 0 OR l_linenumber < 3),
-f AS (SELECT l_suppkey AS e, ({listed(FEATURES)})[1 + l_partkey % {len(FEATURES)}] AS feature, min(l_quantity)::INTEGER * 100 AS height, max(l_quantity)::INTEGER * 12 AS width FROM lineitem WHERE l_suppkey % 8 > 0 OR l_linenumber < 3 GROUP BY ALL),
-s AS (SELECT s_suppkey AS e, s_suppkey % 40 AS fps, CASE WHEN s_suppkey % 5 > 0 THEN 'arm' END AS robot, CASE s_suppkey % 3 WHEN 1 THEN ['train', 'val', 'test', 'recovery'] WHEN 2 THEN ['train'] END AS splits,
-CASE WHEN s_suppkey % 4 = 1 THEN ['cut'] WHEN s_suppkey % 4 = 2 THEN []::VARCHAR[] END AS tasks, CASE s_suppkey % 6 WHEN 1 THEN 'By TimeStamps' WHEN 2 THEN 'none' END AS readme FROM supplier),
-x AS (SELECT s.*, coalesce((SELECT list(path) FROM p WHERE p.e = s.e), []) AS paths, coalesce((SELECT list(feature) FROM f WHERE f.e = s.e), []) AS features FROM s)
-SELECT 'WARNING' AS severity, 'image' AS code, e::VARCHAR AS key, feature || ' is ' || height || 'x' || width AS message FROM f WHERE starts_with(feature, 'observation.images.') AND (height < 480 OR width < 480) AND e IN (SELECT e FROM s) """
+    f"""WITH p AS (SELECT DISTINCT l_suppkey AS e, ({listed(PATHS)})[1 + (l_partkey + l_linenumber) % {len(PATHS)}] AS path FROM lineitem
+WHERE l_suppkey % 9 > 0 OR l_linenumber < 3),
+f AS (SELECT l_suppkey AS e, ({listed(FEATURES)})[1 + l_partkey % {len(FEATURES)}] AS feature, min(l_quantity)::INTEGER * 100 AS height,
+max(l_quantity)::INTEGER * 12 AS width FROM lineitem WHERE l_suppkey % 8 > 0 OR l_linenumber < 3 GROUP BY ALL),
+s AS (SELECT s_suppkey AS e, s_suppkey % 40 AS fps, CASE WHEN s_suppkey % 5 > 0 THEN 'arm' END AS robot, CASE s_suppkey % 3 WHEN 1 THEN ['train',
+'val', 'test', 'recovery'] WHEN 2 THEN ['train'] END AS splits,
+CASE WHEN s_suppkey % 4 = 1 THEN ['cut'] WHEN s_suppkey % 4 = 2 THEN []::VARCHAR[] END AS tasks, CASE s_suppkey % 6 WHEN 1 THEN 'By TimeStamps'
+WHEN 2 THEN 'none' END AS readme FROM supplier),
+x AS (SELECT s.*, coalesce((SELECT list(path) FROM p WHERE p.e = s.e), []) AS paths, coalesce((SELECT list(feature) FROM f WHERE f.e = s.e),
+[]) AS features FROM s)
+SELECT 'WARNING' AS severity, 'image' AS code, e::VARCHAR AS key, feature || ' is ' || height || 'x' || width AS message FROM f
+WHERE starts_with(feature, 'observation.images.') AND (height < 480 OR width < 480) AND e IN (SELECT e FROM s) """
     + "".join(_NO.format(s="ERROR", c="structure", m=f"'no folder {n}'", w=f"len(list_filter(paths, lambda y: starts_with(y, '{n}/'))) = 0") for n in U.EXPORT_FOLDERS)
     + _NO.format(s="ERROR", c="structure", m="'no case folder under data'", w="len(list_filter(paths, lambda y: starts_with(y, 'data/'))) > 0 AND len(list_filter(paths, lambda y: starts_with(y, 'data/case-'))) = 0")
     + _NO.format(s="ERROR", c="structure", m="'no episode in the case folders'", w="len(list_filter(paths, lambda y: starts_with(y, 'data/case-'))) > 0 AND len(list_filter(paths, lambda y: y LIKE 'data/case-%/episode_%.parquet')) = 0")
@@ -177,8 +202,11 @@ def written(spark, d):
     return L.open_release(spark, path)
 
 
-FRAMES = """f AS (SELECT 'set' || user_id % 10 AS dataset, CASE WHEN user_id % 3 = 0 THEN 'cut' ELSE 'sew' END AS task, 'clip' || user_id AS episode_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::INTEGER AS frame_index, epoch_us(ts) * 1000 AS ns, event_id, event_type, value::FLOAT AS value, user_id FROM events)"""
-R.sql["s9_release_frames"] = f"WITH {FRAMES} SELECT dataset, episode_id, frame_index, round((value * 2)::FLOAT::DOUBLE, 4) AS x FROM f WHERE user_id % 4 > 0 AND task = 'cut' AND dataset <> 'set3'"
+FRAMES = """f AS (SELECT 'set' || user_id % 10 AS dataset, CASE WHEN user_id % 3 = 0 THEN 'cut' ELSE 'sew' END AS task, 'clip' || user_id AS episode_id,
+(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::INTEGER AS frame_index, epoch_us(ts) * 1000 AS ns, event_id, event_type,
+value::FLOAT AS value, user_id FROM events)"""
+R.sql["s9_release_frames"] = f"""WITH {FRAMES} SELECT dataset, episode_id, frame_index, round((value * 2)::FLOAT::DOUBLE, 4) AS x FROM f WHERE user_id % 4 > 0 AND task = 'cut'
+AND dataset <> 'set3'"""
 
 
 @R.query
@@ -189,8 +217,10 @@ def s9_release_frames(spark, d):
 
 
 R.sql["s10_release_tables"] = f"""WITH {FRAMES}, m AS (SELECT unnest({listed(U.MODALITIES)}) AS modality)
-SELECT modality, dataset, task, count(*) AS n, sum(frame_index)::BIGINT AS frames, sum(ns % 1000000007)::BIGINT AS stamps, count(CASE WHEN modality = 'annotation' THEN event_type WHEN modality = 'PSM2' THEN 'x' END) AS labelled,
-CASE modality WHEN 'timestamp' THEN {5 + len(TOPICS)} WHEN 'ECM' THEN 15 WHEN 'annotation' THEN 8 ELSE 24 END AS n_columns FROM f, m WHERE user_id % 4 > 0 GROUP BY ALL"""
+SELECT modality, dataset, task, count(*) AS n, sum(frame_index)::BIGINT AS frames, sum(ns % 1000000007)::BIGINT AS stamps, count(CASE
+WHEN modality = 'annotation' THEN event_type WHEN modality = 'PSM2' THEN 'x' END) AS labelled,
+CASE modality WHEN 'timestamp' THEN {5 + len(TOPICS)} WHEN 'ECM' THEN 15 WHEN 'annotation' THEN 8 ELSE 24 END AS n_columns FROM f, m
+WHERE user_id % 4 > 0 GROUP BY ALL"""
 
 
 @R.query
@@ -236,8 +266,10 @@ def s1_all_topics(spark, d):
 
 
 R.sql["s12_vocabulary_lines"] = """WITH w AS (SELECT DISTINCT p_brand AS task, p_type AS family, p_size::VARCHAR AS id, 'size ' || p_size AS text FROM part),
-l AS (SELECT task, string_agg('{"family":"' || family || '","id":"' || id || '","text":"' || text || '"}', ',' ORDER BY family, id) AS words FROM w GROUP BY task)
-SELECT task, '{"task":"' || task || '","instruction":"do ' || task || '","words":[' || words || ']}' AS line FROM l UNION ALL SELECT DISTINCT c_mktsegment, '{"task":"' || c_mktsegment || '","instruction":"do ' || c_mktsegment || '","words":[]}' FROM customer"""
+l AS (SELECT task, string_agg('{"family":"' || family || '","id":"' || id || '","text":"' || text || '"}', ',' ORDER BY family, id) AS words FROM w
+GROUP BY task)
+SELECT task, '{"task":"' || task || '","instruction":"do ' || task || '","words":[' || words || ']}' AS line FROM l UNION ALL
+SELECT DISTINCT c_mktsegment, '{"task":"' || c_mktsegment || '","instruction":"do ' || c_mktsegment || '","words":[]}' FROM customer"""
 
 
 @R.query
@@ -248,8 +280,11 @@ def s12_vocabulary_lines(spark, d):
 
 
 R.sql["s14_export_files"] = """WITH f AS (SELECT user_id // 100 AS case_id, user_id AS episode_id, user_id % 3 AS task_index, epoch_us(ts) AS us FROM events),
-e AS (SELECT case_id, episode_id, count(*) AS length, max(us) - min(us) AS span, 'data/case-' || lpad(case_id::VARCHAR, 3, '0') || '/episode_' || lpad(episode_id::VARCHAR, 6, '0') || '.parquet' AS file, 'task ' || any_value(task_index) AS tasks FROM f GROUP BY case_id, episode_id)
-SELECT file, length, span, tasks FROM e UNION ALL SELECT 'meta/info', sum(length)::BIGINT, count(*), count(DISTINCT case_id) || ' chunks ' || (SELECT count(DISTINCT task_index) FROM f) || ' tasks' FROM e"""
+e AS (SELECT case_id, episode_id, count(*) AS length, max(us) - min(us) AS span, 'data/case-' || lpad(case_id::VARCHAR, 3,
+'0') || '/episode_' || lpad(episode_id::VARCHAR, 6, '0') || '.parquet' AS file, 'task ' || any_value(task_index) AS tasks FROM f GROUP BY case_id,
+episode_id)
+SELECT file, length, span, tasks FROM e UNION ALL SELECT 'meta/info', sum(length)::BIGINT, count(*),
+count(DISTINCT case_id) || ' chunks ' || (SELECT count(DISTINCT task_index) FROM f) || ' tasks' FROM e"""
 
 
 @R.query
@@ -266,8 +301,10 @@ def s14_export_files(spark, d):
 
 
 # --- A17, A18, V5, V6 ----------------------------------------------------------------------------------------------
-R.sql["a17_size_buckets"] = """WITH f AS (SELECT source, coalesce(strlen(text), 0) AS size FROM documents), b AS (SELECT source, count(*) AS n_files, sum(size)::BIGINT AS bytes, round(sum(size) / sum(sum(size)) OVER (), 6) AS share FROM f GROUP BY source)
-SELECT source, n_files, bytes, share FROM b UNION ALL SELECT 'unpacked / packed', NULL, sum(size)::BIGINT, round(sum(size) / sum(CASE WHEN source <> 'src3' THEN size END), 6) FROM f"""
+R.sql["a17_size_buckets"] = """WITH f AS (SELECT source, coalesce(strlen(text), 0) AS size FROM documents), b AS (SELECT source, count(*) AS n_files, sum(size)::BIGINT AS bytes,
+round(sum(size) / sum(sum(size)) OVER (), 6) AS share FROM f GROUP BY source)
+SELECT source, n_files, bytes, share FROM b UNION ALL SELECT 'unpacked / packed', NULL, sum(size)::BIGINT, round(sum(size) / sum(CASE
+WHEN source <> 'src3' THEN size END), 6) FROM f"""
 
 
 @R.query
@@ -278,7 +315,8 @@ def a17_size_buckets(spark, d):
     return rounded(P.size_buckets(docs, "source", "size").unionByName(one))
 
 
-R.sql["a18_contacts_per_arm"] = "SELECT 'PSM1' AS arm, count(*) FILTER (toxic <> 0) AS n_contacts, count(toxic) AS n_labels FROM labels UNION ALL SELECT 'PSM2', count(*) FILTER (quality <> 0), count(quality) FROM labels"
+R.sql["a18_contacts_per_arm"] = """SELECT 'PSM1' AS arm, count(*) FILTER (toxic <> 0) AS n_contacts, count(toxic) AS n_labels FROM labels UNION ALL SELECT 'PSM2',
+count(*) FILTER (quality <> 0), count(quality) FROM labels"""
 
 
 @R.query
@@ -287,8 +325,10 @@ def a18_contacts_per_arm(spark, d):
 
 
 SHIPPED = "path NOT LIKE '.logs/%' AND path NOT LIKE '%/.clip.complete.json' AND path <> 'meta/manifest.json'"
-PATH = "CASE WHEN doc_id % 10 = 0 THEN '.logs/' || doc_id WHEN doc_id % 10 = 1 THEN 'a/' || doc_id || '/.clip.complete.json' WHEN doc_id = 12 THEN 'meta/manifest.json' ELSE 'a/' || doc_id END"
-R.sql["v5_manifest_totals"] = f"WITH f AS (SELECT {PATH} AS path, strlen(text) AS size FROM documents) SELECT count(*) AS total_files, coalesce(sum(size), 0)::BIGINT AS total_bytes FROM f WHERE {SHIPPED}"
+PATH = """CASE WHEN doc_id % 10 = 0 THEN '.logs/' || doc_id WHEN doc_id % 10 = 1 THEN 'a/' || doc_id || '/.clip.complete.json'
+WHEN doc_id = 12 THEN 'meta/manifest.json' ELSE 'a/' || doc_id END"""
+R.sql["v5_manifest_totals"] = f"""WITH f AS (SELECT {PATH} AS path, strlen(text) AS size FROM documents) SELECT count(*) AS total_files, coalesce(sum(size), 0)::BIGINT AS total_bytes
+FROM f WHERE {SHIPPED}"""
 
 
 @R.query
@@ -298,8 +338,10 @@ def v5_manifest_totals(spark, d):
     return I.manifest_totals(I.manifest(docs, "path", "text"))
 
 
-R.sql["v6_verdict"] = """WITH a AS (SELECT text, doc_id % 17 > 0 AS there, CASE WHEN doc_id % 11 = 0 THEN text || 'x' ELSE text END AS other FROM documents WHERE source <> 'src3'),
-s AS (SELECT CASE WHEN NOT there THEN 'MISSING' WHEN strlen(text) <> strlen(other) THEN 'SIZE' ELSE 'OK' END AS status FROM a) SELECT status, count(*) AS n, status <> 'OK' AS fails FROM s GROUP BY status"""
+R.sql["v6_verdict"] = """WITH a AS (SELECT text, doc_id % 17 > 0 AS there, CASE WHEN doc_id % 11 = 0 THEN text || 'x' ELSE text END AS other FROM documents
+WHERE source <> 'src3'),
+s AS (SELECT CASE WHEN NOT there THEN 'MISSING' WHEN strlen(text) <> strlen(other) THEN 'SIZE' ELSE 'OK' END AS status FROM a) SELECT status,
+count(*) AS n, status <> 'OK' AS fails FROM s GROUP BY status"""
 
 
 @R.query

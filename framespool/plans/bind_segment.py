@@ -11,7 +11,8 @@ from .tables import Registry, rounded, table
 R = Registry()
 SEG = """c AS (SELECT conv_id, turn, min(role) AS role, max(length(text)) AS chars FROM conversations GROUP BY ALL),
 l AS (SELECT *, lag(role) OVER w AS was, lag(turn) OVER w AS at_, row_number() OVER w AS rn FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-s AS (SELECT conv_id, turn, role, chars, sum(CASE WHEN rn = 1 THEN 0 WHEN was IS DISTINCT FROM role OR turn - at_ <> 1 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn)::INTEGER AS segment FROM l)"""
+s AS (SELECT conv_id, turn, role, chars, sum(CASE WHEN rn = 1 THEN 0 WHEN was IS DISTINCT
+FROM role OR turn - at_ <> 1 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn)::INTEGER AS segment FROM l)"""
 
 
 def turns(spark, d):
@@ -27,7 +28,8 @@ def w4_segments(spark, d):
     return turns(spark, d).select("conv_id", "turn", "role", "segment")
 
 
-R.sql["w6_segment_time"] = f"WITH {SEG} SELECT conv_id, turn, (row_number() OVER w - 1)::INTEGER AS frame_index, turn - first_value(turn) OVER w AS since FROM s WINDOW w AS (PARTITION BY conv_id, segment ORDER BY turn)"
+R.sql["w6_segment_time"] = f"""WITH {SEG} SELECT conv_id, turn, (row_number() OVER w - 1)::INTEGER AS frame_index, turn - first_value(turn) OVER w AS since
+FROM s WINDOW w AS (PARTITION BY conv_id, segment ORDER BY turn)"""
 
 
 @R.query
@@ -40,8 +42,10 @@ def numbered(spark, d):
     return G.number_episodes(parts, "conv_id", "segment", start=5)
 
 
-EPI = f"""{SEG}, q AS (SELECT conv_id, segment, count(*) AS n_frames, sum(chars)::BIGINT AS chars FROM s GROUP BY ALL), k AS (SELECT conv_id, (row_number() OVER (ORDER BY conv_id) + 4)::INTEGER AS case_index FROM (SELECT DISTINCT conv_id FROM q)),
-e AS (SELECT conv_id, segment, case_index, (case_index * 100 + row_number() OVER (PARTITION BY conv_id ORDER BY segment) - 1)::INTEGER AS episode_id, n_frames, chars FROM q JOIN k USING (conv_id))"""
+EPI = f"""{SEG}, q AS (SELECT conv_id, segment, count(*) AS n_frames, sum(chars)::BIGINT AS chars FROM s GROUP BY ALL), k AS (SELECT conv_id,
+(row_number() OVER (ORDER BY conv_id) + 4)::INTEGER AS case_index FROM (SELECT DISTINCT conv_id FROM q)),
+e AS (SELECT conv_id, segment, case_index, (case_index * 100 + row_number() OVER (PARTITION BY conv_id ORDER BY segment) - 1)::INTEGER AS episode_id,
+n_frames, chars FROM q JOIN k USING (conv_id))"""
 R.sql["w7_episode_numbers"] = f"WITH {EPI} SELECT conv_id, segment, case_index, episode_id FROM e"
 
 
@@ -71,8 +75,10 @@ def s14_learning_export(spark, d):
     return back.groupBy("case_id").agg(F.count_distinct("episode_id").alias("episodes"), F.count("*").alias("frames"))
 
 
-R.sql["a12_duration_statistics"] = f"""WITH {EPI}, z AS (SELECT conv_id::VARCHAR AS name, 'case' AS kind, n_frames::DOUBLE AS v FROM e UNION ALL SELECT segment::VARCHAR, 'phase', n_frames FROM e)
-SELECT name, kind, min(v) AS min_value, max(v) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_pop(v), 6) AS std_value, count(v) AS n FROM z GROUP BY ALL"""
+R.sql["a12_duration_statistics"] = f"""WITH {EPI}, z AS (SELECT conv_id::VARCHAR AS name, 'case' AS kind, n_frames::DOUBLE AS v FROM e UNION ALL SELECT segment::VARCHAR, 'phase', n_frames
+FROM e)
+SELECT name, kind, min(v) AS min_value, max(v) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_pop(v), 6) AS std_value, count(v) AS n
+FROM z GROUP BY ALL"""
 
 
 @R.query
@@ -81,8 +87,10 @@ def a12_duration_statistics(spark, d):
     return rounded(G.duration_statistics(df, "conv_id", "v", "case").unionByName(G.duration_statistics(df, "segment", "v", "phase")))
 
 
-R.sql["a13_time_totals"] = """WITH c AS (SELECT l_orderkey, arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_returnflag)) AS flag, count(*) AS n, sum(l_quantity) AS f, sum(l_tax) AS s FROM lineitem GROUP BY l_orderkey)
-SELECT flag AS l_returnflag, l_orderkey, sum(n)::BIGINT AS episodes, round(sum(f), 4) AS frames, round(sum(s), 4) AS seconds FROM c GROUP BY ROLLUP (flag, l_orderkey)"""
+R.sql["a13_time_totals"] = """WITH c AS (SELECT l_orderkey, arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_returnflag)) AS flag, count(*) AS n, sum(l_quantity) AS f,
+sum(l_tax) AS s FROM lineitem GROUP BY l_orderkey)
+SELECT flag AS l_returnflag, l_orderkey, sum(n)::BIGINT AS episodes, round(sum(f), 4) AS frames, round(sum(s), 4) AS seconds FROM c
+GROUP BY ROLLUP (flag, l_orderkey)"""
 
 
 @R.query
@@ -92,7 +100,8 @@ def a13_time_totals(spark, d):
 
 
 R.sql["a14_feature_statistics"] = """WITH p AS (SELECT label, unnest(range(0, len(embedding))) AS k, unnest(embedding)::DOUBLE AS v FROM embeddings)
-SELECT label, 'embedding[' || k || ']' AS feature, round(min(v), 6) AS min_value, round(max(v), 6) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_pop(v), 6) AS std_value, count(v) AS n FROM p GROUP BY ALL"""
+SELECT label, 'embedding[' || k || ']' AS feature, round(min(v), 6) AS min_value, round(max(v), 6) AS max_value, round(avg(v), 6) AS mean_value,
+round(stddev_pop(v), 6) AS std_value, count(v) AS n FROM p GROUP BY ALL"""
 
 
 @R.query
@@ -100,7 +109,8 @@ def a14_feature_statistics(spark, d):
     return rounded(G.feature_statistics(table(spark, d, "embeddings"), "label", ["embedding"], ["vec_id"], exclude="_id$"))
 
 
-R.sql["t2_worst"] = """SELECT o_custkey, o_orderkey, o_totalprice, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3
+R.sql["t2_worst"] = """SELECT o_custkey, o_orderkey, o_totalprice, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3
 UNION ALL SELECT NULL, o_orderkey, o_totalprice, NULL FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3)"""
 
 
@@ -112,7 +122,9 @@ def t2_worst(spark, d):
 
 
 NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
-_PRO = """SELECT '{n}' AS column_name, count(v) AS n, count(*) FILTER (v IS NULL) AS null_count, 0::BIGINT AS nan_count, min(v) AS min_value, max(v) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_samp(v), 6) AS std_value, round(quantile_cont(v, 0.01), 6) AS q01, round(quantile_cont(v, 0.99), 6) AS q99, NULL::BIGINT AS vocab_size FROM (SELECT {c}::DOUBLE AS v FROM {t})"""
+_PRO = """SELECT '{n}' AS column_name, count(v) AS n, count(*) FILTER (v IS NULL) AS null_count, 0::BIGINT AS nan_count, min(v) AS min_value,
+max(v) AS max_value, round(avg(v), 6) AS mean_value, round(stddev_samp(v), 6) AS std_value, round(quantile_cont(v, 0.01), 6) AS q01,
+round(quantile_cont(v, 0.99), 6) AS q99, NULL::BIGINT AS vocab_size FROM (SELECT {c}::DOUBLE AS v FROM {t})"""
 R.sql["a5_column_profile"] = (
     " UNION ALL ".join(_PRO.format(n=c, c=c, t="lineitem") for c in NUMERIC)
     + " UNION ALL SELECT 'embedding[' || k || ']', count(v), count(*) FILTER (v IS NULL), 0, min(v), max(v), round(avg(v), 6), round(stddev_samp(v), 6), round(quantile_cont(v, 0.01), 6), round(quantile_cont(v, 0.99), 6), NULL"
@@ -133,8 +145,10 @@ def covered(spark, d):
     return P.coverage(df, "lang", ["source", "quality", "toxic"], ["source", "quality", "toxic", "gesture"])
 
 
-COV = """w AS (SELECT lang, count(*) AS n, count(source) AS source, count(quality) AS quality, count(toxic) AS toxic, 0::BIGINT AS gesture FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang),
-u AS (UNPIVOT w ON source, quality, toxic, gesture INTO NAME topic VALUE populated), v AS (SELECT lang, topic, populated > 0 AS present, populated, CASE WHEN populated > 0 THEN round(populated / n, 4) END AS coverage FROM u)"""
+COV = """w AS (SELECT lang, count(*) AS n, count(source) AS source, count(quality) AS quality, count(toxic) AS toxic, 0::BIGINT AS gesture FROM documents LEFT
+JOIN labels USING (doc_id) GROUP BY lang),
+u AS (UNPIVOT w ON source, quality, toxic, gesture INTO NAME topic VALUE populated), v AS (SELECT lang, topic, populated > 0 AS present, populated,
+CASE WHEN populated > 0 THEN round(populated / n, 4) END AS coverage FROM u)"""
 R.sql["a9_coverage"] = f"WITH {COV} SELECT * FROM v"
 
 
@@ -143,7 +157,7 @@ def a9_coverage(spark, d):
     return covered(spark, d)
 
 
-R.sql["a10_release_coverage"] = f"WITH {COV} SELECT topic, count(*) FILTER (present) AS n_present, count(*) AS n_total, sum(populated)::BIGINT AS populated FROM v GROUP BY topic"
+R.sql["a10_release_coverage"] = f"""WITH {COV} SELECT topic, count(*) FILTER (present) AS n_present, count(*) AS n_total, sum(populated)::BIGINT AS populated FROM v GROUP BY topic"""
 
 
 @R.query
@@ -151,7 +165,8 @@ def a10_release_coverage(spark, d):
     return P.release_coverage(covered(spark, d))
 
 
-R.sql["a11_inventory"] = "SELECT o_orderstatus, count(*) AS episodes, sum(o_custkey)::BIGINT AS frames, array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS datasets FROM orders GROUP BY ROLLUP (o_orderstatus)"
+R.sql["a11_inventory"] = """SELECT o_orderstatus, count(*) AS episodes, sum(o_custkey)::BIGINT AS frames, array_to_string(list_sort(list_distinct(list(o_orderpriority))),
+',') AS datasets FROM orders GROUP BY ROLLUP (o_orderstatus)"""
 
 
 @R.query
@@ -159,7 +174,8 @@ def a11_inventory(spark, d):
     return P.inventory(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority", "o_custkey")
 
 
-R.sql["a17_size_breakdown"] = """SELECT l_returnflag, round(sum(l_extendedprice), 2) AS items, round(sum(l_quantity), 2) AS seconds, count(DISTINCT l_suppkey) AS clips, round(avg(CASE WHEN l_tax > 0 THEN l_tax END), 6) AS mean_rate,
+R.sql["a17_size_breakdown"] = """SELECT l_returnflag, round(sum(l_extendedprice), 2) AS items, round(sum(l_quantity), 2) AS seconds, count(DISTINCT l_suppkey) AS clips, round(avg(CASE
+WHEN l_tax > 0 THEN l_tax END), 6) AS mean_rate,
 round(sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (), 6) AS share FROM lineitem GROUP BY l_returnflag"""
 
 
@@ -169,7 +185,9 @@ def a17_size_breakdown(spark, d):
     return rounded(P.size_breakdown(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity", rate, "l_suppkey"), items=2, seconds=2)
 
 
-R.sql["a18_label_statistics"] = """SELECT toxic, count(*) AS n_labels, count(DISTINCT doc_id) AS n_frames, CASE WHEN toxic IS NULL THEN round(100.0 * count(DISTINCT doc_id) / (SELECT count(*) FROM documents), 4) END::DOUBLE AS progress FROM labels GROUP BY ROLLUP (toxic)"""
+R.sql["a18_label_statistics"] = """SELECT toxic, count(*) AS n_labels, count(DISTINCT doc_id) AS n_frames, CASE
+WHEN toxic IS NULL THEN round(100.0 * count(DISTINCT doc_id) / (SELECT count(*) FROM documents), 4) END::DOUBLE AS progress FROM labels
+GROUP BY ROLLUP (toxic)"""
 
 
 @R.query
