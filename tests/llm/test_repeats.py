@@ -5,9 +5,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from framespool.llm import byte_dedup, repeats, word_dedup
-from framespool.llm.common import keyed
+from framespool.llm.common import keyed, split_join
 from framespool.llm.repeats import Shape, covered, cut_spans
 
 
@@ -89,3 +90,15 @@ def test_same_rows_twice_and_digest(spark):
     docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
     assert [r["n_removed"] for r in word_dedup.remove_repeated_words(docs).collect()] == [40, 40]
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256("".encode()).hexdigest() and repeats.CROWD > 1
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_hot_keys_are_dealt_out_without_loss(spark, how):
+    """One key has half of the rows, some have none on the other side; repeated rows stay repeated."""
+    r = random.Random(4)
+    rows = spark.createDataFrame([(0 if k % 2 else r.randrange(20), k % 50) for k in range(600)], "key int, v int")
+    groups = rows.filter("key < 15").groupBy("key").count().withColumnRenamed("count", "n").withColumn("w", F.col("key") * 2)
+    want = rows.join(groups, ["key"], how)
+    got = split_join(rows, groups, ["key"], "n", how, most=10)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert "_part" in got._jdf.queryExecution().toString()
