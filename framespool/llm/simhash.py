@@ -10,10 +10,10 @@ A shard reports a spanning forest of its links, not all pairs, so classes are ex
 
 `near_groups` is the form for near copies by similarity: nodes are sets of five-word shingles, with WORDS x 64 counts each
 instead of 64. Shards come from the strongest of these counts: a table names the place and sign of the largest in each of
-a few groups of GROUP rotated counts, and nodes with the same names share a shard. The strongest counts are the last ones
-that an edit turns, so a pair of similarity 0.8 shares a group's name with probability AGREE, and unrelated ones with 1 in
-2 * GROUP. With more nodes names take more groups, so that few unrelated nodes meet, and tables are so many that a pair of
-similarity 0.8 misses all of them with probability e^-MISS. In a shard, a BK-tree over the fingerprints of all counts finds
+a few groups of rotated counts, and nodes with the same names share a shard. The strongest counts are the last ones that an
+edit turns, so a pair of similarity 0.8 shares a group's name with the probability that AGREE has for the group's size, and
+unrelated ones with 1 in twice that size. With more nodes names take more and larger groups, so that few unrelated nodes
+meet, and tables are so many that a pair of similarity 0.8 misses all of them with probability e^-MISS. In a shard, a BK-tree over the fingerprints of all counts finds
 pairs at LIMIT bits or less, and a pair becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more,
 counted exactly. The first FIRST tables join most of a large group; the others compare only nodes of different components.
 
@@ -40,7 +40,9 @@ RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
 #: deviation (8). AGREE: measured on sets of similarity 0.8. FIRST: tables of the first round. TURNS: rotations of the counts.
-WORDS, WIDE_SHINGLE, GROUP, AGREE, LIMIT, LEAST, MISS, FIRST, TURNS = 8, 5, 128, 0.41, 120, (4, 5), 5, 8, 16
+WORDS, WIDE_SHINGLE, AGREE, LIMIT, LEAST, MISS, FIRST, TURNS = 8, 5, {64: 0.435, 128: 0.41}, 120, (4, 5), 5, 8, 16
+#: Names of the largest group.
+NAMES = 256
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -86,31 +88,37 @@ def wide_counts(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
     return 2 * total - len(hashes)
 
 
-def shard_shape(n: int) -> tuple[int, int]:
-    """(groups, tables) for n nodes: names of so many groups that unrelated nodes seldom share one (16 times as many names as
-    nodes), and so many tables that a pair of similarity 0.8 misses all with probability e^-MISS."""
-    each = (2 * GROUP).bit_length() - 1
-    groups = max(2, -(-((max(n, 1) - 1).bit_length() + 4) // each))
-    return groups, int(np.ceil(MISS * AGREE**-groups))
+def shard_shape(n: int) -> tuple[tuple[int, ...], int]:
+    """(sizes of the groups, tables) for n nodes: names of so many bits, seven or eight a group, that unrelated nodes seldom
+    share them (16 times as many names as nodes), and so many tables that a pair of similarity 0.8 misses all with
+    probability e^-MISS."""
+    bits = (max(n, 1) - 1).bit_length() + 4
+    groups = max(2, -(-bits // 8))
+    short = min(groups, 8 * groups - bits)
+    sizes = (64,) * short + (128,) * (groups - short)
+    return sizes, int(np.ceil(MISS / np.prod([AGREE[size] for size in sizes])))
 
 
-def shard_keys(counts: np.ndarray, groups: int, tables: int) -> np.ndarray:
+def shard_keys(counts: np.ndarray, sizes: tuple[int, ...], tables: int) -> np.ndarray:
     """(n, tables) shards of the rows of counts: table and names in one number."""
     rng, width = np.random.default_rng(SEED), counts.shape[1]
     low, high = (reduce(np.kron, [np.array([[1, 1], [1, -1]], np.float32)] * k) for k in (5, (width // 32).bit_length() - 1))
-    at, names = counts.astype(np.float32) / np.sqrt(np.maximum((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True), 1)).astype(np.float32), []
+    at = counts / np.sqrt(np.maximum((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True), 1))
+    at, names = at.astype(np.float32), {size: [] for size in sizes}
     for _ in range(TURNS):  # signs turned at random and a Hadamard matrix as a product of two small ones
         at = at * rng.choice(np.array([-1, 1], np.float32), width)
         at = np.matmul(high, (at.reshape(-1, 32) @ low).reshape(len(at), -1, 32)).reshape(len(at), width) / np.float32(np.sqrt(width))
-        parts = at.reshape(len(at), -1, GROUP)
-        best = np.abs(parts).argmax(axis=2)
-        names.append(2 * best + (np.take_along_axis(parts, best[:, :, None], 2)[:, :, 0] > 0))
-    names = np.concatenate(names, axis=1).astype(np.int64)
+        for size, found in names.items():
+            parts = at.reshape(len(at), -1, size)
+            best = np.abs(parts).argmax(axis=2)
+            found.append(2 * best + (np.take_along_axis(parts, best[:, :, None], 2)[:, :, 0] > 0))
+    names = {size: np.concatenate(found, axis=1).astype(np.int64) for size, found in names.items()}
     out = np.empty((len(at), tables), np.int64)
     for table in range(tables):
         out[:, table] = table
-        for group in rng.choice(names.shape[1], groups, replace=False):
-            out[:, table] = out[:, table] * (2 * GROUP) + names[:, group]
+        for size, found in names.items():
+            for group in rng.choice(found.shape[1], sizes.count(size), replace=False):
+                out[:, table] = out[:, table] * NAMES + found[:, group]
     return out
 
 
@@ -120,7 +128,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return _printed(docs, schema, lambda doc_id, text: (doc_id, majority(shingle_hashes(text, shingle)).to_bytes(8, "little")))
 
 
-def wide_prints(docs: DataFrame, groups: int, tables: int, shingle: int = WIDE_SHINGLE) -> DataFrame:
+def wide_prints(docs: DataFrame, sizes: tuple[int, ...], tables: int, shingle: int = WIDE_SHINGLE) -> DataFrame:
     """(row, content, print, shards) of docs (row, text): a 128-bit hash of the set of shingles, the fingerprint and the
     shard in each table."""
     schema = "row bigint, content binary, print binary, shards array<bigint>"
@@ -131,7 +139,7 @@ def wide_prints(docs: DataFrame, groups: int, tables: int, shingle: int = WIDE_S
                 part = batch.slice(k, 512)
                 sets = [np.unique(shingle_hashes(text or b"", shingle)) for text in part.column("text").to_pylist()]
                 counts = np.stack([wide_counts(x) for x in sets])
-                shards = shard_keys(counts, groups, tables)
+                shards = shard_keys(counts, sizes, tables)
                 prints = np.packbits(counts > 0, axis=1, bitorder="little")
                 columns = [
                     part.column("row"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x.tobytes() for x in prints], pa.binary()),
@@ -310,13 +318,13 @@ def _hex() -> Column:
 def near_groups(docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
     """(row, group): single linkage of near copies, five-word shingles of Jaccard similarity 0.8 or more, named by the least
     row in it. docs: (row, text), row a bigint of its own for each; read more than once, so stored."""
-    groups, tables = shard_shape(docs.count())
-    prints = stored(wide_prints(docs, groups, tables))
+    sizes, tables = shard_shape(docs.count())
+    prints = stored(wide_prints(docs, sizes, tables))
     least = stored(prints.groupBy("content").agg(F.min("row").alias("node"), F.count("*").alias("n")))
     nodes = stored(prints.join(least.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "print", "shards"))
     rows = stored(prints.select("row", "content"))
     discard(prints)
-    parts = wide_links(nodes, docs, groups, limit, crowd)
+    parts = wide_links(nodes, docs, len(sizes), limit, crowd)
     named_ = stored(least.join(parts, "node", "left").select("content", "n", F.coalesce("component", "node").alias("group")))
     out = stored(split_join(rows, named_, ["content"], "n").select("row", "group"))
     discard(rows, nodes, least, named_)
@@ -330,7 +338,7 @@ def wide_links(nodes: DataFrame, docs: DataFrame, groups: int, limit: int = LIMI
     first = checkpointed(components(_round(at, nodes, docs, limit, crowd, within=True)))
     at = nodes.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "shards")
     # the shards of the first tables have been compared whole, but for the crowded ones
-    table = F.expr(f"shard div {(2 * GROUP) ** groups}")
+    table = F.expr(f"shard div {NAMES**groups}")
     links = _round(at, nodes, docs, limit, crowd, within=False, only=(table >= FIRST) | (F.col("n") > crowd))
     return checkpointed(components(links.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
