@@ -88,14 +88,17 @@ def _keys(points: np.ndarray) -> np.ndarray:
     return out
 
 
+def doubled(vectors: DataFrame) -> DataFrame:
+    """(vec_id, label, vector as doubles, able: whether it can link); -0 counts as 0."""
+    vector = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))
+    bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    able = F.col("vector").isNotNull() & F.col("label").isNotNull() & ~bad & F.exists("vector", lambda x: x != 0)
+    return vectors.select("vec_id", "label", vector.alias("vector")).withColumn("able", F.coalesce(able, F.lit(False)))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
-    """(label, vector as doubles, first vec_id, copies) of the distinct vectors that can link; -0 counts as 0."""
-    doubles = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))
-    finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (
-        vectors.select("vec_id", "label", doubles.alias("vector")).filter("vector IS NOT NULL AND label IS NOT NULL").filter(finite)
-        .filter(F.exists("vector", lambda x: x != 0)).groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
-    )
+    """(label, vector, first vec_id, copies) of the distinct vectors that can link."""
+    return doubled(vectors).filter("able").groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
 
 
 def unit_vectors(x: np.ndarray) -> np.ndarray:
@@ -230,12 +233,12 @@ def near_vectors(
     whole = stored(whole)
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     named = stored(whole.join(least, "component").select("node", "n_links", "component_id", "copies"))
-    doubles = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))
-    rows = vectors.select("vec_id", F.when(F.col("label").isNotNull(), F.xxhash64("label", doubles)).alias("node"))
-    component = F.coalesce("component_id", "vec_id")
-    return split_join(rows, named, ["node"], "copies", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.cast("long").alias("component_id"),
-        F.col("vec_id").eqNullSafe(component).alias("kept"),
+    rows = doubled(vectors)
+    linked = split_join(rows.filter("able").select("vec_id", F.xxhash64("label", "vector").alias("node")), named, ["node"], "copies")
+    alone = rows.filter("NOT able").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.select("vec_id", "n_links", "component_id").unionByName(alone).select(
+        "vec_id", F.col("n_links").cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").cast("long").alias("component_id"),
+        F.col("vec_id").eqNullSafe(F.coalesce("component_id", "vec_id")).alias("kept"),
     )
 
 
