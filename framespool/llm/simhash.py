@@ -90,9 +90,9 @@ def wide_counts(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
 
 def shard_shape(n: int) -> tuple[tuple[int, ...], int]:
     """(sizes of the groups, tables) for n nodes: names of so many bits, seven or eight a group, that unrelated nodes seldom
-    share them (16 times as many names as nodes), and so many tables that a pair of similarity 0.8 misses all with
+    share them (64 times as many names as nodes), and so many tables that a pair of similarity 0.8 misses all with
     probability e^-MISS."""
-    bits = (max(n, 1) - 1).bit_length() + 4
+    bits = (max(n, 1) - 1).bit_length() + 6
     groups = max(2, -(-bits // 8))
     short = min(groups, 8 * groups - bits)
     sizes = (64,) * short + (128,) * (groups - short)
