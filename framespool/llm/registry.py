@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("url_trust", "pii", "line_dedup", "toxicity", "pieces", "word_dedup", "byte_dedup", "simhash", "lattice", "leaks", "structure")
+MODULES = ("url_trust", "pii", "line_dedup", "toxicity", "pieces", "word_dedup", "byte_dedup", "simhash", "lattice", "leaks", "structure", "sketches", "prefix_trie")
 QUERIES, SQL = {}, {}
 for _name in MODULES:
     _module = import_module(f".{_name}", __package__)

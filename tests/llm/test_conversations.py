@@ -6,9 +6,10 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from framespool.llm import structure
+from framespool.llm import prefix_trie, structure
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
 
@@ -158,3 +159,80 @@ def test_runs_meet():
         codes = bytes(r.choice(range(8)) for _ in range(30))
         old, new = r.choice(sorted(vectors)), r.choice(sorted(vectors))
         assert structure.mended(codes, old, new, *structure.swept(codes, old)) == structure.swept(codes, new)
+
+
+TRIE = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def tries(rows):
+    groups = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            groups[conv].append((turn, role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in ordered(held, lambda t: md5(t).hex())] for c, held in groups.items()}
+    nodes, children, ends = defaultdict(list), defaultdict(set), defaultdict(list)
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        whole = tuple(own.get(c - (abs(c) % 5) * (1 if c > 0 else -1), [])[:h] + own[c][h:])
+        for d in range(len(whole) + 1):
+            nodes[whole[:d]].append(c)
+            if d:
+                children[whole[: d - 1]].add(whole[:d])
+        ends[whole].append(c)
+    leaves, saved = {}, {}
+    for node in sorted(nodes, key=len, reverse=True):
+        leaves[node] = sum(leaves[x] for x in children[node]) if children[node] else 1
+        saved[node] = sum(saved[x] for x in children[node]) + (len(nodes[node]) - 1) * (len(node[-1][1].encode()) if node else 0)
+    return [
+        (min(m), len(x), min(nodes[x[:-1]]) if x else None, len(m), len(children[x]), leaves[x], saved[x], sha(",".join(map(str, sorted(ends[x])))))
+        for x, m in nodes.items()
+    ]
+
+
+@pytest.fixture(scope="module")
+def shared_turns():
+    """Copies of whole conversations, shared first turns, long ones, absent bases, repeated and odd rows."""
+    r = random.Random(8)
+    few = [[("user", f"T {r.randint(0, 3)} é"), ("assistant", f"A {r.randint(0, 2)}")] * r.randint(0, 6) for _ in range(9)]
+    out = []
+    for conv in [*range(0, 160), *range(-23, 0), *range(1000, 1400, 7)]:
+        held = r.choice(few) + [("user", f"own {r.randint(0, 40)}")] * r.randint(0, 3) if r.random() < 0.8 else few[0]
+        out += [(conv, k, role if r.random() < 0.97 else None, text if r.random() < 0.97 else None) for k, (role, text) in enumerate(held)]
+    out += [(2000, k, "user", f"L {k // 3}") for k in range(300)] + [(2003, k, "user", f"L {k // 3}") for k in range(290)] + [(2004, 1, "user", "x")] * 90
+    return out + [(None, 1, "user", "x"), (2010, None, "user", "n"), (2010, 0, "user", "m"), (2010, None, None, None)]
+
+
+@pytest.mark.parametrize("chunk", [prefix_trie.CHUNK, 3, 32])
+def test_trie(spark, tmp_path, shared_turns, chunk):
+    spark.createDataFrame(shared_turns, CONVERSATIONS).repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    conversations = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+    made = prefix_trie.op13_prefix_trie(spark, str(tmp_path)) if chunk == prefix_trie.CHUNK else prefix_trie.trie(conversations, chunk)
+    same(made, TRIE, tries(shared_turns))
+
+
+def test_trie_in_small_shards(spark, shared_turns, monkeypatch):
+    rows = [x for x in shared_turns if x[0] is not None]
+    for limit in (1, 50):
+        monkeypatch.setattr(prefix_trie, "SHARD", limit)
+        columns = "conv bigint, chunk bigint, depth bigint, kind int, a bigint, b bigint, size bigint, last boolean"
+        paths = spark.createDataFrame([(k // 10, 0, k % 10, 1, 0 if k % 10 == 0 else k % 10, 7 * (k % 10), 1, k % 10 == 9) for k in range(len(rows))], columns)
+        parts = prefix_trie._shards(paths, prefix_trie._PARTS, prefix_trie._counted).filter("not ends").groupBy("depth").agg({"n": "sum"}).collect()
+        assert sum(x[1] for x in parts) == len(rows)
+
+
+def test_trie_of_odd_tables(spark):
+    odd = spark.createDataFrame([], CONVERSATIONS + ", a long, b long, n long, depth long, chunk long")
+    assert prefix_trie.trie(odd).count() == 0
+    rows = [(1, 1, "user", "word " * 100_000), (2, None, None, None)]
+    same(prefix_trie.trie(spark.createDataFrame([(*x, 0, 0, 0, 0, 0) for x in rows], odd.schema)), TRIE, tries(rows))
+
+
+def test_slots_are_minimal_and_verified():
+    r = np.random.default_rng(1)
+    digests = prefix_trie.distinct(r.integers(0, 1 << 63, (5000, 2), dtype=np.uint64))
+    digests[:100, 0] = 7
+    slots = prefix_trie.Slots(digests)
+    assert sorted(slots.of(digests)) == list(range(5000))
+    assert (slots.of(r.integers(0, 1 << 63, (5000, 2), dtype=np.uint64)) == -1).all()
+    with pytest.raises(ValueError):
+        prefix_trie.Slots(np.zeros((2, 2), np.uint64))
