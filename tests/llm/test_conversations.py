@@ -9,11 +9,20 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from framespool.llm import ordered as ranges
 from framespool.llm import prefix_trie, structure
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(spark):
+    """Ranges stay apart, however few rows they have, so that groups go over several."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def sha(text):
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
@@ -140,6 +149,18 @@ def test_structure_of_conversations_in_many_chunks(spark, folder, rows, size, pa
     same(structure.digests(conversations, *made), STRUCTURE, structures(rows))
 
 
+def test_digests_over_ranges(spark, monkeypatch):
+    """Groups within a range, over several, and longer than a piece; a null group."""
+    monkeypatch.setattr(ranges, "PIECE", 300)
+    r = random.Random(2)
+    rows = [(r.choice([1, 1, 1, 1, 2, 3, None, *range(10, 30)]), k, r.choice(["", "é", "text " * 9])) for k in range(900)]
+    got = ranges.ordered_sha256(spark.createDataFrame(rows, "g long, k long, t string").repartition(4), ["g"], ["k"], "t", "\n")
+    groups = defaultdict(list)
+    for g, _, t in rows:
+        groups[g].append(t)
+    same(got, ("g", "sha256"), [(g, sha("\n".join(t))) for g, t in groups.items()])
+
+
 def test_structure_of_odd_tables(spark):
     odd = spark.createDataFrame([], CONVERSATIONS + ", id long, n long, kind string, at long")
     assert structure.digests(odd, *structure.repaired(structure.damaged(odd))).count() == 0
