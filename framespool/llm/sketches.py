@@ -7,7 +7,7 @@ sketches subtract cell by cell; what both hold cancels out, and peeling cells th
 they differ. Where it fails, both sides are sketched again, GROWTH times as large, until it succeeds. Likeness is the share
 of both documents' paragraphs (Jaccard, repeats counted) that they have in common, exact once the peeling is through.
 
-The fingerprint is the number of paragraphs and the smallest sketch, in base 64. Documents are dealt out by ranges of their
+The fingerprint is the number of paragraphs and the smallest sketch, as hex digits. Documents are dealt out by ranges of their
 order, so a document's successor is in its task, or first in the next: one or two texts a range are joined afterwards.
 
 Order: doc_id, nulls first, then MD5 of the text; equal rows follow each other.
@@ -18,7 +18,6 @@ an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +30,10 @@ from pyspark.sql import functions as F
 from .common import ROUND_CHARS, arrow_batch, arrow_schema, sha256, stored, table, utf8
 from .ordered import in_order
 
-ROWS, CELLS, GROWTH = 3, 24, 4
+ROWS, CELLS, GROWTH = 3, 12, 4
 CUT = 8
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_OUT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -143,9 +142,9 @@ def differing(keys: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarray,
     return out
 
 
-def printed(n: np.ndarray, sketch: list[np.ndarray]) -> list[str]:
+def printed(n: np.ndarray, sketch: list[np.ndarray]) -> list[bytes]:
     number, digest, check = sketch[0].astype("<u4"), sketch[1].astype("<u8"), (sketch[2] & np.uint64(0xFFFFFFFF)).astype("<u4")
-    return [base64.b64encode(int(n[k]).to_bytes(4, "little") + number[k].tobytes() + digest[k].tobytes() + check[k].tobytes()).decode() for k in range(len(n))]
+    return [int(n[k]).to_bytes(4, "little") + number[k].tobytes() + digest[k].tobytes() + check[k].tobytes() for k in range(len(n))]
 
 
 def compared(ids: list[int | None], texts: list[str]) -> list[tuple]:
@@ -164,7 +163,7 @@ def compared(ids: list[int | None], texts: list[str]) -> list[tuple]:
 
 
 def with_successors(docs: DataFrame) -> DataFrame:
-    """The columns of _OUT: each document compared with its edited text and with its successor."""
+    """The columns of _OUT (fingerprints as hex digits): each document compared with its edited text and with its successor."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.md5(text)).alias("mark"), F.monotonically_increasing_id().alias("salt"), text.alias("text"))
     schema = f"{_OUT}, part int, edge string, text string"
@@ -203,7 +202,8 @@ def with_successors(docs: DataFrame) -> DataFrame:
     last = made.filter("edge = 'last'").select("part", "doc_id", "text").join(ring, "part")
     first = made.filter("edge = 'first'").select(F.col("part").alias("follow"), F.col("text").alias("successor"))
     names = [f.name for f in pair_schema]
-    return made.filter("edge is null").select(*names).unionByName(last.join(first, "follow").select("doc_id", "text", "successor").mapInArrow(pairs, _OUT))
+    out = made.filter("edge is null").select(*names).unionByName(last.join(first, "follow").select("doc_id", "text", "successor").mapInArrow(pairs, _OUT))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def op12_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
