@@ -468,23 +468,22 @@ def stream_events(spark, d):
     return table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-def write_slices(events, path, rows_each=2_000_000, least=4):
-    """One file after the other in order of time, as a recorder leaves them: of about rows_each rows, `least` at least."""
+def write_slices(events, path, rows_each=2_000_000, least=4, order=("ts", "event_id"), closing=False):
+    """Files of about rows_each rows in order of arrival, `least` at least; closing: and a last one with a row of no user far
+    ahead, which lets the watermark pass all others."""
     n = max(least, -(-events.count() // rows_each))
-    us = F.unix_micros("ts")
-    ends = events.select(us.alias("us")).approxQuantile("us", [k / n for k in range(1, n)], 0.001)
-    for low, high in zip([None, *ends], [*ends, None]):
-        part = events if low is None else events.filter(us > low)
-        part = part if high is None else part.filter(us <= high)
-        part.repartition(1).sortWithinPartitions("ts", "event_id").write.mode("append").parquet(path)
+    K.write_in_order(events, path, list(order), n)
+    if closing:
+        end = events.agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+        end.select("event_id", "ts", *(F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in ("event_id", "ts"))).select(*events.columns).write.mode("append").parquet(path)
 
 
-def replayed(spark, d, stream_of, output="append", files_per_batch=2):
-    """The events written as files in order of time, streamed through stream_of in several micro-batches, and the result
+def replayed(spark, d, stream_of, output="append", files_per_batch=2, order=("ts", "event_id"), closing=False):
+    """The events written as files in order of arrival, streamed through stream_of in several micro-batches, and the result
     read again."""
     events = stream_events(spark, d)
     source, sink, marks = (K.shared_path(spark, n) for n in ("replay", "live", "marks"))
-    write_slices(events, source)
+    write_slices(events, source, order=order, closing=closing)
     L.run_once(stream_of(L.ingest(spark, source, events.schema, files_per_batch=files_per_batch)), sink, marks, output)
     K.removed(spark, source, marks)
     return spark.read.parquet(sink)
@@ -507,7 +506,21 @@ round_even(gap / {PERIOD}, 0)::BIGINT - 1)) END::INTEGER AS drops FROM g"""
 
 @R.query
 def r2_live_contiguity(spark, d):
-    return replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), files_per_batch=1)
+    return live_contiguity(spark, d)
+
+
+def live_contiguity(spark, d, **options):
+    out = replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), closing=True, **options)
+    return out.filter("user_id is not null")
+
+
+R.sql["r2_live_reordered"] = R.sql["r2_live_contiguity"]
+
+
+@R.query
+def r2_live_reordered(spark, d):
+    """Frames arrive up to nine minutes late, so each micro-batch is out of order and mixed with its neighbours."""
+    return live_contiguity(spark, d, order=(F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(540)), "event_id"))
 
 
 R.sql["r3_sync_health"] = """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts::TIMESTAMP) AS start, event_type, count(value) AS n, count(*) FILTER (abs(value) > 20) AS n_out,
@@ -532,16 +545,23 @@ delta FROM o WHERE o = 1"""
 
 @R.query
 def r4_live_nearest(spark, d):
+    return nearest_live(spark, d, "inner")
+
+
+def nearest_live(spark, d, how):
     def both(s):
-        # one stream on both sides: a closing row far ahead lets the watermark pass all others
+        # one stream on both sides; the closing row is on both
         kind = lambda k: s.filter((F.col("event_type") == k) | F.col("user_id").isNull())
-        return L.nearest_live(kind("click"), kind("purchase"), "user_id", "ts", "event_id", "30 minutes")
+        return L.nearest_live(kind("click"), kind("purchase"), "user_id", "ts", "event_id", "30 minutes", how=how)
 
-    events = stream_events(spark, d)
-    end = events.agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).select("event_id", "ts", *(F.lit(None).cast(k).alias(c) for c, k in (("user_id", "long"), ("event_type", "string"), ("value", "double"), ("props", "string"))))
-    source, sink, marks = (K.shared_path(spark, n) for n in ("replay", "live", "marks"))
-    write_slices(events, source)
-    end.write.mode("append").parquet(source)
-    L.run_once(both(L.ingest(spark, source, events.schema, files_per_batch=2)), sink, marks)
-    K.removed(spark, source, marks)
-    return spark.read.parquet(sink)
+    return replayed(spark, d, both, closing=True)
+
+
+R.sql["r4_live_every_master"] = R.sql["r4_live_nearest"].replace("SELECT user_id, event_id, match,\ndelta FROM o WHERE o = 1", """SELECT m.user_id, m.event_id, o.match,
+o.delta FROM m LEFT JOIN o ON o.user_id = m.user_id AND o.event_id = m.event_id AND o.o = 1""")
+
+
+@R.query
+def r4_live_every_master(spark, d):
+    """Masters without a sample near enough come out too, as in the batch form."""
+    return nearest_live(spark, d, "leftOuter")

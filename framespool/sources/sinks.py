@@ -37,6 +37,19 @@ def removed(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def write_in_order(df: DataFrame, path: str, order: list[str], files: int) -> None:
+    """One parquet file for each range of the order, and times of change that follow it, as a recorder leaves its files: a
+    stream reads them in that order."""
+    spark = df.sparkSession
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("append").parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((x.getPath() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    start = spark.sparkContext._jvm.System.currentTimeMillis() - 1000 * (len(found) + 1)
+    for k, file in enumerate(found):
+        fs.setTimes(file, start + 1000 * k, -1)
+
+
 def write_partitioned(df: DataFrame, path: str, by: list[str], keep_as: dict[str, str] | None = None, mode: str = "error") -> None:
     """Parquet (zstd) partitioned by columns, one file a partition value; keep_as keeps a copy of one under another
     name as a data column. Overwriting replaces only the partitions that df has."""

@@ -22,35 +22,39 @@ def monitored(
     stream: DataFrame, key: str, time: str, ident: str, period: int, multiplier: float = 1.5, most: int = 127, late: str = "10 minutes", forget: int = 400 * 86_400_000_000
 ) -> DataFrame:
     """(key, ident, contiguous, drops) of each frame against the one before it, with a period known beforehand; time in
-    microseconds. The state of a clip is its last stamp; frames of one micro-batch are put in order of time first. Frames
-    older than the state, or than the watermark, come too late and are left out. A clip is forgotten `forget`
-    microseconds after its last frame."""
+    microseconds. Frames may come in any order within the watermark: the state of a clip holds those that the watermark
+    hasn't passed, and gives them in order of time once it has, so it is as large as the frames of `late`. Frames
+    behind the watermark are left out. A clip is forgotten `forget` microseconds after its last frame."""
     out = T.StructType([stream.schema[key], stream.schema[ident], T.StructField("contiguous", T.BooleanType()), T.StructField("drops", T.IntegerType())])
 
     def follow(who: tuple, frames: Iterator, state) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        if state.hasTimedOut:
+        before, stamps, ids = state.get if state.exists else (None, [], [])
+        rows = pd.DataFrame({time: np.array(stamps, np.int64), ident: np.array(ids, np.int64)})
+        if not state.hasTimedOut:
+            rows = pd.concat([rows, *(f[[time, ident]] for f in frames)], ignore_index=True)
+        passed = state.getCurrentWatermarkMs() * 1000
+        done = rows[time] <= passed
+        held, rows = rows[~done], rows[done].sort_values([time, ident])
+        if len(rows):
+            stamps = rows[time].to_numpy(dtype=np.int64)
+            gaps = np.diff(np.concatenate([[stamps[0] if before is None else before], stamps]))
+            first = np.arange(len(stamps)) == 0 if before is None else np.zeros(len(stamps), bool)
+            ok = ~first & (gaps < multiplier * period) if period > 0 else ~first
+            drops = np.where(first | (period <= 0), 0, np.clip(np.rint(gaps / max(period, 1)) - 1, 0, most)).astype(np.int32)
+            before = int(stamps[-1])
+            yield pd.DataFrame({key: who[0], ident: rows[ident].to_numpy(), "contiguous": ok, "drops": drops})
+        if not len(held) and before is not None and before + forget <= passed:
             state.remove()
             return
-        rows = pd.concat(list(frames)).sort_values([time, ident])
-        before = state.get[0] if state.exists else None
-        if before is not None:
-            rows = rows[rows[time] >= before]
-        if not len(rows):
-            return
-        stamps = rows[time].to_numpy(dtype=np.int64)
-        gaps = np.diff(np.concatenate([[stamps[0] if before is None else before], stamps]))
-        first = np.arange(len(stamps)) == 0 if before is None else np.zeros(len(stamps), bool)
-        ok = ~first & (gaps < multiplier * period) if period > 0 else ~first
-        drops = np.where(first | (period <= 0), 0, np.clip(np.rint(gaps / max(period, 1)) - 1, 0, most)).astype(np.int32)
-        state.update((int(stamps[-1]),))
-        state.setTimeoutTimestamp(max((int(stamps[-1]) + forget) // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: who[0], ident: rows[ident].to_numpy(), "contiguous": ok, "drops": drops})
+        state.update((before, held[time].tolist(), held[ident].tolist()))
+        due = int(held[time].min()) if len(held) else before + forget
+        state.setTimeoutTimestamp(max(-(-due // 1000), state.getCurrentWatermarkMs() + 1))
 
     clock = stream.select(key, time, ident, F.timestamp_micros(time).alias("_clock")).withWatermark("_clock", late)
-    return clock.groupBy(key).applyInPandasWithState(follow, out, "last bigint", "append", "EventTimeTimeout")
+    return clock.groupBy(key).applyInPandasWithState(follow, out, "last bigint, held array<bigint>, ids array<bigint>", "append", "EventTimeTimeout")
 
 
 def sync_health(stream: DataFrame, time: str, topic: str, delta: str, tolerance: float, every: str = "1 minute", late: str = "10 minutes") -> DataFrame:
@@ -63,15 +67,16 @@ def sync_health(stream: DataFrame, time: str, topic: str, delta: str, tolerance:
     )
 
 
-def nearest_live(master: DataFrame, other: DataFrame, key: str, time: str, ident: str, tolerance: str, late: str = "1 hour", clock: str = "10 minutes") -> DataFrame:
-    """Each master row with the nearest sample of the other stream within the tolerance (of two as near, the later);
-    inner: masters without one don't come out. An interval join on both watermarks, then the nearest of each master."""
+def nearest_live(master: DataFrame, other: DataFrame, key: str, time: str, ident: str, tolerance: str, late: str = "1 hour", clock: str = "10 minutes", how: str = "inner") -> DataFrame:
+    """Each master row with the nearest sample of the other stream within the tolerance (of two as near, the later).
+    how: inner, or leftOuter to give masters without one too, with nulls, once the watermark has passed all samples that
+    could match. An interval join on both watermarks, then the nearest of each master."""
     a = master.select(F.col(key).alias("k"), F.col(time).alias("t"), F.col(ident).alias("i")).withWatermark("t", late)
     b = other.select(F.col(key).alias("k2"), F.col(time).alias("u"), F.col(ident).alias("j")).withWatermark("u", late)
     near = F.expr(f"k = k2 AND u >= t - INTERVAL {tolerance} AND u <= t + INTERVAL {tolerance}")
     gap = F.unix_micros("u") - F.unix_micros("t")
     return (
-        a.join(b, near).withColumn("gap", gap).groupBy(F.window("t", clock), "k", "i")
+        a.join(b, near, how).withColumn("gap", gap).groupBy(F.window("t", clock), "k", "i")
         .agg(F.min_by(F.struct("j", "gap"), F.struct(F.abs("gap"), -F.col("gap"), F.col("j"))).alias("best"))
         .select(F.col("k").alias(key), F.col("i").alias(ident), F.col("best.j").alias("match"), F.col("best.gap").alias("delta"))
     )

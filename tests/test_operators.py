@@ -1,5 +1,6 @@
 """Cases made by hand, seeded properties against plain restatements, readers over real files, errors."""
 
+import datetime
 import json
 import math
 import random
@@ -270,19 +271,47 @@ def test_partition_overwrite(spark, tmp_path):
     assert sorted((r["v"], r["task"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(2, "b"), (9, "a")]
 
 
-def test_stream_resumes(spark, tmp_path):
+MINUTE = 60_000_000
+
+
+def streamed(spark, tmp_path, stream_of, batches, schema):
+    """Each batch (rows) as files of its own, and what has come out after each."""
     source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    out = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        live.run_once(stream_of(live.ingest(spark, source, spark.createDataFrame([], schema).schema)), sink, marks)
+        out.append(spark.read.parquet(sink).collect())
+    return out
+
+
+def test_stream_resumes_and_reorders(spark, tmp_path):
+    """Frames are held until the watermark (ten minutes behind) has passed them, over restarts, and given in order."""
     at = 10**12  # microseconds
-    first, second = frames(spark, [at, at + 10, at + 20]), frames(spark, [at + 30, at + 60]).withColumn("frame", F.col("frame") + 3)
-    for part in (first, second):
-        part.write.mode("append").parquet(source)
-        live.run_once(live.monitored(live.ingest(spark, source, first.schema), "clip", "t", "frame", 10), sink, marks)
-    got = {r["frame"]: (r["contiguous"], r["drops"]) for r in spark.read.parquet(sink).collect()}
-    assert got == {0: (False, 0), 1: (True, 0), 2: (True, 0), 3: (True, 0), 4: (False, 2)}
-    frames(spark, [at + 25, at + 70]).withColumn("frame", F.col("frame") + 5).write.mode("append").parquet(source)  # 25 comes too late
-    live.run_once(live.monitored(live.ingest(spark, source, first.schema), "clip", "t", "frame", 10), sink, marks)
-    got = {r["frame"]: (r["contiguous"], r["drops"]) for r in spark.read.parquet(sink).collect()}
-    assert got.keys() == {0, 1, 2, 3, 4, 6} and got[6] == (True, 0)
+    stamps = [at + k * MINUTE for k in (0, 1, 2, 3, 6, 7, 8, 9, 10, 11)]
+    rows = [("c", k, t) for k, t in enumerate(stamps)]
+    first, second = [rows[k] for k in (4, 0, 3)], [rows[k] for k in (2, 9, 1, 5, 8, 6, 7)]
+    end, late = [("end", 99, at + 100 * MINUTE)], [("c", 50, at + 12 * MINUTE)]
+    got = streamed(spark, tmp_path, lambda s: live.monitored(s, "clip", "t", "frame", MINUTE), (first, second, end, late), "clip string, frame long, t long")
+    assert got[0] == [] and {x["frame"] for x in got[1]} == {0, 1}
+    want = {k: (k != 0 and k != 4, 2 if k == 4 else 0) for k in range(10)}
+    for result in got[2:]:  # 50 comes behind the watermark
+        assert {x["frame"]: (x["contiguous"], x["drops"]) for x in result} == want
+
+
+def test_masters_without_a_match_come_out(spark, tmp_path):
+    stamp = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+    rows = [(1, "m", stamp(0)), (1, "o", stamp(4)), (2, "m", stamp(1)), (2, "o", stamp(40)), (3, "m", stamp(2))]
+    end = [(None, "m", stamp(9000)), (None, "o", stamp(9000))]
+
+    def both(s):
+        return live.nearest_live(s.filter("kind = 'm'"), s.filter("kind = 'o'"), "user", "ts", "id", "5 minutes", how="leftOuter")
+
+    rows = [(u, k, t, n) for n, (u, k, t) in enumerate(rows)]
+    end = [(u, k, t, 90 + n) for n, (u, k, t) in enumerate(end)]
+    later = [(u, k, t + datetime.timedelta(days=9), n + 2) for u, k, t, n in end]
+    got = streamed(spark, tmp_path, both, (rows, end, later), "user long, kind string, ts timestamp, id long")
+    assert {(x["user"], x["id"], x["match"], x["delta"]) for x in got[-1] if x["user"]} == {(1, 0, 1, 4 * MINUTE), (2, 2, None, None), (3, 4, None, None)}
 
 
 def test_duplicates_of_all_events_are_reported(spark, tmp_path):
