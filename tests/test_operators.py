@@ -302,16 +302,19 @@ def test_stream_resumes_and_reorders(spark, tmp_path):
 def test_masters_without_a_match_come_out(spark, tmp_path):
     stamp = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
     rows = [(1, "m", stamp(0)), (1, "o", stamp(4)), (2, "m", stamp(1)), (2, "o", stamp(40)), (3, "m", stamp(2))]
-    end = [(None, "m", stamp(9000)), (None, "o", stamp(9000))]
+    end = [(-1, "m", stamp(9000)), (-1, "o", stamp(9000))]
 
     def both(s):
         return live.nearest_live(s.filter("kind = 'm'"), s.filter("kind = 'o'"), "user", "ts", "id", "5 minutes", how="leftOuter")
 
     rows = [(u, k, t, n) for n, (u, k, t) in enumerate(rows)]
     end = [(u, k, t, 90 + n) for n, (u, k, t) in enumerate(end)]
-    later = [(u, k, t + datetime.timedelta(days=9), n + 2) for u, k, t, n in end]
-    got = streamed(spark, tmp_path, both, (rows, end, later), "user long, kind string, ts timestamp, id long")
-    assert {(x["user"], x["id"], x["match"], x["delta"]) for x in got[-1] if x["user"]} == {(1, 0, 1, 4 * MINUTE), (2, 2, None, None), (3, 4, None, None)}
+    source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    whole = spark.createDataFrame(rows + end, "user long, kind string, ts timestamp, id long")
+    sinks.write_in_order(whole, source, ["ts", "id"], 3)
+    live.run_once(both(live.ingest(spark, source, whole.schema, files_per_batch=1)), sink, marks)
+    got = {(x["user"], x["id"], x["match"], x["delta"]) for x in spark.read.parquet(sink).collect() if x["user"] > 0}
+    assert got == {(1, 0, 1, 4 * MINUTE), (2, 2, None, None), (3, 4, None, None)}
 
 
 def test_duplicates_of_all_events_are_reported(spark, tmp_path):
