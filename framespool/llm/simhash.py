@@ -10,12 +10,17 @@ A shard reports a spanning forest of its links, not all pairs, so classes are ex
 
 `near_groups` is the form for near copies by similarity: nodes are sets of five-word shingles, with WORDS x 64 counts each
 instead of 64. Shards come from the strongest of these counts: a table names the place and sign of the largest in each of
-a few groups of rotated counts, and nodes with the same names share a shard. The strongest counts are the last ones that an
-edit turns, so a pair of similarity 0.8 shares a group's name with the probability that AGREE has for the group's size, and
-unrelated ones with 1 in twice that size. With more nodes names take more and larger groups, so that few unrelated nodes
-meet, and tables are so many that a pair of similarity 0.8 misses all of them with probability e^-MISS. In a shard, a BK-tree over the fingerprints of all counts finds
-pairs at LIMIT bits or less, and a pair becomes a link if the Jaccard similarity of its two sets is LEAST (4 / 5) or more,
-counted exactly. The first FIRST tables join most of a large group; the others compare only nodes of different components.
+GROUPS groups of rotated counts, and nodes with the same names share a shard. The strongest counts are the last ones that an
+edit turns, so a pair of similarity 0.8 shares a group's name with probability AGREE, and unrelated ones with 1 in NAMES; the
+TABLES, the same number for any input, are so many that a pair of similarity 0.8 misses all of them with probability e^-5. In
+a shard, a BK-tree over the fingerprints of all counts finds pairs at LIMIT bits or less, and a pair becomes a link if the
+Jaccard similarity of its two sets is LEAST (4 / 5) or more, counted exactly. The first FIRST tables join most of a large
+group; the others compare only nodes of different components.
+
+A shard with more than `crowd` nodes (pages of one template, whose counts the template makes, or many nodes in all) is cut by
+what tells its nodes apart. The shingles of all nodes in crowded shards are counted, and a node is filed under the rarest of
+its own, so many that two sets of similarity 0.8 or more have one of them in common (a fifth and one more). That loses no
+pair, and pages of a template part by their own words. Shards by shingles hold BK-trees like others.
 
 Cases: null and empty texts have no words and fingerprint zero, linked like any other. Repeated rows share their
 fingerprint. A null doc_id gets its component, but never names one unless all of it are null. An empty table gives an
@@ -30,7 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, arrow_batch, arrow_schema, checkpointed, discard, split_join, stored, table
@@ -39,10 +44,11 @@ from .components import components
 RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
-#: deviation (8). AGREE: measured on sets of similarity 0.8. FIRST: tables of the first round. TURNS: rotations of the counts.
-WORDS, WIDE_SHINGLE, AGREE, LIMIT, LEAST, MISS, FIRST, TURNS = 8, 5, {64: 0.435, 128: 0.41}, 120, (4, 5), 5, 8, 16
-#: Names of the largest group.
-NAMES = 256
+#: deviation (8). FIRST: tables of the first round. TURNS: rotations of the counts.
+WORDS, WIDE_SHINGLE, LIMIT, LEAST, FIRST, TURNS = 8, 5, 120, (4, 5), 8, 16
+#: Counts in a group, groups of a table, and the chance (measured) that sets of similarity 0.8 agree in a group's name.
+GROUP, GROUPS, AGREE = 128, 3, 0.41
+NAMES, TABLES = 2 * GROUP, 73  # 5 / AGREE ** GROUPS
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -88,37 +94,24 @@ def wide_counts(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
     return 2 * total - len(hashes)
 
 
-def shard_shape(n: int) -> tuple[tuple[int, ...], int]:
-    """(sizes of the groups, tables) for n nodes: names of so many bits, seven or eight a group, that unrelated nodes seldom
-    share them (64 times as many names as nodes), and so many tables that a pair of similarity 0.8 misses all with
-    probability e^-MISS."""
-    bits = (max(n, 1) - 1).bit_length() + 6
-    groups = max(2, -(-bits // 8))
-    short = min(groups, 8 * groups - bits)
-    sizes = (64,) * short + (128,) * (groups - short)
-    return sizes, int(np.ceil(MISS / np.prod([AGREE[size] for size in sizes])))
-
-
-def shard_keys(counts: np.ndarray, sizes: tuple[int, ...], tables: int) -> np.ndarray:
-    """(n, tables) shards of the rows of counts: table and names in one number."""
+def shard_keys(counts: np.ndarray) -> np.ndarray:
+    """(n, TABLES) shards of the rows of counts: table and names in one number."""
     rng, width = np.random.default_rng(SEED), counts.shape[1]
     low, high = (reduce(np.kron, [np.array([[1, 1], [1, -1]], np.float32)] * k) for k in (5, (width // 32).bit_length() - 1))
     at = counts / np.sqrt(np.maximum((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True), 1))
-    at, names = at.astype(np.float32), {size: [] for size in sizes}
+    at, found = at.astype(np.float32), []
     for _ in range(TURNS):  # signs turned at random and a Hadamard matrix as a product of two small ones
         at = at * rng.choice(np.array([-1, 1], np.float32), width)
         at = np.matmul(high, (at.reshape(-1, 32) @ low).reshape(len(at), -1, 32)).reshape(len(at), width) / np.float32(np.sqrt(width))
-        for size, found in names.items():
-            parts = at.reshape(len(at), -1, size)
-            best = np.abs(parts).argmax(axis=2)
-            found.append(2 * best + (np.take_along_axis(parts, best[:, :, None], 2)[:, :, 0] > 0))
-    names = {size: np.concatenate(found, axis=1).astype(np.int64) for size, found in names.items()}
-    out = np.empty((len(at), tables), np.int64)
-    for table in range(tables):
+        parts = at.reshape(len(at), -1, GROUP)
+        best = np.abs(parts).argmax(axis=2)
+        found.append(2 * best + (np.take_along_axis(parts, best[:, :, None], 2)[:, :, 0] > 0))
+    names = np.concatenate(found, axis=1).astype(np.int64)
+    out = np.empty((len(at), TABLES), np.int64)
+    for table in range(TABLES):
         out[:, table] = table
-        for size, found in names.items():
-            for group in rng.choice(found.shape[1], sizes.count(size), replace=False):
-                out[:, table] = out[:, table] * NAMES + found[:, group]
+        for group in rng.choice(names.shape[1], GROUPS, replace=False):
+            out[:, table] = out[:, table] * NAMES + names[:, group]
     return out
 
 
@@ -128,7 +121,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return _printed(docs, schema, lambda doc_id, text: (doc_id, majority(shingle_hashes(text, shingle)).to_bytes(8, "little")))
 
 
-def wide_prints(docs: DataFrame, sizes: tuple[int, ...], tables: int, shingle: int = WIDE_SHINGLE) -> DataFrame:
+def wide_prints(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> DataFrame:
     """(row, content, print, shards) of docs (row, text): a 128-bit hash of the set of shingles, the fingerprint and the
     shard in each table."""
     schema = "row bigint, content binary, print binary, shards array<bigint>"
@@ -139,11 +132,11 @@ def wide_prints(docs: DataFrame, sizes: tuple[int, ...], tables: int, shingle: i
                 part = batch.slice(k, 512)
                 sets = [np.unique(shingle_hashes(text or b"", shingle)) for text in part.column("text").to_pylist()]
                 counts = np.stack([wide_counts(x) for x in sets])
-                shards = shard_keys(counts, sizes, tables)
+                shards = shard_keys(counts)
                 prints = np.packbits(counts > 0, axis=1, bitorder="little")
                 columns = [
                     part.column("row"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([x.tobytes() for x in prints], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * tables), pa.array(shards.ravel())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * TABLES), pa.array(shards.ravel())),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "content", "print", "shards"])
 
@@ -318,39 +311,62 @@ def _hex() -> Column:
 def near_groups(docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
     """(row, group): single linkage of near copies, five-word shingles of Jaccard similarity 0.8 or more, named by the least
     row in it. docs: (row, text), row a bigint of its own for each; read more than once, so stored."""
-    sizes, tables = shard_shape(docs.count())
-    prints = stored(wide_prints(docs, sizes, tables))
+    prints = stored(wide_prints(docs))
     least = stored(prints.groupBy("content").agg(F.min("row").alias("node"), F.count("*").alias("n")))
     nodes = stored(prints.join(least.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "print", "shards"))
     rows = stored(prints.select("row", "content"))
     discard(prints)
-    parts = wide_links(nodes, docs, len(sizes), limit, crowd)
+    parts = wide_links(nodes, docs, limit, crowd)
     named_ = stored(least.join(parts, "node", "left").select("content", "n", F.coalesce("component", "node").alias("group")))
     out = stored(split_join(rows, named_, ["content"], "n").select("row", "group"))
     discard(rows, nodes, least, named_)
     return out
 
 
-def wide_links(nodes: DataFrame, docs: DataFrame, groups: int, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
-    """(node, component) of the nodes that have links. nodes: (node, print, shards), of names of so many groups; docs: (row,
-    text) with the nodes among its rows."""
+def wide_links(nodes: DataFrame, docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
+    """(node, component) of the nodes that have links. nodes: (node, print, shards); docs: (row, text) with the nodes among
+    its rows."""
     at = nodes.select("node", F.col("node").alias("component"), F.slice("shards", 1, FIRST).alias("shards"))
-    first = checkpointed(components(_round(at, nodes, docs, limit, crowd, within=True)))
-    at = nodes.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "shards")
+    rows, sizes = _mixed(at.select("node", "component", F.explode("shards").alias("shard")))
+    first = checkpointed(components(_links(rows, sizes, nodes, docs, limit, crowd, within=True)))
+    discard(rows, sizes)
+    at = nodes.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.explode("shards").alias("shard"))
+    rows, sizes = _mixed(at)
     # the shards of the first tables have been compared whole, but for the crowded ones
-    table = F.expr(f"shard div {NAMES**groups}")
-    links = _round(at, nodes, docs, limit, crowd, within=False, only=(table >= FIRST) | (F.col("n") > crowd))
+    small = sizes.filter((F.expr(f"shard div {NAMES**GROUPS}") >= FIRST) & (F.col("n") <= crowd))
+    links = _links(rows, small, nodes, docs, limit, crowd, within=False)
+    crowded = sizes.filter(F.col("n") > crowd)
+    crowded = stored(split_join(rows, crowded, ["shard"], "n", "left_semi").select("node", "component").distinct())
+    discard(rows, sizes)
+    rows, sizes = _mixed(by_rare_shingles(crowded, docs))
+    links = links.unionByName(_links(rows, sizes, nodes, docs, limit, crowd, within=False))
+    discard(rows, sizes, crowded)
     return checkpointed(components(links.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
 
-def _round(at: DataFrame, nodes: DataFrame, docs: DataFrame, limit: int, crowd: int, within: bool, only: Column | None = None) -> DataFrame:
-    """(a, b): links between different components of at (node, component, shards), by all shards (shard, n) that hold two
-    and that `only` takes."""
-    rows = stored(at.select("node", "component", F.explode("shards").alias("shard")))
+def _mixed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (node, component, shard) stored, and the shards (shard, n) of nodes of several components."""
+    rows = stored(rows)
     sizes = rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    sizes = stored((sizes if only is None else sizes.filter(only)).filter("lo <> hi").select("shard", "n"))
-    mixed = stored(split_join(rows, sizes, ["shard"], "n"))
-    discard(rows, sizes)
+    return rows, stored(sizes.filter("lo <> hi").select("shard", "n"))
+
+
+def by_rare_shingles(crowded: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, component, shard): each node of crowded (node, component) under the rarest of its shingles among these nodes, one
+    more than it may lack of another set at similarity LEAST; under those only that another node has too."""
+    sets = _sets(docs.join(crowded.select(F.col("node").alias("row")), "row", "left_semi"), "array<bigint>")
+    grams = stored(sets.select("node", F.explode("hashes").alias("shard")))
+    met = split_join(grams, stored(grams.groupBy("shard").agg(F.count("*").alias("n"))), ["shard"], "n")
+    own = Window.partitionBy("node")  # a text's shingles
+    over, under = LEAST
+    size, place = F.count("*").over(own), F.row_number().over(own.orderBy("n", "shard"))
+    rare = met.select("node", "shard", "n", size.alias("size"), place.alias("place")).filter(f"place <= size - ceil(size * {over} / {under}) + 1 AND n > 1")
+    return crowded.join(rare.select("node", "shard"), "node").select("node", "component", "shard")
+
+
+def _links(rows: DataFrame, sizes: DataFrame, nodes: DataFrame, docs: DataFrame, limit: int, crowd: int, within: bool) -> DataFrame:
+    """(a, b): links between different components of rows (node, component, shard), by the shards of sizes (shard, n)."""
+    mixed = stored(split_join(rows, sizes if hasattr(sizes, "stored_at") else stored(sizes), ["shard"], "n"))
     groups = stored(candidates(_dealt(mixed, crowd, within).join(nodes.select("node", "print"), "node"), limit).dropDuplicates(["group", "node"]))
     discard(mixed)
     wanted = groups.select(F.col("node").alias("row")).distinct()
@@ -381,17 +397,23 @@ def _dealt(rows: DataFrame, crowd: int, within: bool) -> DataFrame:
     return reduce(DataFrame.unionByName, [few, residents.select(*few.columns), probes.select(*few.columns)])
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(node, hashes): the distinct shingles of each of docs (row, text)."""
+def _sets(docs: DataFrame, kind: str = "binary") -> DataFrame:
+    """(node, hashes): the distinct shingles of each of docs (row, text), as bytes or as numbers."""
+    numbers = kind != "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                sets = [np.unique(shingle_hashes(text or b"", WIDE_SHINGLE)).tobytes() for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sets, pa.binary())], names=["node", "hashes"])
-
-    return docs.select("row", F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, "node bigint, hashes binary")
+                sets = [np.unique(shingle_hashes(text or b"", WIDE_SHINGLE)) for text in part.column("text").to_pylist()]
+                if numbers:
+                    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                    hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                else:
+                    hashes = pa.array([x.tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row"), hashes], names=["node", "hashes"])
+
+    return docs.select("row", F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, f"node bigint, hashes {kind}")
 
 
 def _joined(size: int):

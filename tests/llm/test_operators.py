@@ -270,6 +270,26 @@ def test_crowded_shards_lose_no_chain(spark):
     assert near_groups(spark, texts, crowd=2) == {k: k // 20 * 20 for k in range(100)}
 
 
+def test_pages_of_one_template_cost_no_more_the_more_there_are(spark, monkeypatch):
+    """A template of 100 words and 25 own ones (similarity 0.66), a few pages with a near copy: four times the pages meet in
+    about four times the rows, and the copies are found."""
+    r, plain, met = random.Random(7), simhash._dealt, {}
+    template = [f"t{k}" for k in range(100)]
+
+    def counted(rows, crowd, within):
+        out = plain(rows, crowd, within)
+        met[n] = met.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "_dealt", counted)
+    for n in (1000, 4000):
+        own = [[f"o{r.randrange(10**9)}" for _ in range(25)] for _ in range(n)]
+        texts = [" ".join(template + x) for x in own] + [" ".join(template + x[:-1] + ["z"]) for x in own[:20]]
+        got = near_groups(spark, texts)
+        assert all(got[n + k] == k for k in range(20)) and len(set(got.values())) == n
+    assert met[4000] / 4000 < 2 * met[1000] / 1000
+
+
 def test_recall_and_false_links_at_the_limit(spark):
     """Pairs just over and just under similarity 0.8: 0.97 of the first at least and none of the second are found."""
     r = random.Random(9)
