@@ -3,8 +3,10 @@
 judge_pages() gives each page the verdict of the longest rule that fits its url. Where no rule fits, the page's
 host decides: personalised PageRank from the hosts whose pages the rules allow (trust) against PageRank over the
 reversed edges from the hosts whose pages they block (distrust; who links to bad hosts is suspect).
-A host is blocked if its distrust exceeds `ratio` times its trust, else allowed; scores are rounded only where shown. The
-SQL walks ROUNDS rounds, after which less than TOLERANCE is left to move. Hosts with more than HUB links are dealt out.
+A host is blocked if its distrust exceeds `ratio` times its trust, else allowed; scores are rounded only where shown. Both
+walks go on together, for ROUNDS links at most: after these less than 1e-9 of the weight is left to move, whatever the
+links, and a host that is reached by longer ways only has neither trust nor distrust. Hosts with more than HUB links are
+dealt out.
 
 Cases: null or scheme-less urls have an empty host and path, get no rule and no links, and are allowed. Null html has
 no links. Repeated rows are judged one by one; a link counts once per pair of hosts. An empty table gives an empty
@@ -20,7 +22,9 @@ from .common import LOWER, UPPER, checkpointed, split_join, table
 
 #: (rule, verdict); a rule is host/path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-ROUNDS, DAMPING, RATIO, TOLERANCE = 160, 0.85, 1.0, 1e-9
+ROUNDS, DAMPING, RATIO = 128, 0.85, 1.0
+#: Rounds from one checkpoint to the next.
+STEP = 3
 #: Links of a host that one task follows.
 HUB = 100_000
 LINK = r"(?i)\b(?:href|src)\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s<>]+)"
@@ -45,33 +49,33 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def rank(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """Personalised PageRank. edges: (src, dst) distinct; seeds: (host, weight) that sum to 1. Returns (host, score).
-
-    Mass that reaches a host without out-links is not handed out again. A round moves what the last one added, and rounds
-    end when that is under the tolerance in sum and reaches no new host. Scores sum partial results by destination before
-    the shuffle, and each round is checkpointed, so a lost executor costs one round at most."""
-    degree = checkpointed(edges.groupBy("src").agg(F.count("*").alias("links")).withColumn("parts", F.ceil(F.col("links") / HUB).cast("int")))
-    edges = checkpointed(split_join(edges, degree, ["src"], "links").withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")))
-    degree = degree.select(F.col("src").alias("host"), "parts")
-    score = added = checkpointed(seeds.select("host", ((1 - damping) * F.col("weight")).alias("score")))
-    hosts = score.count()
-    while True:
-        dealt = added.join(degree, "host").select(F.col("host").alias("src"), "score", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        moved = edges.join(dealt, ["src", "part"]).select(
-            F.col("dst").alias("host"), (damping * F.col("score") / F.col("links")).alias("score")
-        )
-        added = checkpointed(moved.groupBy("host").agg(F.sum("score").alias("score")))
-        mass = added.agg(F.sum("score")).first()[0]
-        if not mass:
-            return score
-        score = checkpointed(score.unionByName(added).groupBy("host").agg(F.sum("score").alias("score")))
-        before, hosts = hosts, score.count()
-        if mass < tolerance and hosts == before:
-            return score
-
-
-def host_scores(pages: DataFrame, damping: float = DAMPING, rules=RULES, tolerance: float = TOLERANCE) -> DataFrame:
+def rank(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int = ROUNDS) -> DataFrame:
+    """Personalised PageRanks, one for each way. edges: (way, src, dst) distinct; seeds: (way, host, weight), weights that sum
+    to 1 in each way. Returns (way, host, score).
+
+    Mass that reaches a host without out-links is not handed out again. A round moves what the last one added; rounds end
+    when nothing is left to move, and after `rounds`. Partial sums by destination go before the shuffle, and every STEP
+    rounds are checkpointed, so a lost executor costs these at most."""
+    degree = checkpointed(edges.groupBy("way", "src").agg(F.count("*").alias("links")).withColumn("parts", F.ceil(F.col("links") / HUB).cast("int")))
+    edges = checkpointed(split_join(edges, degree, ["way", "src"], "links").withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")))
+    degree = degree.select("way", F.col("src").alias("host"), "parts")
+    own = ((1 - damping) * F.col("weight")).alias("score")
+    state = checkpointed(seeds.select("way", "host", own, own.alias("added")))
+    none = F.lit(0.0)
+    for done in range(0, rounds, STEP):
+        for _ in range(min(STEP, rounds - done)):
+            moving = state.filter("added > 0").join(degree, ["way", "host"])
+            moving = moving.select("way", F.col("host").alias("src"), "added", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+            moved = edges.join(moving, ["way", "src", "part"]).select("way", F.col("dst").alias("host"), none.alias("score"), (damping * F.col("added") / F.col("links")).alias("added"))
+            both = state.select("way", "host", "score", none.alias("added")).unionByName(moved).groupBy("way", "host")
+            state = both.agg((F.sum("score") + F.sum("added")).alias("score"), F.sum("added").alias("added"))
+        state = checkpointed(state)
+        if state.filter("added > 0").isEmpty():
+            break
+    return state.select("way", "host", "score")
+
+
+def host_scores(pages: DataFrame, damping: float = DAMPING, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
     """(host, trust, distrust) of every host that the seeds reach. pages: host, path, html."""
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     seen = pages.filter("host <> ''").select("host", verdict.alias("says")).groupBy("host").agg(
@@ -84,20 +88,21 @@ def host_scores(pages: DataFrame, damping: float = DAMPING, rules=RULES, toleran
         .select("src", F.translate("to", UPPER, LOWER).alias("dst")).filter("src <> dst").distinct()
     )
     edges = checkpointed(edges)
-    out = None
-    for name, way, kind in (("trust", edges, "good"), ("distrust", edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), "bad")):
+    ways = edges.select(F.lit("trust").alias("way"), "src", "dst").unionByName(edges.select(F.lit("distrust").alias("way"), F.col("dst").alias("src"), F.col("src").alias("dst")))
+    seeds = None
+    for way, kind in (("trust", "good"), ("distrust", "bad")):
         total = seen.agg(F.sum(kind)).first()[0] or 1
-        seeds = seen.filter(F.col(kind) > 0).select("host", (F.col(kind) / F.lit(float(total))).alias("weight"))
-        score = rank(way, seeds, damping, tolerance).withColumnRenamed("score", name)
-        out = score if out is None else out.join(score, "host", "full")
-    return out.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+        part = seen.filter(F.col(kind) > 0).select(F.lit(way).alias("way"), "host", (F.col(kind) / F.lit(float(total))).alias("weight"))
+        seeds = part if seeds is None else seeds.unionByName(part)
+    score = lambda way: F.coalesce(F.sum(F.when(F.col("way") == way, F.col("score"))), F.lit(0.0)).alias(way)
+    return rank(ways, seeds, damping, rounds).groupBy("host").agg(score("trust"), score("distrust"))
 
 
-def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, ratio: float = RATIO, tolerance: float = TOLERANCE) -> DataFrame:
+def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, ratio: float = RATIO, rounds: int = ROUNDS) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every row of pages."""
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", "html", host.alias("host"), path.alias("path"))
-    scores = host_scores(pages, damping, rules, tolerance)
+    scores = host_scores(pages, damping, rules, rounds)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     own = F.when(distrust > ratio * trust, "block").otherwise("allow")

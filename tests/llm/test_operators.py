@@ -84,6 +84,20 @@ def test_url_query_and_its_sql_agree_on_links(spark, tmp_path, monkeypatch, hub)
     assert all(x[5:] == pytest.approx(y[5:], abs=2e-6) for x, y in zip(got, want)) and sum(x[5] > 0 for x in got) > 20
 
 
+def test_url_rounds_are_bounded(spark, tmp_path):
+    """A chain of 500 hosts, longer than the walks, and a cycle that keeps mass moving: as the SQL has it, by the same rule."""
+    rows = [(k, f"http://c{k}.{'net' if k == 499 else 'info'}/", f'<a href="http://c{k + 1}.{"net" if k == 498 else "info"}/">') for k in range(500)]
+    rows += [(600 + k, f"http://r{k}.org/fr/", f'<a href="http://r{(k + 1) % 3}.org/">') for k in range(3)] + [(700, "http://r9.net/", '<a href="http://r0.org/">')]
+    spark.createDataFrame([(*x, 0, "h", 0.5) for x in rows], "page_id long, url string, html string, part int, way string, score double").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.execute(f"SELECT page_id, verdict, trust, distrust FROM ({url_trust.SQL['op1_url_trust']})").fetchall())
+    got = sorted(tuple(x[c] for c in ("page_id", "verdict", "trust", "distrust")) for x in url_trust.op1_url_trust(spark, str(tmp_path)).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want] and all(x[2:] == pytest.approx(y[2:], abs=2e-6) for x, y in zip(got, want))
+    verdicts = dict(x[:2] for x in got)
+    assert verdicts[499 - url_trust.ROUNDS] == "block" and verdicts[498 - url_trust.ROUNDS] == "allow"
+
+
 # --- personal data -----------------------------------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
