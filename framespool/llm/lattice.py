@@ -108,7 +108,7 @@ def unit_vectors(x: np.ndarray) -> np.ndarray:
 
 
 def hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
-    """(label, node, first, copies, vector, cells, packed) of nodes (label, vector, first, copies): the vector at length one
+    """(label, node, first, copies, vector, cells, packed) of nodes (label, node, vector, first, copies): the vector at length one
     as the bytes of its doubles, and of each table the home cell and the probed ones, as an array and as bytes."""
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
     schema = f"label {kinds['label']}, node bigint, first {kinds['first']}, copies bigint, vector binary, cells array<bigint>, packed binary"
@@ -134,7 +134,7 @@ def hashed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int)
                     columns += [packed(unit), pa.ListArray.from_arrays(ends, pa.array(cell.ravel())), packed(cell)]
                     yield pa.RecordBatch.from_arrays(columns, schema=out_schema)
 
-    return nodes.select("label", F.xxhash64("label", "vector").alias("node"), "first", "copies", "vector").mapInArrow(run, schema)
+    return nodes.select("label", "node", "first", "copies", "vector").mapInArrow(run, schema)
 
 
 def counted_links(nodes: DataFrame, cosine: float, each: int, block: int) -> DataFrame:
@@ -222,7 +222,10 @@ def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE, seed: int = SEED, block: int = BLOCK
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors."""
-    nodes = stored(hashed(usable(vectors), tables, probes, scale, seed))
+    # nodes are numbered once; rows find theirs again by 128 bits of label and vector
+    key = F.xxhash64("label", "vector").alias("_k"), F.xxhash64(F.lit(1), "label", "vector").alias("_l")
+    distinct = stored(usable(vectors).select("*", *key, F.monotonically_increasing_id().alias("node")))
+    nodes = stored(hashed(distinct, tables, probes, scale, seed))
     links = stored(counted_links(nodes, cosine, 1 + probes, block))
     many = links.groupBy("node").agg(F.sum("others").alias("others"))
     joined = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -232,9 +235,10 @@ def near_vectors(
     )
     whole = stored(whole)
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(whole.join(least, "component").select("node", "n_links", "component_id", "copies"))
+    named = whole.join(least, "component").join(distinct.select("node", "_k", "_l"), "node")
+    named = stored(named.select("_k", "_l", "n_links", "component_id", "copies"))
     rows = doubled(vectors)
-    linked = split_join(rows.filter("able").select("vec_id", F.xxhash64("label", "vector").alias("node")), named, ["node"], "copies")
+    linked = split_join(rows.filter("able").select("vec_id", *key), named, ["_k", "_l"], "copies")
     alone = rows.filter("NOT able").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.select("vec_id", "n_links", "component_id").unionByName(alone).select(
         "vec_id", F.col("n_links").cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").cast("long").alias("component_id"),
