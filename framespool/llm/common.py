@@ -21,7 +21,14 @@ ASCII_LOWER = str.maketrans(UPPER, LOWER)
 ROUND_CHARS = 1 << 20
 
 
+#: Texts go to Python in batches of so many bytes, unless the session says otherwise than Spark's own 64 MB.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key, usual, small = BATCH
+    if spark.conf.get(key, "").removesuffix("b") == str(usual):
+        spark.conf.set(key, small)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
