@@ -19,31 +19,70 @@ from .sinks import write_partitioned
 KEYS = ("dataset", "task", "episode_id")
 INT, LONG, BYTE, FLAG, TEXT, REAL = T.IntegerType(), T.LongType(), T.ByteType(), T.BooleanType(), T.StringType(), T.FloatType()
 LIST = T.ArrayType(REAL)
-_POSE, _JOINTS = ("position", "orientation"), ("position", "velocity", "effort")
-
-
-def _fields(block: str, parts: tuple[str, ...]) -> list[tuple[str, T.DataType]]:
-    return [(f"{block}.{part}", LIST) for part in parts]
-
-
-#: Columns of the five frame tables.
-_FRAME = [("frame_index", INT), ("master_timestamp_ns", LONG)]
-_ARM = [
-    *_FRAME, *_fields("local_measured_cp", _POSE), *_fields("measured_cp", (*_POSE, "velocity")), *_fields("measured_cv", ("linear", "angular")), *_fields("measured_js", _JOINTS),
-    *_fields("setpoint_js", _JOINTS),
-]
-_TOOL = [
-    *_ARM, *_fields("setpoint_cp", _POSE), *_fields("measured_cp_calibrated", _POSE), *_fields("setpoint_cp_calibrated", _POSE), ("jaw.measured_position", REAL),
-    ("jaw.setpoint_position", REAL), ("source_frequency_hz", REAL),
-]
-_COLUMNS = {
-    "timestamp": [
-        ("frame_index", INT), ("source_frame_index", INT), ("master_timestamp_ns", LONG), ("is_contiguous_to_prev", FLAG), ("drop_count_since_prev", BYTE),
-        *((f"delta_to_master.{topic}_ns", LONG) for topic in TOPICS),
-    ],
-    "ECM": _ARM, "PSM1": _TOOL, "PSM2": _TOOL,
-    "annotation": [*_FRAME, ("contact.PSM1", BYTE), ("contact.PSM2", BYTE), ("gesture.PSM1", TEXT), ("gesture.PSM2", TEXT), ("phase", TEXT), ("step", TEXT)],
-}
+
+#: Columns of the five frame tables, in their order.
+_TIMESTAMP = [
+    ("frame_index", INT),
+    ("source_frame_index", INT),
+    ("master_timestamp_ns", LONG),
+    *((f"delta_to_master.{topic}_ns", INT) for topic in TOPICS),
+    ("is_contiguous_to_prev", FLAG),
+    ("drop_count_since_prev", BYTE),
+]
+_ECM = [
+    ("frame_index", INT),
+    ("master_timestamp_ns", LONG),
+    ("local_measured_cp.position", LIST),
+    ("local_measured_cp.orientation", LIST),
+    ("measured_cp.position", LIST),
+    ("measured_cp.orientation", LIST),
+    ("measured_cp.velocity", LIST),
+    ("measured_cv.linear", LIST),
+    ("measured_cv.angular", LIST),
+    ("measured_js.position", LIST),
+    ("measured_js.velocity", LIST),
+    ("measured_js.effort", LIST),
+    ("setpoint_js.position", LIST),
+    ("setpoint_js.velocity", LIST),
+    ("setpoint_js.effort", LIST),
+]
+_PSM = [
+    ("frame_index", INT),
+    ("master_timestamp_ns", LONG),
+    ("local_measured_cp.position", LIST),
+    ("local_measured_cp.orientation", LIST),
+    ("measured_cp.position", LIST),
+    ("measured_cp.orientation", LIST),
+    ("measured_cp.velocity", LIST),
+    ("measured_cv.linear", LIST),
+    ("measured_cv.angular", LIST),
+    ("measured_cp_calibrated.position", LIST),
+    ("measured_cp_calibrated.orientation", LIST),
+    ("measured_js.position", LIST),
+    ("measured_js.velocity", LIST),
+    ("measured_js.effort", LIST),
+    ("setpoint_js.position", LIST),
+    ("setpoint_js.velocity", LIST),
+    ("setpoint_js.effort", LIST),
+    ("setpoint_cp.position", LIST),
+    ("setpoint_cp.orientation", LIST),
+    ("setpoint_cp_calibrated.position", LIST),
+    ("setpoint_cp_calibrated.orientation", LIST),
+    ("jaw.measured_position", REAL),
+    ("jaw.setpoint_position", REAL),
+    ("source_frequency_hz", REAL),
+]
+_ANNOTATION = [
+    ("frame_index", INT),
+    ("master_timestamp_ns", LONG),
+    ("contact.PSM1", BYTE),
+    ("contact.PSM2", BYTE),
+    ("gesture.PSM1", TEXT),
+    ("gesture.PSM2", TEXT),
+    ("phase", TEXT),
+    ("step", TEXT),
+]
+_COLUMNS = {"timestamp": _TIMESTAMP, "ECM": _ECM, "PSM1": _PSM, "PSM2": _PSM, "annotation": _ANNOTATION}
 SCHEMAS = {name: T.StructType([T.StructField(c, kind) for c, kind in columns]) for name, columns in _COLUMNS.items()}
 
 

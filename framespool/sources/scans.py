@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.catalog import MASTER, TOPICS, stamp_columns
+from ..functions.catalog import MASTER, TOPICS, stamp_columns, stamp_tree
 
 CP = "struct<position:array<double>,orientation:array<double>,velocity:array<double>>"
 JS = "struct<position:array<double>,velocity:array<double>,effort:array<double>>"
@@ -22,6 +22,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+def read_tree(spark: SparkSession, root: str, folder: str, datasets: list[str] | None = None, clips: list[str] | None = None, frames: tuple[int, int] | None = None) -> DataFrame:
+    """(path, value) of <root>/<dataset>/<clip>/<folder>/<frame>.json, of these datasets and clips and of frames first..last
+    only. Other datasets and clips aren't even listed, and files of other frames are left out before any is opened.
+
+    Small files are packed by size; for thousands a task lower spark.sql.files.openCostInBytes, as each counts as that much."""
+    some = lambda names: "*" if names is None else "{" + ",".join(names) + "}"
+    docs = spark.read.text(f"{root}/{some(datasets)}/{some(clips)}/{folder}/*.json", wholetext=True)
+    if frames is not None:
+        number = F.regexp_extract(F.col("_metadata.file_name"), r"^([0-9]+)", 1).try_cast("int")
+        docs = docs.filter(number.between(*frames))
+    return docs.select(F.col("_metadata.file_path").alias("path"), "value")
+
+
 def keys_of(path: Column, depth: int = 1) -> list[Column]:
     """dataset, clip and frame of .../<dataset>/<clip>/<depth folders>/<frame>.json."""
     parts = F.split(path, "/")
@@ -30,8 +43,11 @@ def keys_of(path: Column, depth: int = 1) -> list[Column]:
 
 
 def stamp_documents(documents: DataFrame, topics: dict[str, str] = TOPICS, master: tuple[str, str] = MASTER) -> DataFrame:
-    """One row per time-stamp document: the master's and every topic's stamp in ns, null where its path is missing."""
-    return documents.select(*keys_of(F.col("path")), *stamp_columns(F.col("value"), dict([master]) | topics))
+    """One row per time-stamp document: the master's and every topic's stamp in ns, null where its path is missing. A document
+    is parsed once for all topics."""
+    topics = dict([master]) | topics
+    parsed = documents.select(*keys_of(F.col("path")), F.from_json("value", stamp_tree(topics)).alias("_stamps"))
+    return parsed.select("dataset", "clip", "frame", *stamp_columns(F.col("_stamps"), topics))
 
 
 def kinematic_documents(documents: DataFrame, strict: bool = False) -> DataFrame:
