@@ -27,8 +27,8 @@ BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key, usual, small = BATCH
-    if spark.conf.get(key, "").removesuffix("b") == str(usual):
-        spark.conf.set(key, small)
+    if spark.conf.get(key).removesuffix("b") == str(usual):
+        spark.conf.set(key, f"{small}b")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
