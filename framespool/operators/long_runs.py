@@ -45,18 +45,30 @@ def carried(rows: DataFrame, by: list[str], **values: tuple[str, Column]) -> Dat
     return rows.join(edges, [*by, "_part"])
 
 
+def numbered(rows: DataFrame, by: list[str]) -> DataFrame:
+    """rows, as laid_out() gives them, with _n (rows of their group) and _place (theirs in its order, from 0)."""
+    sizes = rows.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_here"))
+    parts = Window.partitionBy(*by)
+    before = F.sum("_here").over(parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*by, "_part", (F.col("_first") - F.coalesce(before, F.lit(0))).alias("_zero"), F.sum("_here").over(parts).alias("_n"))
+    return rows.join(sizes, [*by, "_part"]).withColumn("_place", F.col("_at") - F.col("_zero")).drop("_zero")
+
+
 def medians(df: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
     """by and the exact median of value (nulls don't count) of each group: values are numbered over ranges, the one or two in
     the middle averaged."""
-    rows = laid_out(df.filter(F.col(value).isNotNull()).select(*by, value), by, [value])
-    sizes = rows.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    parts = Window.partitionBy(*by)
-    before = F.sum("_n").over(parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select(*by, "_part", (F.col("_first") - F.coalesce(before, F.lit(0))).alias("_zero"), F.sum("_n").over(parts).alias("_n"))
-    # only parts that hold a middle row are read again
-    sizes = sizes.withColumns({"_low": F.expr("(_n - 1) div 2"), "_high": F.expr("_n div 2")})
-    middle = (F.col("_at") - F.col("_zero")).between(F.col("_low"), F.col("_high"))
-    return rows.join(sizes, [*by, "_part"]).filter(middle).groupBy(*by).agg(F.avg(value).alias(out))
+    rows = numbered(laid_out(df.filter(F.col(value).isNotNull()).select(*by, value), by, [value]), by)
+    middle = F.col("_place").between(F.expr("(_n - 1) div 2"), F.expr("_n div 2"))
+    return rows.filter(middle).groupBy(*by).agg(F.avg(value).alias(out))
+
+
+def bounded_sample(df: DataFrame, by, order, k: int) -> DataFrame:
+    """As curate.bounded_sample: all rows of groups with k or fewer, of others those at floor(i * n / k), i = 0 .. k - 1."""
+    by = _list(by)
+    rows = numbered(laid_out(df, by, _list(order)), by)
+    i = f"((_place * {k} + _n - 1) div _n)"
+    kept_ = (F.col("_n") <= k) | F.expr(f"{i} < {k} AND ({i} * _n) div {k} = _place")
+    return rows.filter(kept_).drop("_n", "_place", "_at", "_part")
 
 
 def contiguity(df: DataFrame, by, order, time: str, multiplier: float = 1.5, most: int = 127) -> DataFrame:

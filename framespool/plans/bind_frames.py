@@ -468,14 +468,17 @@ def stream_events(spark, d):
     return table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+NOBODY = -1
+
+
 def write_slices(events, path, rows_each=2_000_000, least=4, order=("ts", "event_id"), closing=False):
-    """Files of about rows_each rows in order of arrival, `least` at least; closing: and a last one with a row of no user far
+    """Files of about rows_each rows in order of arrival, `least` at least; closing: and a last one with a row of user NOBODY far
     ahead, which lets the watermark pass all others."""
     n = max(least, -(-events.count() // rows_each))
     K.write_in_order(events, path, list(order), n)
     if closing:
         end = events.agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
-        end.select("event_id", "ts", *(F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in ("event_id", "ts"))).select(*events.columns).write.mode("append").parquet(path)
+        end.select("event_id", "ts", *(F.lit(NOBODY if f.name == "user_id" else None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in ("event_id", "ts"))).select(*events.columns).write.mode("append").parquet(path)
 
 
 def replayed(spark, d, stream_of, output="append", files_per_batch=2, order=("ts", "event_id"), closing=False):
@@ -511,7 +514,7 @@ def r2_live_contiguity(spark, d):
 
 def live_contiguity(spark, d, **options):
     out = replayed(spark, d, lambda s: L.monitored(s.withColumn("us", F.unix_micros("ts")), "user_id", "us", "event_id", PERIOD), closing=True, **options)
-    return out.filter("user_id is not null")
+    return out.filter(F.col("user_id") != NOBODY)
 
 
 R.sql["r2_live_reordered"] = R.sql["r2_live_contiguity"]
@@ -551,7 +554,7 @@ def r4_live_nearest(spark, d):
 def nearest_live(spark, d, how):
     def both(s):
         # one stream on both sides; the closing row is on both
-        kind = lambda k: s.filter((F.col("event_type") == k) | F.col("user_id").isNull())
+        kind = lambda k: s.filter((F.col("event_type") == k) | (F.col("user_id") == NOBODY))
         return L.nearest_live(kind("click"), kind("purchase"), "user_id", "ts", "event_id", "30 minutes", how=how)
 
     return replayed(spark, d, both, closing=True)

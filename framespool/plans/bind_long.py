@@ -66,3 +66,14 @@ def j13_long_ranges(spark, d):
     ranges = table(spark, d, "orders").select("o_orderkey", user.alias("user_id"), start.alias("first"), (start + F.col("o_orderkey") % 211).alias("last"))
     frames = events(spark, d).select("user_id", "event_id")
     return L.ranges_to_frames(ranges, "user_id", "first", "last", frames, "event_id", width=256).select("o_orderkey", "user_id", "event_id")
+
+
+SAMPLE = 40
+R.sql["t3_long_sample"] = f"""WITH {EV}, n AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - 1 AS place, count(*) OVER (PARTITION BY user_id) AS n FROM ev),
+i AS (SELECT user_id, n, unnest(range(0, {SAMPLE})) * n // {SAMPLE} AS place FROM (SELECT DISTINCT user_id, n FROM n WHERE n > {SAMPLE}))
+SELECT user_id, event_id FROM n WHERE n <= {SAMPLE} OR (user_id, place) IN (SELECT (user_id, place) FROM i)"""
+
+
+@R.query
+def t3_long_sample(spark, d):
+    return L.bounded_sample(events(spark, d), "user_id", ["us", "event_id"], SAMPLE).select("user_id", "event_id")

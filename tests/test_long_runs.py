@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from framespool.operators import align, long_runs, segment
+from framespool.operators import align, curate, long_runs, segment
 
 
 @pytest.fixture(autouse=True)
@@ -70,3 +70,8 @@ def test_medians(spark):
     df = spark.createDataFrame(rows, "g long, v long")
     got = {x["g"]: x["m"] for x in long_runs.medians(df, ["g"], "v", "m").collect()}
     assert got == {x["g"]: x["m"] for x in df.filter("v is not null").groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("m")).collect()}
+
+
+@pytest.mark.parametrize("k", [1, 3, 40, 5000])
+def test_bounded_sample(spark, frames, k):
+    same(*(m.bounded_sample(frames, "clip", ["us", "frame"], k) for m in (long_runs, curate)), ("clip", "frame"))
