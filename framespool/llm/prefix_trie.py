@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .checksums import CRC_TABLE, crc32_sql
 from .common import arrow_schema, split_join, stored, table
 from .ordered import numbered, ordered_sha256
 
@@ -260,4 +261,24 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op13_prefix_trie": op13_prefix_trie}
-SQL: dict[str, str] = {}
+#: A node's sums over its subtree are those of what each member's path holds from the node on, each node counted on the path
+#: of its smallest member only.
+SQL = {
+    "op13_prefix_trie": f"""WITH {CRC_TABLE},
+t AS MATERIALIZED (SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS n,
+md5(coalesce(role, '') || ':' || md5(coalesce(text, ''))) AS k, strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv, total, base, {crc32_sql("conv::VARCHAR")} % {SHARED + 1} AS h FROM (SELECT conv, count(*) AS total, conv - conv % {BLOCK} AS base FROM t GROUP BY conv), crc_table),
+p AS MATERIALIZED (SELECT c.conv, c.base, c.h, least(c.h, coalesce(b.total, 0)) AS shared FROM c LEFT JOIN c b ON c.base = b.conv),
+r AS (SELECT p.conv, n AS depth, k, size FROM p JOIN t ON t.conv = p.base AND n <= shared UNION ALL SELECT p.conv, shared + n - h, k, size FROM p JOIN t ON t.conv = p.conv AND n > h
+UNION ALL SELECT conv, 0, '', 0 FROM p),
+x AS MATERIALIZED (SELECT conv, depth, size, string_agg(k, ',') OVER w AS path, lead(depth) OVER w IS NULL AS ends FROM r WINDOW w AS (PARTITION BY conv ORDER BY depth)),
+y AS MATERIALIZED (SELECT *, lag(path) OVER (PARTITION BY conv ORDER BY depth) AS up FROM x),
+m AS MATERIALIZED (SELECT path, any_value(up) AS up, any_value(depth) AS depth, any_value(size) AS size, count(*) AS n_convs, min(conv) AS conv_id,
+sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (ends), '')) AS ends_sha256 FROM y GROUP BY path),
+k AS (SELECT up AS path, count(*) AS n_children FROM m WHERE up IS NOT NULL GROUP BY up),
+q AS MATERIALIZED (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k USING (path)),
+s AS (SELECT y.path, sum(CASE WHEN q.conv_id = y.conv AND n_children = 0 THEN 1 ELSE 0 END) OVER w AS leaves, sum(CASE WHEN q.conv_id = y.conv THEN (n_convs - 1) * q.size ELSE 0 END) OVER w AS saved
+FROM y JOIN q USING (path) WINDOW w AS (PARTITION BY y.conv ORDER BY y.depth DESC)),
+g AS (SELECT path, sum(leaves)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM s GROUP BY path)
+SELECT q.conv_id, q.depth, u.conv_id AS parent_conv_id, q.n_convs, q.n_children, n_leaves, saved_tokens, q.ends_sha256 FROM q JOIN g USING (path) LEFT JOIN q u ON q.up = u.path"""
+}

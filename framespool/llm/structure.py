@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .checksums import CRC_TABLE, crc32_sql
 from .common import SPACE, arrow_batch, arrow_schema, checkpointed, split_join, stored, table
 from .ordered import in_order, ordered_sha256
 
@@ -382,4 +383,41 @@ def digests(conversations: DataFrame, faults: DataFrame, rows: DataFrame) -> Dat
 
 
 QUERIES = {"op11_structure": op11_structure}
-SQL: dict[str, str] = {}
+
+
+def _sql() -> str:
+    """Plain dynamic programming in SQL: the cheapest (cost, edits, repaired rows) from each state, row by row from the last."""
+    spaced, bare = "coalesce({}, ' ')", "rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    way = lambda cost, edit, line, at: f"{{'c': {at}.c + {cost}, 'a': '{edit}' || {at}.a, 'o': {line} || CASE WHEN {at}.o = '' THEN '' ELSE chr(10) || {at}.o END}}"
+    gone = lambda at: f"{{'c': {at}.c + {DELETE}, 'a': 'D' || {at}.a, 'o': {at}.o}}"
+    names, initials = ("s0", "s1", "s2", "s3"), {0: "u", 1: "a", 2: "s"}
+
+    def taken(state: int) -> str:
+        due = f"CASE WHEN code = {TRUNCATED} THEN {CUT} ELSE 0 END"
+        keeps = [f"CASE WHEN initial = '{initial}' AND code < {GONE} THEN {way(due, 'K', 'role || chr(58) || text', names[kept(state, kind)])} END" for kind, initial in initials.items() if kept(state, kind) is not None]
+        again = f"CASE WHEN code < {GONE} THEN {way(f'{REROLE} + {due}', 'R', f"'{NAMES[NEXT[state]]}:' || text", names[NEXT[state]])} END"
+        return f"list_sort(list_filter([{', '.join([gone(names[state]), again, *keeps])}], lambda w: w IS NOT NULL))[1]"
+
+    inserted = lambda state, at: way(INSERT, "I", f"'{NAMES[NEXT[state]]}:'", at)
+    zero, two = "{'c': 0::BIGINT, 'a': '', 'o': ''}", f"{{'c': {2 * INSERT}::BIGINT, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}}"
+    one = f"{{'c': {INSERT}::BIGINT, 'a': 'I', 'o': 'assistant:'}}"
+    better = lambda state, at: f"list_sort([b{state}, {inserted(state, at)}])[1]"
+    return f"""WITH RECURSIVE {CRC_TABLE},
+f AS (SELECT conv_id, turn, {spaced.format("role")} AS role, {spaced.format("text")} AS text, {crc32_sql(f"{spaced.format('conv_id::VARCHAR')} || ':' || {spaced.format('turn::VARCHAR')}")} % 20 AS fault FROM conversations, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fault > 0),
+n AS MATERIALIZED (SELECT *, {bare} AS bare, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+r AS MATERIALIZED (SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, CASE WHEN bare = '' THEN {GONE} WHEN row_number() OVER (PARTITION BY conv_id, role, md5(text) ORDER BY i) > 1 THEN {GONE + 1}
+WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE {TRUNCATED} END AS code, left(role, 1) || left(lead(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS pair FROM n),
+g AS (SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(code = {GONE}) AS blank, count_if(code = {GONE + 1}) AS duplicate,
+count_if(code = {TRUNCATED}) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+v AS (SELECT conv_id, i, {zero} AS s0, {two} AS s1, {one} AS s2, {zero} AS s3 FROM g UNION ALL
+SELECT conv_id, i, list_sort([b0, {inserted(START, "u2")}])[1], list_sort([b1, {inserted(SYSTEM, "u2")}])[1], u2, {better(ASSISTANT, "b2")} FROM (SELECT *, {better(USER, "b3")} AS u2 FROM
+(SELECT v.conv_id, v.i - 1 AS i, {", ".join(f"{taken(state)} AS b{state}" for state in range(4))} FROM v JOIN r ON v.conv_id IS NOT DISTINCT FROM r.conv_id AND v.i = r.i))),
+w AS (SELECT conv_id, s0 FROM v WHERE i = 0)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+coalesce(s0.c, 0) AS cost, coalesce(s0.a, '') AS audit, sha256(coalesce(s0.o, '')) AS repaired_sha256 FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN g ON o.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN w ON o.conv_id IS NOT DISTINCT FROM w.conv_id"""
+
+
+SQL = {"op11_structure": _sql()}

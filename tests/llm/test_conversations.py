@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -142,6 +143,16 @@ def test_structure(spark, folder, rows):
     same(structure.op11_structure(spark, folder), STRUCTURE, structures(rows))
 
 
+def by_sql(folder, sql, columns):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
+    return con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+
+
+def test_structure_by_sql(folder, rows):
+    assert sorted(by_sql(folder, structure.SQL["op11_structure"], STRUCTURE), key=str) == sorted(structures(rows), key=str)
+
+
 @pytest.mark.parametrize(("size", "passes"), [(1, 1), (7, 0), (16, 40)])
 def test_structure_of_conversations_in_many_chunks(spark, folder, rows, size, passes):
     conversations = spark.read.parquet(f"{folder}/conversations.parquet")
@@ -229,6 +240,7 @@ def test_trie(spark, tmp_path, shared_turns, chunk):
     conversations = spark.read.parquet(f"{tmp_path}/conversations.parquet")
     made = prefix_trie.op13_prefix_trie(spark, str(tmp_path)) if chunk == prefix_trie.CHUNK else prefix_trie.trie(conversations, chunk)
     same(made, TRIE, tries(shared_turns))
+    assert sorted(by_sql(tmp_path, prefix_trie.SQL["op13_prefix_trie"], TRIE), key=str) == sorted(tries(shared_turns), key=str)
 
 
 def test_trie_in_small_shards(spark, shared_turns, monkeypatch):
