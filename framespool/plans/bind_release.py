@@ -91,7 +91,7 @@ def v2_packed_episode_rules(spark, d):
 SHARE = 0.2
 R.sql["v3_release_rules"] = f"""WITH disk AS (SELECT o_orderkey AS e FROM orders), idx AS (SELECT DISTINCT l_orderkey AS e FROM lineitem), lines AS (SELECT e FROM idx
 WHERE e % 50 > 0 UNION SELECT c_custkey + 100000000 FROM customer WHERE c_custkey % 100 = 0),
-n AS ({ROWS}), s AS (SELECT e AS episode FROM disk WHERE e % 3 = 0), w AS (SELECT episode, unnest({listed(U.MODALITIES)}) AS modality FROM s),
+n AS ({ROWS}), s AS (SELECT e AS episode FROM disk), w AS (SELECT episode, unnest({listed(U.MODALITIES)}) AS modality FROM s),
 a AS (SELECT 'doc/' || doc_id AS path, text, doc_id % 17 > 0 AS there, doc_id % 23 > 0 AS listed, CASE
 WHEN doc_id % 5 = 0 THEN text || 'x' ELSE text END AS other FROM documents WHERE text IS NOT NULL),
 b AS (SELECT *, ('0x' || substr(md5(path), 1, 8))::BIGINT AS bucket FROM a WHERE there AND listed)
@@ -114,7 +114,7 @@ def v3_release_rules(spark, d):
     disk = table(spark, d, "orders").select(F.col("o_orderkey").alias("episode"))
     index = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("episode"))
     extra = table(spark, d, "customer").filter("c_custkey % 100 = 0").select((F.col("c_custkey") + 100_000_000).alias("episode"))
-    declared = disk.filter("episode % 3 = 0").withColumn("length", F.lit(1))
+    declared = disk.withColumn("length", F.lit(1))
     docs = table(spark, d, "documents").filter("text IS NOT NULL").withColumn("path", F.concat(F.lit("doc/"), "doc_id"))
     other = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
     manifest = docs.filter("doc_id % 23 > 0").select("path", F.sha2(other, 256).alias("sha256"))
