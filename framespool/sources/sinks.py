@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -19,7 +20,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="framespool-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    left_over(spark, path)
+    return path
+
+
+_LEFT: list[tuple] = []
+
+
+def left_over(spark: SparkSession, path: str) -> None:
+    """Deletes a path when the program ends: results are read from it until then."""
+    if not _LEFT:
+        atexit.register(_clear)
+    context = spark.sparkContext
+    _LEFT.append((context._jvm, context._jsc.hadoopConfiguration(), path))
+
+
+def _clear() -> None:
+    for jvm, conf, name in _LEFT:
+        try:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        except Exception:  # noqa: BLE001  the JVM has gone before
+            return
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
