@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sinks import left_over
+
 #: ASCII white space, as the word and line rules of the contracts name it.
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -79,6 +81,7 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    left_over(df.sparkSession, path)
     if _SCRATCH:
         _SCRATCH[-1].append(out)
     return out
