@@ -367,7 +367,11 @@ def by_rare_shingles(crowded: DataFrame, docs: DataFrame) -> DataFrame:
 def _links(rows: DataFrame, sizes: DataFrame, nodes: DataFrame, docs: DataFrame, limit: int, crowd: int, within: bool) -> DataFrame:
     """(a, b): links between different components of rows (node, component, shard), by the shards of sizes (shard, n)."""
     mixed = stored(split_join(rows, sizes if hasattr(sizes, "stored_at") else stored(sizes), ["shard"], "n"))
-    groups = stored(candidates(_dealt(mixed, crowd, within).join(nodes.select("node", "print"), "node"), limit).dropDuplicates(["group", "node"]))
+    # a node is joined with its fingerprint once for all cells that it is in
+    dealt = _dealt(mixed, crowd, within)
+    cells = dealt.groupBy("node").agg(F.collect_list(F.struct(*(c for c in dealt.columns if c != "node"))).alias("cells"))
+    dealt = cells.join(nodes.select("node", "print"), "node").select("node", "print", F.explode("cells").alias("cell")).select("node", "print", "cell.*")
+    groups = stored(candidates(dealt, limit).dropDuplicates(["group", "node"]))
     discard(mixed)
     wanted = groups.select(F.col("node").alias("row")).distinct()
     sets = stored(_sets(docs.join(wanted, "row", "left_semi")))
