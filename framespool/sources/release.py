@@ -1,7 +1,8 @@
 """Packed releases: the five frame tables of completed episodes, opened lazily, and their sinks.
 
-A release is a folder with one table per modality, partitioned by dataset, task and episode, and a table `completed` of
-finished episodes. open_release() also reads a tree of <dataset>/episodes/<task>/<clip>/<modality>.parquet, as other
+A release is a folder with one table per modality, partitioned by dataset and task and in order of episode and frame, and a
+table `completed` of finished episodes. Files hold ranges of frames, so their number follows the frames, not the episodes.
+open_release() also reads a tree of <dataset>/episodes/<task>/<clip>/<modality>.parquet, as other
 packers leave it; both give the same frame tables."""
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.catalog import TOPICS
 from ..functions.normalize import projected
-from .sinks import write_partitioned
+from .sinks import write_ranges
 
 KEYS = ("dataset", "task", "episode_id")
 INT, LONG, BYTE, FLAG, TEXT, REAL = T.IntegerType(), T.LongType(), T.ByteType(), T.BooleanType(), T.StringType(), T.FloatType()
@@ -101,18 +102,18 @@ def uneven_episodes(tables: dict[str, DataFrame], keys=KEYS) -> DataFrame:
 
 
 def write_release(tables: dict[str, DataFrame], path: str, completed: DataFrame | None = None, keys=KEYS) -> None:
-    """Writes the five tables with their declared columns (missing ones are null), zstd, by episode, and the table of
-    completed episodes; completed None: all in the timestamp table. Episodes whose tables have other frames than their
+    """Writes the five tables with their declared columns (missing ones are null), zstd, in order of episode and frame, with
+    a folder for each value of the keys but the last, and the table of completed episodes; completed None: all in the
+    timestamp table. Keys are written as text. Episodes whose tables have other frames than their
     timestamp table raise before anything is written."""
     whole = {}
     for name, schema in SCHEMAS.items():
-        df = tables[name]
-        whole[name] = projected(df, T.StructType([df.schema[k] for k in keys] + schema.fields))
+        whole[name] = projected(tables[name], T.StructType([T.StructField(k, TEXT) for k in keys] + schema.fields))
     odd = uneven_episodes(whole, keys).first()
     if odd:
         raise ValueError(f"frames of {odd['modality']} aren't those of its timestamp table: {tuple(odd[k] for k in keys)}")
     for name, df in whole.items():
-        write_partitioned(df, f"{path}/{name}", list(keys))
+        write_ranges(df, f"{path}/{name}", list(keys[:-1]), [keys[-1], "frame_index"])
     (whole["timestamp"] if completed is None else completed).select(*keys).distinct().write.parquet(f"{path}/completed")
 
 

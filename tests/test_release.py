@@ -37,6 +37,20 @@ def test_release_is_written_and_opened(spark, tmp_path):
         got.arm("PSM3")
 
 
+def test_files_follow_the_frames_not_the_episodes(spark, tmp_path):
+    """Hundreds of short episodes, and one that is most of a table, lie in few files in order of episode and frame."""
+    path = str(tmp_path / "r")
+    rows = spark.range(300).selectExpr("'set1' dataset", "if(id % 2 = 0, 'cut', 'sew') task", "concat('clip', id) episode_id", "0 frame_index", "id master_timestamp_ns")
+    rows = rows.unionByName(spark.range(900).selectExpr("'set1' dataset", "'cut' task", "'long' episode_id", "cast(id as int) frame_index", "id master_timestamp_ns"))
+    release.write_release({name: rows for name in release_rules.MODALITIES}, path)
+    assert all(len(list((tmp_path / "r" / name).rglob("*.parquet"))) <= 10 for name in release_rules.MODALITIES)  # 8 ranges over 2 folders
+    for file in (tmp_path / "r" / "ECM").rglob("*.parquet"):
+        at = pq.ParquetFile(file).read(["episode_id", "frame_index"]).to_pylist()
+        assert at == sorted(at, key=lambda x: (x["episode_id"], x["frame_index"]))
+    got = release.open_release(spark, path)
+    assert got.episodes.count() == 301 and got.frames("PSM2").count() == 1200 and got.filter(task="sew").frames("PSM1").count() == 150
+
+
 def test_uneven_tables_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="PSM2.*clip2"):
         release.write_release(tables(spark, short="PSM2"), str(tmp_path / "r"))
