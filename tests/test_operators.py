@@ -271,6 +271,14 @@ def test_partition_overwrite(spark, tmp_path):
     assert sorted((r["v"], r["task"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(2, "b"), (9, "a")]
 
 
+def test_exported_episodes_share_files(spark, tmp_path):
+    rows = [(c, 100 * c + e, f) for c in range(60) for e in range(5) for f in range(1 + e)]
+    back = sinks.export_episodes(spark.createDataFrame(rows, "case_id int, episode_id int, turn int"), str(tmp_path / "e"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert len(list((tmp_path / "e").rglob("*.parquet"))) <= 8  # was 300
+    assert back.groupBy("episode_id").agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).filter("n > 1").count() == 0
+
+
 MINUTE = 60_000_000
 
 
