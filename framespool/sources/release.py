@@ -163,10 +163,10 @@ def open_release(spark: SparkSession, path: str, marker: str | None = None) -> R
     clips hold a file of that name (a glob). Markers are listed by name, as Spark lists its input files: its readers don't
     see those with a leading dot."""
     if marker is None:
-        kinds = {"dataset": "string", "task": "string", "episode_id": "string"}
-        strings = lambda df: df.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
-        tables = {name: strings(spark.read.parquet(f"{path}/{name}")) for name in SCHEMAS}
-        return Release(tables, strings(spark.read.parquet(f"{path}/completed")).select(*KEYS))
+        # declared, not inferred: a dataset 01 stays 01
+        own = [T.StructField(k, TEXT) for k in KEYS]
+        tables = {name: spark.read.schema(T.StructType(own + schema.fields)).parquet(f"{path}/{name}") for name, schema in SCHEMAS.items()}
+        return Release(tables, spark.read.schema(T.StructType(own)).parquet(f"{path}/completed"))
     glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/episodes/*/*/{marker}")
     found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob) or []
     markers = spark.createDataFrame([(x.getPath().toUri().getRawPath(),) for x in found], "path string")

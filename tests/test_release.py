@@ -51,6 +51,18 @@ def test_files_follow_the_frames_not_the_episodes(spark, tmp_path):
     assert got.episodes.count() == 301 and got.frames("PSM2").count() == 1200 and got.filter(task="sew").frames("PSM1").count() == 150
 
 
+def test_keys_stay_text_and_only_the_task_is_read(spark, tmp_path):
+    """Names that look like numbers keep their zeros, and a task's frames come from its own files."""
+    path = str(tmp_path / "r")
+    rows = spark.createDataFrame([(d, t, e, f) for d in ("01", "1") for t in ("cut", "sew") for e in ("007", "7") for f in range(3)], "dataset string, task string, episode_id string, frame_index int")
+    release.write_release({name: rows for name in release_rules.MODALITIES}, path)
+    got = release.open_release(spark, path).filter(task="cut", predicate=F.col("dataset") == "01")
+    frames = got.column("PSM1", "measured_cp.position")
+    assert sorted((x["dataset"], x["episode_id"], x["frame_index"]) for x in frames.collect()) == [("01", e, f) for e in ("007", "7") for f in range(3)]
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(task" in plan and "setpoint_cp" not in plan
+
+
 def test_uneven_tables_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="PSM2.*clip2"):
         release.write_release(tables(spark, short="PSM2"), str(tmp_path / "r"))
