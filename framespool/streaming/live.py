@@ -18,43 +18,66 @@ def ingest(spark: SparkSession, path: str, schema: T.StructType, done: DataFrame
     return stream if done is None else stream.join(done, on, "left_semi")
 
 
+#: Clips share a row of state, so Python is called as often as there are buckets, not clips. A checkpoint keeps its number.
+BUCKETS = 512
+
+
 def monitored(
-    stream: DataFrame, key: str, time: str, ident: str, period: int, multiplier: float = 1.5, most: int = 127, late: str = "10 minutes", forget: int = 400 * 86_400_000_000
+    stream: DataFrame, key: str, time: str, ident: str, period: int, multiplier: float = 1.5, most: int = 127, late: str = "10 minutes", forget: int = 400 * 86_400_000_000, buckets: int = BUCKETS
 ) -> DataFrame:
     """(key, ident, contiguous, drops) of each frame against the one before it, with a period known beforehand; time in
-    microseconds. Frames may come in any order within the watermark: the state of a clip holds those that the watermark
-    hasn't passed, and gives them in order of time once it has, so it is as large as the frames of `late`. Frames
-    behind the watermark are left out. A clip is forgotten `forget` microseconds after its last frame."""
-    out = T.StructType([stream.schema[key], stream.schema[ident], T.StructField("contiguous", T.BooleanType()), T.StructField("drops", T.IntegerType())])
+    microseconds; key: text or a whole number. Frames may come in any order within the watermark: the state holds those that
+    the watermark hasn't passed, and gives them in order of time once it has, so it is as large as the frames of `late`.
+    Frames behind the watermark are left out. A clip is forgotten `forget` microseconds after its last frame.
 
-    def follow(who: tuple, frames: Iterator, state) -> Iterator:
+    The state of a bucket of clips (by hash of the key) is the last stamp of each and the frames it holds."""
+    kinds = stream.schema[key].dataType, stream.schema[ident].dataType
+    out = T.StructType([T.StructField("_key", T.StringType()), stream.schema[ident], T.StructField("contiguous", T.BooleanType()), T.StructField("drops", T.IntegerType())])
+
+    def follow(_: tuple, frames: Iterator, state) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        before, stamps, ids = state.get if state.exists else (None, [], [])
-        rows = pd.DataFrame({time: np.array(stamps, np.int64), ident: np.array(ids, np.int64)})
+        clips, lasts, keys, stamps, ids = state.get if state.exists else ([], [], [], [], [])
+        rows = pd.DataFrame({"_key": pd.Series(keys, dtype=object), time: np.array(stamps, np.int64), ident: ids})
         if not state.hasTimedOut:
-            rows = pd.concat([rows, *(f[[time, ident]] for f in frames)], ignore_index=True)
+            new = [f[["_key", time, ident]] for f in frames]
+            rows = pd.concat([rows, *new], ignore_index=True) if len(rows) else pd.concat(new, ignore_index=True)
         passed = state.getCurrentWatermarkMs() * 1000
+        # clips as numbers, those known before first; null is a clip of its own
+        codes, clips = pd.factorize(np.concatenate([np.array(clips, object), rows["_key"].to_numpy(object)]), use_na_sentinel=False)
+        clips = np.where(pd.isna(clips), None, clips)
+        seen = np.arange(len(clips)) < len(lasts)
+        lasts = np.concatenate([np.array(lasts, np.int64), np.zeros(len(clips) - len(lasts), np.int64)])
+        rows["_clip"] = codes[len(codes) - len(rows) :]
         done = rows[time] <= passed
-        held, rows = rows[~done], rows[done].sort_values([time, ident])
+        held, rows = rows[~done], rows[done].sort_values(["_clip", time, ident])
         if len(rows):
-            stamps = rows[time].to_numpy(dtype=np.int64)
-            gaps = np.diff(np.concatenate([[stamps[0] if before is None else before], stamps]))
-            first = np.arange(len(stamps)) == 0 if before is None else np.zeros(len(stamps), bool)
+            at, stamps = rows["_clip"].to_numpy(), rows[time].to_numpy(dtype=np.int64)
+            starts = np.concatenate([[True], at[1:] != at[:-1]])
+            before = np.where(starts, lasts[at], np.concatenate([stamps[:1], stamps[:-1]]))
+            first = starts & ~seen[at]
+            gaps = stamps - before
             ok = ~first & (gaps < multiplier * period) if period > 0 else ~first
             drops = np.where(first | (period <= 0), 0, np.clip(np.rint(gaps / max(period, 1)) - 1, 0, most)).astype(np.int32)
-            before = int(stamps[-1])
-            yield pd.DataFrame({key: who[0], ident: rows[ident].to_numpy(), "contiguous": ok, "drops": drops})
-        if not len(held) and before is not None and before + forget <= passed:
+            ends = np.concatenate([starts[1:], [True]])
+            lasts[at[ends]], seen[at[ends]] = stamps[ends], True
+            yield pd.DataFrame({"_key": rows["_key"].to_numpy(object), ident: rows[ident].to_numpy(), "contiguous": ok, "drops": drops})
+        waits = np.isin(np.arange(len(clips)), held["_clip"])
+        stay = seen & (waits | (lasts + forget > passed))
+        if not len(held) and not stay.any():
             state.remove()
             return
-        state.update((before, held[time].tolist(), held[ident].tolist()))
-        due = int(held[time].min()) if len(held) else before + forget
-        state.setTimeoutTimestamp(max(-(-due // 1000), state.getCurrentWatermarkMs() + 1))
-
-    clock = stream.select(key, time, ident, F.timestamp_micros(time).alias("_clock")).withWatermark("_clock", late)
-    return clock.groupBy(key).applyInPandasWithState(follow, out, "last bigint, held array<bigint>, ids array<bigint>", "append", "EventTimeTimeout")
+        state.update((clips[stay].tolist(), lasts[stay].tolist(), held["_key"].tolist(), held[time].tolist(), held[ident].tolist()))
+        due = [int(held[time].min())] if len(held) else []
+        due += [int(lasts[stay & ~waits].min()) + forget] if (stay & ~waits).any() else []
+        state.setTimeoutTimestamp(max(-(-min(due) // 1000), state.getCurrentWatermarkMs() + 1))
+
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+    clock = stream.select(bucket, F.col(key).cast("string").alias("_key"), time, ident, F.timestamp_micros(time).alias("_clock")).withWatermark("_clock", late)
+    kept = f"clips array<string>, lasts array<bigint>, keys array<string>, held array<bigint>, ids array<{kinds[1].simpleString()}>"
+    found = clock.groupBy("_bucket").applyInPandasWithState(follow, out, kept, "append", "EventTimeTimeout")
+    return found.select(F.col("_key").cast(kinds[0]).alias(key), ident, "contiguous", "drops")
 
 
 def sync_health(stream: DataFrame, time: str, topic: str, delta: str, tolerance: float, every: str = "1 minute", late: str = "10 minutes") -> DataFrame:

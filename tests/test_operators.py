@@ -307,6 +307,20 @@ def test_stream_resumes_and_reorders(spark, tmp_path):
         assert {x["frame"]: (x["contiguous"], x["drops"]) for x in result} == want
 
 
+def test_live_state_follows_the_buckets_not_the_clips(spark, tmp_path):
+    """Many clips, one without a name, in a state of as many rows as there are buckets; the frames come out once."""
+    source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    rows = [(k if k else None, 10 * k + f, (1 + f * (1 + k % 3)) * MINUTE + k) for k in range(700) for f in range(4)] + [(-1, 9999, 1000 * MINUTE)]
+    whole = spark.createDataFrame(rows, "clip long, frame long, t long")
+    sinks.write_in_order(whole, source, ["t", "frame"], 4)
+    stream = live.monitored(live.ingest(spark, source, whole.schema, files_per_batch=1), "clip", "t", "frame", MINUTE)
+    query = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", marks).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= live.BUCKETS < 700
+    got = sorted((x["frame"], x["clip"], x["contiguous"], x["drops"]) for x in spark.read.parquet(sink).filter("frame <> 9999").collect())
+    assert got == sorted((10 * k + f, k if k else None, f > 0 and k % 3 == 0, k % 3 if f else 0) for k in range(700) for f in range(4))
+
+
 def test_masters_without_a_match_come_out(spark, tmp_path):
     stamp = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
     rows = [(1, "m", stamp(0)), (1, "o", stamp(4)), (2, "m", stamp(1)), (2, "o", stamp(40)), (3, "m", stamp(2))]
