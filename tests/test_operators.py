@@ -321,6 +321,16 @@ def test_live_state_follows_the_buckets_not_the_clips(spark, tmp_path):
     assert got == sorted((10 * k + f, k if k else None, f > 0 and k % 3 == 0, k % 3 if f else 0) for k in range(700) for f in range(4))
 
 
+def test_late_clips_of_one_bucket(spark, tmp_path):
+    """Clips of one bucket whose frames come mixed up and late; a forgotten clip starts anew, the others don't."""
+    rows = [(c, 100 * k + f, (1 + f + 40 * (k == 2 and f > 1)) * MINUTE + k) for k, c in enumerate("abc") for f in range(4)]
+    mixed = [rows[k] for k in (5, 1, 8, 0, 9, 4, 2, 6)], [rows[k] for k in (7, 3, 10, 11)], [("a", 50, 60 * MINUTE)], [("b", 150, 61 * MINUTE)], [("end", 99, 500 * MINUTE)]
+    follow = lambda s: live.monitored(s, "clip", "t", "frame", MINUTE, late="30 minutes", forget=20 * MINUTE, buckets=1)
+    got = {x["frame"]: (x["contiguous"], x["drops"]) for x in streamed(spark, tmp_path, follow, mixed, "clip string, frame long, t long")[-1]}
+    want = {100 * k + f: (f > 0 and (k, f) != (2, 2), 40 if (k, f) == (2, 2) else 0) for k in range(3) for f in range(4)}
+    assert {k: v for k, v in got.items() if k in want} == want and set(got) == {*want, 50, 150}
+
+
 def test_masters_without_a_match_come_out(spark, tmp_path):
     stamp = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
     rows = [(1, "m", stamp(0)), (1, "o", stamp(4)), (2, "m", stamp(1)), (2, "o", stamp(40)), (3, "m", stamp(2))]
