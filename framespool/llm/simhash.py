@@ -44,8 +44,8 @@ from .components import components
 RADIUS, SHINGLE, SEED = 2, 3, 42
 CROWD = 400
 #: Of the wide form. LIMIT: bits of WORDS * 64 by which texts of similarity 0.8 differ (77), and over five times their
-#: deviation (8). FIRST: tables of the first round. TURNS: rotations of the counts.
-WORDS, WIDE_SHINGLE, LIMIT, LEAST, FIRST, TURNS = 8, 5, 120, (4, 5), 8, 16
+#: deviation (8). FIRST: tables of the first round, ROUND: of each later one. TURNS: rotations of the counts.
+WORDS, WIDE_SHINGLE, LIMIT, LEAST, FIRST, ROUND, TURNS = 8, 5, 120, (4, 5), 8, 33, 16
 #: Counts in a group, groups of a table, and the chance (measured) that sets of similarity 0.8 agree in a group's name.
 GROUP, GROUPS, AGREE = 128, 3, 0.41
 NAMES, TABLES = 2 * GROUP, 73  # 5 / AGREE ** GROUPS
@@ -325,23 +325,42 @@ def near_groups(docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> Data
 
 def wide_links(nodes: DataFrame, docs: DataFrame, limit: int = LIMIT, crowd: int = CROWD) -> DataFrame:
     """(node, component) of the nodes that have links. nodes: (node, print, shards); docs: (row, text) with the nodes among
-    its rows."""
-    at = nodes.select("node", F.col("node").alias("component"), F.slice("shards", 1, FIRST).alias("shards"))
-    rows, sizes = _mixed(at.select("node", "component", F.explode("shards").alias("shard")))
-    first = checkpointed(components(_links(rows, sizes, nodes, docs, limit, crowd, within=True)))
-    discard(rows, sizes)
-    at = nodes.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.explode("shards").alias("shard"))
-    rows, sizes = _mixed(at)
+    its rows.
+
+    Tables are taken ROUND at a time, and what a round shuffles is gone before the next, so disk follows a round, not all."""
+    rows, sizes = _mixed(nodes.select("node", F.col("node").alias("component"), F.explode(F.slice("shards", 1, FIRST)).alias("shard")))
+    known = checkpointed(components(_links(rows, sizes, nodes, docs, limit, crowd, within=True)))
     # the shards of the first tables have been compared whole, but for the crowded ones
-    small = sizes.filter((F.expr(f"shard div {NAMES**GROUPS}") >= FIRST) & (F.col("n") <= crowd))
-    links = _links(rows, small, nodes, docs, limit, crowd, within=False)
-    crowded = sizes.filter(F.col("n") > crowd)
-    crowded = stored(split_join(rows, crowded, ["shard"], "n", "left_semi").select("node", "component").distinct())
-    discard(rows, sizes)
-    rows, sizes = _mixed(by_rare_shingles(crowded, docs))
-    links = links.unionByName(_links(rows, sizes, nodes, docs, limit, crowd, within=False))
-    discard(rows, sizes, crowded)
-    return checkpointed(components(links.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+    large = split_join(rows, sizes.filter(F.col("n") > crowd), ["shard"], "n", "left_semi").select("node", "shard")
+    again, mixed = _mixed(_placed(large, known).select("node", "component", "shard"))
+    crowded = [_crowded(again, mixed, crowd)]
+    discard(rows, sizes, again, mixed)
+    for start in range(FIRST, TABLES, ROUND):
+        at = _placed(nodes.select("node", F.slice("shards", start + 1, ROUND).alias("shards")), known)
+        rows, sizes = _mixed(at.select("node", "component", F.explode("shards").alias("shard")))
+        links = _links(rows, sizes.filter(F.col("n") <= crowd), nodes, docs, limit, crowd, within=False)
+        crowded.append(_crowded(rows, sizes, crowd))
+        discard(rows, sizes)
+        known = _joined_by(known, links)
+    rows, sizes = _mixed(by_rare_shingles(stored(_placed(reduce(DataFrame.unionByName, crowded).distinct(), known)), docs))
+    known = _joined_by(known, _links(rows, sizes, nodes, docs, limit, crowd, within=False))
+    discard(rows, sizes, *crowded)
+    return known
+
+
+def _placed(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows (node, ...) with the component of each node in known (node, component), else the node itself."""
+    return rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _joined_by(known: DataFrame, links: DataFrame) -> DataFrame:
+    """The components known (node, component) once links (a, b) have joined some."""
+    return checkpointed(components(links.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+
+
+def _crowded(rows: DataFrame, sizes: DataFrame, crowd: int) -> DataFrame:
+    """(node) of the nodes of shards of more than `crowd`, stored."""
+    return stored(split_join(rows, sizes.filter(F.col("n") > crowd), ["shard"], "n", "left_semi").select("node").distinct())
 
 
 def _mixed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -252,6 +252,20 @@ def test_near_groups_find_near_copies(spark, crowd):
     assert [got[k] for k in range(len(texts))] == groups
 
 
+def test_no_round_of_near_groups_takes_all_tables(spark, monkeypatch):
+    plain, taken = simhash._mixed, []
+
+    def counted(rows):
+        out = plain(rows)
+        taken.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(simhash, "_mixed", counted)
+    texts = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(20)]
+    assert near_groups(spark, texts) == {k: k for k in range(20)}
+    assert sum(taken) == 20 * simhash.TABLES and max(taken) <= 20 * simhash.ROUND < sum(taken)  # each table once, never all
+
+
 def test_near_groups_of_odd_rows(spark):
     got = near_groups(spark, [None, "", " \n", "one two", "ONE  two", "one two three", "a " * 30_000, None])
     assert got == {0: 0, 1: 0, 2: 0, 7: 0, 3: 3, 4: 3, 5: 5, 6: 6}
