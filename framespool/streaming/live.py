@@ -30,25 +30,33 @@ def monitored(
     the watermark hasn't passed, and gives them in order of time once it has, so it is as large as the frames of `late`.
     Frames behind the watermark are left out. A clip is forgotten `forget` microseconds after its last frame.
 
-    The state of a bucket of clips (by hash of the key) is the last stamp of each and the frames it holds."""
-    kinds = stream.schema[key].dataType, stream.schema[ident].dataType
+    The state of a bucket of clips (by hash of the key) is the last stamp of each and the frames it holds, two tables in
+    Arrow's stream format: Spark moves state between its JVM and Python value by value, so a list costs by its length."""
     out = T.StructType([T.StructField("_key", T.StringType()), stream.schema[ident], T.StructField("contiguous", T.BooleanType()), T.StructField("drops", T.IntegerType())])
 
+    def packed(df) -> bytes:
+        import pyarrow as pa
+
+        rows, sink = pa.Table.from_pandas(df, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as stored:
+            stored.write_table(rows)
+        return sink.getvalue().to_pybytes()
+
     def follow(_: tuple, frames: Iterator, state) -> Iterator:
         import numpy as np
         import pandas as pd
+        import pyarrow as pa
 
-        clips, lasts, keys, stamps, ids = state.get if state.exists else ([], [], [], [], [])
-        rows = pd.DataFrame({"_key": pd.Series(keys, dtype=object), time: np.array(stamps, np.int64), ident: ids})
-        if not state.hasTimedOut:
-            new = [f[["_key", time, ident]] for f in frames]
-            rows = pd.concat([rows, *new], ignore_index=True) if len(rows) else pd.concat(new, ignore_index=True)
+        known, *old = [pa.ipc.open_stream(x).read_pandas() for x in state.get] if state.exists else [pd.DataFrame({"_key": pd.Series(dtype=object), "_last": np.array([], np.int64)})]
+        clips, lasts = known["_key"].to_numpy(object), known["_last"].to_numpy(np.int64)
+        new = [] if state.hasTimedOut else [f[["_key", time, ident]] for f in frames]
+        rows = pd.concat([x for x in old + new if len(x)] or (old + new)[:1], ignore_index=True)
         passed = state.getCurrentWatermarkMs() * 1000
         # clips as numbers, those known before first; null is a clip of its own
-        codes, clips = pd.factorize(np.concatenate([np.array(clips, object), rows["_key"].to_numpy(object)]), use_na_sentinel=False)
+        codes, clips = pd.factorize(np.concatenate([clips, rows["_key"].to_numpy(object)]), use_na_sentinel=False)
         clips = np.where(pd.isna(clips), None, clips)
         seen = np.arange(len(clips)) < len(lasts)
-        lasts = np.concatenate([np.array(lasts, np.int64), np.zeros(len(clips) - len(lasts), np.int64)])
+        lasts = np.concatenate([lasts, np.zeros(len(clips) - len(lasts), np.int64)])
         rows["_clip"] = codes[len(codes) - len(rows) :]
         done = rows[time] <= passed
         held, rows = rows[~done], rows[done].sort_values(["_clip", time, ident])
@@ -68,16 +76,15 @@ def monitored(
         if not len(held) and not stay.any():
             state.remove()
             return
-        state.update((clips[stay].tolist(), lasts[stay].tolist(), held["_key"].tolist(), held[time].tolist(), held[ident].tolist()))
+        state.update((packed(pd.DataFrame({"_key": clips[stay], "_last": lasts[stay]})), packed(held[["_key", time, ident]])))
         due = [int(held[time].min())] if len(held) else []
         due += [int(lasts[stay & ~waits].min()) + forget] if (stay & ~waits).any() else []
         state.setTimeoutTimestamp(max(-(-min(due) // 1000), state.getCurrentWatermarkMs() + 1))
 
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
     clock = stream.select(bucket, F.col(key).cast("string").alias("_key"), time, ident, F.timestamp_micros(time).alias("_clock")).withWatermark("_clock", late)
-    kept = f"clips array<string>, lasts array<bigint>, keys array<string>, held array<bigint>, ids array<{kinds[1].simpleString()}>"
-    found = clock.groupBy("_bucket").applyInPandasWithState(follow, out, kept, "append", "EventTimeTimeout")
-    return found.select(F.col("_key").cast(kinds[0]).alias(key), ident, "contiguous", "drops")
+    found = clock.groupBy("_bucket").applyInPandasWithState(follow, out, "clips binary, held binary", "append", "EventTimeTimeout")
+    return found.select(F.col("_key").cast(stream.schema[key].dataType).alias(key), ident, "contiguous", "drops")
 
 
 def sync_health(stream: DataFrame, time: str, topic: str, delta: str, tolerance: float, every: str = "1 minute", late: str = "10 minutes") -> DataFrame:

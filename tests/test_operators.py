@@ -331,6 +331,24 @@ def test_late_clips_of_one_bucket(spark, tmp_path):
     assert {k: v for k, v in got.items() if k in want} == want and set(got) == {*want, 50, 150}
 
 
+def test_live_state_is_two_values_a_bucket(spark, tmp_path):
+    """The frames that a bucket holds cross between the JVM and Python as one value; frames without a number are held too."""
+    source, sink, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    rows = [(k % 50, k if k % 100 else None, (1 + k) * 1000) for k in range(20_000)]
+    whole = spark.createDataFrame(rows, "clip long, frame long, t long")
+    whole.coalesce(1).write.parquet(source)
+    stream = lambda: live.monitored(live.ingest(spark, source, whole.schema), "clip", "t", "frame", 50_000, buckets=4)
+    live.run_once(stream(), sink, marks)
+    state = spark.read.format("statestore").load(marks).select("value.groupState.*")
+    assert {kind for _, kind in state.dtypes} == {"binary"}
+    size = state.selectExpr("count(*) AS n", "sum(length(held)) AS held").first()
+    assert size.n == 4 and 0 < size.held < 40 * len(rows)
+    spark.createDataFrame([(-1, -1, 10**12)], whole.schema).write.mode("append").parquet(source)
+    live.run_once(stream(), sink, marks)
+    got = sorted((x["clip"], x["frame"] or 0, x["contiguous"], x["drops"]) for x in spark.read.parquet(sink).filter("clip >= 0").collect())
+    assert got == sorted((c, f or 0, t > 50_000, 0) for c, f, t in rows)
+
+
 def test_masters_without_a_match_come_out(spark, tmp_path):
     stamp = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
     rows = [(1, "m", stamp(0)), (1, "o", stamp(4)), (2, "m", stamp(1)), (2, "o", stamp(40)), (3, "m", stamp(2))]
