@@ -65,6 +65,21 @@ def test_bytes(spark, seed, crowd):
     assert got == dict(enumerate(brute(rows, length, lambda t: t.encode(), bytes)))
 
 
+@pytest.mark.parametrize("crowd", [1000, 1])
+def test_bytes_of_texts_that_begin_or_end_with_nul(spark, crowd):
+    """Rows are sorted filled up with zeros; a text's own zeros are no filling."""
+    r = random.Random(8)
+    passages = ["".join(map(r.choice, ["abc"] * 60)) for _ in range(6)]
+    rows = ["\0" * r.randint(0, 12) + t + "\0" * r.randint(0, 12) for t in passages for _ in range(8)]
+    length, span = 60, 20
+    docs = keyed(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    shape = Shape(length, byte_dedup.GRAM, span, (length - span + 1 - byte_dedup.GRAM) // 2)
+    spans = covered(docs, byte_dedup.bytes_of, byte_dedup.byte_grams, shape, byte_dedup.sweep, crowd)
+    cut = lambda tokens, gone: (bytes(x for x, g in zip(tokens[0], gone) if not g), len(gone), int(gone.sum()))
+    got = {r[0]: (r[2], r[3], bytes(r[1])) for r in cut_spans(docs, spans, byte_dedup.bytes_of, cut, lambda d: (d, len(d), 0), "doc_id long, data binary, n long, removed long").collect()}
+    assert got == dict(enumerate(brute(rows, length, lambda t: t.encode(), bytes)))
+
+
 def test_defaults_on_odd_tables(spark):
     passage = " ".join(f"word{k}" for k in range(80))
     rows = [(1, passage, 0), (2, "before " + passage, 0), (None, passage, 0), (3, None, 0), (3, None, 0), (4, "short", 0)]
